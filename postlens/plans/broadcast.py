@@ -1,0 +1,22 @@
+"""Broadcast only behind a size check, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged.
+
+    Beyond the bound the join falls back to what the planner picks (a shuffle join, or an AQE
+    broadcast if runtime statistics show the side is small after all).
+    """
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
