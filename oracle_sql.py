@@ -116,6 +116,72 @@ COHORT = (
 )
 
 
+def sql_list(words) -> str:
+    return ", ".join("('" + w.replace("'", "''") + "')" for w in words)
+
+
+DICT_CTE = f"dict(word) AS (VALUES {sql_list(schema.DEFAULT_KEYWORDS)})"
+HAN_LENGTHS_CTE = r"lens(L) AS (SELECT DISTINCT length(word) FROM dict WHERE regexp_full_match(word, '\p{Han}+'))"
+STOP_SQL = ", ".join("'" + w + "'" for w in schema.STOP_WORDS)
+WORD_PATTERN = r"\p{Han}+|(?:[^\P{L}\p{Han}]|\p{N})+"
+
+
+def keyword_tokens_cte(where: str, extra: str = "") -> list[str]:
+    """``kt`` (texts) and ``tok`` (tokens) CTEs for the keyword rule; ``extra`` columns carried."""
+    x = f"{extra}, " if extra else ""
+    return [
+        DICT_CTE,
+        HAN_LENGTHS_CTE,
+        f"kt AS (SELECT {x}lower(skills) AS t, skills AS raw FROM postings WHERE {where})",
+        f"""tok AS (
+      SELECT {x}unnest(regexp_extract_all(t, '[a-z]+')) AS token FROM kt
+      UNION ALL SELECT {x}unnest(regexp_extract_all(t, '[0-9]+')) FROM kt
+      UNION ALL SELECT {x}unnest(list_filter(regexp_extract_all(t, '[a-z0-9]+'),
+                     lambda w: regexp_matches(w, '[a-z]') AND regexp_matches(w, '[0-9]'))) FROM kt
+      UNION ALL SELECT {x}substring(r, i, L) FROM (
+          SELECT {x}L, r, unnest(generate_series(1, length(r) - L + 1)) AS i
+          FROM (SELECT {x}unnest(regexp_extract_all(raw, '\\p{{Han}}+')) AS r FROM kt) runs, lens
+      ) g
+    )""",
+    ]
+
+
+def json_agg(key: str = "key", n: str = "n") -> str:
+    esc = f"replace(replace({key}, '\\', '\\\\'), '\"', '\\\"')"
+    return f"""'{{' || string_agg('"' || {esc} || '":' || CAST({n} AS VARCHAR), ',' ORDER BY {key}) || '}}'"""
+
+
+DIMS = [(c, q, lab) for c, q, lab in schema.DIMENSIONS]
+
+
+def dims_union(use: int, where: str) -> str:
+    return "\n      UNION ALL ".join(
+        f"SELECT '{d[use]}' AS dim, {d[0]} AS value FROM postings WHERE {where} AND {d[0]} <> ''" for d in DIMS
+    )
+
+
+def report_rows_sql() -> list[str]:
+    g = schema.BATCH_GRID
+    ctes = keyword_tokens_cte("n_fields = 11")
+    ctes += [
+        f"v AS (SELECT n_fields, experience, education, {salary_value(0)} AS v0, {salary_value(1)} AS v1 FROM postings)",
+        f"l AS (SELECT *, {bucket_lo('v0', g)} AS lo0, {bucket_lo('v1', g)} AS lo1 FROM v)",
+        f"h AS (SELECT *, {bucket_hi('lo0', g)} AS hi0, {bucket_hi('lo1', g)} AS hi1 FROM l)",
+        f"""b AS (SELECT n_fields, experience, education,
+              CASE WHEN {keep(False, 'lo0', 'hi0')} THEN {label('lo0', 'hi0')} END AS b0,
+              CASE WHEN {keep(False, 'lo1', 'hi1')} THEN {label('lo1', 'hi1')} END AS b1 FROM h)""",
+        f"""rows AS (
+      SELECT 'salary_0' AS section, b0 AS key FROM b WHERE n_fields = 11 AND b0 IS NOT NULL
+      UNION ALL SELECT 'salary_1', b1 FROM b WHERE n_fields = 11 AND b1 IS NOT NULL
+      UNION ALL SELECT 'salary3_0', b0 FROM b WHERE n_fields = 11 AND {COHORT} AND b0 IS NOT NULL
+      UNION ALL SELECT 'salary3_1', b1 FROM b WHERE n_fields = 11 AND {COHORT} AND b1 IS NOT NULL
+      UNION ALL {dims_union(1, 'n_fields >= 10')}
+      UNION ALL SELECT 'skill_bg', token FROM tok WHERE token IN (SELECT word FROM dict)
+    )""",
+    ]
+    return ctes
+
+
 # ---------------------------------------------------------------------------------------------
 # Queries
 # ---------------------------------------------------------------------------------------------
@@ -123,13 +189,119 @@ COHORT = (
 
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
+    sg, bg = schema.STREAM_GRID, schema.BATCH_GRID
 
     q["postings_parse"] = _with() + (
         "SELECT id, n_fields, salary, address, company_type, company_size, experience, education, skills "
         "FROM postings"
     )
 
-    q["salary_histogram_ceil"] = histogram_sql("n_fields = 11", schema.CEILING, schema.BATCH_GRID)
-    q["salary_histogram_floor"] = histogram_sql("n_fields = 11", schema.FLOOR, schema.BATCH_GRID)
+    q["field_count_gates"] = _with() + """
+    SELECT gate, n FROM (
+      SELECT 'ge5' AS gate, CAST(count(*) FILTER (WHERE n_fields >= 5) AS BIGINT) AS n FROM postings
+      UNION ALL SELECT 'ge10', CAST(count(*) FILTER (WHERE n_fields >= 10) AS BIGINT) FROM postings
+      UNION ALL SELECT 'eq11', CAST(count(*) FILTER (WHERE n_fields = 11) AS BIGINT) FROM postings
+      UNION ALL SELECT 'gt10', CAST(count(*) FILTER (WHERE n_fields > 10) AS BIGINT) FROM postings
+      UNION ALL SELECT 'all', CAST(count(*) AS BIGINT) FROM postings
+    )"""
+
+    q["salary_bucket_assign"] = _with(
+        f"v AS (SELECT id, salary, {salary_value(0)} AS f, {salary_value(1)} AS c FROM postings)",
+        f"l AS (SELECT id, salary, {bucket_lo('f', sg)} AS floor_lo, {bucket_lo('c', sg)} AS ceil_lo FROM v)",
+    ) + (
+        f"SELECT id, salary, floor_lo, {bucket_hi('floor_lo', sg)} AS floor_hi, "
+        f"ceil_lo, {bucket_hi('ceil_lo', sg)} AS ceil_hi FROM l"
+    )
+
+    q["salary_histogram_ceil"] = histogram_sql("n_fields = 11", schema.CEILING, bg)
+    q["salary_histogram_floor"] = histogram_sql("n_fields = 11", schema.FLOOR, bg)
+
+    q["salary_cohort_histogram"] = _with(
+        f"v AS (SELECT 0 AS side, {salary_value(0)} AS v FROM postings WHERE n_fields = 11 AND {COHORT} "
+        f"UNION ALL SELECT 1, {salary_value(1)} FROM postings WHERE n_fields = 11 AND {COHORT})",
+        f"l AS (SELECT side, {bucket_lo('v', bg)} AS lo FROM v)",
+        f"h AS (SELECT side, lo, {bucket_hi('lo', bg)} AS hi FROM l)",
+    ) + (
+        f"SELECT side, {label()} AS bucket, lo, hi, CAST(count(*) AS BIGINT) AS n FROM h "
+        f"WHERE {keep(False)} GROUP BY side, lo, hi"
+    )
+
+    from postlens.plans.registry import EDGES
+
+    edges = "[" + ", ".join(str(e) for e in EDGES) + "]"
+    q["salary_histogram_edges"] = _with(
+        f"v AS (SELECT CAST({salary_value(1)} AS BIGINT) AS v FROM postings WHERE n_fields = 11)",
+        f"i AS (SELECT len(list_filter({edges}, lambda e: e <= v)) AS idx FROM v WHERE v IS NOT NULL)",
+        f"lh AS (SELECT CAST({edges}[idx] AS INTEGER) AS lo, CAST({edges}[idx + 1] AS INTEGER) AS hi "
+        f"FROM i WHERE idx >= 1 AND idx < {len(EDGES)})",
+    ) + f"SELECT {label()} AS bucket, lo, hi, CAST(count(*) AS BIGINT) AS n FROM lh GROUP BY lo, hi"
+
+    q["salary_report"] = _with(
+        f"v AS (SELECT ({COHORT}) AS c, {salary_value(1)} AS v FROM postings WHERE n_fields = 11)",
+        f"l AS (SELECT c, {bucket_lo('v', bg)} AS lo FROM v)",
+        f"h AS (SELECT c, lo, {bucket_hi('lo', bg)} AS hi FROM l)",
+        f"k AS (SELECT c, CASE WHEN {keep(False)} THEN {label()} END AS key FROM h)",
+        "r AS (SELECT 'salary_1' AS qualifier, key FROM k UNION ALL SELECT 'salary3_1', CASE WHEN c THEN key END FROM k)",
+    ) + "SELECT qualifier, key, CAST(count(*) AS BIGINT) AS n FROM r WHERE key IS NOT NULL GROUP BY qualifier, key"
+
+    dim_counts = (
+        f"dc AS (SELECT dim, value, CAST(count(*) AS BIGINT) AS n FROM ("
+        f"{dims_union(1, 'n_fields >= 10')}) u GROUP BY dim, value)"
+    )
+    q["dimension_counts"] = _with(dim_counts) + "SELECT dim, value, n FROM dc"
+    q["dimension_labels"] = _with(
+        f"dc AS (SELECT dim AS label, value, CAST(count(*) AS BIGINT) AS n FROM ("
+        f"{dims_union(2, 'n_fields >= 10')}) u GROUP BY dim, value)"
+    ) + "SELECT label, value, n FROM dc"
+    q["dimension_json"] = _with(dim_counts) + f"SELECT dim, {json_agg('value')} AS json FROM dc GROUP BY dim"
+    q["dimension_rank"] = _with(dim_counts) + (
+        "SELECT dim, value, n, CAST(row_number() OVER (PARTITION BY dim ORDER BY n DESC, value) AS BIGINT) AS rnk FROM dc"
+    )
+
+    q["skill_keyword_count"] = _with(*keyword_tokens_cte("n_fields = 11")) + (
+        "SELECT token, CAST(count(*) AS BIGINT) AS n FROM tok WHERE token IN (SELECT word FROM dict) GROUP BY token"
+    )
+
+    def word_count(src: str) -> str:
+        return (
+            f"wc AS (SELECT token, CAST(count(*) AS BIGINT) AS n FROM ("
+            f"SELECT unnest(regexp_extract_all(lower(txt), '{WORD_PATTERN}')) AS token FROM ({src}) s"
+            f") t WHERE token NOT IN ({STOP_SQL}) GROUP BY token)"
+        )
+
+    ranked = "SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) AS BIGINT) AS rnk FROM wc"
+    q["skills_word_count"] = _with(word_count("SELECT skills AS txt FROM postings WHERE n_fields > 10")) + ranked
+    q["document_word_count"] = "WITH " + word_count("SELECT text AS txt FROM documents") + "\n" + ranked
+
+    report = _with(*report_rows_sql(), "rep AS (SELECT section, key, CAST(count(*) AS BIGINT) AS n FROM rows GROUP BY section, key)")
+    q["full_report"] = report + "SELECT section, key, n FROM rep"
+    q["full_report_cells"] = report + (
+        f"SELECT 'postings' AS row_key, 'info' AS family, section AS qualifier, {json_agg()} AS value, "
+        "CAST(0 AS BIGINT) AS version FROM rep GROUP BY section"
+    )
+
+    cells = (
+        "cells AS (SELECT CAST(user_id AS VARCHAR) AS row_key, 'info' AS family, event_type AS qualifier, "
+        "props AS value, event_id AS version FROM events)"
+    )
+    latest = (
+        "lat AS (SELECT row_key, family, qualifier, arg_max(value, version) AS value, max(version) AS version "
+        "FROM cells GROUP BY row_key, family, qualifier)"
+    )
+    q["cell_store_latest"] = f"WITH {cells}, {latest} SELECT row_key, family, qualifier, value, version FROM lat"
+    q["cell_store_pivot"] = f"WITH {cells}, {latest} " + (
+        "SELECT row_key, "
+        "arg_max(value, version) FILTER (WHERE qualifier = 'click') AS click, "
+        "arg_max(value, version) FILTER (WHERE qualifier = 'error') AS error, "
+        "arg_max(value, version) FILTER (WHERE qualifier = 'purchase') AS purchase, "
+        "arg_max(value, version) FILTER (WHERE qualifier = 'signup') AS signup, "
+        "arg_max(value, version) FILTER (WHERE qualifier = 'view') AS view "
+        "FROM lat GROUP BY row_key"
+    )
+    q["cell_store_text"] = f"WITH {cells}, {latest} " + (
+        "SELECT row_key, string_agg(qualifier || ':' || value, chr(9) ORDER BY qualifier, value) AS text "
+        "FROM lat GROUP BY row_key"
+    )
+    q["result_store_keys"] = f"WITH {cells} SELECT DISTINCT row_key FROM cells"
 
     return q

@@ -1,38 +1,182 @@
-"""Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables."""
+"""Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables.
+
+Posting queries read the posting lines Spark derives from ``orders ⋈ customer ⋈ nation`` (one per
+order); the result-store queries read ``events``; the document word count reads ``documents``.
+Queries that exercise a file source or sink first write the derived lines / cells to a fresh
+folder under the shared checkpoint directory.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlens import schema
 from postlens.functions.parse import gate, postings
-from postlens.operators import salary
-from postlens.sources.fixture import posting_lines
+from postlens.operators import dimensions, salary, skills, store
+from postlens.plans import report
+from postlens.session import scratch_path
+from postlens.sources.fixture import posting_lines, table
+from postlens.sources.text import keyword_dictionary, read_postings, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Edges of the arbitrary-edge histogram (a user parameter of J2).
+EDGES = [0, 2000, 3000, 4500, 6000, 8000, 10000, 15000, 20000, 30000, 50000]
+
 
 def fixture_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings(posting_lines(spark, sf_dir), "line", id_col="id")
 
 
-def q_postings_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gate(fixture_postings(spark, sf_dir), exact=schema.GATE_FULL)
+
+
+def q_postings_parse(spark, sf_dir):
     return fixture_postings(spark, sf_dir)
 
 
-def q_salary_histogram_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return salary.histogram(gate(fixture_postings(spark, sf_dir), exact=schema.GATE_FULL), schema.CEILING, schema.BATCH_GRID)
+def q_field_count_gates(spark, sf_dir):
+    n = F.col("n_fields")
+    counts = fixture_postings(spark, sf_dir).agg(
+        F.count_if(n >= schema.GATE_STREAM_SALARY).alias("ge5"),
+        F.count_if(n >= schema.GATE_DIMENSIONS).alias("ge10"),
+        F.count_if(n == schema.GATE_FULL).alias("eq11"),
+        F.count_if(n > schema.GATE_WORD_COUNT_ABOVE).alias("gt10"),
+        F.count(F.lit(1)).alias("all"),
+    )
+    return counts.unpivot([], ["ge5", "ge10", "eq11", "gt10", "all"], "gate", "n")
+
+
+def q_salary_bucket_assign(spark, sf_dir):
+    return salary.assign_buckets(fixture_postings(spark, sf_dir), schema.STREAM_GRID)
+
+
+def q_salary_histogram_ceil(spark, sf_dir):
+    return salary.histogram(full_postings(spark, sf_dir), schema.CEILING, schema.BATCH_GRID)
+
+
+def q_salary_histogram_floor(spark, sf_dir):
+    return salary.histogram(full_postings(spark, sf_dir), schema.FLOOR, schema.BATCH_GRID)
+
+
+def q_salary_cohort_histogram(spark, sf_dir):
+    return salary.two_sided_histogram(salary.cohort(full_postings(spark, sf_dir)), schema.BATCH_GRID)
+
+
+def q_salary_histogram_edges(spark, sf_dir):
+    return salary.edge_histogram(full_postings(spark, sf_dir), EDGES, schema.CEILING)
+
+
+def q_salary_report(spark, sf_dir):
+    return report.salary_report(fixture_postings(spark, sf_dir), schema.CEILING, schema.BATCH_GRID)
+
+
+def dimension_postings(spark, sf_dir):
+    return gate(fixture_postings(spark, sf_dir), min_fields=schema.GATE_DIMENSIONS)
+
+
+def q_dimension_counts(spark, sf_dir):
+    return dimensions.counts(dimension_postings(spark, sf_dir))
+
+
+def q_dimension_labels(spark, sf_dir):
+    return dimensions.labelled_counts(dimension_postings(spark, sf_dir))
+
+
+def q_dimension_json(spark, sf_dir):
+    return dimensions.as_json(dimensions.counts(dimension_postings(spark, sf_dir)))
+
+
+def q_dimension_rank(spark, sf_dir):
+    return dimensions.ranked(dimensions.counts(dimension_postings(spark, sf_dir)))
+
+
+def q_skill_keyword_count(spark, sf_dir):
+    return skills.keyword_counts(full_postings(spark, sf_dir), keyword_dictionary(spark))
+
+
+def q_skills_word_count(spark, sf_dir):
+    rows = gate(fixture_postings(spark, sf_dir), above=schema.GATE_WORD_COUNT_ABOVE)
+    return skills.ranked_word_counts(skills.word_counts(rows, "skills", schema.STOP_WORDS))
+
+
+def q_document_word_count(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text")
+    return skills.ranked_word_counts(skills.word_counts(docs, "text", schema.STOP_WORDS))
+
+
+def q_full_report(spark, sf_dir):
+    return report.full_report(fixture_postings(spark, sf_dir), keyword_dictionary(spark))
+
+
+def q_full_report_cells(spark, sf_dir):
+    rep = report.full_report(fixture_postings(spark, sf_dir), keyword_dictionary(spark))
+    return report.report_cells(rep, "postings")
+
+
+def q_source_file_key(spark, sf_dir):
+    """Report cells keyed by input file name: lines written as 3 text files, read back."""
+    path = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "postings-text"), n_files=3)
+    return report.report_cells_by_source(read_postings(spark, path), keyword_dictionary(spark))
+
+
+def event_cells(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return store.as_cells(ev, F.col("user_id"), F.lit(schema.STORE_FAMILY), "event_type", "props", "event_id")
+
+
+def stored_event_cells(spark, sf_dir):
+    """All events written to a result store as batch 0, the batch replayed (an idempotent
+    overwrite), then read back."""
+    path = scratch_path(spark, "cell-store")
+    cells = event_cells(spark, sf_dir)
+    store.write_cells(cells, path, 0)
+    store.write_cells(cells, path, 0)
+    return store.read_cells(spark, path)
+
+
+def q_cell_store_latest(spark, sf_dir):
+    return store.latest(stored_event_cells(spark, sf_dir))
+
+
+def q_cell_store_pivot(spark, sf_dir):
+    return store.pivot(store.latest(stored_event_cells(spark, sf_dir)), schema.STORE_FAMILY)
+
+
+def q_cell_store_text(spark, sf_dir):
+    return store.as_text(store.latest(stored_event_cells(spark, sf_dir)), schema.STORE_FAMILY)
 
 
-def q_salary_histogram_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return salary.histogram(gate(fixture_postings(spark, sf_dir), exact=schema.GATE_FULL), schema.FLOOR, schema.BATCH_GRID)
+def q_result_store_keys(spark, sf_dir):
+    return store.keys(stored_event_cells(spark, sf_dir), "*")
 
 
 def registered() -> dict[str, Query]:
     return {
         "postings_parse": q_postings_parse,
+        "field_count_gates": q_field_count_gates,
+        "salary_bucket_assign": q_salary_bucket_assign,
         "salary_histogram_ceil": q_salary_histogram_ceil,
         "salary_histogram_floor": q_salary_histogram_floor,
+        "salary_cohort_histogram": q_salary_cohort_histogram,
+        "salary_histogram_edges": q_salary_histogram_edges,
+        "salary_report": q_salary_report,
+        "dimension_counts": q_dimension_counts,
+        "dimension_labels": q_dimension_labels,
+        "dimension_json": q_dimension_json,
+        "dimension_rank": q_dimension_rank,
+        "skill_keyword_count": q_skill_keyword_count,
+        "skills_word_count": q_skills_word_count,
+        "document_word_count": q_document_word_count,
+        "full_report": q_full_report,
+        "full_report_cells": q_full_report_cells,
+        "source_file_key": q_source_file_key,
+        "cell_store_latest": q_cell_store_latest,
+        "cell_store_pivot": q_cell_store_pivot,
+        "cell_store_text": q_cell_store_text,
+        "result_store_keys": q_result_store_keys,
     }

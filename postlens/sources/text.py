@@ -90,3 +90,9 @@ def stream_lines(
 def kafka_options(bootstrap: str, topics: str, **extra: str) -> dict[str, str]:
     """Options for a Kafka posting stream; ``topics`` is comma-separated."""
     return {"kafka.bootstrap.servers": bootstrap, "subscribe": topics, **extra}
+
+
+def write_lines(lines: DataFrame, path: str, n_files: int = 1, value_col: str = "line") -> str:
+    """Writes one text line per row into ``n_files`` files under ``path`` (overwrite)."""
+    lines.select(F.col(value_col).alias("value")).repartition(n_files).write.mode("overwrite").text(path)
+    return path
