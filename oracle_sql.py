@@ -182,6 +182,44 @@ def report_rows_sql() -> list[str]:
     return ctes
 
 
+def stream_ctes() -> list[str]:
+    g = schema.STREAM_GRID
+    ctes = keyword_tokens_cte("n_fields = 11")
+    ctes += [
+        f"sv AS (SELECT n_fields, {salary_value(0)} AS v0, {salary_value(1)} AS v1 FROM postings WHERE n_fields >= 5)",
+        f"sl AS (SELECT *, {bucket_lo('v0', g)} AS lo0, {bucket_lo('v1', g)} AS lo1 FROM sv)",
+        f"sh AS (SELECT *, {bucket_hi('lo0', g)} AS hi0, {bucket_hi('lo1', g)} AS hi1 FROM sl)",
+        f"""srows AS (
+      SELECT 'salary_floor' AS metric, '' AS dim, {label('lo0', 'hi0')} AS key FROM sh WHERE {keep(True, 'lo0', 'hi0')}
+      UNION ALL SELECT 'salary_ceiling', '', {label('lo1', 'hi1')} FROM sh WHERE {keep(True, 'lo1', 'hi1')}
+      UNION ALL SELECT 'skills', '', token FROM tok WHERE token IN (SELECT word FROM dict)
+      UNION ALL SELECT 'other', dim, value FROM ({dims_union(2, 'n_fields = 11')}) d
+    )""",
+    ]
+    return ctes
+
+
+def stream_json_ctes(job: str) -> list[str]:
+    sections = {
+        "salary_floor": schema.SECTION_SALARY_FLOOR,
+        "salary_ceiling": schema.SECTION_SALARY_CEILING,
+        "skills": schema.SECTION_SKILLS,
+        "other": schema.SECTION_OTHER,
+    }
+    sec = "CASE metric " + " ".join(f"WHEN '{m}' THEN '{s}'" for m, s in sections.items()) + " END"
+    return [
+        "tot AS (SELECT metric, dim, key, CAST(count(*) AS BIGINT) AS n FROM srows GROUP BY metric, dim, key)",
+        f"flat AS (SELECT metric, '{{\"' || {sec} || '\":' || {json_agg()} || '}}' AS doc FROM tot "
+        "WHERE metric <> 'other' GROUP BY metric)",
+        f"od AS (SELECT metric, dim, {json_agg()} AS j FROM tot WHERE metric = 'other' GROUP BY metric, dim)",
+        "other AS (SELECT metric, '{' || string_agg('\"' || dim || '\":' || j, ',' ORDER BY dim) || '}' AS doc "
+        "FROM od GROUP BY metric)",
+        f"docs AS (SELECT '{job}:' || {sec} AS key, "
+        f"'{{\"{job}\":\"' || replace(replace(doc, '\\', '\\\\'), '\"', '\\\"') || '\"}}' AS value "
+        "FROM (SELECT * FROM flat UNION ALL SELECT * FROM other) x)",
+    ]
+
+
 # ---------------------------------------------------------------------------------------------
 # Queries
 # ---------------------------------------------------------------------------------------------
@@ -304,4 +342,13 @@ def queries() -> dict[str, str]:
     )
     q["result_store_keys"] = f"WITH {cells} SELECT DISTINCT row_key FROM cells"
 
+    stream = stream_ctes()
+    total = "SELECT metric, dim, key, CAST(count(*) AS BIGINT) AS n FROM srows WHERE metric = '{m}' GROUP BY metric, dim, key"
+    q["stream_salary_floor"] = _with(*stream) + total.format(m="salary_floor")
+    q["stream_salary_ceil"] = _with(*stream) + total.format(m="salary_ceiling")
+    q["stream_skill_counts"] = _with(*stream) + total.format(m="skills")
+    q["stream_dimension_counts"] = _with(*stream) + total.format(m="other")
+    q["stream_report"] = _with(*stream) + "SELECT metric, dim, key, CAST(count(*) AS BIGINT) AS n FROM srows GROUP BY metric, dim, key"
+    q["stream_report_json"] = _with(*stream, *stream_json_ctes("job")) + "SELECT key, value FROM docs"
+
     return q

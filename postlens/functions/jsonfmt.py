@@ -10,7 +10,9 @@ def sorted_map(key: Column | str, value: Column | str) -> Column:
     """Aggregate: ``MAP`` of ``key -> value`` with entries sorted by key (deterministic JSON)."""
     k = F.col(key) if isinstance(key, str) else key
     v = F.col(value) if isinstance(value, str) else value
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(k.alias("k"), v.alias("v")))))
+    entries = F.collect_list(F.struct(k.alias("k"), v.alias("v")))
+    by_key = F.array_sort(entries, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+    return F.map_from_entries(by_key)
 
 
 def json_object(key: Column | str, value: Column | str) -> Column:

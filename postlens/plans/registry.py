@@ -19,7 +19,8 @@ from postlens.operators import dimensions, salary, skills, store
 from postlens.plans import report
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines, table
-from postlens.sources.text import keyword_dictionary, read_postings, write_lines
+from postlens.sources.text import keyword_dictionary, read_postings, stream_lines, write_lines
+from postlens.streaming import report as stream_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,6 +156,50 @@ def q_result_store_keys(spark, sf_dir):
     return store.keys(stored_event_cells(spark, sf_dir), "*")
 
 
+STREAM_FILES = 3
+STREAM_JOB = "job"
+
+
+def run_stream(spark, sf_dir, metrics=stream_report.ALL_METRICS) -> DataFrame:
+    """Posting lines written as 3 text files, drained by the streaming report one file per
+    micro-batch (``availableNow``), then the running totals read from its result store."""
+    src = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "stream-input"), n_files=STREAM_FILES)
+    store_path = scratch_path(spark, "stream-store")
+    lines = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+    query = stream_report.start(
+        spark, lines, keyword_dictionary(spark), store_path, scratch_path(spark, "stream-ckpt"),
+        trigger={"availableNow": True}, metrics=metrics,
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return stream_report.totals(spark, store_path)
+
+
+def q_stream_salary_floor(spark, sf_dir):
+    return run_stream(spark, sf_dir, [stream_report.SALARY_FLOOR])
+
+
+def q_stream_salary_ceil(spark, sf_dir):
+    return run_stream(spark, sf_dir, [stream_report.SALARY_CEILING])
+
+
+def q_stream_skill_counts(spark, sf_dir):
+    return run_stream(spark, sf_dir, [stream_report.SKILLS])
+
+
+def q_stream_dimension_counts(spark, sf_dir):
+    return run_stream(spark, sf_dir, [stream_report.OTHER])
+
+
+def q_stream_report(spark, sf_dir):
+    return run_stream(spark, sf_dir)
+
+
+def q_stream_report_json(spark, sf_dir):
+    return stream_report.json_documents(run_stream(spark, sf_dir), STREAM_JOB)
+
+
 def registered() -> dict[str, Query]:
     return {
         "postings_parse": q_postings_parse,
@@ -179,4 +224,10 @@ def registered() -> dict[str, Query]:
         "cell_store_pivot": q_cell_store_pivot,
         "cell_store_text": q_cell_store_text,
         "result_store_keys": q_result_store_keys,
+        "stream_salary_floor": q_stream_salary_floor,
+        "stream_salary_ceil": q_stream_salary_ceil,
+        "stream_skill_counts": q_stream_skill_counts,
+        "stream_dimension_counts": q_stream_dimension_counts,
+        "stream_report": q_stream_report,
+        "stream_report_json": q_stream_report_json,
     }
