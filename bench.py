@@ -71,11 +71,11 @@ def main() -> None:
         run_noop(skills.keyword_counts(gate(posts(), exact=schema.GATE_FULL), dictionary, han_lengths=han))
 
     def q_document_word_count():
-        docs = table(spark, sf_dir, "documents").select("text")
+        docs = table(spark, sf_dir, "documents", ["text"])
         run_noop(skills.ranked_word_counts(skills.word_counts(docs, "text", schema.STOP_WORDS)))
 
     def q_cell_store_latest():
-        ev = table(spark, sf_dir, "events")
+        ev = table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"])
         cells = store.as_cells(ev, F.col("user_id"), F.lit("info"), "event_type", "props", "event_id")
         run_noop(store.latest(cells))
 

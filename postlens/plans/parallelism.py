@@ -1,0 +1,18 @@
+"""Keep enough tasks on a small source.
+
+A source that arrives as very few splits (one parquet row group, one small text file) would run
+all its per-row work — regex tokenising, parsing — in one task. ``spread`` round-robins such an
+input over the cluster's default parallelism. At scale an input has thousands of splits and this
+is a no-op, so it never adds a shuffle where the scan is already parallel.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -106,7 +106,7 @@ def q_skills_word_count(spark, sf_dir):
 
 
 def q_document_word_count(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = table(spark, sf_dir, "documents", ["text"])
     return skills.ranked_word_counts(skills.word_counts(docs, "text", schema.STOP_WORDS))
 
 
@@ -126,7 +126,7 @@ def q_source_file_key(spark, sf_dir):
 
 
 def event_cells(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"])
     return store.as_cells(ev, F.col("user_id"), F.lit(schema.STORE_FAMILY), "event_type", "props", "event_id")
 
 

@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.plans.broadcast import broadcast_if_small
+from postlens.plans.parallelism import spread
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A driver table, pruned to ``columns`` and spread when it arrives as too few splits."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df.select(*columns) if columns else df)
 
 
 def _by_mod(k: Column, m: int, values: list) -> Column:
@@ -33,11 +36,12 @@ def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sort-merge join (with skew splitting) when the customer table is large. ``nation`` is a
     25-row dimension, broadcast behind a row-count check.
     """
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
+    orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
+    customer = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
     )
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    nation = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), max_rows=10_000)
+    nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey", "n_name")
+    nation = broadcast_if_small(nation, max_rows=10_000)
 
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
