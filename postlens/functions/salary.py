@@ -33,10 +33,21 @@ def grid_buckets(start: int, end: int, step: int) -> list[tuple[int, int]]:
     return [(lo, min(lo + step, end)) for lo in range(start, end, step)]
 
 
-def salary_part(salary: Column | str, side: int) -> Column:
-    """The integer at ``side`` of ``"lo-hi"`` or NULL (wrong shape, not an integer, overflow)."""
+def salary_part(salary: Column | str, side: int, on_bad: str = "null") -> Column:
+    """The integer at ``side`` of ``"lo-hi"`` or NULL (wrong shape, not an integer, overflow).
+
+    ``on_bad='fail'`` follows the older copy of the reference, which had no exception handler:
+    a two-part salary whose part is not an integer fails the job instead of being skipped.
+    """
     s = F.col(salary) if isinstance(salary, str) else salary
-    return F.regexp_extract(s, SIDE_PATTERNS[side], 1).try_cast("int")
+    value = F.regexp_extract(s, SIDE_PATTERNS[side], 1).try_cast("int")
+    if on_bad == "null":
+        return value
+    if on_bad != "fail":
+        raise ValueError(f"on_bad must be 'null' or 'fail', got {on_bad!r}")
+    two_parts = F.size(F.split(F.regexp_replace(s, "-+$", ""), "-", -1)) == 2
+    bad = two_parts & value.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit("bad salary: "), s)).cast("int")).otherwise(value)
 
 
 def bucket_lo(value: Column, start: int, end: int, step: int) -> Column:
@@ -52,10 +63,10 @@ def bucket_hi(lo: Column, end: int, step: int) -> Column:
     return F.when(lo.isNotNull(), F.least(lo.cast("bigint") + F.lit(step), F.lit(end)).cast("int"))
 
 
-def salary_bucket(salary: Column | str, side: int, grid: Sequence[int]) -> tuple[Column, Column]:
+def salary_bucket(salary: Column | str, side: int, grid: Sequence[int], on_bad: str = "null") -> tuple[Column, Column]:
     """``(lo, hi)`` of the bucket of a salary text; both NULL when it has none."""
     start, end, step = grid
-    lo = bucket_lo(salary_part(salary, side), start, end, step)
+    lo = bucket_lo(salary_part(salary, side, on_bad), start, end, step)
     return lo, bucket_hi(lo, end, step)
 
 

@@ -8,9 +8,9 @@ in a third of all postings becomes one row per task before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.text import keyword_tokens, word_tokens
@@ -31,9 +31,15 @@ def han_word_lengths(dictionary: DataFrame) -> list[int]:
     return sorted(r["n"] for r in rows)
 
 
-def tokens(postings: DataFrame, text_col: str, han_lengths: Iterable[int]) -> DataFrame:
+# A tokenizer maps a text column to an ARRAY<STRING> column. The default rules are built-in
+# functions; a user segmenter can be plugged in as a vectorised pandas UDF returning a list.
+Tokenizer = Callable[[Column], Column]
+
+
+def tokens(postings: DataFrame, text_col: str, han_lengths: Iterable[int], tokenizer: Tokenizer | None = None) -> DataFrame:
     """``token`` rows of the keyword tokens of ``text_col``."""
-    return postings.select(F.explode(keyword_tokens(text_col, han_lengths)).alias("token"))
+    toks = tokenizer(F.col(text_col)) if tokenizer else keyword_tokens(text_col, han_lengths)
+    return postings.select(F.explode(toks).alias("token"))
 
 
 def keyword_counts(
@@ -41,12 +47,16 @@ def keyword_counts(
     dictionary: DataFrame,
     text_col: str = "skills",
     han_lengths: Sequence[int] | None = None,
+    tokenizer: Tokenizer | None = None,
 ) -> DataFrame:
     """``token, n`` — occurrences of each dictionary word in ``text_col``."""
-    lengths = han_word_lengths(dictionary) if han_lengths is None else list(han_lengths)
+    if tokenizer is not None:
+        lengths = []
+    else:
+        lengths = han_word_lengths(dictionary) if han_lengths is None else list(han_lengths)
     words = broadcast_if_small(dictionary.select(F.col("word").alias("token")), DICTIONARY_MAX_ROWS)
     return (
-        tokens(postings, text_col, lengths)
+        tokens(postings, text_col, lengths, tokenizer)
         .join(words, "token", "left_semi")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -62,9 +72,12 @@ def without_stop_words(toks: DataFrame, stop: DataFrame | Sequence[str] | None)
     return toks.where(~F.col("token").isin(list(stop)))
 
 
-def word_counts(texts: DataFrame, text_col: str, stop: DataFrame | Sequence[str] | None = None) -> DataFrame:
+def word_counts(
+    texts: DataFrame, text_col: str, stop: DataFrame | Sequence[str] | None = None, tokenizer: Tokenizer | None = None
+) -> DataFrame:
     """``token, n`` — word count of ``text_col`` (stop words removed when given)."""
-    toks = texts.select(F.explode(word_tokens(text_col)).alias("token"))
+    toks_col = tokenizer(F.col(text_col)) if tokenizer else word_tokens(text_col)
+    toks = texts.select(F.explode(toks_col).alias("token"))
     return without_stop_words(toks, stop).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -122,7 +122,7 @@ def q_full_report_cells(spark, sf_dir):
 def q_source_file_key(spark, sf_dir):
     """Report cells keyed by input file name: lines written as 3 text files, read back."""
     path = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "postings-text"), n_files=3)
-    return report.report_cells_by_source(read_postings(spark, path), keyword_dictionary(spark))
+    return report.report_cells_by_source(read_postings(spark, path, with_source=True), keyword_dictionary(spark))
 
 
 def event_cells(spark, sf_dir):

@@ -16,14 +16,16 @@ from postlens import schema
 from postlens.functions.parse import postings
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``value STRING`` per line, plus ``source`` = file name (F10: row key of a report)."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("source"))
+def read_lines(spark: SparkSession, path: str | list[str], with_source: bool = False) -> DataFrame:
+    """``value STRING`` per line; with ``source`` = file name when asked (F10: report row key)."""
+    df = spark.read.text(path)
+    return df.select("value", F.col("_metadata.file_name").alias("source")) if with_source else df.select("value")
 
 
-def read_postings(spark: SparkSession, path: str | list[str], sep: str = "|") -> DataFrame:
-    """Typed postings from delimited text files (``id`` is NULL; ``source`` is the file name)."""
-    return postings(read_lines(spark, path), "value", sep=sep, keep=("source",))
+def read_postings(spark: SparkSession, path: str | list[str], sep: str = "|", with_source: bool = False) -> DataFrame:
+    """Typed postings from delimited text files (``id`` is NULL; ``source`` = file name if asked)."""
+    keep = ("source",) if with_source else ()
+    return postings(read_lines(spark, path, with_source), "value", sep=sep, keep=keep)
 
 
 def dictionary_name(path: str | None) -> str:

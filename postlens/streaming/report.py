@@ -152,13 +152,17 @@ def totals(spark: SparkSession, store_path: str) -> DataFrame:
     )
 
 
-def json_documents(report_totals: DataFrame, job: str) -> DataFrame:
+def json_documents(report_totals: DataFrame, job: str, nested: bool = False, bare_key: bool = False) -> DataFrame:
     """``key, value`` — one document per metric under ``<job>:<section>``.
 
     ``value`` is ``{"<job>": "<inner JSON as a string>"}`` (doubly encoded, as the reference
     stores it); the inner document is ``{"<section>": {key: n}}`` for salaries and skills and
     ``{"<label>": {value: n}, ...}`` for the dimensions. Each group holds the distinct keys of
     one metric (buckets, keywords, categories), never postings.
+
+    ``nested=True`` embeds the inner document as an object instead of a string, and
+    ``bare_key=True`` stores under ``<job>`` alone — the older copy's dimension-only output
+    (use it with the ``other`` metric).
     """
     flat = report_totals.where(F.col("metric") != OTHER).groupBy("metric").agg(sorted_map("key", "n").alias("m"))
     section = F.create_map(*[x for m, s in SECTIONS.items() if m != OTHER for x in (F.lit(m), F.lit(s))])
@@ -173,7 +177,10 @@ def json_documents(report_totals: DataFrame, job: str) -> DataFrame:
 
     docs = flat_docs.unionByName(other_docs)
     all_sections = F.create_map(*[x for m, s in SECTIONS.items() for x in (F.lit(m), F.lit(s))])
-    return docs.select(
-        F.concat(F.lit(f"{job}:"), all_sections[F.col("metric")]).alias("key"),
-        envelope(job, F.col("inner")).alias("value"),
-    )
+    key = F.lit(job) if bare_key else F.concat(F.lit(f"{job}:"), all_sections[F.col("metric")])
+    if nested:
+        quoted_job = F.regexp_replace(F.to_json(F.array(F.lit(job))), r"^\[|\]$", "")
+        value = F.concat(F.lit("{"), quoted_job, F.lit(":"), F.col("inner"), F.lit("}"))
+    else:
+        value = envelope(job, F.col("inner"))
+    return docs.select(key.alias("key"), value.alias("value"))

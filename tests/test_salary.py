@@ -147,3 +147,13 @@ def test_arithmetic_bucket_equals_edge_bucket(spark):
 def test_edges_must_increase():
     with pytest.raises(ValueError):
         edge_bucket(F.col("v"), [0, 10, 10])
+
+
+def test_strict_mode_fails_on_bad_number(spark):
+    from postlens.functions.salary import salary_part
+
+    ok = spark.createDataFrame([("5000-8000",), ("面议",), ("5000-",)], "salary string")
+    assert [r[0] for r in ok.select(salary_part("salary", 1, on_bad="fail")).collect()] == [8000, None, None]
+    bad = spark.createDataFrame([("5000-8000元/月",)], "salary string")
+    with pytest.raises(Exception):
+        bad.select(salary_part("salary", 1, on_bad="fail")).collect()

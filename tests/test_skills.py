@@ -90,3 +90,15 @@ def test_no_udf_on_tokenising(spark):
     df = texts(spark, "x").select(F.explode(keyword_tokens("skills", [2, 4])))
     plan = final_plan_text(df)
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_pluggable_pandas_tokenizer(spark):
+    import pandas as pd
+
+    @F.pandas_udf("array<string>")
+    def whitespace(s: pd.Series) -> pd.Series:
+        return s.str.lower().str.split()
+
+    df = texts(spark, "Spark HIVE spark", "hive")
+    got = counts(skills.keyword_counts(df, keyword_dictionary(spark), tokenizer=whitespace))
+    assert got == {"spark": 2, "hive": 2}

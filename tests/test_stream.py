@@ -72,3 +72,10 @@ def test_kafka_source_is_declared(spark):
     opts = kafka_options("h1:9092,h2:9092", "first,second")
     assert opts == {"kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "first,second"}
     assert os.environ.get("PYSPARK_NO_KAFKA", "1")  # no Kafka jar here: the file source runs the same transform
+
+
+def test_nested_documents_under_bare_key(spark):
+    tot = spark.createDataFrame([("other", "地址", "北京", 3)], "metric string, dim string, key string, n long")
+    rows = sr.json_documents(tot, 'a"b', nested=True, bare_key=True).collect()
+    assert [r["key"] for r in rows] == ['a"b']
+    assert json.loads(rows[0]["value"]) == {'a"b': {"地址": {"北京": 3}}}
