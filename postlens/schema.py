@@ -60,7 +60,6 @@ COHORT_EXPERIENCE = "1-3年"
 COHORT_EDUCATION = "本科"
 
 # Result-store layout.
-STORE_TABLE = "job:jobAnalyse"
 STORE_FAMILY = "info"
 DEFAULT_DICTIONARY_NAME = "bg"
 
