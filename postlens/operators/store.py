@@ -95,3 +95,13 @@ def keys(cells: DataFrame, pattern: str = "*") -> DataFrame:
     if pattern != "*":
         df = df.where(F.col("row_key").rlike(glob_regex(pattern)))
     return df.distinct()
+
+
+def compact(spark: SparkSession, store_path: str, new_store: str) -> str:
+    """Writes the latest view of ``store_path`` as batch 0 of ``new_store`` and returns it.
+
+    A long-running stream leaves one directory per micro-batch; readers can switch to the
+    compacted store (the old one is left as it is, for readers still using it).
+    """
+    write_cells(latest(read_cells(spark, store_path)), new_store, 0)
+    return new_store

@@ -35,6 +35,15 @@ def dictionary_name(path: str | None) -> str:
     return PurePosixPath(path.rstrip("/")).name.split(".")[0]
 
 
+def _clean_words(words: Iterable[str]) -> list[str]:
+    out: dict[str, None] = {}
+    for w in words:
+        w = (w or "").strip().lower()
+        if w:
+            out[w] = None
+    return list(out)
+
+
 def keyword_dictionary(
     spark: SparkSession,
     path: str | None = None,
@@ -43,18 +52,20 @@ def keyword_dictionary(
 ) -> DataFrame:
     """``word STRING`` — lower-cased, trimmed, distinct, non-empty.
 
-    Reads one word per line from ``path`` (any Spark-readable location), or uses ``words``, or
-    the bundled default list; ``extra_words`` are added (the user-dictionary option).
+    Reads one word per line from ``path`` (any Spark-readable location; deduplicated by a
+    distributed ``distinct``), or uses the ``words`` parameter list, or the bundled default list;
+    ``extra_words`` are added (the user-dictionary option). Parameter lists are cleaned on the
+    driver, so they become a plain local relation with no shuffle.
     """
-    if path is not None:
-        base = spark.read.text(path).select(F.col("value").alias("word"))
-    else:
-        base = spark.createDataFrame([(w,) for w in (words if words is not None else schema.DEFAULT_KEYWORDS)], "word string")
-    extra = list(extra_words)
+    extra = _clean_words(extra_words)
+    if path is None:
+        base = words if words is not None else schema.DEFAULT_KEYWORDS
+        return spark.createDataFrame([(w,) for w in _clean_words([*base, *extra])], "word string")
+    df = spark.read.text(path).select(F.col("value").alias("word"))
     if extra:
-        base = base.unionByName(spark.createDataFrame([(w,) for w in extra], "word string"))
+        df = df.unionByName(spark.createDataFrame([(w,) for w in extra], "word string"))
     word = F.lower(F.trim(F.col("word")))
-    return base.select(word.alias("word")).where(F.col("word") != "").distinct()
+    return df.select(word.alias("word")).where(F.col("word") != "").distinct()
 
 
 def stop_words(spark: SparkSession, path: str | None = None) -> DataFrame:

@@ -124,6 +124,9 @@ def start(
     pass ``{"availableNow": True}`` to drain the input and stop. ``echo`` also prints each
     batch's changed totals (the console output of the reference).
     """
+    # The static side of the stream-static join is re-planned in every micro-batch; keep the
+    # (size-checked, small) dictionary materialised instead of recomputing it each time.
+    dictionary = dictionary.persist()
     lengths = han_word_lengths(dictionary) if SKILLS in metrics else []
     counts = running_counts(stream_rows(postings(lines, "value"), dictionary, lengths, grid, metrics))
 

@@ -62,3 +62,13 @@ def test_as_cells_casts(spark):
     out = store.as_cells(df, "user_id", F.lit("info"), "q", "v", "ver")
     assert out.dtypes == [("row_key", "string"), ("family", "string"), ("qualifier", "string"),
                           ("value", "string"), ("version", "bigint")]
+
+
+def test_compact_keeps_latest_view(spark):
+    path = scratch_path(spark, "test-store-c")
+    store.write_cells(cells(spark), path, 0)
+    store.write_cells(cells(spark, [("r1", "info", "a", "9", 8)]), path, 1)
+    before = sorted(map(tuple, store.latest(store.read_cells(spark, path)).collect()))
+    new = store.compact(spark, path, scratch_path(spark, "test-store-c2"))
+    after = sorted(map(tuple, store.latest(store.read_cells(spark, new)).collect()))
+    assert before == after and store.read_cells(spark, new).count() == len(before)
