@@ -12,8 +12,11 @@ tasks:
    counts into per-partition offsets with a window over that small table;
 4. join the offsets back (AQE broadcasts them when small, from runtime statistics).
 
-The order must be total (tie-broken by a unique column) for the numbering to be deterministic,
-so a recomputed task numbers its rows the same way.
+The order must be total (tie-broken by a unique column). The tagged rows are used twice (counts
+and join), so they are written once with a reliable ``checkpoint()`` to the shared checkpoint
+folder: a task recomputed after an executor loss reads the same tags instead of re-deriving
+them. The input is already aggregated (distinct keys), so the checkpoint is small next to the
+data that produced it.
 """
 
 from __future__ import annotations
@@ -23,12 +26,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.session import shared_dir
+
 _POS_BITS = 33
 
 
 def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str = "rnk") -> DataFrame:
     """``df`` plus ``name`` = 1-based row number of each row within its group, by ``order``."""
     keys = [F.col(g) for g in groups] + list(order)
+    shared_dir(df.sparkSession)  # makes sure the context has its checkpoint folder
     tagged = (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
@@ -36,6 +42,7 @@ def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[Colu
         .withColumn("_part", F.shiftrightunsigned("_mid", _POS_BITS))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
         .drop("_mid")
+        .checkpoint(eager=True)
     )
     per_part = tagged.groupBy("_part", *groups).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")

@@ -43,10 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or a directory already set on the context). If neither is
     set, as in local tests, creates one under ``/tmp`` and registers it on the context.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    ctx = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or ctx.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
+        if not ctx.getCheckpointDir():
+            ctx.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
-    ctx_dir = spark.sparkContext.getCheckpointDir()
+    ctx_dir = ctx.getCheckpointDir()
     if ctx_dir:
         return ctx_dir.rstrip("/")
     local = tempfile.mkdtemp(prefix="postlens-ckpt-", dir="/tmp")
