@@ -65,19 +65,19 @@ def report_rows(
     base = base.select(*keep, "n_fields", "experience", "education", *dims, "_tok", *s3)
 
     skill = skill_section(dictionary_name)
-    cells = [
-        F.struct(F.lit(f"salary_{s}").alias("section"), F.when(full, F.col(f"_b{s}")).alias("key")) for s in (0, 1)
-    ] + [
-        F.struct(F.lit(f"salary3_{s}").alias("section"), F.when(in_cohort, F.col(f"_b{s}")).alias("key")) for s in (0, 1)
-    ] + [
-        F.struct(F.lit(q).alias("section"), F.when(ge10 & (F.col(c) != ""), F.col(c)).alias("key"))
-        for c, q, _ in schema.DIMENSIONS
-    ]
-    token_cells = F.transform(
-        F.coalesce(F.col("_tok"), F.array().cast("array<string>")),
-        lambda t: F.struct(F.lit(skill).alias("section"), t.alias("key")),
+    # Fixed cells first (one key per section, NULL when not counted), then the keyword tokens.
+    # posexplode over a plain string array keeps the generator in whole-stage codegen; the
+    # section is looked up from the position (positions past the fixed cells are tokens).
+    fixed = [(f"salary_{s}", F.when(full, F.col(f"_b{s}"))) for s in (0, 1)]
+    fixed += [(f"salary3_{s}", F.when(in_cohort, F.col(f"_b{s}"))) for s in (0, 1)]
+    fixed += [(q, F.when(ge10 & (F.col(c) != ""), F.col(c))) for c, q, _ in schema.DIMENSIONS]
+    keys_col = F.concat(F.array(*[k for _, k in fixed]), F.coalesce(F.col("_tok"), F.array().cast("array<string>")))
+    names = F.array(*[F.lit(n) for n, _ in fixed])
+    rows = (
+        base.select(*keep, F.posexplode(keys_col).alias("_pos", "key"))
+        .where(F.col("key").isNotNull())
+        .select(*keep, F.coalesce(F.get(names, F.col("_pos")), F.lit(skill)).alias("section"), "key")
     )
-    rows = base.select(*keep, F.inline(F.concat(F.array(*cells), token_cells))).where(F.col("key").isNotNull())
 
     words = broadcast_if_small(
         dictionary.select(F.lit(skill).alias("_ds"), F.col("word").alias("_dw")), DICTIONARY_MAX_ROWS

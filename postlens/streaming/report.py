@@ -72,23 +72,28 @@ def stream_rows(
         labels.append(F.when(ge5 & keep_bucket(lo, hi, True), bucket_label(lo, hi)).alias(f"_b{s}"))
     base = base.select("n_fields", *dims, "_tok", *labels)
 
-    def cell(metric: str, dim: Column, key: Column) -> Column:
-        return F.struct(F.lit(metric).alias("metric"), dim.alias("dim"), key.alias("key"))
-
-    cells: list[Column] = []
+    # Fixed cells (metric, dim, key-or-NULL) first, then the keyword tokens; posexplode over a
+    # plain string array keeps the generator in whole-stage codegen, and the metric and dim are
+    # looked up from the position.
+    fixed: list[tuple[str, str, Column]] = []
     if SALARY_FLOOR in metrics:
-        cells.append(cell(SALARY_FLOOR, F.lit(""), F.col("_b0")))
+        fixed.append((SALARY_FLOOR, "", F.col("_b0")))
     if SALARY_CEILING in metrics:
-        cells.append(cell(SALARY_CEILING, F.lit(""), F.col("_b1")))
+        fixed.append((SALARY_CEILING, "", F.col("_b1")))
     if OTHER in metrics:
-        cells += [
-            cell(OTHER, F.lit(label), F.when(full & (F.col(c) != ""), F.col(c))) for c, _, label in schema.DIMENSIONS
-        ]
-    parts = [F.array(*cells)] if cells else []
+        fixed += [(OTHER, label, F.when(full & (F.col(c) != ""), F.col(c))) for c, _, label in schema.DIMENSIONS]
+    parts = [F.array(*[k for _, _, k in fixed])] if fixed else []
     if SKILLS in metrics:
-        toks = F.coalesce(F.col("_tok"), F.array().cast("array<string>"))
-        parts.append(F.transform(toks, lambda t: cell(SKILLS, F.lit(""), t)))
-    exploded = base.select(F.inline(F.concat(*parts) if len(parts) > 1 else parts[0])).where(F.col("key").isNotNull())
+        parts.append(F.coalesce(F.col("_tok"), F.array().cast("array<string>")))
+    keys_col = F.concat(*parts) if len(parts) > 1 else parts[0]
+    pos = F.col("_pos")
+    metric = F.coalesce(F.get(F.array(*[F.lit(m) for m, _, _ in fixed]), pos), F.lit(SKILLS)) if fixed else F.lit(SKILLS)
+    dim = F.coalesce(F.get(F.array(*[F.lit(d) for _, d, _ in fixed]), pos), F.lit("")) if fixed else F.lit("")
+    exploded = (
+        base.select(F.posexplode(keys_col).alias("_pos", "key"))
+        .where(F.col("key").isNotNull())
+        .select(metric.alias("metric"), dim.alias("dim"), "key")
+    )
     if SKILLS not in metrics:
         return exploded
 
