@@ -32,11 +32,6 @@ def field(fields: Column | str, pos: int) -> Column:
     return F.get(F.col(fields) if isinstance(fields, str) else fields, pos)
 
 
-def with_fields(lines: DataFrame, value_col: str = "value", sep: str = "|") -> DataFrame:
-    """Adds ``fields ARRAY<STRING>`` and ``n_fields INT`` to a DataFrame of lines."""
-    return lines.withColumn("fields", split_fields(value_col, sep)).withColumn("n_fields", F.size("fields"))
-
-
 def postings(
     lines: DataFrame, value_col: str = "value", id_col: str | None = None, sep: str = "|", keep: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -8,7 +8,6 @@ do we create one under ``/tmp``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,16 +60,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared folder (one per run)."""
     base = shared_dir(spark)
     return f"{base}/postlens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(strip_scheme(path).rstrip("/")), exist_ok=True)

@@ -61,3 +61,13 @@ def test_partition_by_dimension(spark):
     for r in parts:
         by_dim.setdefault(r["dim"], set()).add(r["p"])
     assert all(len(s) == 1 for s in by_dim.values())
+
+
+def test_dimension_totals_equal_non_empty_cells(spark):
+    from tests.conftest import SF_SMALL
+    from postlens.plans.registry import fixture_postings
+
+    p = gate(fixture_postings(spark, SF_SMALL), min_fields=10)
+    totals = {r["dim"]: r["t"] for r in dimensions.counts(p).groupBy("dim").agg(F.sum("n").alias("t")).collect()}
+    for col, qual, _ in [("address", "address", 0), ("company_type", "companyType", 0), ("education", "education", 0)]:
+        assert totals[qual] == p.where(F.col(col) != "").count()

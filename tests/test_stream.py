@@ -79,3 +79,18 @@ def test_nested_documents_under_bare_key(spark):
     rows = sr.json_documents(tot, 'a"b', nested=True, bare_key=True).collect()
     assert [r["key"] for r in rows] == ['a"b']
     assert json.loads(rows[0]["value"]) == {'a"b': {"地址": {"北京": 3}}}
+
+
+def test_complete_mode_equals_update_mode(spark):
+    lines = posting_lines(spark, SF_SMALL)
+    src = scratch_path(spark, "test-stream-modes")
+    write_lines(lines, src, n_files=3)
+    out = {}
+    for mode in ("update", "complete"):
+        store_path = scratch_path(spark, f"test-stream-{mode}")
+        stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+        q = sr.start(spark, stream, keyword_dictionary(spark), store_path, scratch_path(spark, "ck"),
+                     trigger={"availableNow": True}, output_mode=mode, metrics=[sr.SALARY_CEILING, sr.OTHER])
+        q.awaitTermination()
+        out[mode] = sorted(map(tuple, sr.totals(spark, store_path).collect()))
+    assert out["update"] == out["complete"] and len(out["update"]) > 0
