@@ -98,6 +98,7 @@ def main() -> None:
     }
     results = {name: round(timed(fn, runs), 3) for name, fn in plan.items()}
     n_postings = spark.read.text(text_dir).count()
+    n_docs = table(spark, sf_dir, "documents", ["doc_id"]).count()
     spark.stop()
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
@@ -108,6 +109,9 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "postings": n_postings,
+        "documents": n_docs,
+        "stream_postings_per_sec": round(n_postings / results["stream_report"], 1),
+        "full_report_postings_per_sec": round(n_postings / results["full_report"], 1),
         "runs": runs,
     }))
 
