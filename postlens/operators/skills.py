@@ -36,10 +36,16 @@ def han_word_lengths(dictionary: DataFrame) -> list[int]:
 Tokenizer = Callable[[Column], Column]
 
 
-def tokens(postings: DataFrame, text_col: str, han_lengths: Iterable[int], tokenizer: Tokenizer | None = None) -> DataFrame:
-    """``token`` rows of the keyword tokens of ``text_col``."""
+def tokens(
+    postings: DataFrame,
+    text_col: str,
+    han_lengths: Iterable[int],
+    tokenizer: Tokenizer | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``keep..., token`` rows of the keyword tokens of ``text_col``."""
     toks = tokenizer(F.col(text_col)) if tokenizer else keyword_tokens(text_col, han_lengths)
-    return postings.select(F.explode(toks).alias("token"))
+    return postings.select(*keep, F.explode(toks).alias("token"))
 
 
 def keyword_counts(
@@ -48,17 +54,18 @@ def keyword_counts(
     text_col: str = "skills",
     han_lengths: Sequence[int] | None = None,
     tokenizer: Tokenizer | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """``token, n`` — occurrences of each dictionary word in ``text_col``."""
+    """``by..., token, n`` — occurrences of each dictionary word in ``text_col``."""
     if tokenizer is not None:
         lengths = []
     else:
         lengths = han_word_lengths(dictionary) if han_lengths is None else list(han_lengths)
     words = broadcast_if_small(dictionary.select(F.col("word").alias("token")), DICTIONARY_MAX_ROWS)
     return (
-        tokens(postings, text_col, lengths, tokenizer)
+        tokens(postings, text_col, lengths, tokenizer, keep=by)
         .join(words, "token", "left_semi")
-        .groupBy("token")
+        .groupBy(*by, "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

@@ -112,9 +112,11 @@ def report_cells_by_source(postings: DataFrame, dictionary: DataFrame, version:
     return store.as_cells(grouped, "source", F.lit(schema.STORE_FAMILY), "section", "value", F.lit(version))
 
 
-def salary_report(postings: DataFrame, side: int = schema.CEILING, grid: Sequence[int] = schema.BATCH_GRID) -> DataFrame:
-    """``qualifier, key, n`` for ``salary_<side>`` (rows with 11 fields) and ``salary3_<side>``
-    (the cohort) — the two cells of the salary job, from one aggregate."""
+def salary_rows(
+    postings: DataFrame, side: int = schema.CEILING, grid: Sequence[int] = schema.BATCH_GRID, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``keep..., qualifier, key`` — the salary job's cells of each posting: ``salary_<side>``
+    for rows with 11 fields and ``salary3_<side>`` for the cohort among them."""
     start, end, step = grid
     full = F.col("n_fields") == schema.GATE_FULL
     in_cohort = (
@@ -122,20 +124,21 @@ def salary_report(postings: DataFrame, side: int = schema.CEILING, grid: Sequenc
         & (F.col("experience") == schema.COHORT_EXPERIENCE)
         & (F.col("education") == schema.COHORT_EDUCATION)
     )
-    v = postings.where(full).select(in_cohort.alias("_c"), salary_part("salary", side).alias("_v"))
-    lo = v.select("_c", bucket_lo(F.col("_v"), start, end, step).alias("lo"))
-    b = lo.select("_c", "lo", bucket_hi(F.col("lo"), end, step).alias("hi"))
-    b = b.select("_c", F.when(keep_bucket(F.col("lo"), F.col("hi"), False), bucket_label(F.col("lo"), F.col("hi"))).alias("key"))
+    v = postings.where(full).select(*keep, in_cohort.alias("_c"), salary_part("salary", side).alias("_v"))
+    lo = v.select(*keep, "_c", bucket_lo(F.col("_v"), start, end, step).alias("lo"))
+    b = lo.select(*keep, "_c", "lo", bucket_hi(F.col("lo"), end, step).alias("hi"))
+    label = F.when(keep_bucket(F.col("lo"), F.col("hi"), False), bucket_label(F.col("lo"), F.col("hi")))
+    b = b.select(*keep, "_c", label.alias("key"))
     entries = F.array(
         F.struct(F.lit(f"salary_{side}").alias("qualifier"), F.col("key").alias("key")),
         F.struct(F.lit(f"salary3_{side}").alias("qualifier"), F.when(F.col("_c"), F.col("key")).alias("key")),
     )
-    return (
-        b.select(F.inline(entries))
-        .where(F.col("key").isNotNull())
-        .groupBy("qualifier", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return b.select(*keep, F.inline(entries)).where(F.col("key").isNotNull())
+
+
+def salary_report(postings: DataFrame, side: int = schema.CEILING, grid: Sequence[int] = schema.BATCH_GRID) -> DataFrame:
+    """``qualifier, key, n`` — the two cells of the salary job (C1), from one aggregate."""
+    return salary_rows(postings, side, grid).groupBy("qualifier", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
 def save_word_count(ranked: DataFrame, path: str, fmt: str = "text") -> None:
