@@ -29,16 +29,26 @@ def member_lists(lines: DataFrame, value_col: str = "value", sep: str = " ") ->
 
 
 def membership(lists: DataFrame) -> DataFrame:
-    """``member, owner`` — the inverted index (one row per distinct listing)."""
-    return lists.select(F.explode("members").alias("member"), "owner").distinct()
+    """``member, owner, pos`` — the inverted index (one row per distinct listing; ``pos`` is the
+    member's first position in the owner's list)."""
+    return (
+        lists.select("owner", F.posexplode("members").alias("pos", "member"))
+        .groupBy("member", "owner")
+        .agg(F.min("pos").alias("pos"))
+    )
 
 
 def owner_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("member").agg(F.count(F.lit(1)).alias("n_owners"))
 
 
-def common_owner_rows(lists: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``a, b, owner`` — one row per owner listing both members of a requested pair."""
+def common_owner_rows(lists: DataFrame, pairs: DataFrame, ordered: bool = True) -> DataFrame:
+    """``a, b, owner`` — one row per owner listing both members of a requested pair.
+
+    ``ordered=True`` (the reference's keying: pair ``ab`` comes from lists where ``a`` precedes
+    ``b``) keeps owners whose list has ``a`` before ``b``; ``ordered=False`` keeps every owner
+    listing both.
+    """
     index = membership(lists)
     counts = owner_counts(index)
     oriented = (
@@ -51,16 +61,21 @@ def common_owner_rows(lists: DataFrame, pairs: DataFrame) -> DataFrame:
             F.when(F.coalesce("na", F.lit(0)) <= F.coalesce("nb", F.lit(0)), F.col("b")).otherwise(F.col("a")).alias("_y"),
         )
     )
-    candidates = oriented.join(index.select(F.col("member").alias("_x"), "owner"), "_x")
-    both = candidates.join(index.select(F.col("member").alias("_y"), "owner"), ["_y", "owner"], "left_semi")
-    return both.select("a", "b", "owner")
+    candidates = oriented.join(index.select(F.col("member").alias("_x"), "owner", F.col("pos").alias("_px")), "_x")
+    if not ordered:
+        both = candidates.join(index.select(F.col("member").alias("_y"), "owner"), ["_y", "owner"], "left_semi")
+        return both.select("a", "b", "owner")
+    both = candidates.join(index.select(F.col("member").alias("_y"), "owner", F.col("pos").alias("_py")), ["_y", "owner"])
+    pos_a = F.when(F.col("_x") == F.col("a"), F.col("_px")).otherwise(F.col("_py"))
+    pos_b = F.when(F.col("_x") == F.col("a"), F.col("_py")).otherwise(F.col("_px"))
+    return both.where(pos_a < pos_b).select("a", "b", "owner")
 
 
-def common_owners(lists: DataFrame, pairs: DataFrame) -> DataFrame:
+def common_owners(lists: DataFrame, pairs: DataFrame, ordered: bool = True) -> DataFrame:
     """``a, b, owners`` — ``":o1:o2..."`` per requested pair with at least one common owner.
 
     Each group is the owners shared by one pair, never a whole list or the table.
     """
-    rows = common_owner_rows(lists, pairs)
+    rows = common_owner_rows(lists, pairs, ordered)
     owners = F.concat(F.lit(":"), F.array_join(F.array_sort(F.collect_list("owner")), ":"))
     return rows.groupBy("a", "b").agg(owners.alias("owners"))

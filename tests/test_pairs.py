@@ -26,11 +26,20 @@ def test_friend_list_fixture(spark):
     pairs = spark.createDataFrame([(k[0], k[1]) for k in EXPECTED] + [("X", "A"), ("F", "E")], "a string, b string")
     got = {r["a"] + r["b"]: r["owners"] for r in common_owners(lists, pairs).collect()}
     assert brute_force(LISTS) == EXPECTED
+    assert got == EXPECTED  # ordered: no list has F before E
+    got = {r["a"] + r["b"]: r["owners"] for r in common_owners(lists, pairs, ordered=False).collect()}
     want = dict(EXPECTED)
     want["FE"] = EXPECTED["EF"]
     assert got == want
 
 
+def test_order_of_members(spark):
+    lists = member_lists(spark.createDataFrame([("o1 A B",), ("o2 B A",), ("o3 A",)], "value string"))
+    pairs = spark.createDataFrame([("A", "B")], "a string, b string")
+    assert common_owners(lists, pairs).collect()[0]["owners"] == ":o1"
+    assert common_owners(lists, pairs, ordered=False).collect()[0]["owners"] == ":o1:o2"
+
+
 def test_rows_form_matches_brute_force_on_random_lists(spark):
     import random
 
@@ -43,7 +52,7 @@ def test_rows_form_matches_brute_force_on_random_lists(spark):
     lists_df = member_lists(spark.createDataFrame([(x,) for x in lists], "value string"))
     pairs = [(a, b) for a in members for b in members if a < b]
     got = {}
-    for r in common_owner_rows(lists_df, spark.createDataFrame(pairs, "a string, b string")).collect():
+    for r in common_owner_rows(lists_df, spark.createDataFrame(pairs, "a string, b string"), ordered=False).collect():
         got.setdefault((r["a"], r["b"]), set()).add(r["owner"])
     want = {}
     for line in lists:
@@ -53,3 +62,23 @@ def test_rows_form_matches_brute_force_on_random_lists(spark):
             if a in s and b in s:
                 want.setdefault((a, b), set()).add(owner)
     assert got == want
+
+
+def test_ordered_rows_match_brute_force(spark):
+    import random
+
+    rnd = random.Random(9)
+    members = [f"m{i}" for i in range(10)]
+    lists = [" ".join([f"o{o:02d}", *rnd.sample(members, rnd.randint(1, 7))]) for o in range(30)]
+    lists_df = member_lists(spark.createDataFrame([(x,) for x in lists], "value string"))
+    pairs = [(a, b) for a in members for b in members if a != b]
+    got = {}
+    for r in common_owner_rows(lists_df, spark.createDataFrame(pairs, "a string, b string")).collect():
+        got.setdefault((r["a"], r["b"]), set()).add(r["owner"])
+    want = {}
+    for line in lists:
+        owner, *ms = line.split(" ")
+        for i in range(len(ms)):
+            for j in range(i + 1, len(ms)):
+                want.setdefault((ms[i], ms[j]), set()).add(owner)
+    assert got == want
