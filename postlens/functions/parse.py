@@ -24,7 +24,8 @@ def _class_of(sep: str) -> str:
 def split_fields(line: Column | str, sep: str = "|") -> Column:
     """``ARRAY<STRING>`` of the fields of ``line``, trailing empty fields dropped."""
     cls = _class_of(sep)
-    return F.split(F.regexp_replace(line, cls + "+$", ""), cls, -1)
+    # \z, not $: Java's $ also matches before a final line terminator, Java's split does not.
+    return F.split(F.regexp_replace(line, cls + "+\\z", ""), cls, -1)
 
 
 def field(fields: Column | str, pos: int) -> Column:

@@ -45,7 +45,7 @@ def salary_part(salary: Column | str, side: int, on_bad: str = "null") -> Column
         return value
     if on_bad != "fail":
         raise ValueError(f"on_bad must be 'null' or 'fail', got {on_bad!r}")
-    two_parts = F.size(F.split(F.regexp_replace(s, "-+$", ""), "-", -1)) == 2
+    two_parts = F.size(F.split(F.regexp_replace(s, "-+\\z", ""), "-", -1)) == 2
     bad = two_parts & value.isNull()
     return F.when(bad, F.raise_error(F.concat(F.lit("bad salary: "), s)).cast("int")).otherwise(value)
 

@@ -86,7 +86,7 @@ def glob_regex(pattern: str) -> str:
             out.append(".")
         else:
             out.append(re.escape(ch))
-    return "^" + "".join(out) + "$"
+    return "^" + "".join(out) + "\\z"
 
 
 def keys(cells: DataFrame, pattern: str = "*") -> DataFrame:

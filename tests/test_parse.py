@@ -47,3 +47,10 @@ def test_tab_separator(spark):
     df = spark.createDataFrame([("a\tb\t\t",), ("a\tb\tc",)], "value string")
     got = sorted(r["n_fields"] for r in postings(df, sep="\t").collect())
     assert got == [2, 3]
+
+
+def test_trailing_strip_is_end_of_text_only(spark):
+    # Java's split keeps a field that is only a line-separator character; so must we.
+    df = spark.createDataFrame([("a|b|\u2028",), ("a|b|",)], "value string")
+    got = sorted(r["n_fields"] for r in postings(df).collect())
+    assert got == [2, 3]

@@ -54,7 +54,7 @@ def test_keys_glob(spark):
     df = cells(spark)
     assert sorted(r["row_key"] for r in store.keys(df).collect()) == ["r1", "r2"]
     assert [r["row_key"] for r in store.keys(df, "*1").collect()] == ["r1"]
-    assert store.glob_regex("job:*") == "^job:.*$"
+    assert store.glob_regex("job:*") == "^job:.*\\z"
 
 
 def test_as_cells_casts(spark):
