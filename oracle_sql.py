@@ -57,7 +57,7 @@ split_lines AS (
   SELECT id, line, string_split_regex(regexp_replace(line, '[|]+$', ''), '[|]') AS f FROM lines
 ),
 postings AS (
-  SELECT id, CAST(len(f) AS INTEGER) AS n_fields,
+  SELECT id, CAST(CASE WHEN regexp_full_match(line, '[|]+') THEN 0 ELSE len(f) END AS INTEGER) AS n_fields,
          f[5] AS salary, f[6] AS address, f[7] AS company_type, f[8] AS company_size,
          f[9] AS experience, f[10] AS education, f[11] AS skills
   FROM split_lines

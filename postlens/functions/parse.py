@@ -47,9 +47,11 @@ def postings(
     raw line (which would parse each line once per reference).
     """
     ident = (F.col(id_col) if id_col else F.lit(None).cast("bigint")).alias("id")
-    split = lines.select(ident, split_fields(value_col, sep).alias("_f"), *keep)
+    # A line made only of delimiters has no fields at all in Java's split.
+    only_delims = F.col(value_col).rlike("^" + _class_of(sep) + "+\\z")
+    split = lines.select(ident, split_fields(value_col, sep).alias("_f"), only_delims.alias("_e"), *keep)
     record = F.struct(
-        F.size("_f").alias("n_fields"),
+        F.when(F.col("_e"), F.lit(0)).otherwise(F.size("_f")).alias("n_fields"),
         *[F.get(F.col("_f"), pos).alias(name) for name, pos in schema.FIELD_POSITIONS.items()],
     )
     return split.select("id", F.inline(F.array(record)), *keep)
