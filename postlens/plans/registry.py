@@ -169,6 +169,7 @@ def run_stream(spark, sf_dir, metrics=stream_report.ALL_METRICS) -> DataFrame:
     query = stream_report.start(
         spark, lines, keyword_dictionary(spark), store_path, scratch_path(spark, "stream-ckpt"),
         trigger={"availableNow": True}, metrics=metrics,
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     query.awaitTermination()
     if query.exception() is not None:

@@ -122,12 +122,17 @@ def start(
     metrics: Sequence[str] = ALL_METRICS,
     grid: Sequence[int] = schema.STREAM_GRID,
     echo: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Starts the streaming report over a stream of posting lines (``value`` column).
 
     ``trigger`` defaults to a 10-second processing-time trigger (the reference's batch interval);
     pass ``{"availableNow": True}`` to drain the input and stop. ``echo`` also prints each
     batch's changed totals (the console output of the reference).
+
+    ``state_partitions`` sets the number of state-store partitions of a NEW query (a restarted
+    query keeps the count recorded in its checkpoint). The stream copies the session settings when
+    it starts, so the session's own shuffle-partition setting is restored right after.
     """
     # The static side of the stream-static join is re-planned in every micro-batch; keep the
     # (size-checked, small) dictionary materialised instead of recomputing it each time.
@@ -146,7 +151,15 @@ def start(
         .foreachBatch(sink)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
     )
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def totals(spark: SparkSession, store_path: str) -> DataFrame:

@@ -94,3 +94,14 @@ def test_complete_mode_equals_update_mode(spark):
         q.awaitTermination()
         out[mode] = sorted(map(tuple, sr.totals(spark, store_path).collect()))
     assert out["update"] == out["complete"] and len(out["update"]) > 0
+
+
+def test_state_partitions_option_restores_session_setting(spark):
+    src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "test-stream-parts"), n_files=1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = stream_lines(spark, "files", {}, path=src)
+    q = sr.start(spark, stream, keyword_dictionary(spark), scratch_path(spark, "st"), scratch_path(spark, "ck"),
+                 trigger={"availableNow": True}, metrics=[sr.OTHER], state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
