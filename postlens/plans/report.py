@@ -2,9 +2,7 @@
 
 The full report computes every section from ONE scan of the postings: each posting is exploded to
 its ``(section, key)`` cells — salary buckets of both sides, the cohort buckets, the five
-dimensions and the keyword tokens — and ONE aggregate counts them all. Keyword tokens are kept by
-a broadcast left join on ``(section, key)`` against the (size-checked) dictionary, so non-keyword
-rows pass through the same hash probe instead of needing a second scan.
+dimensions and the keyword tokens — and ONE aggregate counts them all (see ``plans/cells.py``).
 """
 
 from __future__ import annotations
@@ -19,27 +17,14 @@ from postlens.functions.jsonfmt import json_object
 from postlens.functions.salary import bucket_hi, bucket_label, bucket_lo, keep_bucket, salary_part
 from postlens.functions.text import keyword_tokens
 from postlens.operators import store
-from postlens.operators.skills import DICTIONARY_MAX_ROWS, han_word_lengths
-from postlens.plans.broadcast import broadcast_if_small
+from postlens.operators.skills import han_word_lengths
+from postlens.plans.cells import explode_cells, keep_dictionary_tokens, with_bucket_labels
 
 
 def skill_section(dictionary_name: str = schema.DEFAULT_DICTIONARY_NAME) -> str:
     return f"skill_{dictionary_name}"
 
 
-def _bucket_cols(grid: Sequence[int]) -> tuple[list[Column], list[Column], list[Column]]:
-    """Three staged projections computing ``b0``/``b1`` = kept bucket label of each side."""
-    start, end, step = grid
-    stage1 = [salary_part("salary", s).alias(f"_v{s}") for s in (0, 1)]
-    stage2 = [bucket_lo(F.col(f"_v{s}"), start, end, step).alias(f"_lo{s}") for s in (0, 1)]
-    stage3 = []
-    for s in (0, 1):
-        lo = F.col(f"_lo{s}")
-        hi = bucket_hi(lo, end, step)
-        stage3.append(F.when(keep_bucket(lo, hi, False), bucket_label(lo, hi)).alias(f"_b{s}"))
-    return stage1, stage2, stage3
-
-
 def report_rows(
     postings: DataFrame,
     dictionary: DataFrame,
@@ -54,36 +39,18 @@ def report_rows(
     full = F.col("n_fields") == schema.GATE_FULL
     ge10 = F.col("n_fields") >= schema.GATE_DIMENSIONS
     in_cohort = full & (F.col("experience") == cohort[0]) & (F.col("education") == cohort[1])
-    dims = [d[0] for d in schema.DIMENSIONS]
-    s1, s2, s3 = _bucket_cols(grid)
+    dims = [d[0] for d in schema.DIMENSIONS if d[0] not in ("experience", "education")]
+    carry = [*keep, "n_fields", "experience", "education", *dims, "_tok"]
 
-    base = postings.select(
-        *keep, "n_fields", "experience", "education", *dims,
-        F.when(full, keyword_tokens("skills", lengths)).alias("_tok"), *s1,
-    )
-    base = base.select(*keep, "n_fields", "experience", "education", *dims, "_tok", *s2)
-    base = base.select(*keep, "n_fields", "experience", "education", *dims, "_tok", *s3)
+    tokens = F.when(full, keyword_tokens("skills", lengths)).alias("_tok")
+    base = with_bucket_labels(postings.select(*carry[:-1], "salary", tokens), grid, False, carry)
 
     skill = skill_section(dictionary_name)
-    # Fixed cells first (one key per section, NULL when not counted), then the keyword tokens.
-    # posexplode over a plain string array keeps the generator in whole-stage codegen; the
-    # section is looked up from the position (positions past the fixed cells are tokens).
-    fixed = [(f"salary_{s}", F.when(full, F.col(f"_b{s}"))) for s in (0, 1)]
-    fixed += [(f"salary3_{s}", F.when(in_cohort, F.col(f"_b{s}"))) for s in (0, 1)]
-    fixed += [(q, F.when(ge10 & (F.col(c) != ""), F.col(c))) for c, q, _ in schema.DIMENSIONS]
-    keys_col = F.concat(F.array(*[k for _, k in fixed]), F.coalesce(F.col("_tok"), F.array().cast("array<string>")))
-    names = F.array(*[F.lit(n) for n, _ in fixed])
-    rows = (
-        base.select(*keep, F.posexplode(keys_col).alias("_pos", "key"))
-        .where(F.col("key").isNotNull())
-        .select(*keep, F.coalesce(F.get(names, F.col("_pos")), F.lit(skill)).alias("section"), "key")
-    )
-
-    words = broadcast_if_small(
-        dictionary.select(F.lit(skill).alias("_ds"), F.col("word").alias("_dw")), DICTIONARY_MAX_ROWS
-    )
-    joined = rows.join(words, (F.col("section") == F.col("_ds")) & (F.col("key") == F.col("_dw")), "left")
-    return joined.where((F.col("section") != skill) | F.col("_dw").isNotNull()).select(*keep, "section", "key")
+    fixed = [((f"salary_{s}",), F.when(full, F.col(f"_b{s}"))) for s in (0, 1)]
+    fixed += [((f"salary3_{s}",), F.when(in_cohort, F.col(f"_b{s}"))) for s in (0, 1)]
+    fixed += [((q,), F.when(ge10 & (F.col(c) != ""), F.col(c))) for c, q, _ in schema.DIMENSIONS]
+    rows = explode_cells(base, ["section"], fixed, F.col("_tok"), (skill,), keep)
+    return keep_dictionary_tokens(rows, dictionary, "section", skill, [*keep, "section", "key"])
 
 
 def full_report(postings: DataFrame, dictionary: DataFrame, **kwargs) -> DataFrame:

@@ -22,11 +22,10 @@ from pyspark.sql.streaming import StreamingQuery
 from postlens import schema
 from postlens.functions.jsonfmt import envelope, sorted_map
 from postlens.functions.parse import postings
-from postlens.functions.salary import bucket_hi, bucket_label, bucket_lo, keep_bucket, salary_part
 from postlens.functions.text import keyword_tokens
 from postlens.operators import store
-from postlens.operators.skills import DICTIONARY_MAX_ROWS, han_word_lengths
-from postlens.plans.broadcast import broadcast_if_small
+from postlens.operators.skills import han_word_lengths
+from postlens.plans.cells import explode_cells, keep_dictionary_tokens, with_bucket_labels
 
 SALARY_FLOOR = "salary_floor"
 SALARY_CEILING = "salary_ceiling"
@@ -51,55 +50,26 @@ def stream_rows(
     metrics: Sequence[str] = ALL_METRICS,
 ) -> DataFrame:
     """``metric, dim, key`` — the counted cells of each posting (batch or stream input)."""
-    start, end, step = grid
     ge5 = F.col("n_fields") >= schema.GATE_STREAM_SALARY
     full = F.col("n_fields") == schema.GATE_FULL
     dims = [d[0] for d in schema.DIMENSIONS]
+    carry = ["n_fields", *dims, "_tok"]
 
-    base = posts.select(
-        "n_fields", *dims,
-        F.when(full, keyword_tokens("skills", han_lengths)).alias("_tok"),
-        salary_part("salary", 0).alias("_v0"), salary_part("salary", 1).alias("_v1"),
-    )
-    base = base.select(
-        "n_fields", *dims, "_tok",
-        bucket_lo(F.col("_v0"), start, end, step).alias("_lo0"), bucket_lo(F.col("_v1"), start, end, step).alias("_lo1"),
-    )
-    labels = []
-    for s in (0, 1):
-        lo = F.col(f"_lo{s}")
-        hi = bucket_hi(lo, end, step)
-        labels.append(F.when(ge5 & keep_bucket(lo, hi, True), bucket_label(lo, hi)).alias(f"_b{s}"))
-    base = base.select("n_fields", *dims, "_tok", *labels)
-
-    # Fixed cells (metric, dim, key-or-NULL) first, then the keyword tokens; posexplode over a
-    # plain string array keeps the generator in whole-stage codegen, and the metric and dim are
-    # looked up from the position.
-    fixed: list[tuple[str, str, Column]] = []
+    tokens = F.when(full, keyword_tokens("skills", han_lengths)).alias("_tok")
+    base = with_bucket_labels(posts.select(*carry[:-1], "salary", tokens), grid, True, carry)
+
+    fixed: list[tuple[tuple[str, str], Column]] = []
     if SALARY_FLOOR in metrics:
-        fixed.append((SALARY_FLOOR, "", F.col("_b0")))
+        fixed.append(((SALARY_FLOOR, ""), F.when(ge5, F.col("_b0"))))
     if SALARY_CEILING in metrics:
-        fixed.append((SALARY_CEILING, "", F.col("_b1")))
+        fixed.append(((SALARY_CEILING, ""), F.when(ge5, F.col("_b1"))))
     if OTHER in metrics:
-        fixed += [(OTHER, label, F.when(full & (F.col(c) != ""), F.col(c))) for c, _, label in schema.DIMENSIONS]
-    parts = [F.array(*[k for _, _, k in fixed])] if fixed else []
-    if SKILLS in metrics:
-        parts.append(F.coalesce(F.col("_tok"), F.array().cast("array<string>")))
-    keys_col = F.concat(*parts) if len(parts) > 1 else parts[0]
-    pos = F.col("_pos")
-    metric = F.coalesce(F.get(F.array(*[F.lit(m) for m, _, _ in fixed]), pos), F.lit(SKILLS)) if fixed else F.lit(SKILLS)
-    dim = F.coalesce(F.get(F.array(*[F.lit(d) for _, d, _ in fixed]), pos), F.lit("")) if fixed else F.lit("")
-    exploded = (
-        base.select(F.posexplode(keys_col).alias("_pos", "key"))
-        .where(F.col("key").isNotNull())
-        .select(metric.alias("metric"), dim.alias("dim"), "key")
-    )
-    if SKILLS not in metrics:
-        return exploded
-
-    words = broadcast_if_small(dictionary.select(F.lit(SKILLS).alias("_dm"), F.col("word").alias("_dw")), DICTIONARY_MAX_ROWS)
-    joined = exploded.join(words, (F.col("metric") == F.col("_dm")) & (F.col("key") == F.col("_dw")), "left")
-    return joined.where((F.col("metric") != SKILLS) | F.col("_dw").isNotNull()).select("metric", "dim", "key")
+        fixed += [((OTHER, label), F.when(full & (F.col(c) != ""), F.col(c))) for c, _, label in schema.DIMENSIONS]
+    with_skills = SKILLS in metrics
+    rows = explode_cells(base, ["metric", "dim"], fixed, F.col("_tok") if with_skills else None, (SKILLS, ""))
+    if not with_skills:
+        return rows
+    return keep_dictionary_tokens(rows, dictionary, "metric", SKILLS, ["metric", "dim", "key"])
 
 
 def running_counts(rows: DataFrame) -> DataFrame:
