@@ -27,6 +27,16 @@ def check_grid(start: int, end: int, step: int) -> None:
         raise ValueError(f"salary grid step must be positive, got {step}")
 
 
+def grid_frame(spark, start: int, end: int, step: int):
+    """``lo, hi`` rows of the grid as a DataFrame (``sequence`` + ``explode``; empty when
+    ``start >= end``)."""
+    check_grid(start, end, step)
+    if start >= end:
+        return spark.createDataFrame([], "lo int, hi int")
+    lo = F.explode(F.sequence(F.lit(start), F.lit(end - 1), F.lit(step))).alias("lo")
+    return spark.range(1).select(lo).select("lo", bucket_hi(F.col("lo"), end, step).alias("hi"))
+
+
 def grid_buckets(start: int, end: int, step: int) -> list[tuple[int, int]]:
     """The buckets of a grid, for docs and tests (a handful of pairs; never data)."""
     check_grid(start, end, step)

@@ -157,3 +157,11 @@ def test_strict_mode_fails_on_bad_number(spark):
     bad = spark.createDataFrame([("5000-8000元/月",)], "salary string")
     with pytest.raises(Exception):
         bad.select(salary_part("salary", 1, on_bad="fail")).collect()
+
+
+def test_grid_frame_equals_grid_buckets(spark):
+    from postlens.functions.salary import grid_frame
+
+    for grid in [(0, 40000, 3000), (0, 40000, 5000), (-3000, 10, 7), (5, 5, 1)]:
+        got = sorted((r["lo"], r["hi"]) for r in grid_frame(spark, *grid).collect())
+        assert got == grid_buckets(*grid)
