@@ -105,3 +105,19 @@ def test_state_partitions_option_restores_session_setting(spark):
     q.awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+
+
+def test_interrupted_stream_resumes_exactly_once(spark):
+    import time
+
+    lines = posting_lines(spark, SF_SMALL)
+    src = write_lines(lines, scratch_path(spark, "test-stream-int"), n_files=4)
+    store_path, ckpt = scratch_path(spark, "test-stream-int-store"), scratch_path(spark, "test-stream-int-ckpt")
+    stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+    q = sr.start(spark, stream, keyword_dictionary(spark), store_path, ckpt, trigger={"processingTime": "1 second"})
+    deadline = time.time() + 120
+    while time.time() < deadline and not [p for p in q.recentProgress if p["numInputRows"] > 0]:
+        time.sleep(0.5)
+    q.stop()  # interrupted after at least one batch, possibly mid-batch
+    run(spark, src, store_path, ckpt)  # resume and drain
+    assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, lines)
