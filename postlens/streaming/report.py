@@ -93,6 +93,8 @@ def start(
     grid: Sequence[int] = schema.STREAM_GRID,
     echo: bool = False,
     state_partitions: int | None = None,
+    json_store: str | None = None,
+    job: str = "job",
 ) -> StreamingQuery:
     """Starts the streaming report over a stream of posting lines (``value`` column).
 
@@ -103,6 +105,11 @@ def start(
     ``state_partitions`` sets the number of state-store partitions of a NEW query (a restarted
     query keeps the count recorded in its checkpoint). The stream copies the session settings when
     it starts, so the session's own shuffle-partition setting is restored right after.
+
+    ``json_store``: after each batch also write the ``<job>:<section>`` JSON documents of the
+    current totals as cells ``(key, 'kv', 'value', json, batch_id)`` — the per-batch key→JSON
+    upsert of the reference. It rereads the totals, so a batch costs O(distinct cells); leave it
+    off and use ``json_documents(totals(...))`` on read when the state is wide.
     """
     # The static side of the stream-static join is re-planned in every micro-batch; keep the
     # (size-checked, small) dictionary materialised instead of recomputing it each time.
@@ -112,6 +119,10 @@ def start(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         store.write_cells(counts_as_cells(batch, F.lit(batch_id)), store_path, batch_id)
+        if json_store is not None:
+            docs = json_documents(totals(batch.sparkSession, store_path), job)
+            cells = store.as_cells(docs, "key", F.lit("kv"), F.lit("value"), "value", F.lit(batch_id))
+            store.write_cells(cells, json_store, batch_id)
         if echo:
             batch.show(10, truncate=False)
 

@@ -121,3 +121,19 @@ def test_interrupted_stream_resumes_exactly_once(spark):
     q.stop()  # interrupted after at least one batch, possibly mid-batch
     run(spark, src, store_path, ckpt)  # resume and drain
     assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, lines)
+
+
+def test_per_batch_json_store(spark):
+    from postlens.operators import store
+
+    src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "test-stream-json"), n_files=2)
+    store_path, json_path = scratch_path(spark, "tsj-store"), scratch_path(spark, "tsj-json")
+    stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+    q = sr.start(spark, stream, keyword_dictionary(spark), store_path, scratch_path(spark, "tsj-ck"),
+                 trigger={"availableNow": True}, json_store=json_path, job="javaweb")
+    q.awaitTermination()
+    cells = store.read_cells(spark, json_path)
+    assert {r["batch"] for r in cells.select("batch").distinct().collect()} == {"0", "1"}
+    latest = {r["row_key"]: r["value"] for r in store.latest(cells).collect()}
+    want = {r["key"]: r["value"] for r in sr.json_documents(sr.totals(spark, store_path), "javaweb").collect()}
+    assert latest == want and len(want) == 4
