@@ -17,15 +17,26 @@ from pyspark.sql import functions as F
 from postlens import schema
 
 
+JAVA_REGEX_META = ".$|()[{^?*+\\"
+
+
 def _class_of(sep: str) -> str:
     return "[" + re.escape(sep) + "]"
 
 
+def split_pattern(sep: str) -> str:
+    """The separator as a pattern Java's ``String.split`` handles on its fast path (no regex
+    compiled per row): the character itself, or escaped when it is a regex metacharacter."""
+    if len(sep) != 1:
+        raise ValueError("the separator must be a single character")
+    return "\\" + sep if sep in JAVA_REGEX_META else sep
+
+
 def split_fields(line: Column | str, sep: str = "|") -> Column:
     """``ARRAY<STRING>`` of the fields of ``line``, trailing empty fields dropped."""
-    cls = _class_of(sep)
     # \z, not $: Java's $ also matches before a final line terminator, Java's split does not.
-    return F.split(F.regexp_replace(line, cls + "+\\z", ""), cls, -1)
+    stripped = F.regexp_replace(line, _class_of(sep) + "+\\z", "")
+    return F.split(stripped, split_pattern(sep), -1)
 
 
 def field(fields: Column | str, pos: int) -> Column:

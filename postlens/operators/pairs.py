@@ -21,11 +21,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlens.functions.parse import split_fields
+
 
 def member_lists(lines: DataFrame, value_col: str = "value", sep: str = " ") -> DataFrame:
-    """``owner, members ARRAY<STRING>`` from lines ``owner m1 m2 ...``."""
-    parts = F.split(F.trim(F.col(value_col)), "[" + sep + "]+", -1)
-    return lines.select(F.get(parts, 0).alias("owner"), F.slice(parts, 2, F.size(parts)).alias("members"))
+    """``owner, members ARRAY<STRING>`` from lines ``owner m1 m2 ...`` (split as Java does)."""
+    split = lines.select(split_fields(value_col, sep).alias("_p"))
+    return split.select(F.get("_p", 0).alias("owner"), F.slice("_p", 2, F.size("_p")).alias("members"))
 
 
 def membership(lists: DataFrame) -> DataFrame:
