@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8),
-``BENCH_RUNS`` (default 3; the median is reported).
+``BENCH_RUNS`` (default 5; the median is reported).
 
 Untimed setup: the posting lines Spark derives from ``orders ⋈ customer ⋈ nation`` are written
 once as text files, so the timed queries read raw posting text as a production job would. Each
@@ -47,7 +47,7 @@ def timed(fn, runs: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = local_session(cores=cpus, shuffle_partitions=max(cpus, 2), app="postlens-bench")
     spark.sparkContext.setLogLevel("ERROR")
 
