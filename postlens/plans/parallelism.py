@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

@@ -43,18 +43,25 @@ def shared_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or a directory already set on the context). If neither is
     set, as in local tests, creates one under ``/tmp`` and registers it on the context.
     """
-    ctx = spark.sparkContext
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or ctx.getConf().get("spark.checkpoint.dir", None)
+    try:
+        ctx = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context here
+        ctx = None
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and ctx is not None:
+        conf_dir = ctx.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
-        if not ctx.getCheckpointDir():
+        if ctx is not None and not ctx.getCheckpointDir():
             ctx.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
-    ctx_dir = ctx.getCheckpointDir()
-    if ctx_dir:
-        return ctx_dir.rstrip("/")
+    if ctx is not None and ctx.getCheckpointDir():
+        return ctx.getCheckpointDir().rstrip("/")
     local = tempfile.mkdtemp(prefix="postlens-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if ctx is None:
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
+    ctx.setCheckpointDir(local)
+    return ctx.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
