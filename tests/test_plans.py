@@ -17,6 +17,8 @@ def test_no_python_and_pruned_scans(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in PYTHON_NODES:
         assert node not in plan, (name, node)
+    for node in ("BroadcastNestedLoopJoin", "CartesianProduct"):  # no cross joins anywhere
+        assert node not in plan, (name, node)
     # Scans of the wide driver tables read only the columns the query needs.
     for schema in re.findall(r"ReadSchema: (struct<[^>]*>)", df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))):
