@@ -51,3 +51,9 @@ def test_every_query_has_an_oracle_or_is_known():
     assert set(oracles) <= set(qs)
     assert set(qs) - set(oracles) == {"source_file_key"}
     assert schema.GATE_FULL == 11
+
+
+def test_result_store_latest_cells_figure(spark):
+    from postlens.plans.registry import q_cell_store_latest
+
+    assert q_cell_store_latest(spark, SF_SMALL).count() == 75
