@@ -118,13 +118,21 @@ def start(
     counts = running_counts(stream_rows(postings(lines, "value"), dictionary, lengths, grid, metrics))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.write_cells(counts_as_cells(batch, F.lit(batch_id)), store_path, batch_id)
-        if json_store is not None:
-            docs = json_documents(totals(batch.sparkSession, store_path), job)
-            cells = store.as_cells(docs, "key", F.lit("kv"), F.lit("value"), "value", F.lit(batch_id))
-            store.write_cells(cells, json_store, batch_id)
+        # The batch is computed once per use; when it is also shown, keep it instead of running
+        # the stateful plan a second time.
         if echo:
-            batch.show(10, truncate=False)
+            batch = batch.persist()
+        try:
+            store.write_cells(counts_as_cells(batch, F.lit(batch_id)), store_path, batch_id)
+            if json_store is not None:
+                docs = json_documents(totals(batch.sparkSession, store_path), job)
+                cells = store.as_cells(docs, "key", F.lit("kv"), F.lit("value"), "value", F.lit(batch_id))
+                store.write_cells(cells, json_store, batch_id)
+            if echo:
+                batch.show(10, truncate=False)
+        finally:
+            if echo:
+                batch.unpersist()
 
     writer = (
         counts.writeStream.outputMode(output_mode)

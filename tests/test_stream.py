@@ -137,3 +137,15 @@ def test_per_batch_json_store(spark):
     latest = {r["row_key"]: r["value"] for r in store.latest(cells).collect()}
     want = {r["key"]: r["value"] for r in sr.json_documents(sr.totals(spark, store_path), "javaweb").collect()}
     assert latest == want and len(want) == 4
+
+
+def test_echo_prints_batches_and_keeps_totals(spark, capsys):
+    lines = posting_lines(spark, SF_SMALL)
+    src = write_lines(lines, scratch_path(spark, "test-stream-echo"), n_files=2)
+    store_path = scratch_path(spark, "tse-store")
+    stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+    q = sr.start(spark, stream, keyword_dictionary(spark), store_path, scratch_path(spark, "tse-ck"),
+                 trigger={"availableNow": True}, echo=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, lines)
