@@ -139,7 +139,7 @@ def test_per_batch_json_store(spark):
     assert latest == want and len(want) == 4
 
 
-def test_echo_prints_batches_and_keeps_totals(spark, capsys):
+def test_echo_prints_batches_and_keeps_totals(spark):
     lines = posting_lines(spark, SF_SMALL)
     src = write_lines(lines, scratch_path(spark, "test-stream-echo"), n_files=2)
     store_path = scratch_path(spark, "tse-store")
