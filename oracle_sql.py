@@ -135,9 +135,10 @@ def keyword_tokens_cte(where: str, extra: str = "") -> list[str]:
         f"kt AS (SELECT {x}lower(skills) AS t, skills AS raw FROM postings WHERE {where})",
         f"""tok AS (
       SELECT {x}unnest(regexp_extract_all(t, '[a-z]+')) AS token FROM kt
-      UNION ALL SELECT {x}unnest(regexp_extract_all(t, '[0-9]+')) FROM kt
-      UNION ALL SELECT {x}unnest(list_filter(regexp_extract_all(t, '[a-z0-9]+'),
-                     lambda w: regexp_matches(w, '[a-z]') AND regexp_matches(w, '[0-9]'))) FROM kt
+      UNION ALL SELECT {x}unnest(regexp_extract_all(t, '[0-9]+(?:[,.]+[0-9]+)*')) FROM kt
+      UNION ALL SELECT {x}unnest(list_filter(regexp_extract_all(t, '[a-z0-9]+(?:[#&+\\-.@_]+[a-z0-9]+)*'),
+                     lambda w: NOT regexp_full_match(w, '[a-z]+')
+                               AND NOT regexp_full_match(w, '[0-9]+(?:[.]+[0-9]+)*'))) FROM kt
       UNION ALL SELECT {x}substring(r, i, L) FROM (
           SELECT {x}L, r, unnest(generate_series(1, length(r) - L + 1)) AS i
           FROM (SELECT {x}unnest(regexp_extract_all(raw, '\\p{{Han}}+')) AS r FROM kt) runs, lens

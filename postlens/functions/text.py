@@ -3,10 +3,17 @@
 The reference segments text with a dictionary segmenter whose main dictionary is not part of it,
 so its exact output cannot be reproduced. We use two explicit rules instead:
 
-* keyword tokens (for dictionary matching): on lower-cased text, runs of ASCII letters, runs of
-  ASCII digits, and letter+digit runs that contain both (``hadoop2`` gives ``hadoop2``, ``hadoop``
-  and ``2``); plus, for CJK dictionary words, every substring of a Han run whose length equals the
-  length of some CJK dictionary word. ``java`` is not found inside ``javascript``.
+* keyword tokens (for dictionary matching), on lower-cased text:
+  - runs of ASCII letters;
+  - numbers: digit runs, with ``,`` or ``.`` allowed between digits (``5.7``);
+  - mixed runs of letters and digits, which may contain the connectors ``# & + - . @ _`` between
+    them, when they are not already a plain letter run or number (``hadoop2``, ``node.js``,
+    ``mysql5.7``);
+  - for CJK dictionary words, every substring of a Han run whose length equals the length of
+    some CJK dictionary word.
+
+  So ``hadoop2`` yields ``hadoop2``, ``hadoop`` and ``2``, and ``java`` is not found inside
+  ``javascript``.
 * word tokens (for word counts): on lower-cased text, maximal Han runs and maximal runs of other
   letters and digits.
 """
@@ -19,8 +26,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LETTERS = r"[a-z]+"
-DIGITS = r"[0-9]+"
-ALNUM = r"[a-z0-9]+"
+NUMBER = r"[0-9]+(?:[,.]+[0-9]+)*"
+MIXED = r"[a-z0-9]+(?:[#&+\-.@_]+[a-z0-9]+)*"
+PLAIN_LETTERS = r"^[a-z]+\z"
+PLAIN_NUMBER = r"^[0-9]+(?:[.]+[0-9]+)*\z"
 HAN_RUN = r"\p{IsHan}+"
 WORD = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 
@@ -34,10 +43,10 @@ def extract_all(text: Column, pattern: str) -> Column:
 
 
 def ascii_tokens(text: Column | str) -> Column:
-    """Letter runs, digit runs and mixed letter+digit runs of ``lower(text)``."""
+    """Letter runs, numbers and mixed runs of ``lower(text)`` (see the module note)."""
     t = F.lower(_col(text))
-    mixed = F.filter(extract_all(t, ALNUM), lambda w: w.rlike("[a-z]") & w.rlike("[0-9]"))
-    return F.concat(extract_all(t, LETTERS), extract_all(t, DIGITS), mixed)
+    mixed = F.filter(extract_all(t, MIXED), lambda w: ~w.rlike(PLAIN_LETTERS) & ~w.rlike(PLAIN_NUMBER))
+    return F.concat(extract_all(t, LETTERS), extract_all(t, NUMBER), mixed)
 
 
 def _grams_of_length(n: int):
