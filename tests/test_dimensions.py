@@ -71,3 +71,10 @@ def test_dimension_totals_equal_non_empty_cells(spark):
     totals = {r["dim"]: r["t"] for r in dimensions.counts(p).groupBy("dim").agg(F.sum("n").alias("t")).collect()}
     for col, qual, _ in [("address", "address", 0), ("company_type", "companyType", 0), ("education", "education", 0)]:
         assert totals[qual] == p.where(F.col(col) != "").count()
+
+
+def test_rank_of_empty_and_single_row(spark):
+    empty = spark.createDataFrame([], "dim string, value string, n long")
+    assert row_number_within(empty, ["dim"], [F.col("n").desc(), F.col("value")]).count() == 0
+    one = spark.createDataFrame([("d", "v", 3)], "dim string, value string, n long")
+    assert [tuple(r) for r in row_number_within(one, ["dim"], [F.col("n").desc()]).collect()] == [("d", "v", 3, 1)]
