@@ -16,16 +16,25 @@ from postlens import schema
 from postlens.functions.parse import postings
 
 
-def read_lines(spark: SparkSession, path: str | list[str], with_source: bool = False) -> DataFrame:
-    """``value STRING`` per line; with ``source`` = file name when asked (F10: report row key)."""
+def read_lines(spark: SparkSession, path: str | list[str], with_source: bool = False, rebalance: bool = False) -> DataFrame:
+    """``value STRING`` per line; with ``source`` = file name when asked (F10: report row key).
+
+    ``rebalance=True`` adds Spark's ``rebalance`` hint: AQE cuts the lines into evenly sized
+    partitions before the per-row work. Use it when one unsplittable file (gzip) holds a large
+    share of the input and would otherwise be parsed by a single task; it costs one shuffle of
+    the raw text, so it is off by default (splittable inputs are already balanced by the scan).
+    """
     df = spark.read.text(path)
-    return df.select("value", F.col("_metadata.file_name").alias("source")) if with_source else df.select("value")
+    df = df.select("value", F.col("_metadata.file_name").alias("source")) if with_source else df.select("value")
+    return df.hint("rebalance") if rebalance else df
 
 
-def read_postings(spark: SparkSession, path: str | list[str], sep: str = "|", with_source: bool = False) -> DataFrame:
+def read_postings(
+    spark: SparkSession, path: str | list[str], sep: str = "|", with_source: bool = False, rebalance: bool = False
+) -> DataFrame:
     """Typed postings from delimited text files (``id`` is NULL; ``source`` = file name if asked)."""
     keep = ("source",) if with_source else ()
-    return postings(read_lines(spark, path, with_source), "value", sep=sep, keep=keep)
+    return postings(read_lines(spark, path, with_source, rebalance), "value", sep=sep, keep=keep)
 
 
 def dictionary_name(path: str | None) -> str:

@@ -76,3 +76,18 @@ def test_field_count_equals_java_split_model(spark):
     got = {r["id"]: r["n_fields"] for r in postings(df, id_col="i").collect()}
     for i, x in enumerate(lines):
         assert got[i] == java_split_count(x), repr(x)
+
+
+def test_rebalanced_read_keeps_every_line(spark, tmp_path):
+    import gzip
+
+    from postlens.sources.text import read_postings
+
+    path = str(tmp_path / "postings.txt.gz")
+    with gzip.open(path, "wt", encoding="utf-8") as fh:
+        fh.write("\n".join(r[0] for r in ROWS * 50) + "\n")
+    plain = read_postings(spark, path)
+    balanced = read_postings(spark, path, rebalance=True)
+    assert plain.rdd.getNumPartitions() == 1  # gzip cannot be split
+    assert sorted(map(tuple, balanced.collect())) == sorted(map(tuple, plain.collect()))
+    assert "RebalancePartitions" in balanced._jdf.queryExecution().optimizedPlan().toString()
