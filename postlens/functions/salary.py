@@ -2,8 +2,8 @@
 
 A salary is ``"lo-hi"``. Side 0 (floor) buckets ``lo``, side 1 (ceiling) buckets ``hi``. The text
 must split into exactly two parts on ``-`` (trailing empty parts dropped, as Java's split does),
-and the chosen part must be a plain integer (``[+-]?[0-9]+`` that fits in 32 bits); anything else
-has no bucket. Buckets are half-open ``[lo, hi)`` on a uniform grid ``start, start+step, ...``
+and the chosen part must be a plain integer (an optional ``+`` and ASCII digits, fitting in 32
+bits; a ``-`` sign cannot occur inside a part); anything else has no bucket. Buckets are half-open ``[lo, hi)`` on a uniform grid ``start, start+step, ...``
 whose last bucket is clipped to ``end``; values ``>= end`` have no bucket.
 """
 
@@ -22,6 +22,7 @@ SIDE_PATTERNS = {
     1: r"^[^-]*-([+]?[0-9]+)-*\z",
 }
 
+
 def check_grid(start: int, end: int, step: int) -> None:
     if step <= 0:
         raise ValueError(f"salary grid step must be positive, got {step}")
