@@ -44,12 +44,17 @@ def owner_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("member").agg(F.count(F.lit(1)).alias("n_owners"))
 
 
-def common_owner_rows(lists: DataFrame, pairs: DataFrame, ordered: bool = True) -> DataFrame:
+def common_owner_rows(lists: DataFrame, pairs: DataFrame, ordered: bool = True, salt: int = 1) -> DataFrame:
     """``a, b, owner`` — one row per owner listing both members of a requested pair.
 
     ``ordered=True`` (the reference's keying: pair ``ab`` comes from lists where ``a`` precedes
     ``b``) keeps owners whose list has ``a`` before ``b``; ``ordered=False`` keeps every owner
     listing both.
+
+    ``salt > 1`` splits each member's owners into ``salt`` slices (by a hash of the owner, so a
+    retried task computes the same slices) and replicates each requested pair once per slice.
+    A member listed by a large share of all owners then spreads over ``salt`` tasks even without
+    AQE skew handling.
     """
     index = membership(lists)
     counts = owner_counts(index)
@@ -63,7 +68,13 @@ def common_owner_rows(lists: DataFrame, pairs: DataFrame, ordered: bool = True)
             F.when(F.coalesce("na", F.lit(0)) <= F.coalesce("nb", F.lit(0)), F.col("b")).otherwise(F.col("a")).alias("_y"),
         )
     )
-    candidates = oriented.join(index.select(F.col("member").alias("_x"), "owner", F.col("pos").alias("_px")), "_x")
+    side = index.select(F.col("member").alias("_x"), "owner", F.col("pos").alias("_px"))
+    if salt > 1:
+        side = side.withColumn("_salt", F.pmod(F.hash("owner"), F.lit(salt)))
+        oriented = oriented.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        candidates = oriented.join(side, ["_x", "_salt"]).drop("_salt")
+    else:
+        candidates = oriented.join(side, "_x")
     if not ordered:
         both = candidates.join(index.select(F.col("member").alias("_y"), "owner"), ["_y", "owner"], "left_semi")
         return both.select("a", "b", "owner")
@@ -73,11 +84,11 @@ def common_owner_rows(lists: DataFrame, pairs: DataFrame, ordered: bool = True)
     return both.where(pos_a < pos_b).select("a", "b", "owner")
 
 
-def common_owners(lists: DataFrame, pairs: DataFrame, ordered: bool = True) -> DataFrame:
+def common_owners(lists: DataFrame, pairs: DataFrame, ordered: bool = True, salt: int = 1) -> DataFrame:
     """``a, b, owners`` — ``":o1:o2..."`` per requested pair with at least one common owner.
 
     Each group is the owners shared by one pair, never a whole list or the table.
     """
-    rows = common_owner_rows(lists, pairs, ordered)
+    rows = common_owner_rows(lists, pairs, ordered, salt)
     owners = F.concat(F.lit(":"), F.array_join(F.array_sort(F.collect_list("owner")), ":"))
     return rows.groupBy("a", "b").agg(owners.alias("owners"))

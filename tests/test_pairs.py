@@ -82,3 +82,12 @@ def test_ordered_rows_match_brute_force(spark):
             for j in range(i + 1, len(ms)):
                 want.setdefault((ms[i], ms[j]), set()).add(owner)
     assert got == want
+
+
+def test_salted_lookup_equals_unsalted_with_a_hot_member(spark):
+    lists = [f"o{i:03d} HOT m{i % 7} m{(i * 3) % 11}" for i in range(300)] + ["x HOT m1"]
+    lists_df = member_lists(spark.createDataFrame([(x,) for x in lists], "value string"))
+    pairs = spark.createDataFrame([("HOT", f"m{i}") for i in range(11)] + [("m1", "HOT")], "a string, b string")
+    plain = sorted(map(tuple, common_owners(lists_df, pairs).collect()))
+    salted = sorted(map(tuple, common_owners(lists_df, pairs, salt=8).collect()))
+    assert plain == salted and len(plain) == 11
