@@ -343,6 +343,20 @@ def queries() -> dict[str, str]:
     )
     q["result_store_keys"] = f"WITH {cells} SELECT DISTINCT row_key FROM cells"
 
+    q["common_owner_lookup"] = """
+    WITH idx AS (
+      SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS member, CAST(l_orderkey AS VARCHAR) AS owner FROM lineitem
+      UNION SELECT DISTINCT 's' || CAST(l_suppkey AS VARCHAR), CAST(l_orderkey AS VARCHAR) FROM lineitem
+    ),
+    wanted AS (
+      SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS a, 's' || CAST(l_suppkey AS VARCHAR) AS b FROM lineitem
+    ),
+    r AS (
+      SELECT DISTINCT w.a, w.b, i1.owner
+      FROM wanted w JOIN idx i1 ON i1.member = w.a JOIN idx i2 ON i2.member = w.b AND i2.owner = i1.owner
+    )
+    SELECT a, b, ':' || string_agg(owner, ':' ORDER BY owner) AS owners FROM r GROUP BY a, b"""
+
     stream = stream_ctes()
     total = "SELECT metric, dim, key, CAST(count(*) AS BIGINT) AS n FROM srows WHERE metric = '{m}' GROUP BY metric, dim, key"
     q["stream_salary_floor"] = _with(*stream) + total.format(m="salary_floor")

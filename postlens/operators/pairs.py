@@ -49,14 +49,23 @@ def common_owner_rows(lists: DataFrame, pairs: DataFrame, ordered: bool = True,
 
     ``ordered=True`` (the reference's keying: pair ``ab`` comes from lists where ``a`` precedes
     ``b``) keeps owners whose list has ``a`` before ``b``; ``ordered=False`` keeps every owner
-    listing both.
+    listing both. See ``owners_for_pairs`` for ``salt``.
+    """
+    return owners_for_pairs(membership(lists), pairs, ordered, salt)
+
+
+def owners_for_pairs(index: DataFrame, pairs: DataFrame, ordered: bool = False, salt: int = 1) -> DataFrame:
+    """``a, b, owner`` from an inverted index ``member, owner[, pos]`` (``pos`` needed only when
+    ``ordered``). The index can come from lists or straight from fact rows, so no list is ever
+    gathered into one row.
 
     ``salt > 1`` splits each member's owners into ``salt`` slices (by a hash of the owner, so a
     retried task computes the same slices) and replicates each requested pair once per slice.
     A member listed by a large share of all owners then spreads over ``salt`` tasks even without
     AQE skew handling.
     """
-    index = membership(lists)
+    if "pos" not in index.columns:
+        index = index.withColumn("pos", F.lit(0))
     counts = owner_counts(index)
     oriented = (
         pairs.select("a", "b")
@@ -89,6 +98,10 @@ def common_owners(lists: DataFrame, pairs: DataFrame, ordered: bool = True, salt
 
     Each group is the owners shared by one pair, never a whole list or the table.
     """
-    rows = common_owner_rows(lists, pairs, ordered, salt)
+    return owner_strings(common_owner_rows(lists, pairs, ordered, salt))
+
+
+def owner_strings(rows: DataFrame) -> DataFrame:
+    """``a, b, owners`` — the owners of each pair as ``":o1:o2..."`` (sorted)."""
     owners = F.concat(F.lit(":"), F.array_join(F.array_sort(F.collect_list("owner")), ":"))
     return rows.groupBy("a", "b").agg(owners.alias("owners"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens import schema
 from postlens.functions.parse import gate, postings
-from postlens.operators import dimensions, salary, skills, store
+from postlens.operators import dimensions, pairs, salary, skills, store
 from postlens.plans import report
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines, table
@@ -156,6 +156,22 @@ def q_result_store_keys(spark, sf_dir):
     return store.keys(stored_event_cells(spark, sf_dir), "*")
 
 
+def q_common_owner_lookup(spark, sf_dir):
+    """Orders holding both a part and a supplier, for every (part, supplier) that was ordered.
+
+    The index ``(member, order)`` comes straight from ``lineitem`` rows (members ``p<partkey>``
+    and ``s<suppkey>``), so no order's items are gathered into one row, and the requested pairs
+    are all distinct (part, supplier) combinations of ``lineitem``.
+    """
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey"])
+    part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+    supp = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    order = F.col("l_orderkey").cast("string").alias("owner")
+    index = li.select(part.alias("member"), order).unionByName(li.select(supp.alias("member"), order)).distinct()
+    wanted = li.select(part.alias("a"), supp.alias("b")).distinct()
+    return pairs.owner_strings(pairs.owners_for_pairs(index, wanted, ordered=False))
+
+
 STREAM_FILES = 3
 STREAM_JOB = "job"
 
@@ -225,6 +241,7 @@ def registered() -> dict[str, Query]:
         "cell_store_pivot": q_cell_store_pivot,
         "cell_store_text": q_cell_store_text,
         "result_store_keys": q_result_store_keys,
+        "common_owner_lookup": q_common_owner_lookup,
         "stream_salary_floor": q_stream_salary_floor,
         "stream_salary_ceil": q_stream_salary_ceil,
         "stream_skill_counts": q_stream_skill_counts,
