@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from postlens import schema  # noqa: E402
 from postlens.functions.parse import gate  # noqa: E402
 from postlens.operators import dimensions, salary, skills, store  # noqa: E402
-from postlens.plans import report  # noqa: E402
+from postlens.plans import registry, report  # noqa: E402
 from postlens.session import local_session, scratch_path  # noqa: E402
 from postlens.sources.fixture import posting_lines, table  # noqa: E402
 from postlens.sources.text import keyword_dictionary, read_postings, stream_lines, write_lines  # noqa: E402
@@ -79,6 +79,9 @@ def main() -> None:
         cells = store.as_cells(ev, F.col("user_id"), F.lit("info"), "event_type", "props", "event_id")
         run_noop(store.latest(cells))
 
+    def q_common_owner_lookup():
+        run_noop(registry.q_common_owner_lookup(spark, sf_dir))
+
     def q_stream_report():
         lines = stream_lines(spark, "files", {"maxFilesPerTrigger": "3"}, path=text_dir)
         q = stream_report.start(
@@ -94,6 +97,7 @@ def main() -> None:
         "skill_keyword_count": q_skill_keyword_count,
         "document_word_count": q_document_word_count,
         "cell_store_latest": q_cell_store_latest,
+        "common_owner_lookup": q_common_owner_lookup,
         "stream_report": q_stream_report,
     }
     results = {name: round(timed(fn, runs), 3) for name, fn in plan.items()}
