@@ -1,7 +1,6 @@
 """Streaming report: batch = stream, restart on the same checkpoint, resume with new files."""
 
 import json
-import os
 
 from pyspark.sql import functions as F
 
@@ -66,12 +65,18 @@ def test_json_documents_are_doubly_encoded(spark):
     assert json.loads(outer["javaweb"]) == {"可能实际情况下的工资": {"3000-6000": 2}}
 
 
-def test_kafka_source_is_declared(spark):
+def test_stream_source_options(spark):
+    import pytest
+
     from postlens.sources.text import kafka_options
 
-    opts = kafka_options("h1:9092,h2:9092", "first,second")
-    assert opts == {"kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "first,second"}
-    assert os.environ.get("PYSPARK_NO_KAFKA", "1")  # no Kafka jar here: the file source runs the same transform
+    opts = kafka_options("h1:9092,h2:9092", "first,second", startingOffsets="earliest")
+    assert opts == {"kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "first,second",
+                    "startingOffsets": "earliest"}
+    with pytest.raises(ValueError):
+        stream_lines(spark, "socket", {})
+    with pytest.raises(ValueError):
+        stream_lines(spark, "files", {})  # a file stream needs a path
 
 
 def test_nested_documents_under_bare_key(spark):
