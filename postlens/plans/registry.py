@@ -167,7 +167,7 @@ def q_common_owner_lookup(spark, sf_dir):
     part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
     supp = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
     order = F.col("l_orderkey").cast("string").alias("owner")
-    index = li.select(part.alias("member"), order).unionByName(li.select(supp.alias("member"), order)).distinct()
+    index = li.select(F.explode(F.array(part, supp)).alias("member"), order).distinct()
     wanted = li.select(part.alias("a"), supp.alias("b")).distinct()
     return pairs.owner_strings(pairs.owners_for_pairs(index, wanted, ordered=False))
 
