@@ -34,6 +34,16 @@ def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def shuffle_exchanges(df) -> int:
+    """Data shuffles (hash, range, single) in the physical plan. Round-robin spreads of a
+    single-split test file (``spread``) are left out: at scale the input has many splits and
+    they disappear."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return sum(text.count(k) for k in (
+        "Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
+    ))
+
+
 def timed(fn, runs: int) -> float:
     fn()  # warm-up
     samples = []
@@ -58,29 +68,28 @@ def main() -> None:
     def posts():
         return read_postings(spark, text_dir)
 
-    def q_full_report():
-        run_noop(report.full_report(posts(), dictionary, han_lengths=han))
-
-    def q_dimension_counts():
-        run_noop(dimensions.counts(gate(posts(), min_fields=schema.GATE_DIMENSIONS)))
-
-    def q_salary_histograms():
-        run_noop(salary.two_sided_histogram(gate(posts(), exact=schema.GATE_FULL)))
-
-    def q_skill_keyword_count():
-        run_noop(skills.keyword_counts(gate(posts(), exact=schema.GATE_FULL), dictionary, han_lengths=han))
-
-    def q_document_word_count():
-        docs = table(spark, sf_dir, "documents", ["text"])
-        run_noop(skills.ranked_word_counts(skills.word_counts(docs, "text", schema.STOP_WORDS)))
-
-    def q_cell_store_latest():
-        ev = table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"])
-        cells = store.as_cells(ev, F.col("user_id"), F.lit("info"), "event_type", "props", "event_id")
-        run_noop(store.latest(cells))
-
-    def q_common_owner_lookup():
-        run_noop(registry.q_common_owner_lookup(spark, sf_dir))
+    def documents():
+        return table(spark, sf_dir, "documents", ["text"])
+
+    def events():
+        return table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"], heavy_rows=False)
+
+    # Batch queries: builders returning the DataFrame; each run executes it into the noop sink.
+    batch = {
+        "full_report": lambda: report.full_report(posts(), dictionary, han_lengths=han),
+        "dimension_counts": lambda: dimensions.counts(gate(posts(), min_fields=schema.GATE_DIMENSIONS)),
+        "salary_histograms": lambda: salary.two_sided_histogram(gate(posts(), exact=schema.GATE_FULL)),
+        "skill_keyword_count": lambda: skills.keyword_counts(
+            gate(posts(), exact=schema.GATE_FULL), dictionary, han_lengths=han
+        ),
+        "document_word_count": lambda: skills.ranked_word_counts(
+            skills.word_counts(documents(), "text", schema.STOP_WORDS)
+        ),
+        "cell_store_latest": lambda: store.latest(
+            store.as_cells(events(), F.col("user_id"), F.lit("info"), "event_type", "props", "event_id")
+        ),
+        "common_owner_lookup": lambda: registry.q_common_owner_lookup(spark, sf_dir),
+    }
 
     def q_stream_report():
         lines = stream_lines(spark, "files", {"maxFilesPerTrigger": "3"}, path=text_dir)
@@ -90,16 +99,12 @@ def main() -> None:
         )
         q.awaitTermination()
 
-    plan = {
-        "full_report": q_full_report,
-        "dimension_counts": q_dimension_counts,
-        "salary_histograms": q_salary_histograms,
-        "skill_keyword_count": q_skill_keyword_count,
-        "document_word_count": q_document_word_count,
-        "cell_store_latest": q_cell_store_latest,
-        "common_owner_lookup": q_common_owner_lookup,
-        "stream_report": q_stream_report,
-    }
+    plan = {name: (lambda build=build: run_noop(build())) for name, build in batch.items()}
+    plan["stream_report"] = q_stream_report
+    # Shuffle exchanges in each batch query's physical plan (broadcasts and local round-robin
+    # spreads not counted). Queries that cut lineage with a checkpoint (ranks) count the plan
+    # after the cut.
+    exchanges = {name: shuffle_exchanges(build()) for name, build in batch.items()}
     results = {name: round(timed(fn, runs), 3) for name, fn in plan.items()}
     n_postings = spark.read.text(text_dir).count()
     n_docs = table(spark, sf_dir, "documents", ["doc_id"]).count()
@@ -110,6 +115,7 @@ def main() -> None:
         "value": round(sum(results.values()), 3),
         "unit": "sec",
         "queries": results,
+        "shuffle_exchanges": exchanges,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "postings": n_postings,

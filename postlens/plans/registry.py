@@ -126,7 +126,7 @@ def q_source_file_key(spark, sf_dir):
 
 
 def event_cells(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"])
+    ev = table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"], heavy_rows=False)
     return store.as_cells(ev, F.col("user_id"), F.lit(schema.STORE_FAMILY), "event_type", "props", "event_id")
 
 

@@ -13,10 +13,14 @@ from postlens.plans.broadcast import broadcast_if_small
 from postlens.plans.parallelism import spread
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A driver table, pruned to ``columns`` and spread when it arrives as too few splits."""
+def table(
+    spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None, heavy_rows: bool = True
+) -> DataFrame:
+    """A driver table, pruned to ``columns``. ``heavy_rows``: the per-row work that follows is
+    costly (regex parsing, tokenising), so a table arriving as too few splits is spread first."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df.select(*columns) if columns else df)
+    df = df.select(*columns) if columns else df
+    return spread(df) if heavy_rows else df
 
 
 def _by_mod(k: Column, m: int, values: list) -> Column:
