@@ -86,7 +86,7 @@ def glob_regex(pattern: str) -> str:
             out.append(".")
         else:
             out.append(re.escape(ch))
-    return "^" + "".join(out) + "\\z"
+    return "(?s)^" + "".join(out) + "\\z"  # (?s): a glob * also matches line breaks
 
 
 def keys(cells: DataFrame, pattern: str = "*") -> DataFrame:

@@ -54,7 +54,7 @@ def test_keys_glob(spark):
     df = cells(spark)
     assert sorted(r["row_key"] for r in store.keys(df).collect()) == ["r1", "r2"]
     assert [r["row_key"] for r in store.keys(df, "*1").collect()] == ["r1"]
-    assert store.glob_regex("job:*") == "^job:.*\\z"
+    assert store.glob_regex("job:*") == "(?s)^job:.*\\z"
 
 
 def test_as_cells_casts(spark):
@@ -72,3 +72,16 @@ def test_compact_keeps_latest_view(spark):
     new = store.compact(spark, path, scratch_path(spark, "test-store-c2"))
     after = sorted(map(tuple, store.latest(store.read_cells(spark, new)).collect()))
     assert before == after and store.read_cells(spark, new).count() == len(before)
+
+
+def test_glob_matches_fnmatch(spark):
+    import fnmatch
+
+    rnd = random.Random(21)
+    alphabet = ["a", "b", ":", ".", "+", "(", "职", "\n"]
+    keys = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 5))) for _ in range(60)]
+    patterns = ["".join(rnd.choice(alphabet + ["*", "?"]) for _ in range(rnd.randint(1, 4))) for _ in range(15)]
+    df = spark.createDataFrame([(k,) for k in keys], "row_key string")
+    for pat in patterns:
+        got = sorted(r["row_key"] for r in df.where(F.col("row_key").rlike(store.glob_regex(pat))).collect())
+        assert got == sorted(k for k in keys if fnmatch.fnmatchcase(k, pat)), pat
