@@ -78,3 +78,13 @@ def test_rank_of_empty_and_single_row(spark):
     assert row_number_within(empty, ["dim"], [F.col("n").desc(), F.col("value")]).count() == 0
     one = spark.createDataFrame([("d", "v", 3)], "dim string, value string, n long")
     assert [tuple(r) for r in row_number_within(one, ["dim"], [F.col("n").desc()]).collect()] == [("d", "v", 3, 1)]
+
+
+def test_json_object_escapes_keys(spark):
+    import json
+
+    keys = ['a"b', "c\\d", "e\nf", "北京", "/x"]
+    df = spark.createDataFrame([("d", k, i) for i, k in enumerate(keys)], "dim string, value string, n long")
+    doc = json.loads(dimensions.as_json(df).collect()[0]["json"])
+    assert doc == {k: i for i, k in enumerate(keys)}
+    assert list(doc) == sorted(keys)  # keys in code-point order
