@@ -51,3 +51,12 @@ def test_word_count_job_tab_separated(spark, tmp_path):
     for f in sorted(glob.glob(out + "/part-*")):
         lines += open(f, encoding="utf-8").read().splitlines()
     assert lines == ["(spark,2)", "(hive,1)"]
+
+
+def test_keyword_job_with_dictionary_file(spark, tmp_path):
+    dic = tmp_path / "java.web.dic"
+    dic.write_text("Spark\nLinux\n数据挖掘\n\n", encoding="utf-8")
+    src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "job-in3"), n_files=1)
+    cells = jobs.keyword_job(spark, src, scratch_path(spark, "job-store3"), dictionary_path=str(dic)).collect()
+    assert [r["qualifier"] for r in cells] == ["skill_java"]
+    assert json.loads(cells[0]["value"]) == {"linux": 1184, "spark": 237, "数据挖掘": 592}
