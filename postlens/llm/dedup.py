@@ -1,8 +1,9 @@
 """Exact deduplication by content sort (DataFrame operations only).
 
-The normalised texts are range-partitioned by sampled splitters, sorted externally within their
-range, and a window over that sort compares each row's whole key with its neighbour's: a run of
-equal neighbours is a group, whose smallest identifier stays.
+The normalised texts are range-partitioned by sampled splitters (on the first characters and a
+hash of the whole text, so that the sample stays small), sorted externally within their range, and
+a window over that sort compares each row's whole text with its neighbour's: a run of equal
+neighbours is a group, whose smallest identifier stays.
 
 A text whose copies hold more than a quarter of an average partition would make its range too
 large. Such texts are found beforehand from 8-byte hashes (sizes summed before the shuffle; there
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from postlens.llm.common import SPACE_CLASS, cut, shuffle_partitions, text_or_empty
 
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
+#: Characters of a text that its range key holds, before a hash of the whole text.
+PREFIX_CHARS = 64
 #: A text is hot when its copies hold more than 1 / (HOT_SHARE x partitions) of all bytes.
 HOT_SHARE = 4
 
@@ -59,8 +62,9 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> Da
     salted = rows.withColumn("_hash", F.xxhash64("_norm")).join(F.broadcast(hot), "_hash", "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64("_id", F.lit(5)), F.col("_pieces")), F.lit(0))
     )
-    ranged = salted.drop("_hash").repartitionByRange(partitions, "_norm", "_salt")
-    run = Window.partitionBy("_norm", "_salt")
+    # The splitters are sampled from keys of bounded size, as they pass through the driver.
+    ranged = salted.withColumn("_prefix", F.substring("_norm", 1, PREFIX_CHARS)).repartitionByRange(partitions, "_prefix", "_hash", "_salt")
+    run = Window.partitionBy("_prefix", "_hash", "_salt", "_norm")
     runs = ranged.select(
         "*",
         F.row_number().over(run.orderBy(F.col("_id").asc_nulls_last())).alias("_rank"),
