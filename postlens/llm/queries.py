@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import dedup, secrets, urlrules
-from postlens.llm.common import table
+from postlens.llm import dedup, packing, quality, secrets, urlrules
+from postlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,11 +21,32 @@ URL_RULES = (
     ("block", "com", "/de/"),
 )
 
+#: Score from which a document counts as good (fixed by the contract of the quality query).
+QUALITY_FLOOR = 0.7
+
+
+def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer or packing.default_tokenizer())
+    # The digest needs the ids, the packing only their number.
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.mark_duplicates(table(spark, sf_dir, "documents"), carry=False)
 
 
+def quality_scores(docs: DataFrame, labels: DataFrame, all_docs: DataFrame) -> DataFrame:
+    """``docs`` with held_out, score and predicted; learned from the labelled texts of ``all_docs`` that are not held out."""
+    model = quality.fit(all_docs, labels.where(remainder("doc_id", 4) != 2))
+    scored = quality.score(docs, model)
+    return scored.withColumns({"held_out": remainder("doc_id", 4) == 2, "predicted": (F.col("score") >= QUALITY_FLOOR).cast("int")})
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(docs, table(spark, sf_dir, "labels"), docs).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -38,7 +59,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_url_filter": op8_url_filter,
     "op9_secret_scan": op9_secret_scan,
 }
