@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import dedup, packing, quality, secrets, urlrules
+from postlens.llm import dedup, langid, packing, quality, secrets, urlrules
 from postlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,14 @@ URL_RULES = (
 QUALITY_FLOOR = 0.7
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    presence = langid.Presence()
+    model = langid.fit(presence, docs.where(remainder("doc_id", 3) != 1))
+    found = langid.identify(presence, docs, model)
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer or packing.default_tokenizer())
     # The digest needs the ids, the packing only their number.
@@ -59,6 +67,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_classifier": op6_quality_classifier,
