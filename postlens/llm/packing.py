@@ -20,8 +20,11 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator, Sequence
+import sys
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from itertools import count
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -34,11 +37,13 @@ from postlens.llm.common import cut
 WINDOW = 1024
 MAX_PIECE = 256
 GROUP_PIECES = 512
-#: Distinct words whose ids a worker remembers; it starts anew beyond them.
+#: Distinct words of a generation whose ids a worker remembers.
 MEMORY_WORDS = 400_000
 
-_CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-_RUN = re.compile(r"\s\s")
+#: White space as the pre-tokenizer sees it (Unicode's White_Space).
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_CHUNKS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_RUN = re.compile(f"[{_SPACE}][{_SPACE}]")
 
 
 def default_tokenizer() -> str:
@@ -48,11 +53,42 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Memo(dict):
+    """Word -> its ids as bytes, made on first use.
+
+    Two generations bound the memory: what was not used since the last turn is forgotten.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], limit: int = MEMORY_WORDS):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self.make(word)
+        self[word] = found
+        return found
+
+    def turn(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte -> the printable character that byte-level vocabularies write for it (a fixed rule)."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 class WordEncoder:
     """Ids of whole texts from the ids of their words, each distinct word encoded once.
 
-    For byte-level vocabularies whose pre-tokenizer never joins a character to a space after it:
-    a text may then be split before every single space without changing its ids. Other texts
+    For byte-level vocabularies whose pre-tokenizer never joins a character to a space after it,
+    and takes a single line end between words as a token of its own: a text may then be split at
+    every single line end and before every single space without changing its ids. Other texts
     (runs of white space) are split by the pre-tokenizer's own rule for white space. Special
     tokens spelled out in a text keep their ids, so texts that hold one are encoded whole.
     """
@@ -64,48 +100,49 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.spaced: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.tokens = Memo(self._token)  # by pre-token, written in byte letters
+        self.spaced = Memo(self._spaced_word)  # by word after a space
+        self.bare = Memo(self._chunk)
+        self.marks = {m: self._chunk(m) for m in ".,"}
+        self.line_end = self._chunk("\n")
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _token(self, token: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(token)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a text without special tokens, pre-token by pre-token."""
-        found = []
-        for token, _ in self.split(chunk):
-            if token not in self.tokens:
-                self.tokens[token] = self._token(token)
-            found.append(self.tokens[token])
-        return b"".join(found)
-
-    def _token(self, token: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(token)], dtype="<u4").tobytes()
+        return b"".join([self.tokens[token] for token, _ in self.split(chunk)])
 
     def _spaced_word(self, word: str) -> bytes:
         """Ids of a space and ``word``."""
-        if word.isascii() and word.isalpha():  # one pre-token, whose letters stand for themselves
-            return self._token("Ġ" + word)
+        if word.isalpha():  # letters only: one pre-token
+            return self._token("Ġ" + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)))
+        if word[-1:] in self.marks and word[:-1].isalpha():
+            return self.spaced[word[:-1]] + self.marks[word[-1]]
         return self._chunk(" " + word)
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit numbers."""
         if any(s in text for s in self.special):
-            return self._whole(text)
-        for memory in (self.spaced, self.bare, self.tokens):
-            if len(memory) > MEMORY_WORDS:
-                memory.clear()
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        for memo in (self.tokens, self.spaced, self.bare):
+            memo.turn()
         if _RUN.search(text):
-            known, words, head = self.bare, _CHUNKS.findall(text), b""
-            new = self._chunk
-        else:
-            first, *words = text.split(" ")
-            known, new, head = self.spaced, self._spaced_word, self._chunk(first)
-        for word in set(words):
-            if word not in known:
-                known[word] = new(word)
-        return head + b"".join(map(known.__getitem__, words))
+            return b"".join(map(self.bare.__getitem__, _CHUNKS.findall(text)))
+        spaced, found = self.spaced.__getitem__, []
+        for line in text.split("\n"):
+            first, *words = line.split(" ")
+            found += (self.line_end, self.bare[first], *map(spaced, words))
+        return b"".join(found[1:])
+
+
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder that the tasks of a Python worker share, so that words are remembered across them."""
+    shared = sys.modules.setdefault("_postlens_worker", ModuleType("_postlens_worker"))
+    if path not in shared.__dict__:
+        shared.__dict__[path] = WordEncoder(path)
+    return shared.__dict__[path]
 
 
 def token_pieces(
@@ -114,7 +151,7 @@ def token_pieces(
     """(id, start, length, ids, doc_tokens): the pieces of every row; ``ids`` as little-endian 32-bit numbers."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             owners: list[int] = []
