@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, dedup, langid, mixing, packing, quality, secrets, urlrules
+from postlens.llm import chat, dedup, jaccard, langid, mixing, packing, quality, secrets, topk, urlrules
 from postlens.llm.common import cut, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,20 @@ URL_RULES = (
 QUALITY_FLOOR = 0.7
 
 
+#: Neighbours that the search query asks for.
+TOP_K = 10
+
+
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest sign codes of every vector whose id is divisible by 50, among all vectors."""
+    codes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), topk.sign_code("embedding").alias("code"))
+    return topk.search(codes, codes.where("id % 50 = 0"), TOP_K).withColumnRenamed("id", "vec_id")
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     presence = langid.Presence()
@@ -80,6 +94,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_topk_search": op1_topk_search,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
@@ -91,6 +107,17 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk_search": f"""
+        WITH signs AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits
+            FROM embeddings WHERE embedding IS NOT NULL
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.bits, c.bits), lambda z: abs(z[1] - z[2]))) AS BIGINT) AS distance
+            FROM (SELECT * FROM signs WHERE vec_id % 50 = 0) q, signs c
+        )
+        SELECT query_id, rank, vec_id, distance
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)
+        WHERE rank <= {TOP_K}""",
     "op5_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
