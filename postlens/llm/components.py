@@ -2,8 +2,9 @@
 
 Each round points every node at smaller neighbours of its neighbourhood: the number of edges never
 grows, and the number of rounds is logarithmic in practice even for long chains. A node's smallest
-neighbour is a partial aggregate, so a hub with a third of all edges is reduced before the shuffle;
-the join back to its edges is an equi-join that adaptive execution splits where it is skewed.
+neighbour is a partial aggregate, so a hub with a third of all edges is reduced before the shuffle.
+The minima are written before they are joined back to the edges: both sides of that join are then
+plain shuffles, which adaptive execution splits where a hub makes them uneven.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from postlens.llm.common import cut
 def _small_star(edges: DataFrame) -> DataFrame:
     """Connects each node's smaller neighbours, and the node, to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = down.join(least, "u")
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
@@ -25,7 +26,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connects each node's larger neighbours to the smallest of the node and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
@@ -38,7 +39,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now)), "star")
+        now = cut(_small_star(cut(_large_star(now), "star")), "star")
         # Unchanged counts and sums of both ends over a round mean that every edge is a star's.
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(seen) == state:
