@@ -96,7 +96,7 @@ class Model:
 
 
 def document_features(docs: DataFrame, id_col: str, text_col: str, class_col: str) -> DataFrame:
-    """(id, class, buckets, counts) of each row: its distinct features and how often each occurs."""
+    """(id, class, buckets, counts) of each row: its distinct features and how often each occurs, as packed 32-bit numbers."""
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -108,12 +108,12 @@ def document_features(docs: DataFrame, id_col: str, text_col: str, class_col: st
                     for bucket, _ in features(points, starts):
                         counts += np.bincount(bucket, minlength=1 << BITS).astype(np.int32)
                 used = np.flatnonzero(counts)
-                found.append((used.astype(np.int32), counts[used]))
+                found.append((used.astype(np.int32).tobytes(), counts[used].tobytes()))
             yield pd.DataFrame({"id": frame["id"], "class": frame["class"], "buckets": [f[0] for f in found], "counts": [f[1] for f in found]})
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(class_col).cast("int").alias("class"), F.col(text_col).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    return picked.mapInPandas(scan, f"id {kind}, class int, buckets array<int>, counts array<int>")
+    return picked.mapInPandas(scan, f"id {kind}, class int, buckets binary, counts binary")
 
 
 def descend(samples: list[tuple[int, np.ndarray, np.ndarray]], visits: int = VISITS, rate: float = RATE, seed: int = SEED) -> Model:
@@ -168,8 +168,8 @@ def fit(
     chosen = bounded_sample(known, "_label_id", "_class", sample_rows, SEED)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     pairs = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_label_id"))
-    rows = document_features(pairs, "_id", "_text", "_class").collect()
-    samples = [(r["class"], np.array(r["buckets"], dtype=np.int64), np.array(r["counts"])) for r in sorted(rows, key=lambda r: (r["id"], r["class"]))]
+    rows = sorted(document_features(pairs, "_id", "_text", "_class").collect(), key=lambda r: (r["id"], r["class"]))
+    samples = [(r["class"], np.frombuffer(r["buckets"], dtype=np.int32), np.frombuffer(r["counts"], dtype=np.int32)) for r in rows]
     return descend(samples) if len({s[0] for s in samples}) == 2 else None
 
 
