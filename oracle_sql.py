@@ -68,22 +68,21 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join([POSTINGS_CTE, *ctes]) + "\n"
 
 
-SIDE_PATTERNS = {
-    0: r"^([+]?[0-9]+)-[^-]+-*\z",
-    1: r"^[^-]*-([+]?[0-9]+)-*\z",
-}
-
-
 def salary_value(side: int, col: str = "salary") -> str:
-    return f"TRY_CAST(regexp_extract({col}, '{SIDE_PATTERNS[side]}', 1) AS INTEGER)"
+    """The integer part of a two-part salary, by splitting: no pattern is shared with the Spark rule."""
+    parts = f"string_split(rtrim({col}, '-'), '-')"  # Java drops trailing empty parts
+    part = f"{parts}[{side + 1}]"
+    digits = f"(CASE WHEN {part}[1] = '+' THEN substring({part}, 2) ELSE {part} END)"
+    return (
+        f"(CASE WHEN len({parts}) = 2 AND length({digits}) > 0 AND length(translate({digits}, '0123456789', '')) = 0 "
+        f"THEN TRY_CAST({digits} AS INTEGER) END)"
+    )
 
 
 def bucket_lo(v: str, grid) -> str:
+    """Lower edge of the first bucket of the listed grid that holds the value."""
     start, end, step = grid
-    return (
-        f"CAST(CASE WHEN CAST({v} AS BIGINT) >= {start} AND CAST({v} AS BIGINT) < {end} "
-        f"THEN CAST({v} AS BIGINT) - ((CAST({v} AS BIGINT) - {start}) % {step}) END AS INTEGER)"
-    )
+    return f"CAST(list_min(list_filter(range({start}, {end}, {step}), lambda lo: CAST({v} AS BIGINT) >= lo AND CAST({v} AS BIGINT) < least(lo + {step}, {end}))) AS INTEGER)"
 
 
 def bucket_hi(lo: str, grid) -> str:
@@ -121,30 +120,39 @@ def sql_list(words) -> str:
 
 
 DICT_CTE = f"dict(word) AS (VALUES {sql_list(schema.DEFAULT_KEYWORDS)})"
-HAN_LENGTHS_CTE = r"lens(L) AS (SELECT DISTINCT length(word) FROM dict WHERE regexp_full_match(word, '\p{Han}+'))"
 STOP_SQL = ", ".join("'" + w + "'" for w in schema.STOP_WORDS)
-WORD_PATTERN = r"\p{Han}+|(?:[^\P{L}\p{Han}]|\p{N})+"
 
 
-def keyword_tokens_cte(where: str, extra: str = "") -> list[str]:
-    """``kt`` (texts) and ``tok`` (tokens) CTEs for the keyword rule; ``extra`` columns carried."""
-    x = f"{extra}, " if extra else ""
-    return [
-        DICT_CTE,
-        HAN_LENGTHS_CTE,
-        f"kt AS (SELECT {x}lower(skills) AS t, skills AS raw FROM postings WHERE {where})",
-        f"""tok AS (
-      SELECT {x}unnest(regexp_extract_all(t, '[a-z]+')) AS token FROM kt
-      UNION ALL SELECT {x}unnest(regexp_extract_all(t, '[0-9]+(?:[,.]+[0-9]+)*')) FROM kt
-      UNION ALL SELECT {x}unnest(list_filter(regexp_extract_all(t, '[a-z0-9]+(?:[#&+\\-.@_]+[a-z0-9]+)*'),
-                     lambda w: NOT regexp_full_match(w, '[a-z]+')
-                               AND NOT regexp_full_match(w, '[0-9]+(?:[.]+[0-9]+)*'))) FROM kt
-      UNION ALL SELECT {x}substring(r, i, L) FROM (
-          SELECT {x}L, r, unnest(generate_series(1, length(r) - L + 1)) AS i
-          FROM (SELECT {x}unnest(regexp_extract_all(raw, '\\p{{Han}}+')) AS r FROM kt) runs, lens
-      ) g
-    )""",
-    ]
+def word_split(txt: str) -> str:
+    """Words by cutting at everything that is neither letter nor digit, Han stretches set apart."""
+    return f"list_filter(string_split_regex(regexp_replace(lower({txt}), '(\\p{{Han}}+)', ' \\1 ', 'g'), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+
+
+def occurrences(text: str, word: str, at: str) -> str:
+    """Whether ``word`` stands at position ``at`` of ``text`` by the rule of its kind: decided by the
+    characters next to it, position by position, not by extracting tokens."""
+    before, after = f"substring({text}, {at} - 1, 1)", f"substring({text}, {at} + length({word}), 1)"
+    first, last = f"substring({word}, 1, 1)", f"substring({word}, length({word}), 1)"
+    letter, alnum, gap = "'[a-z]'", "'[a-z0-9]'", r"'[\s,;|/()，；、。（）：:]'"
+    edge = f"({at} = 1 OR {{}}) AND ({at} + length({word}) > length({text}) OR {{}})"
+    return f"""(substring({text}, {at}, length({word})) = {word} AND CASE
+        WHEN regexp_full_match({word}, '[a-z]+') THEN {edge.format(f"NOT regexp_matches({before}, {letter})", f"NOT regexp_matches({after}, {letter})")}
+        WHEN regexp_full_match({word}, '\\p{{Han}}+') THEN true
+        WHEN regexp_full_match({word}, '[a-z0-9\\p{{Han}}]+') THEN {edge.format(f"NOT (regexp_matches({before}, {alnum}) AND regexp_matches({first}, {alnum}))", f"NOT (regexp_matches({after}, {alnum}) AND regexp_matches({last}, {alnum}))")}
+        ELSE {edge.format(f"regexp_matches({before}, {gap})", f"regexp_matches({after}, {gap})")} END)"""
+
+
+def found_words(texts: str, words: str = "dict") -> str:
+    """``token`` rows: every occurrence of every word of ``words`` in the column ``t`` of ``texts``."""
+    return (
+        f"SELECT word AS token FROM (SELECT t, word, unnest(range(1, length(t) - length(word) + 2)) AS pos "
+        f"FROM {texts}, {words} WHERE contains(t, word)) p WHERE {occurrences('t', 'word', 'pos')}"
+    )
+
+
+def keyword_tokens_cte(where: str) -> list[str]:
+    """``kt`` (texts) and ``tok`` (found dictionary words) CTEs."""
+    return [DICT_CTE, f"kt AS (SELECT lower(skills) AS t FROM postings WHERE {where})", f"tok AS ({found_words('kt')})"]
 
 
 def json_agg(key: str = "key", n: str = "n") -> str:
@@ -155,34 +163,52 @@ def json_agg(key: str = "key", n: str = "n") -> str:
 DIMS = [(c, q, lab) for c, q, lab in schema.DIMENSIONS]
 
 
-def dims_union(use: int, where: str) -> str:
+def dims_union(use: int, where: str, extra: str = "") -> str:
     return "\n      UNION ALL ".join(
-        f"SELECT '{d[use]}' AS dim, {d[0]} AS value FROM postings WHERE {where} AND {d[0]} <> ''" for d in DIMS
+        f"SELECT {extra}'{d[use]}' AS dim, {d[0]} AS value FROM postings WHERE {where} AND {d[0]} <> ''" for d in DIMS
     )
 
 
 def report_rows_sql() -> list[str]:
     g = schema.BATCH_GRID
-    ctes = keyword_tokens_cte("n_fields = 11")
+    ctes = keyed_tokens()
     ctes += [
-        f"v AS (SELECT n_fields, experience, education, {salary_value(0)} AS v0, {salary_value(1)} AS v1 FROM postings)",
+        f"v AS (SELECT id, n_fields, experience, education, {salary_value(0)} AS v0, {salary_value(1)} AS v1 FROM postings)",
         f"l AS (SELECT *, {bucket_lo('v0', g)} AS lo0, {bucket_lo('v1', g)} AS lo1 FROM v)",
         f"h AS (SELECT *, {bucket_hi('lo0', g)} AS hi0, {bucket_hi('lo1', g)} AS hi1 FROM l)",
-        f"""b AS (SELECT n_fields, experience, education,
+        f"""b AS (SELECT id, n_fields, experience, education,
               CASE WHEN {keep(False, 'lo0', 'hi0')} THEN {label('lo0', 'hi0')} END AS b0,
               CASE WHEN {keep(False, 'lo1', 'hi1')} THEN {label('lo1', 'hi1')} END AS b1 FROM h)""",
         f"""rows AS (
-      SELECT 'salary_0' AS section, b0 AS key FROM b WHERE n_fields = 11 AND b0 IS NOT NULL
-      UNION ALL SELECT 'salary_1', b1 FROM b WHERE n_fields = 11 AND b1 IS NOT NULL
-      UNION ALL SELECT 'salary3_0', b0 FROM b WHERE n_fields = 11 AND {COHORT} AND b0 IS NOT NULL
-      UNION ALL SELECT 'salary3_1', b1 FROM b WHERE n_fields = 11 AND {COHORT} AND b1 IS NOT NULL
-      UNION ALL {dims_union(1, 'n_fields >= 10')}
-      UNION ALL SELECT 'skill_bg', token FROM tok WHERE token IN (SELECT word FROM dict)
+      SELECT id, 'salary_0' AS section, b0 AS key FROM b WHERE n_fields = 11 AND b0 IS NOT NULL
+      UNION ALL SELECT id, 'salary_1', b1 FROM b WHERE n_fields = 11 AND b1 IS NOT NULL
+      UNION ALL SELECT id, 'salary3_0', b0 FROM b WHERE n_fields = 11 AND {COHORT} AND b0 IS NOT NULL
+      UNION ALL SELECT id, 'salary3_1', b1 FROM b WHERE n_fields = 11 AND {COHORT} AND b1 IS NOT NULL
+      UNION ALL SELECT id, dim, value FROM ({dims_union(1, 'n_fields >= 10', 'id, ')}) d
+      UNION ALL SELECT id, 'skill_bg', token FROM ktok
     )""",
     ]
     return ctes
 
 
+def keyed_tokens() -> list[str]:
+    """``ktok`` (id, token): the dictionary words found in each full posting."""
+    found = found_words("kt").replace("SELECT word AS token", "SELECT id, word AS token").replace("(SELECT t, word,", "(SELECT id, t, word,")
+    return [DICT_CTE, "kt AS (SELECT id, lower(skills) AS t FROM postings WHERE n_fields = 11)", f"ktok AS ({found})"]
+
+
+def keyed_report(row_key: str) -> list[str]:
+    """``krep`` (row_key, section, key, n): the report of each row key, a rule on the posting's id."""
+    return [*report_rows_sql(), f"krep AS (SELECT {row_key} AS row_key, section, key, CAST(count(*) AS BIGINT) AS n FROM rows GROUP BY ALL)"]
+
+
+CELLS_SQL = (
+    "SELECT row_key, 'info' AS family, section AS qualifier, "
+    + json_agg()
+    + " AS value FROM krep GROUP BY row_key, section"
+)
+
+
 def stream_ctes() -> list[str]:
     g = schema.STREAM_GRID
     ctes = keyword_tokens_cte("n_fields = 11")
@@ -275,6 +301,11 @@ def queries() -> dict[str, str]:
         f"FROM i WHERE idx >= 1 AND idx < {len(EDGES)})",
     ) + f"SELECT {label()} AS bucket, lo, hi, CAST(count(*) AS BIGINT) AS n FROM lh GROUP BY lo, hi"
 
+    q["salary_grid"] = _with(
+        f"v AS (SELECT {salary_value(0)} AS v FROM postings WHERE n_fields = 11)",
+        "g AS (SELECT CAST(lo AS INTEGER) AS lo, CAST(least(lo + 7000, 90000) AS INTEGER) AS hi FROM range(0, 90000, 7000) r(lo))",
+    ) + f"SELECT {label()} AS bucket, lo, hi, CAST(count(v) AS BIGINT) AS n FROM g LEFT JOIN v ON v >= lo AND v < hi GROUP BY lo, hi"
+
     q["salary_report"] = _with(
         f"v AS (SELECT ({COHORT}) AS c, {salary_value(1)} AS v FROM postings WHERE n_fields = 11)",
         f"l AS (SELECT c, {bucket_lo('v', bg)} AS lo FROM v)",
@@ -304,7 +335,7 @@ def queries() -> dict[str, str]:
     def word_count(src: str) -> str:
         return (
             f"wc AS (SELECT token, CAST(count(*) AS BIGINT) AS n FROM ("
-            f"SELECT unnest(regexp_extract_all(lower(txt), '{WORD_PATTERN}')) AS token FROM ({src}) s"
+            f"SELECT unnest({word_split('txt')}) AS token FROM ({src}) s"
             f") t WHERE token NOT IN ({STOP_SQL}) GROUP BY token)"
         )
 
@@ -319,6 +350,19 @@ def queries() -> dict[str, str]:
         "CAST(0 AS BIGINT) AS version FROM rep GROUP BY section"
     )
 
+    q["source_file_key"] = _with(*keyed_report("'part=' || CAST(id % 3 AS VARCHAR)")) + CELLS_SQL
+    q["job_cells"] = _with(*keyed_report("'postings'")) + CELLS_SQL
+    q["tab_word_count"] = _with(word_count("SELECT skills AS txt FROM postings WHERE n_fields > 10")) + "SELECT token, n FROM wc"
+
+    from postlens.plans.registry import USER_WORDS
+
+    q["user_dictionary_count"] = _with(
+        f"dict(word) AS (VALUES {sql_list(sorted({w.lower() for w in USER_WORDS}))})",
+        "kt AS (SELECT lower(skills) AS t FROM postings WHERE n_fields = 11 UNION ALL SELECT lower(text) FROM documents)",
+        f"tok AS ({found_words('kt')})",
+    ) + "SELECT token, CAST(count(*) AS BIGINT) AS n FROM tok GROUP BY token"
+    q["dimension_files"] = q["dimension_counts"]
+
     cells = (
         "cells AS (SELECT CAST(user_id AS VARCHAR) AS row_key, 'info' AS family, event_type AS qualifier, "
         "props AS value, event_id AS version FROM events)"
@@ -341,21 +385,16 @@ def queries() -> dict[str, str]:
         "SELECT row_key, string_agg(qualifier || ':' || value, chr(9) ORDER BY qualifier, value) AS text "
         "FROM lat GROUP BY row_key"
     )
-    q["result_store_keys"] = f"WITH {cells} SELECT DISTINCT row_key FROM cells"
+    q["result_store_keys"] = f"WITH {cells} SELECT DISTINCT row_key FROM cells WHERE row_key LIKE '_1%'"
 
     q["common_owner_lookup"] = """
-    WITH idx AS (
-      SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS member, CAST(l_orderkey AS VARCHAR) AS owner FROM lineitem
-      UNION SELECT DISTINCT 's' || CAST(l_suppkey AS VARCHAR), CAST(l_orderkey AS VARCHAR) FROM lineitem
-    ),
-    wanted AS (
-      SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS a, 's' || CAST(l_suppkey AS VARCHAR) AS b FROM lineitem
-    ),
-    r AS (
-      SELECT DISTINCT w.a, w.b, i1.owner
-      FROM wanted w JOIN idx i1 ON i1.member = w.a JOIN idx i2 ON i2.member = w.b AND i2.owner = i1.owner
-    )
-    SELECT a, b, ':' || string_agg(owner, ':' ORDER BY owner) AS owners FROM r GROUP BY a, b"""
+    WITH wanted AS (SELECT DISTINCT l_partkey AS part, l_suppkey AS supplier FROM lineitem),
+    p AS (SELECT DISTINCT l_partkey AS part, l_orderkey FROM lineitem),
+    s AS (SELECT DISTINCT l_suppkey AS supplier, l_orderkey FROM lineitem)
+    SELECT CAST(part AS BIGINT) AS part, CAST(supplier AS BIGINT) AS supplier, l_orderkey FROM wanted JOIN p USING (part) JOIN s USING (supplier, l_orderkey)"""
+    q["common_members"] = """
+    SELECT c_mktsegment AS a, o_orderstatus AS b, CAST(o_orderkey AS VARCHAR) AS owner
+    FROM orders JOIN customer ON o_custkey = c_custkey"""
 
     stream = stream_ctes()
     total = "SELECT metric, dim, key, CAST(count(*) AS BIGINT) AS n FROM srows WHERE metric = '{m}' GROUP BY metric, dim, key"
@@ -366,4 +405,6 @@ def queries() -> dict[str, str]:
     q["stream_report"] = _with(*stream) + "SELECT metric, dim, key, CAST(count(*) AS BIGINT) AS n FROM srows GROUP BY metric, dim, key"
     q["stream_report_json"] = _with(*stream, *stream_json_ctes("job")) + "SELECT key, value FROM docs"
 
+    q["stream_json_store"] = q["stream_report_json"]
+    q["stream_restart"] = q["stream_report"]
     return q

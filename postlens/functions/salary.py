@@ -29,8 +29,7 @@ def check_grid(start: int, end: int, step: int) -> None:
 
 
 def grid_frame(spark, start: int, end: int, step: int):
-    """``lo, hi`` rows of the grid as a DataFrame (``sequence`` + ``explode``; empty when
-    ``start >= end``)."""
+    """``lo, hi`` — the buckets of a grid in order (F1); the last one is clipped to ``end``."""
     check_grid(start, end, step)
     if start >= end:
         return spark.createDataFrame([], "lo int, hi int")
@@ -38,12 +37,6 @@ def grid_frame(spark, start: int, end: int, step: int):
     return spark.range(1).select(lo).select("lo", bucket_hi(F.col("lo"), end, step).alias("hi"))
 
 
-def grid_buckets(start: int, end: int, step: int) -> list[tuple[int, int]]:
-    """The buckets of a grid, for docs and tests (a handful of pairs; never data)."""
-    check_grid(start, end, step)
-    return [(lo, min(lo + step, end)) for lo in range(start, end, step)]
-
-
 def salary_part(salary: Column | str, side: int, on_bad: str = "null") -> Column:
     """The integer at ``side`` of ``"lo-hi"`` or NULL (wrong shape, not an integer, overflow).
 
@@ -74,13 +67,6 @@ def bucket_hi(lo: Column, end: int, step: int) -> Column:
     return F.when(lo.isNotNull(), F.least(lo.cast("bigint") + F.lit(step), F.lit(end)).cast("int"))
 
 
-def salary_bucket(salary: Column | str, side: int, grid: Sequence[int], on_bad: str = "null") -> tuple[Column, Column]:
-    """``(lo, hi)`` of the bucket of a salary text; both NULL when it has none."""
-    start, end, step = grid
-    lo = bucket_lo(salary_part(salary, side, on_bad), start, end, step)
-    return lo, bucket_hi(lo, end, step)
-
-
 def bucket_label(lo: Column, hi: Column) -> Column:
     """``"lo-hi"`` key of a bucket."""
     return F.concat(lo.cast("string"), F.lit("-"), hi.cast("string"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens import schema
-from postlens.functions.jsonfmt import json_object
+from postlens.functions.jsonfmt import chunk_name, chunked, json_object
 from postlens.operators.rank import row_number_within
 
 Dim = tuple[str, str, str]  # (column, qualifier, label)
@@ -50,14 +50,16 @@ def ranked(dim_counts: DataFrame) -> DataFrame:
 
 
 def as_json(dim_counts: DataFrame, key: str = "dim") -> DataFrame:
-    """``<key>, json`` — one JSON object ``{value: n}`` per dimension.
+    """``<key>, json`` — one JSON object ``{value: n}`` per dimension, in chunks (``<key>#1``, ...)
+    where a dimension has more values than a document holds."""
+    docs = chunked(dim_counts, [key], "value").groupBy(key, "chunk").agg(json_object("value", "n").alias("json"))
+    return docs.select(chunk_name(F.col(key)).alias(key), "json")
 
-    Input rows are already one per distinct value, so each group holds the distinct values of one
-    dimension (its category list), not the postings.
-    """
-    return dim_counts.groupBy(key).agg(json_object("value", "n").alias("json"))
 
+def write_by_dimension(dim_counts: DataFrame, path: str) -> None:
+    """Writes ``(dim, value, n)`` rows with one folder per dimension (the custom partitioner, U4).
 
-def by_dimension(df: DataFrame, num_partitions: int, dim_col: str = "dim") -> DataFrame:
-    """Hash-partition ``(dim, value)`` rows by dimension (the custom-partitioner form, U4)."""
-    return df.repartition(num_partitions, dim_col)
+    The partitioner becomes the layout of the output: a reader of one dimension reads its folder
+    only. Rows keep the partitions of their aggregate, so no dimension is gathered into one task.
+    """
+    dim_counts.write.mode("overwrite").partitionBy("dim").parquet(path)

@@ -1,7 +1,9 @@
 """Common owners of member pairs (C6 re-aimed; F14, A13).
 
 Input lists are lines ``"owner m1 m2 ..."``. For a pair of members ``(a, b)`` the answer is the
-owners whose list holds both, written ``":o1:o2..."`` (owners sorted).
+owners whose list holds both, one row ``(a, b, owner)`` each: a pair of hot members may share a
+large part of all owners, so they are never gathered into one value. Counts per pair come from
+:func:`pair_counts`.
 
 The reference enumerates every pair inside every list; the number of pairs is quadratic in the
 list length, and a hot list would put all of that into one task. We do not enumerate pairs.
@@ -13,7 +15,10 @@ equi-joins:
 2. ``pairs ⋈ index`` on ``a`` gives the candidate owners of ``a``;
 3. a left-semi join on ``(b, owner)`` keeps the owners that also list ``b``.
 
-Both joins are plain shuffle joins (AQE splits skewed keys); nothing is collected per list.
+Both joins are plain shuffle joins (AQE splits skewed keys); nothing is collected per list. The
+candidates of a pair are as many as the owners of its rarer member, so the work is the sum of
+those over the pairs asked for: it grows faster than the input if many pairs of frequent members
+are asked for.
 """
 
 from __future__ import annotations
@@ -93,15 +98,6 @@ def owners_for_pairs(index: DataFrame, pairs: DataFrame, ordered: bool = False,
     return both.where(pos_a < pos_b).select("a", "b", "owner")
 
 
-def common_owners(lists: DataFrame, pairs: DataFrame, ordered: bool = True, salt: int = 1) -> DataFrame:
-    """``a, b, owners`` — ``":o1:o2..."`` per requested pair with at least one common owner.
-
-    Each group is the owners shared by one pair, never a whole list or the table.
-    """
-    return owner_strings(common_owner_rows(lists, pairs, ordered, salt))
-
-
-def owner_strings(rows: DataFrame) -> DataFrame:
-    """``a, b, owners`` — the owners of each pair as ``":o1:o2..."`` (sorted)."""
-    owners = F.concat(F.lit(":"), F.array_join(F.array_sort(F.collect_list("owner")), ":"))
-    return rows.groupBy("a", "b").agg(owners.alias("owners"))
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """``a, b, n`` — the number of owners of each pair."""
+    return rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens import schema
-from postlens.functions.salary import bucket_hi, bucket_label, bucket_lo, edge_bucket, keep_bucket, salary_part
+from postlens.functions.salary import bucket_hi, bucket_label, bucket_lo, edge_bucket, grid_frame, keep_bucket, salary_part
 
 
 def bucketed(postings: DataFrame, sides: Sequence[int], grid: Sequence[int], keep: Sequence[str] = ()) -> DataFrame:
@@ -98,3 +98,11 @@ def edge_histogram(postings: DataFrame, edges: Sequence[int], side: int = schema
         .where(F.col("n") > 0)
         .select(bucket_label(F.col("lo"), F.col("hi")).alias("bucket"), "lo", "hi", "n")
     )
+
+
+def full_grid_histogram(postings: DataFrame, side: int = schema.CEILING, grid: Sequence[int] = schema.BATCH_GRID) -> DataFrame:
+    """``bucket, lo, hi, n`` for every bucket of the grid (F1), with 0 where no posting falls."""
+    counted = histogram(postings, side, grid).select("lo", "hi", "n")
+    buckets = grid_frame(postings.sparkSession, *grid)
+    joined = buckets.join(counted, ["lo", "hi"], "left")
+    return joined.select(bucket_label(F.col("lo"), F.col("hi")).alias("bucket"), "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))

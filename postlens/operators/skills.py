@@ -1,34 +1,41 @@
 """Skill keyword counts (A9, J1) and word counts.
 
-Keyword counting explodes the tokens of each posting and keeps those in the dictionary with a
-left-semi join. The dictionary is broadcast only after its row count is checked; beyond the bound
-the planner shuffles both sides. Counting is a partial + final aggregate, so a token that occurs
-in a third of all postings becomes one row per task before the shuffle.
+Keyword counting explodes the tokens of each posting, counts them, and keeps the counts of
+dictionary words with a left-semi join. The join comes after the count, so it sees one row per
+distinct token: whether the planner broadcasts the dictionary (by its size in bytes) or shuffles
+both sides, a token that occurs in a third of all postings is one row per task by then.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.text import keyword_tokens, word_tokens
+from postlens.functions.text import HAN_RULE, MIXED_RULE, RUN_RULE, keyword_tokens, word_rule, word_tokens
 from postlens.operators.rank import row_number_within
-from postlens.plans.broadcast import broadcast_if_small
 
-DICTIONARY_MAX_ROWS = 1_000_000
+Needs = Mapping[str, Sequence[int]]
 
 
-def han_word_lengths(dictionary: DataFrame) -> list[int]:
-    """Distinct lengths of the Han dictionary words (a handful of integers, e.g. [2, 4])."""
-    rows = (
-        dictionary.where(F.col("word").rlike(r"^\p{IsHan}+$"))
-        .select(F.length("word").alias("n"))
-        .distinct()
-        .collect()
-    )
-    return sorted(r["n"] for r in rows)
+def dictionary_needs(dictionary: DataFrame) -> dict[str, list[int]]:
+    """What the dictionary's words ask of the tokenizer: the distinct lengths of its Han words and
+    of its words of mixed script, and the distinct numbers of runs of its words with symbols or
+    spaces (a handful of integers each, e.g. ``{"han": [2, 4]}``).
+
+    A word that no rule can find is an error, not a silent zero.
+    """
+    words = dictionary.select("word", word_rule("word").alias("rule"))
+    size = F.when(F.col("rule") == RUN_RULE, F.size(F.split("word", " "))).otherwise(F.length("word"))
+    kinds = words.groupBy("rule", F.when(F.col("rule").isin(HAN_RULE, MIXED_RULE, RUN_RULE), size).alias("n")).agg(F.min("word").alias("example"))
+    needs: dict[str, list[int]] = {}
+    for r in kinds.collect():
+        if r["rule"] is None:
+            raise ValueError(f"no token rule finds the dictionary word {r['example']!r}: it holds separators")
+        if r["n"] is not None:
+            needs.setdefault(r["rule"], []).append(r["n"])
+    return {rule: sorted(n) for rule, n in needs.items()}
 
 
 # A tokenizer maps a text column to an ARRAY<STRING> column. The default rules are built-in
@@ -39,12 +46,12 @@ Tokenizer = Callable[[Column], Column]
 def tokens(
     postings: DataFrame,
     text_col: str,
-    han_lengths: Iterable[int],
+    needs: Needs,
     tokenizer: Tokenizer | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``keep..., token`` rows of the keyword tokens of ``text_col``."""
-    toks = tokenizer(F.col(text_col)) if tokenizer else keyword_tokens(text_col, han_lengths)
+    toks = tokenizer(F.col(text_col)) if tokenizer else keyword_tokens(text_col, needs)
     return postings.select(*keep, F.explode(toks).alias("token"))
 
 
@@ -52,22 +59,15 @@ def keyword_counts(
     postings: DataFrame,
     dictionary: DataFrame,
     text_col: str = "skills",
-    han_lengths: Sequence[int] | None = None,
+    needs: Needs | None = None,
     tokenizer: Tokenizer | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """``by..., token, n`` — occurrences of each dictionary word in ``text_col``."""
-    if tokenizer is not None:
-        lengths = []
-    else:
-        lengths = han_word_lengths(dictionary) if han_lengths is None else list(han_lengths)
-    words = broadcast_if_small(dictionary.select(F.col("word").alias("token")), DICTIONARY_MAX_ROWS)
-    return (
-        tokens(postings, text_col, lengths, tokenizer, keep=by)
-        .join(words, "token", "left_semi")
-        .groupBy(*by, "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    if needs is None:
+        needs = {} if tokenizer is not None else dictionary_needs(dictionary)
+    counted = tokens(postings, text_col, needs, tokenizer, keep=by).groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(dictionary.select(F.col("word").alias("token")), "token", "left_semi").select(*by, "token", "n")
 
 
 def without_stop_words(toks: DataFrame, stop: DataFrame | Sequence[str] | None) -> DataFrame:
@@ -75,7 +75,7 @@ def without_stop_words(toks: DataFrame, stop: DataFrame | Sequence[str] | None)
     if stop is None:
         return toks
     if isinstance(stop, DataFrame):
-        return toks.join(broadcast_if_small(stop.select(F.col("word").alias("token")), DICTIONARY_MAX_ROWS), "token", "left_anti")
+        return toks.join(stop.select(F.col("word").alias("token")), "token", "left_anti")
     return toks.where(~F.col("token").isin(list(stop)))
 
 
@@ -85,6 +85,8 @@ def word_counts(
     """``token, n`` — word count of ``text_col`` (stop words removed when given)."""
     toks_col = tokenizer(F.col(text_col)) if tokenizer else word_tokens(text_col)
     toks = texts.select(F.explode(toks_col).alias("token"))
+    if isinstance(stop, DataFrame):  # joined after the count, as the dictionary is
+        return without_stop_words(toks.groupBy("token").agg(F.count(F.lit(1)).alias("n")), stop)
     return without_stop_words(toks, stop).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -1,15 +1,17 @@
 """Result store: versioned cells in an append-only parquet table.
 
 A cell is ``(row_key, family, qualifier, value, version)``, the wide-row model of the reference's
-sink. Each write goes to its own ``batch=<id>`` directory with ``overwrite``, so replaying a batch
-(a retried job, a restarted stream) replaces that batch instead of duplicating it. Reads resolve
-"last write wins" with ``max_by(value, version)`` — a distributed aggregate with partial
+sink. A write is one run of one job and goes to ``job=<name>/run=<id>`` with ``overwrite``:
+replaying a run replaces that run alone, and jobs that share a store never touch each other's
+cells. The run id is the version of its cells; :func:`new_run` gives ids that grow with time. Reads
+resolve "last write wins" with ``max_by(value, version)``, a distributed aggregate with partial
 aggregation, so a hot row key is reduced map-side.
 """
 
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,16 +36,28 @@ def as_cells(df: DataFrame, row_key, family, qualifier, value, version) -> DataF
     )
 
 
-def write_cells(cells: DataFrame, store: str, batch_id: int | str) -> str:
-    """Writes ``cells`` as batch ``batch_id`` (idempotent: a rewrite replaces the batch)."""
-    path = f"{store.rstrip('/')}/batch={batch_id}"
+def new_run() -> int:
+    """A run id after all earlier ones (milliseconds of the clock)."""
+    return time.time_ns() // 1_000_000
+
+
+def run_path(store: str, job: str, run: int) -> str:
+    return f"{store.rstrip('/')}/job={job}/run={run}"
+
+
+def write_cells(cells: DataFrame, store: str, job: str, run: int) -> str:
+    """Writes ``cells`` as run ``run`` of ``job`` (a rewrite replaces that run)."""
+    path = run_path(store, job, run)
     cells.select(*CELL_COLUMNS).write.mode("overwrite").parquet(path)
     return path
 
 
-def read_cells(spark: SparkSession, store: str) -> DataFrame:
-    """All cells ever written (with the ``batch`` partition column)."""
-    return spark.read.schema(CELL_SCHEMA + ", batch string").parquet(store)
+def read_cells(spark: SparkSession, store: str, job: str | None = None, run: int | None = None) -> DataFrame:
+    """All cells ever written, with the columns ``job`` and ``run``; or those of one job or run."""
+    path = store.rstrip("/")
+    if job is not None:
+        path = f"{path}/job={job}" if run is None else run_path(store, job, run)
+    return spark.read.schema(CELL_SCHEMA + ", job string, run bigint").option("basePath", store).parquet(path)
 
 
 def latest(cells: DataFrame) -> DataFrame:
@@ -53,16 +67,15 @@ def latest(cells: DataFrame) -> DataFrame:
     )
 
 
-def pivot(latest_cells: DataFrame, family: str | None = None, qualifiers: Sequence[str] | None = None) -> DataFrame:
-    """One row per ``row_key`` with one column per qualifier (the read-back of a wide row).
+def pivot(cells: DataFrame, qualifiers: Sequence[str], family: str | None = None) -> DataFrame:
+    """One row per ``row_key`` with the newest value of each qualifier in a column of its own (the
+    read-back of a wide row).
 
-    Pass ``qualifiers`` when known; otherwise Spark finds the distinct qualifiers first (bounded
-    by the number of columns of the wide table, not by rows).
+    Works on raw or latest cells: newest value and pivot are one aggregate, with one shuffle.
     """
-    df = latest_cells if family is None else latest_cells.where(F.col("family") == family)
-    grouped = df.groupBy("row_key")
-    grouped = grouped.pivot("qualifier", list(qualifiers)) if qualifiers is not None else grouped.pivot("qualifier")
-    return grouped.agg(F.max_by("value", "version"))
+    df = cells if family is None else cells.where(F.col("family") == family)
+    newest = [F.max_by("value", F.when(F.col("qualifier") == q, F.col("version"))).alias(q) for q in qualifiers]
+    return df.where(F.col("qualifier").isin(list(qualifiers))).groupBy("row_key").agg(*newest)
 
 
 def as_text(latest_cells: DataFrame, family: str | None = None) -> DataFrame:
@@ -95,13 +108,3 @@ def keys(cells: DataFrame, pattern: str = "*") -> DataFrame:
     if pattern != "*":
         df = df.where(F.col("row_key").rlike(glob_regex(pattern)))
     return df.distinct()
-
-
-def compact(spark: SparkSession, store_path: str, new_store: str) -> str:
-    """Writes the latest view of ``store_path`` as batch 0 of ``new_store`` and returns it.
-
-    A long-running stream leaves one directory per micro-batch; readers can switch to the
-    compacted store (the old one is left as it is, for readers still using it).
-    """
-    write_cells(latest(read_cells(spark, store_path)), new_store, 0)
-    return new_store

@@ -8,8 +8,12 @@ and count them with a single aggregate. The pieces here keep that plan lean:
 * ``explode_cells`` emits the fixed cells and the tokens with one ``posexplode`` over a plain
   string array (a generator that stays in whole-stage codegen) and looks the cell's tags up by
   position;
-* ``keep_dictionary_tokens`` keeps the token cells that are dictionary words with one broadcast
-  (size-checked) left join, so the other cells pass through the same probe — no second scan.
+* ``keep_dictionary_counts`` (batch) keeps the counted token cells that are dictionary words: the
+  semi-join comes after the one aggregate, so only distinct tokens meet the dictionary, and the
+  other cells never do; both branches read the same aggregate (one scan);
+* ``keep_dictionary_tokens`` (stream, before the state) keeps the token cells that are dictionary
+  words. The planner broadcasts a small dictionary; a large one is shuffled, and then tokens are
+  salted so that a hot one spreads, and the other cells are spread evenly.
 """
 
 from __future__ import annotations
@@ -20,8 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.salary import bucket_hi, bucket_label, bucket_lo, keep_bucket, salary_part
-from postlens.operators.skills import DICTIONARY_MAX_ROWS
-from postlens.plans.broadcast import broadcast_if_small
 
 
 def empty_tokens() -> Column:
@@ -73,10 +75,30 @@ def explode_cells(
     )
 
 
+#: Slices that a hot token is dealt into before a shuffle join with the dictionary (streams).
+TOKEN_SLICES = 8
+
+
+def keep_dictionary_counts(counted: DataFrame, dictionary: DataFrame, tag: str, token_tag: str, columns: Sequence[str]) -> DataFrame:
+    """Drops counted rows tagged ``token_tag`` whose key is not a dictionary word; others pass.
+
+    The rows are split above a generator, below which Catalyst pushes no filter: both branches
+    keep the same aggregate underneath, so its exchange is computed once and reused.
+    """
+    kind = F.explode(F.array(F.col(tag) == token_tag)).alias("_token")
+    split = counted.select(*columns, kind)
+    words = dictionary.select(F.col("word").alias("_dw"))
+    kept = split.where(F.col("_token")).join(words, F.col("key") == F.col("_dw"), "left_semi")
+    return split.where(~F.col("_token")).unionByName(kept).select(*columns)
+
+
 def keep_dictionary_tokens(rows: DataFrame, dictionary: DataFrame, tag: str, token_tag: str, columns: Sequence[str]) -> DataFrame:
     """Drops rows tagged ``token_tag`` whose key is not a dictionary word; other rows pass."""
-    words = broadcast_if_small(
-        dictionary.select(F.lit(token_tag).alias("_dt"), F.col("word").alias("_dw")), DICTIONARY_MAX_ROWS
-    )
-    joined = rows.join(words, (F.col(tag) == F.col("_dt")) & (F.col("key") == F.col("_dw")), "left")
-    return joined.where((F.col(tag) != token_tag) | F.col("_dw").isNotNull()).select(*columns)
+    slices = F.sequence(F.lit(0), F.lit(TOKEN_SLICES - 1))
+    words = dictionary.select(F.col("word").alias("_dw"), F.explode(slices).alias("_ds"))
+    is_token = F.col(tag) == token_tag
+    spread = F.floor(F.rand(7) * TOKEN_SLICES).cast("int")  # any slice finds the word; its counts are the same
+    # No word has slice -1, so the other cells never match; their own keys spread them.
+    salted = rows.withColumn("_slice", F.when(is_token, spread).otherwise(F.lit(-1)))
+    joined = salted.join(words, (F.col("key") == F.col("_dw")) & (F.col("_slice") == F.col("_ds")), "left")
+    return joined.where(~is_token | F.col("_dw").isNotNull()).select(*columns)

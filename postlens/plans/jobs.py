@@ -1,8 +1,9 @@
 """End-to-end batch jobs: files in, result store (or sorted text) out.
 
 These are the composite jobs (C1, C2, C3, C5) as a user runs them. Each reads the posting files
-once and writes its cells under the file name as row key (one report per input file, in one job)
-into a batch of the result store; a rerun with the same ``batch_id`` replaces its own output.
+once. Reports are keyed by the last name of each given path, whatever number of files it holds
+(``source="file"``: by each file), and written as one run of the job into the result store. A
+rerun with the same ``run`` replaces its own output; by default a run is new, and later runs win.
 """
 
 from __future__ import annotations
@@ -13,69 +14,74 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens import schema
-from postlens.functions.jsonfmt import json_object
 from postlens.functions.parse import gate
 from postlens.operators import skills, store
 from postlens.plans import report
-from postlens.sources.text import dictionary_name, keyword_dictionary, read_postings
+from postlens.sources.text import Paths, dictionary_name, keyword_dictionary, read_postings
 
 
-def _write_json_cells(spark: SparkSession, counted: DataFrame, qualifier, key: str, store_path: str, batch_id: int) -> DataFrame:
-    """``source, <qualifier>, <key>, n`` counts -> one JSON cell per (file, qualifier)."""
-    q = F.col(qualifier) if isinstance(qualifier, str) else qualifier
-    grouped = counted.groupBy("source", q.alias("_q")).agg(json_object(key, "n").alias("value"))
-    cells = store.as_cells(grouped, "source", F.lit(schema.STORE_FAMILY), "_q", "value", F.lit(batch_id))
-    store.write_cells(cells, store_path, batch_id)
-    return store.read_cells(spark, f"{store_path.rstrip('/')}/batch={batch_id}")
+def _write(spark: SparkSession, cells: DataFrame, store_path: str, job: str, run: int) -> DataFrame:
+    store.write_cells(cells, store_path, job, run)
+    return store.read_cells(spark, store_path, job, run)
 
 
 def full_report_job(
     spark: SparkSession,
-    path: str | list[str],
+    path: Paths,
     store_path: str,
     dictionary_path: str | None = None,
     grid: Sequence[int] = schema.BATCH_GRID,
-    batch_id: int = 0,
+    run: int | None = None,
+    source: str = "path",
+    rebalance: bool = False,
 ) -> DataFrame:
-    """Salary (both sides, and the cohort), keywords and the five dimensions of every input
-    file, as cells ``(file name, 'info', section, json)``. Returns the cells written."""
+    """Salary (both sides, and the cohort), keywords and the five dimensions of every report,
+    as cells ``(row key, 'info', section, json)``. Returns the cells written."""
+    run = store.new_run() if run is None else run
+    name = dictionary_name(dictionary_path)
     cells = report.report_cells_by_source(
-        read_postings(spark, path, with_source=True),
+        read_postings(spark, path, source=source, rebalance=rebalance),
         keyword_dictionary(spark, path=dictionary_path),
-        version=batch_id,
-        dictionary_name=dictionary_name(dictionary_path),
+        version=run,
+        dictionary_name=name,
         grid=grid,
     )
-    store.write_cells(cells, store_path, batch_id)
-    return store.read_cells(spark, f"{store_path.rstrip('/')}/batch={batch_id}")
+    return _write(spark, cells, store_path, "report", run)
 
 
 def salary_job(
     spark: SparkSession,
-    path: str | list[str],
+    path: Paths,
     store_path: str,
     side: int = schema.CEILING,
     grid: Sequence[int] = schema.BATCH_GRID,
-    batch_id: int = 0,
+    run: int | None = None,
+    source: str = "path",
+    rebalance: bool = False,
 ) -> DataFrame:
-    """``salary_<side>`` and ``salary3_<side>`` cells per input file."""
-    rows = report.salary_rows(read_postings(spark, path, with_source=True), side, grid, keep=("source",))
+    """``salary_<side>`` and ``salary3_<side>`` cells of every report."""
+    run = store.new_run() if run is None else run
+    rows = report.salary_rows(read_postings(spark, path, source=source, rebalance=rebalance), side, grid, keep=("source",))
     counted = rows.groupBy("source", "qualifier", "key").agg(F.count(F.lit(1)).alias("n"))
-    return _write_json_cells(spark, counted, "qualifier", "key", store_path, batch_id)
+    return _write(spark, report.json_cells(counted, F.col("source"), "qualifier", "key", run), store_path, f"salary_{side}", run)
 
 
 def keyword_job(
     spark: SparkSession,
-    path: str | list[str],
+    path: Paths,
     store_path: str,
     dictionary_path: str | None = None,
-    batch_id: int = 0,
+    run: int | None = None,
+    source: str = "path",
+    rebalance: bool = False,
 ) -> DataFrame:
-    """One ``skill_<dictionary name>`` cell per input file."""
-    posts = gate(read_postings(spark, path, with_source=True), exact=schema.GATE_FULL)
+    """The ``skill_<dictionary name>`` cell of every report."""
+    run = store.new_run() if run is None else run
+    posts = gate(read_postings(spark, path, source=source, rebalance=rebalance), exact=schema.GATE_FULL)
+    name = report.skill_section(dictionary_name(dictionary_path))
     counted = skills.keyword_counts(posts, keyword_dictionary(spark, path=dictionary_path), by=("source",))
-    qualifier = F.lit(f"skill_{dictionary_name(dictionary_path)}")
-    return _write_json_cells(spark, counted, qualifier, "token", store_path, batch_id)
+    cells = report.json_cells(counted.withColumn("qualifier", F.lit(name)), F.col("source"), "qualifier", "token", run)
+    return _write(spark, cells, store_path, name, run)
 
 
 def word_count_job(spark: SparkSession, path: str | list[str], out_path: str, sep: str = "\t") -> None:

@@ -3,7 +3,7 @@
 Posting queries read the posting lines Spark derives from ``orders ⋈ customer ⋈ nation`` (one per
 order); the result-store queries read ``events``; the document word count reads ``documents``.
 Queries that exercise a file source or sink first write the derived lines / cells to a fresh
-folder under the shared checkpoint directory.
+folder under the shared checkpoint directory, with the partitions they have.
 """
 
 from __future__ import annotations
@@ -13,13 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens import schema
+from postlens import fs, schema
 from postlens.functions.parse import gate, postings
 from postlens.operators import dimensions, pairs, salary, skills, store
-from postlens.plans import report
+from postlens.plans import jobs, report
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines, table
-from postlens.sources.text import keyword_dictionary, read_postings, stream_lines, write_lines
+from postlens.sources.text import keyword_dictionary, stream_lines, write_lines
 from postlens.streaming import report as stream_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,11 @@ def q_salary_histogram_edges(spark, sf_dir):
     return salary.edge_histogram(full_postings(spark, sf_dir), EDGES, schema.CEILING)
 
 
+def q_salary_grid(spark, sf_dir):
+    """Every bucket of a grid that reaches beyond all salaries, empty ones too."""
+    return salary.full_grid_histogram(full_postings(spark, sf_dir), schema.FLOOR, (0, 90000, 7000))
+
+
 def q_salary_report(spark, sf_dir):
     return report.salary_report(fixture_postings(spark, sf_dir), schema.CEILING, schema.BATCH_GRID)
 
@@ -119,24 +124,69 @@ def q_full_report_cells(spark, sf_dir):
     return report.report_cells(rep, "postings")
 
 
+CELL_VALUE = ["row_key", "family", "qualifier", "value"]
+
+
 def q_source_file_key(spark, sf_dir):
-    """Report cells keyed by input file name: lines written as 3 text files, read back."""
-    path = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "postings-text"), n_files=3)
-    return report.report_cells_by_source(read_postings(spark, path, with_source=True), keyword_dictionary(spark))
+    """One report per given path: the lines are written into a folder per remainder of the order
+    key, and the full report job is given those folders, whose names are the row keys."""
+    base = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "postings-text"), by=F.col("id") % 3)
+    folders = [f"{base}/{n}" for n in fs.children(spark, base) if n.startswith("part=")]
+    return jobs.full_report_job(spark, folders, scratch_path(spark, "report-cells")).select(*CELL_VALUE)
+
+
+def q_job_cells(spark, sf_dir):
+    """The salary job (both sides), the keyword job and the full report job on one store, the full
+    report first: the newest value of every cell that any of them wrote."""
+    path = {"postings": write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "postings-text"))}
+    cells = scratch_path(spark, "job-cells")
+    jobs.full_report_job(spark, path, cells)
+    jobs.salary_job(spark, path, cells, side=schema.CEILING)
+    jobs.salary_job(spark, path, cells, side=schema.FLOOR)
+    jobs.keyword_job(spark, path, cells)
+    return store.latest(store.read_cells(spark, cells)).select(*CELL_VALUE)
+
+
+def q_tab_word_count(spark, sf_dir):
+    """The word-count job from tab-separated lines to sorted text, read back."""
+    tabbed = posting_lines(spark, sf_dir).select(F.translate("line", "|", "\t").alias("line"))
+    out = scratch_path(spark, "word-count")
+    jobs.word_count_job(spark, write_lines(tabbed, scratch_path(spark, "postings-tab")), out)
+    line = spark.read.text(out)
+    return line.select(F.regexp_extract("value", r"^\((.*),\d+\)$", 1).alias("token"), F.regexp_extract("value", r",(\d+)\)$", 1).cast("bigint").alias("n"))
+
+
+#: A user dictionary with words of every rule: ASCII, Han, mixed script, symbols and spaces.
+USER_WORDS = ["Spark", "java", "mysql", "算法", "数据挖掘", "据挖", "及linux", "算法及linux", "Need spark", "need java", "the!!", "of%%%", "of the", "in###", "*** the&&&"]
+
+
+def q_user_dictionary_count(spark, sf_dir):
+    """Keyword counts of a user's dictionary file over the postings' skills and all documents."""
+    path = scratch_path(spark, "dictionary") + "/user.dic"
+    spark.createDataFrame([(w,) for w in USER_WORDS], "value string").write.text(path)
+    texts = full_postings(spark, sf_dir).select("skills").unionByName(table(spark, sf_dir, "documents", ["text"]).select(F.col("text").alias("skills")))
+    return skills.keyword_counts(texts, keyword_dictionary(spark, path=path))
+
+
+def q_dimension_files(spark, sf_dir):
+    """Dimension counts written with a folder per dimension, read back."""
+    path = scratch_path(spark, "dimension-files")
+    dimensions.write_by_dimension(dimensions.counts(dimension_postings(spark, sf_dir)), path)
+    return spark.read.schema("value string, n bigint, dim string").parquet(path).select("dim", "value", "n")
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def event_cells(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"], heavy_rows=False)
+    ev = table(spark, sf_dir, "events", ["user_id", "event_type", "props", "event_id"])
     return store.as_cells(ev, F.col("user_id"), F.lit(schema.STORE_FAMILY), "event_type", "props", "event_id")
 
 
 def stored_event_cells(spark, sf_dir):
-    """All events written to a result store as batch 0, the batch replayed (an idempotent
-    overwrite), then read back."""
+    """All events written to a result store as one run, then read back."""
     path = scratch_path(spark, "cell-store")
-    cells = event_cells(spark, sf_dir)
-    store.write_cells(cells, path, 0)
-    store.write_cells(cells, path, 0)
+    store.write_cells(event_cells(spark, sf_dir), path, "events", 0)
     return store.read_cells(spark, path)
 
 
@@ -145,7 +195,7 @@ def q_cell_store_latest(spark, sf_dir):
 
 
 def q_cell_store_pivot(spark, sf_dir):
-    return store.pivot(store.latest(stored_event_cells(spark, sf_dir)), schema.STORE_FAMILY)
+    return store.pivot(stored_event_cells(spark, sf_dir), EVENT_TYPES, schema.STORE_FAMILY)
 
 
 def q_cell_store_text(spark, sf_dir):
@@ -153,46 +203,91 @@ def q_cell_store_text(spark, sf_dir):
 
 
 def q_result_store_keys(spark, sf_dir):
-    return store.keys(stored_event_cells(spark, sf_dir), "*")
+    """Keys of the store that match a pattern: one character, then a 1, then anything."""
+    return store.keys(stored_event_cells(spark, sf_dir), "?1*")
 
 
 def q_common_owner_lookup(spark, sf_dir):
     """Orders holding both a part and a supplier, for every (part, supplier) that was ordered.
 
-    The index ``(member, order)`` comes straight from ``lineitem`` rows (members ``p<partkey>``
-    and ``s<suppkey>``), so no order's items are gathered into one row, and the requested pairs
-    are all distinct (part, supplier) combinations of ``lineitem``.
+    The index ``(member, order)`` comes straight from ``lineitem`` rows, so no order's items are
+    gathered into one row. Members are numbers, parts even and suppliers odd. The requested pairs
+    are all distinct (part, supplier) combinations of ``lineitem``; hot members are salted.
     """
     li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey"])
-    part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
-    supp = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    order = F.col("l_orderkey").cast("string").alias("owner")
-    index = li.select(F.explode(F.array(part, supp)).alias("member"), order).distinct()
-    wanted = li.select(part.alias("a"), supp.alias("b")).distinct()
-    return pairs.owner_strings(pairs.owners_for_pairs(index, wanted, ordered=False))
+    part, supplier = F.col("l_partkey").cast("bigint") * 2, F.col("l_suppkey").cast("bigint") * 2 + 1
+    index = li.select(F.explode(F.array(part, supplier)).alias("member"), F.col("l_orderkey").alias("owner")).distinct()
+    wanted = li.select(part.alias("a"), supplier.alias("b")).distinct()
+    rows = pairs.owners_for_pairs(index, wanted, ordered=False, salt=4)
+    return rows.select(F.shiftright("a", 1).alias("part"), F.shiftright("b", 1).alias("supplier"), F.col("owner").alias("l_orderkey"))
 
 
-STREAM_FILES = 3
+def q_common_members(spark, sf_dir):
+    """Member lists as text, one per order: which orders list a market segment before a status.
+
+    The lists are ``<order> <segment> <priority words> <status>``; the pairs asked for are all
+    segments with all statuses.
+    """
+    orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"])
+    customer = table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    lists = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.concat_ws(" ", F.col("o_orderkey").cast("string"), "c_mktsegment", "o_orderpriority", "o_orderstatus").alias("value")
+    )
+    wanted = customer.join(orders, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_mktsegment").alias("a"), F.col("o_orderstatus").alias("b")).distinct()
+    return pairs.common_owner_rows(pairs.member_lists(lists), wanted, ordered=True, salt=4)
+
+
+STREAM_BATCHES = 3
 STREAM_JOB = "job"
 
 
-def run_stream(spark, sf_dir, metrics=stream_report.ALL_METRICS) -> DataFrame:
-    """Posting lines written as 3 text files, drained by the streaming report one file per
-    micro-batch (``availableNow``), then the running totals read from its result store."""
-    src = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "stream-input"), n_files=STREAM_FILES)
-    store_path = scratch_path(spark, "stream-store")
-    lines = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+def drain(spark, folder: str, store_path: str, checkpoint: str, metrics=stream_report.ALL_METRICS, **kwargs) -> None:
+    """Runs the streaming report over the text files of a folder until they are all read, in
+    about ``STREAM_BATCHES`` micro-batches however many files there are."""
+    files = sum(1 for n in fs.children(spark, folder) if n.startswith("part-"))
+    lines = stream_lines(spark, "files", {"maxFilesPerTrigger": str(max(1, -(-files // STREAM_BATCHES)))}, path=folder)
     query = stream_report.start(
-        spark, lines, keyword_dictionary(spark), store_path, scratch_path(spark, "stream-ckpt"),
+        spark, lines, keyword_dictionary(spark), store_path, checkpoint,
         trigger={"availableNow": True}, metrics=metrics,
-        state_partitions=spark.sparkContext.defaultParallelism,
+        state_partitions=spark.sparkContext.defaultParallelism, **kwargs,
     )
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def run_stream(spark, sf_dir, metrics=stream_report.ALL_METRICS) -> DataFrame:
+    """Posting lines written as text, drained by the streaming report, then the running totals
+    read from its result store."""
+    folder = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "stream-input"))
+    store_path = scratch_path(spark, "stream-store")
+    drain(spark, folder, store_path, scratch_path(spark, "stream-ckpt"), metrics)
+    return stream_report.totals(spark, store_path)
+
+
+def q_stream_restart(spark, sf_dir):
+    """A stream that stops after half of the postings and resumes on its checkpoint with the rest,
+    into a store that an earlier query had already filled."""
+    lines, folder = posting_lines(spark, sf_dir), scratch_path(spark, "stream-input")
+    store_path, checkpoint = scratch_path(spark, "stream-store"), scratch_path(spark, "stream-ckpt")
+    even = lines.where(F.col("id") % 2 == 0).select(F.col("line").alias("value"))
+    odd = lines.where(F.col("id") % 2 != 0).select(F.col("line").alias("value"))
+    even.write.mode("append").text(folder)
+    drain(spark, folder, store_path, scratch_path(spark, "stream-ckpt"))  # an earlier life of the store
+    drain(spark, folder, store_path, checkpoint)
+    odd.write.mode("append").text(folder)
+    drain(spark, folder, store_path, checkpoint)
     return stream_report.totals(spark, store_path)
 
 
+def q_stream_json_store(spark, sf_dir):
+    """The documents that the stream's own per-batch writer left, newest first."""
+    folder = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "stream-input"))
+    json_store = scratch_path(spark, "stream-json")
+    drain(spark, folder, scratch_path(spark, "stream-store"), scratch_path(spark, "stream-ckpt"), json_store=json_store, job=STREAM_JOB)
+    return stream_report.stored(spark, json_store).select(F.col("row_key").alias("key"), "value")
+
+
 def q_stream_salary_floor(spark, sf_dir):
     return run_stream(spark, sf_dir, [stream_report.SALARY_FLOOR])
 
@@ -226,6 +321,7 @@ def registered() -> dict[str, Query]:
         "salary_histogram_floor": q_salary_histogram_floor,
         "salary_cohort_histogram": q_salary_cohort_histogram,
         "salary_histogram_edges": q_salary_histogram_edges,
+        "salary_grid": q_salary_grid,
         "salary_report": q_salary_report,
         "dimension_counts": q_dimension_counts,
         "dimension_labels": q_dimension_labels,
@@ -237,15 +333,22 @@ def registered() -> dict[str, Query]:
         "full_report": q_full_report,
         "full_report_cells": q_full_report_cells,
         "source_file_key": q_source_file_key,
+        "job_cells": q_job_cells,
+        "tab_word_count": q_tab_word_count,
+        "user_dictionary_count": q_user_dictionary_count,
+        "dimension_files": q_dimension_files,
         "cell_store_latest": q_cell_store_latest,
         "cell_store_pivot": q_cell_store_pivot,
         "cell_store_text": q_cell_store_text,
         "result_store_keys": q_result_store_keys,
         "common_owner_lookup": q_common_owner_lookup,
+        "common_members": q_common_members,
         "stream_salary_floor": q_stream_salary_floor,
         "stream_salary_ceil": q_stream_salary_ceil,
         "stream_skill_counts": q_stream_skill_counts,
         "stream_dimension_counts": q_stream_dimension_counts,
         "stream_report": q_stream_report,
         "stream_report_json": q_stream_report_json,
+        "stream_json_store": q_stream_json_store,
+        "stream_restart": q_stream_restart,
     }

@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens import schema
-from postlens.functions.jsonfmt import json_object
+from postlens.functions.jsonfmt import chunk_name, chunked, json_object
 from postlens.functions.salary import bucket_hi, bucket_label, bucket_lo, keep_bucket, salary_part
 from postlens.functions.text import keyword_tokens
 from postlens.operators import store
-from postlens.operators.skills import han_word_lengths
-from postlens.plans.cells import explode_cells, keep_dictionary_tokens, with_bucket_labels
+from postlens.operators.skills import Needs, dictionary_needs
+from postlens.plans.cells import explode_cells, keep_dictionary_counts, with_bucket_labels
 
 
 def skill_section(dictionary_name: str = schema.DEFAULT_DICTIONARY_NAME) -> str:
@@ -27,56 +27,67 @@ def skill_section(dictionary_name: str = schema.DEFAULT_DICTIONARY_NAME) -> str:
 
 def report_rows(
     postings: DataFrame,
-    dictionary: DataFrame,
+    needs: Needs,
     dictionary_name: str = schema.DEFAULT_DICTIONARY_NAME,
     grid: Sequence[int] = schema.BATCH_GRID,
     cohort: tuple[str, str] = (schema.COHORT_EXPERIENCE, schema.COHORT_EDUCATION),
-    han_lengths: Sequence[int] | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``keep..., section, key`` — one row per counted cell of each posting."""
-    lengths = han_word_lengths(dictionary) if han_lengths is None else list(han_lengths)
+    """``keep..., section, key`` — one row per cell of each posting (all keyword tokens, in the
+    dictionary or not)."""
     full = F.col("n_fields") == schema.GATE_FULL
     ge10 = F.col("n_fields") >= schema.GATE_DIMENSIONS
     in_cohort = full & (F.col("experience") == cohort[0]) & (F.col("education") == cohort[1])
     dims = [d[0] for d in schema.DIMENSIONS if d[0] not in ("experience", "education")]
     carry = [*keep, "n_fields", "experience", "education", *dims, "_tok"]
 
-    tokens = F.when(full, keyword_tokens("skills", lengths)).alias("_tok")
+    tokens = F.when(full, keyword_tokens("skills", needs)).alias("_tok")
     base = with_bucket_labels(postings.select(*carry[:-1], "salary", tokens), grid, False, carry)
 
     skill = skill_section(dictionary_name)
     fixed = [((f"salary_{s}",), F.when(full, F.col(f"_b{s}"))) for s in (0, 1)]
     fixed += [((f"salary3_{s}",), F.when(in_cohort, F.col(f"_b{s}"))) for s in (0, 1)]
     fixed += [((q,), F.when(ge10 & (F.col(c) != ""), F.col(c))) for c, q, _ in schema.DIMENSIONS]
-    rows = explode_cells(base, ["section"], fixed, F.col("_tok"), (skill,), keep)
-    return keep_dictionary_tokens(rows, dictionary, "section", skill, [*keep, "section", "key"])
+    return explode_cells(base, ["section"], fixed, F.col("_tok"), (skill,), keep)
 
 
-def full_report(postings: DataFrame, dictionary: DataFrame, **kwargs) -> DataFrame:
-    """``section, key, n`` — every section of the batch report from one scan and one aggregate."""
-    return report_rows(postings, dictionary, **kwargs).groupBy("section", "key").agg(F.count(F.lit(1)).alias("n"))
+def full_report(
+    postings: DataFrame,
+    dictionary: DataFrame,
+    dictionary_name: str = schema.DEFAULT_DICTIONARY_NAME,
+    needs: Needs | None = None,
+    keep: Sequence[str] = (),
+    **kwargs,
+) -> DataFrame:
+    """``keep..., section, key, n`` — every section of the batch report from one scan and one
+    aggregate; then only the counted tokens meet the dictionary."""
+    needs = dictionary_needs(dictionary) if needs is None else needs
+    rows = report_rows(postings, needs, dictionary_name, keep=keep, **kwargs)
+    counted = rows.groupBy(*keep, "section", "key").agg(F.count(F.lit(1)).alias("n"))
+    return keep_dictionary_counts(counted, dictionary, "section", skill_section(dictionary_name), [*keep, "section", "key", "n"])
 
 
-def report_cells(report: DataFrame, row_key: str | Column, version: int = 0) -> DataFrame:
-    """Cells ``(row_key, 'info', section, json, version)`` — one JSON object per section.
+def json_cells(counted: DataFrame, row_key: str | Column, qualifier: str, key: str, version: int) -> DataFrame:
+    """Cells ``(row_key, 'info', qualifier, json, version)`` of ``qualifier, key, n`` counts.
 
-    Each group holds one section's distinct keys (buckets, categories, keywords), not postings.
+    A qualifier with more keys than a document holds has further cells ``<qualifier>#1``, ...
+    (see :func:`chunked`), so a cell is bounded however many addresses or words there are.
     """
     rk = F.lit(row_key) if isinstance(row_key, str) else row_key
-    grouped = report.groupBy("section").agg(json_object("key", "n").alias("value"))
-    return store.as_cells(grouped, rk, F.lit(schema.STORE_FAMILY), "section", "value", F.lit(version))
+    groups = ["_rk", "_q"]
+    rows = counted.select(rk.alias("_rk"), F.col(qualifier).alias("_q"), F.col(key).alias("_k"), "n")
+    docs = chunked(rows, groups, "_k").groupBy(*groups, "chunk").agg(json_object("_k", "n").alias("value"))
+    return store.as_cells(docs, "_rk", F.lit(schema.STORE_FAMILY), chunk_name(F.col("_q")), "value", F.lit(version))
+
+
+def report_cells(report: DataFrame, row_key: str | Column, version: int = 0) -> DataFrame:
+    """Cells of a report (``section, key, n``): one JSON object per section, in chunks if large."""
+    return json_cells(report, row_key, "section", "key", version)
 
 
 def report_cells_by_source(postings: DataFrame, dictionary: DataFrame, version: int = 0, **kwargs) -> DataFrame:
-    """Cells of one report per input file (row key = file name, F10), in one job for many files."""
-    counted = (
-        report_rows(postings, dictionary, keep=("source",), **kwargs)
-        .groupBy("source", "section", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    grouped = counted.groupBy("source", "section").agg(json_object("key", "n").alias("value"))
-    return store.as_cells(grouped, "source", F.lit(schema.STORE_FAMILY), "section", "value", F.lit(version))
+    """Cells of one report per row key (the ``source`` column), in one job for all of them."""
+    return report_cells(full_report(postings, dictionary, keep=("source",), **kwargs), F.col("source"), version)
 
 
 def salary_rows(

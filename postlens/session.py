@@ -3,7 +3,8 @@
 On a cluster the session comes from the caller (``spark-submit``); nothing here overrides it.
 Scratch data (stream inputs, checkpoints, result stores written by registered queries) goes to
 the folder the cluster names in ``spark.checkpoint.dir``. Only when that is unset (local tests)
-do we create one under ``/tmp``.
+do we create one under ``/tmp``, and only for a ``local`` master: elsewhere executors would write
+to their own disks, so an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -38,16 +39,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+def context(spark: SparkSession):
+    """The session's SparkContext, or None for sessions without one (Spark Connect)."""
+    return getattr(spark, "_sc", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and scratch tables.
 
     Reads ``spark.checkpoint.dir`` (or a directory already set on the context). If neither is
-    set, as in local tests, creates one under ``/tmp`` and registers it on the context.
+    set, a ``local`` master (tests) gets a new folder under ``/tmp``; any other is an error.
     """
-    try:
-        ctx = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context here
-        ctx = None
+    ctx = context(spark)
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir and ctx is not None:
         conf_dir = ctx.getConf().get("spark.checkpoint.dir", None)
@@ -57,15 +60,22 @@ def shared_dir(spark: SparkSession) -> str:
         return conf_dir.rstrip("/")
     if ctx is not None and ctx.getCheckpointDir():
         return ctx.getCheckpointDir().rstrip("/")
-    local = tempfile.mkdtemp(prefix="postlens-ckpt-", dir="/tmp")
-    if ctx is None:
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
-    ctx.setCheckpointDir(local)
+    if ctx is None or not ctx.master.startswith("local") or ctx.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    ctx.setCheckpointDir(tempfile.mkdtemp(prefix="postlens-ckpt-", dir="/tmp"))
     return ctx.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused sub-folder of the shared folder (one per run)."""
-    base = shared_dir(spark)
-    return f"{base}/postlens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused sub-folder of the shared folder (one per run).
+
+    The folder is removed when the application ends (its file system's delete-on-exit list).
+    """
+    path = f"{shared_dir(spark)}/postlens/{name}-{uuid.uuid4().hex[:12]}"
+    ctx = context(spark)
+    if ctx is not None:
+        target = ctx._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(ctx._jsc.hadoopConfiguration())
+        fs.mkdirs(target)  # only a folder that exists can be listed for removal
+        fs.deleteOnExit(target)
+    return path

@@ -9,18 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.plans.broadcast import broadcast_if_small
-from postlens.plans.parallelism import spread
 
-
-def table(
-    spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None, heavy_rows: bool = True
-) -> DataFrame:
-    """A driver table, pruned to ``columns``. ``heavy_rows``: the per-row work that follows is
-    costly (regex parsing, tokenising), so a table arriving as too few splits is spread first."""
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A driver table, pruned to ``columns``, with the partitions of its scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    df = df.select(*columns) if columns else df
-    return spread(df) if heavy_rows else df
+    return df.select(*columns) if columns else df
 
 
 def _by_mod(k: Column, m: int, values: list) -> Column:
@@ -37,15 +30,14 @@ def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id BIGINT, line STRING)`` — ``orders ⋈ customer ⋈ nation``, one posting per order.
 
     ``customer`` is joined on the key without a hint: AQE chooses a broadcast at small scale and a
-    sort-merge join (with skew splitting) when the customer table is large. ``nation`` is a
-    25-row dimension, broadcast behind a row-count check.
+    sort-merge join (with skew splitting) when the customer table is large. ``nation`` has no
+    hint either: the planner broadcasts it by its size in bytes.
     """
     orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
     customer = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
     )
     nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey", "n_name")
-    nation = broadcast_if_small(nation, max_rows=10_000)
 
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")

@@ -6,9 +6,12 @@ store (RocksDB when configured). Keys never expire, as in the reference. The def
 is ``update``, so each micro-batch emits only the keys it changed: with unbounded keys (addresses,
 tokens) a batch costs what it touched, not the whole state.
 
-The sink is ``foreachBatch``: the changed totals are written as cells to ``batch=<id>`` with
-``overwrite``, so a replayed batch replaces itself (exactly-once with the checkpoint). Readers take
-the newest value of each cell — the running total — and the JSON documents are a view over that.
+The sink is ``foreachBatch`` into ``run=<r>/delta=<batch>`` with ``overwrite``, so a replayed batch
+replaces itself (exactly-once with the checkpoint). A run belongs to a checkpoint: a query that
+starts on a new checkpoint opens a new run, and readers take the newest run, so totals of an
+earlier life never mask it. Every ``full_every`` batches the sink writes the newest value of every
+cell as ``full=<batch>`` and removes what the full view before that has made needless: a reader
+opens one full view and the deltas after it, however long the query has run.
 """
 
 from __future__ import annotations
@@ -19,12 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postlens import schema
-from postlens.functions.jsonfmt import envelope, sorted_map
+from postlens import fs, schema
+from postlens.functions.jsonfmt import chunk_name, chunked, envelope, nested_map, sorted_map
 from postlens.functions.parse import postings
 from postlens.functions.text import keyword_tokens
 from postlens.operators import store
-from postlens.operators.skills import han_word_lengths
+from postlens.operators.skills import Needs, dictionary_needs
 from postlens.plans.cells import explode_cells, keep_dictionary_tokens, with_bucket_labels
 
 SALARY_FLOOR = "salary_floor"
@@ -45,7 +48,7 @@ SECTIONS = {
 def stream_rows(
     posts: DataFrame,
     dictionary: DataFrame,
-    han_lengths: Sequence[int],
+    needs: Needs,
     grid: Sequence[int] = schema.STREAM_GRID,
     metrics: Sequence[str] = ALL_METRICS,
 ) -> DataFrame:
@@ -55,7 +58,7 @@ def stream_rows(
     dims = [d[0] for d in schema.DIMENSIONS]
     carry = ["n_fields", *dims, "_tok"]
 
-    tokens = F.when(full, keyword_tokens("skills", han_lengths)).alias("_tok")
+    tokens = F.when(full, keyword_tokens("skills", needs)).alias("_tok")
     base = with_bucket_labels(posts.select(*carry[:-1], "salary", tokens), grid, True, carry)
 
     fixed: list[tuple[tuple[str, str], Column]] = []
@@ -81,6 +84,44 @@ def counts_as_cells(counts: DataFrame, version: Column) -> DataFrame:
     return store.as_cells(counts, "metric", "dim", "key", F.col("n").cast("string"), version)
 
 
+def _run_of(spark: SparkSession, checkpoint: str, store_path: str) -> int:
+    """The run that belongs to a checkpoint: noted in it, or the next of the store if it is new."""
+    note = f"{checkpoint.rstrip('/')}/postlens-run"
+    if fs.exists(spark, note):
+        return int(fs.read_text(spark, note))
+    run = max([int(n[4:]) for n in fs.children(spark, store_path) if n.startswith("run=")], default=-1) + 1
+    fs.write_text(spark, note, str(run))
+    return run
+
+
+def _parts(spark: SparkSession, run_path: str) -> tuple[int, list[int], list[int]]:
+    """(newest full view or -1, deltas after it, what is older) of a run; unfinished writes don't count."""
+    done = [n for n in fs.children(spark, run_path) if fs.exists(spark, f"{run_path}/{n}/_SUCCESS")]
+    fulls = sorted(int(n[5:]) for n in done if n.startswith("full="))
+    deltas = sorted(int(n[6:]) for n in done if n.startswith("delta="))
+    newest = fulls[-1] if fulls else -1
+    return newest, [d for d in deltas if d > newest], fulls[:-1]
+
+
+def _view(spark: SparkSession, run_path: str, before: int | None = None) -> DataFrame:
+    """The cells of a run's newest full view and the deltas after it (of batches before ``before``)."""
+    newest, deltas, _ = _parts(spark, run_path)
+    paths = ([f"{run_path}/full={newest}"] if newest >= 0 else []) + [f"{run_path}/delta={d}" for d in deltas if before is None or d < before]
+    reader = spark.read.schema(store.CELL_SCHEMA)
+    return reader.parquet(*paths) if paths else spark.createDataFrame([], store.CELL_SCHEMA)
+
+
+def _write_full(spark: SparkSession, cells: DataFrame, run_path: str, batch_id: int) -> None:
+    """Writes a full view and removes what came before the full view before it, which readers
+    that began earlier may still read."""
+    previous = _parts(spark, run_path)[0]
+    cells.select(*store.CELL_COLUMNS).write.mode("overwrite").parquet(f"{run_path}/full={batch_id}")
+    for name in fs.children(spark, run_path):
+        kind, _, number = name.partition("=")
+        if kind == "full" and int(number) < previous or kind == "delta" and int(number) <= previous:
+            fs.delete(spark, f"{run_path}/{name}")
+
+
 def start(
     spark: SparkSession,
     lines: DataFrame,
@@ -95,6 +136,7 @@ def start(
     state_partitions: int | None = None,
     json_store: str | None = None,
     job: str = "job",
+    full_every: int = 20,
 ) -> StreamingQuery:
     """Starts the streaming report over a stream of posting lines (``value`` column).
 
@@ -106,36 +148,44 @@ def start(
     query keeps the count recorded in its checkpoint). The stream copies the session settings when
     it starts, so the session's own shuffle-partition setting is restored right after.
 
-    ``json_store``: after each batch also write the ``<job>:<section>`` JSON documents of the
-    current totals as cells ``(key, 'kv', 'value', json, batch_id)`` — the per-batch key→JSON
-    upsert of the reference. It rereads the totals, so a batch costs O(distinct cells); leave it
-    off and use ``json_documents(totals(...))`` on read when the state is wide.
+    ``json_store``: after each batch also write the ``<job>:<section>`` JSON documents as cells
+    ``(key, 'kv', 'value', json, batch_id)``, the per-batch key→JSON upsert of the reference. Such
+    a query runs in ``complete`` mode: the documents come from the state that the batch emits, and
+    nothing written earlier is read again. Leave it off and use ``json_documents(totals(...))`` on
+    read when the state is wide.
+
+    One query at a time writes to a store path.
     """
-    # The static side of the stream-static join is re-planned in every micro-batch; keep the
-    # (size-checked, small) dictionary materialised instead of recomputing it each time.
-    dictionary = dictionary.persist()
-    lengths = han_word_lengths(dictionary) if SKILLS in metrics else []
-    counts = running_counts(stream_rows(postings(lines, "value"), dictionary, lengths, grid, metrics))
+    needs = dictionary_needs(dictionary) if SKILLS in metrics else {}
+    counts = running_counts(stream_rows(postings(lines, "value"), dictionary, needs, grid, metrics))
+    mode = "complete" if json_store is not None else output_mode
+    run_path = f"{store_path.rstrip('/')}/run={_run_of(spark, checkpoint, store_path)}"
+    json_path = f"{json_store.rstrip('/')}/{run_path.rpartition('/')[2]}" if json_store is not None else None
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # The batch is computed once per use; when it is also shown, keep it instead of running
-        # the stateful plan a second time.
-        if echo:
+        session = batch.sparkSession
+        reused = echo or json_path is not None  # computed once for several uses
+        if reused:
             batch = batch.persist()
         try:
-            store.write_cells(counts_as_cells(batch, F.lit(batch_id)), store_path, batch_id)
-            if json_store is not None:
-                docs = json_documents(totals(batch.sparkSession, store_path), job)
-                cells = store.as_cells(docs, "key", F.lit("kv"), F.lit("value"), "value", F.lit(batch_id))
-                store.write_cells(cells, json_store, batch_id)
+            cells = counts_as_cells(batch, F.lit(batch_id))
+            if mode == "complete":
+                _write_full(session, cells, run_path, batch_id)
+            elif (batch_id + 1) % full_every == 0:
+                _write_full(session, store.latest(_view(session, run_path, before=batch_id).unionByName(cells)), run_path, batch_id)
+            else:
+                cells.write.mode("overwrite").parquet(f"{run_path}/delta={batch_id}")
+            if json_path is not None:
+                docs = json_documents(batch, job)
+                _write_full(session, store.as_cells(docs, "key", F.lit("kv"), F.lit("value"), "value", F.lit(batch_id)), json_path, batch_id)
             if echo:
                 batch.show(10, truncate=False)
         finally:
-            if echo:
+            if reused:
                 batch.unpersist()
 
     writer = (
-        counts.writeStream.outputMode(output_mode)
+        counts.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(sink)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
@@ -151,10 +201,17 @@ def start(
         spark.conf.set(key, previous)
 
 
+def stored(spark: SparkSession, store_path: str) -> DataFrame:
+    """The newest value of each cell of the newest run in a store that the stream writes."""
+    runs = [int(n[4:]) for n in fs.children(spark, store_path) if n.startswith("run=")]
+    if not runs:
+        return spark.createDataFrame([], store.CELL_SCHEMA)
+    return store.latest(_view(spark, f"{store_path.rstrip('/')}/run={max(runs)}"))
+
+
 def totals(spark: SparkSession, store_path: str) -> DataFrame:
     """``metric, dim, key, n`` — the latest running totals written by the streaming report."""
-    cells = store.latest(store.read_cells(spark, store_path))
-    return cells.select(
+    return stored(spark, store_path).select(
         F.col("row_key").alias("metric"),
         F.col("family").alias("dim"),
         F.col("qualifier").alias("key"),
@@ -167,27 +224,24 @@ def json_documents(report_totals: DataFrame, job: str, nested: bool = False, bar
 
     ``value`` is ``{"<job>": "<inner JSON as a string>"}`` (doubly encoded, as the reference
     stores it); the inner document is ``{"<section>": {key: n}}`` for salaries and skills and
-    ``{"<label>": {value: n}, ...}`` for the dimensions. Each group holds the distinct keys of
-    one metric (buckets, keywords, categories), never postings.
+    ``{"<label>": {value: n}, ...}`` for the dimensions. A document holds a bounded number of keys:
+    metrics with more have further documents ``<job>:<section>#1``, ... (see :func:`chunked`).
 
     ``nested=True`` embeds the inner document as an object instead of a string, and
     ``bare_key=True`` stores under ``<job>`` alone — the older copy's dimension-only output
     (use it with the ``other`` metric).
     """
-    flat = report_totals.where(F.col("metric") != OTHER).groupBy("metric").agg(sorted_map("key", "n").alias("m"))
+    parts = chunked(report_totals, ["metric", "dim"], "key")
+    flat = parts.where(F.col("metric") != OTHER).groupBy("metric", "chunk").agg(sorted_map("key", "n").alias("m"))
     section = F.create_map(*[x for m, s in SECTIONS.items() if m != OTHER for x in (F.lit(m), F.lit(s))])
-    flat_docs = flat.select("metric", F.to_json(F.create_map(section[F.col("metric")], F.col("m"))).alias("inner"))
+    flat_docs = flat.select("metric", "chunk", F.to_json(F.create_map(section[F.col("metric")], F.col("m"))).alias("inner"))
 
-    per_dim = (
-        report_totals.where(F.col("metric") == OTHER)
-        .groupBy("metric", "dim")
-        .agg(sorted_map("key", "n").alias("m"))
-    )
-    other_docs = per_dim.groupBy("metric").agg(F.to_json(sorted_map("dim", "m")).alias("inner"))
+    per_dim = parts.where(F.col("metric") == OTHER).groupBy("metric", "dim", "chunk").agg(sorted_map("key", "n").alias("m"))
+    other_docs = per_dim.groupBy("metric", "chunk").agg(F.to_json(nested_map("dim", "m")).alias("inner"))
 
     docs = flat_docs.unionByName(other_docs)
     all_sections = F.create_map(*[x for m, s in SECTIONS.items() for x in (F.lit(m), F.lit(s))])
-    key = F.lit(job) if bare_key else F.concat(F.lit(f"{job}:"), all_sections[F.col("metric")])
+    key = chunk_name(F.lit(job) if bare_key else F.concat(F.lit(f"{job}:"), all_sections[F.col("metric")]))
     if nested:
         quoted_job = F.regexp_replace(F.to_json(F.array(F.lit(job))), r"^\[|\]$", "")
         value = F.concat(F.lit("{"), quoted_job, F.lit(":"), F.col("inner"), F.lit("}"))

@@ -54,13 +54,24 @@ def test_global_rank_without_groups(spark):
     assert best["n"] == 6
 
 
-def test_partition_by_dimension(spark):
-    df = spark.createDataFrame([("a", "x"), ("b", "y"), ("a", "z")], "dim string, value string")
-    parts = dimensions.by_dimension(df, 6).select("dim", F.spark_partition_id().alias("p")).collect()
-    by_dim = {}
-    for r in parts:
-        by_dim.setdefault(r["dim"], set()).add(r["p"])
-    assert all(len(s) == 1 for s in by_dim.values())
+def test_write_by_dimension(spark, tmp_path):
+    df = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("a", "z", 3)], "dim string, value string, n long")
+    dimensions.write_by_dimension(df, str(tmp_path / "d"))
+    assert sorted(p.name for p in (tmp_path / "d").iterdir() if p.is_dir()) == ["dim=a", "dim=b"]
+    assert sorted(r["value"] for r in spark.read.parquet(str(tmp_path / "d/dim=a")).collect()) == ["x", "z"]
+
+
+def test_large_json_is_chunked(spark):
+    import json
+
+    from postlens.functions.jsonfmt import chunk_name, chunked, json_object
+
+    df = spark.createDataFrame([("big", f"k{i}", i) for i in range(500)] + [("small", "k", 1)], "dim string, value string, n long")
+    docs = chunked(df, ["dim"], "value", entries=50).groupBy("dim", "chunk").agg(json_object("value", "n").alias("json"))
+    got = {r["name"]: json.loads(r["json"]) for r in docs.select(chunk_name(F.col("dim")).alias("name"), "json").collect()}
+    assert got["small"] == {"k": 1} and len(got) == 11 and max(map(len, got.values())) < 100
+    merged = {k: v for name, doc in got.items() if name.startswith("big") for k, v in doc.items()}
+    assert merged == {f"k{i}": i for i in range(500)}
 
 
 def test_dimension_totals_equal_non_empty_cells(spark):

@@ -1,9 +1,11 @@
 """The posting fixture at sf0.001 (FIXTURES 1 figures) and the driver contract."""
 
 import __spark_entry__ as entry
+import oracle_sql
 from postlens import schema
 from postlens.functions.parse import gate
 from postlens.operators import dimensions, salary, skills
+from postlens.plans import registry
 from postlens.plans.registry import fixture_postings
 from postlens.sources.text import keyword_dictionary
 from tests.conftest import SF_SMALL
@@ -47,9 +49,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_known():
-    qs, oracles = entry.queries(), entry.oracle_sql()
-    assert set(oracles) <= set(qs)
-    assert set(qs) - set(oracles) == {"source_file_key"}
+    qs, oracles = registry.registered(), oracle_sql.queries()
+    assert set(oracles) == set(qs)
+    assert set(qs) <= set(entry.queries()) and set(oracles) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert schema.GATE_FULL == 11
 
 

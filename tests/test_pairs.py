@@ -1,48 +1,49 @@
-"""Common owners of member pairs (FIXTURES 5), without enumerating pairs inside lists."""
+"""Common owners of member pairs, without enumerating pairs inside lists, against brute force."""
 
-from postlens.operators.pairs import common_owner_rows, common_owners, member_lists
+import random
 
-LISTS = ["A B C D E F", "B A C D E", "C A B E", "D A B E", "E A B C D", "F A"]
+from postlens.operators.pairs import common_owner_rows, member_lists, pair_counts
 
-EXPECTED = {
-    "AB": ":C:D:E", "AC": ":B:E", "AD": ":B:E", "AE": ":B:C:D", "BC": ":A:E", "BD": ":A:E",
-    "BE": ":A:C:D", "BF": ":A", "CD": ":A:B:E", "CE": ":A:B", "CF": ":A", "DE": ":A:B",
-    "DF": ":A", "EF": ":A",
-}
 
-
-def brute_force(lists):
+def brute_force(lists, ordered=True):
+    """(a, b) -> owners whose list holds a before b (or both, in any order)."""
     out = {}
     for line in lists:
         owner, *members = line.split(" ")
-        for i in range(len(members)):
-            for j in range(i + 1, len(members)):
-                out.setdefault(members[i] + members[j], []).append(owner)
-    return {k: ":" + ":".join(sorted(v)) for k, v in out.items()}
-
-
-def test_friend_list_fixture(spark):
-    lists = member_lists(spark.createDataFrame([(x,) for x in LISTS], "value string"))
-    pairs = spark.createDataFrame([(k[0], k[1]) for k in EXPECTED] + [("X", "A"), ("F", "E")], "a string, b string")
-    got = {r["a"] + r["b"]: r["owners"] for r in common_owners(lists, pairs).collect()}
-    assert brute_force(LISTS) == EXPECTED
-    assert got == EXPECTED  # ordered: no list has F before E
-    got = {r["a"] + r["b"]: r["owners"] for r in common_owners(lists, pairs, ordered=False).collect()}
-    want = dict(EXPECTED)
-    want["FE"] = EXPECTED["EF"]
-    assert got == want
+        for i, a in enumerate(members):
+            for b in members[i + 1 :]:
+                out.setdefault((a, b), set()).add(owner)
+                if not ordered:
+                    out.setdefault((b, a), set()).add(owner)
+    return out
+
+
+def answer(rows):
+    out = {}
+    for r in rows.collect():
+        out.setdefault((r["a"], r["b"]), set()).add(r["owner"])
+    return out
+
+
+def test_small_lists(spark):
+    lists = ["team1 kim lee max", "team2 max kim", "team3 lee max kim ann", "team4 ann"]
+    df = member_lists(spark.createDataFrame([(x,) for x in lists], "value string"))
+    names = ["kim", "lee", "max", "ann", "nobody"]
+    pairs = spark.createDataFrame([(a, b) for a in names for b in names if a != b], "a string, b string")
+    assert answer(common_owner_rows(df, pairs)) == brute_force(lists)
+    rows = common_owner_rows(df, pairs, ordered=False)
+    assert answer(rows) == brute_force(lists, ordered=False)
+    assert {(r["a"], r["b"]): r["n"] for r in pair_counts(rows).collect()} == {p: len(o) for p, o in brute_force(lists, ordered=False).items()}
 
 
 def test_order_of_members(spark):
     lists = member_lists(spark.createDataFrame([("o1 A B",), ("o2 B A",), ("o3 A",)], "value string"))
     pairs = spark.createDataFrame([("A", "B")], "a string, b string")
-    assert common_owners(lists, pairs).collect()[0]["owners"] == ":o1"
-    assert common_owners(lists, pairs, ordered=False).collect()[0]["owners"] == ":o1:o2"
+    assert answer(common_owner_rows(lists, pairs)) == {("A", "B"): {"o1"}}
+    assert answer(common_owner_rows(lists, pairs, ordered=False)) == {("A", "B"): {"o1", "o2"}}
 
 
 def test_rows_form_matches_brute_force_on_random_lists(spark):
-    import random
-
     rnd = random.Random(3)
     members = [f"m{i}" for i in range(12)]
     lists = []
@@ -65,8 +66,6 @@ def test_rows_form_matches_brute_force_on_random_lists(spark):
 
 
 def test_ordered_rows_match_brute_force(spark):
-    import random
-
     rnd = random.Random(9)
     members = [f"m{i}" for i in range(10)]
     lists = [" ".join([f"o{o:02d}", *rnd.sample(members, rnd.randint(1, 7))]) for o in range(30)]
@@ -88,6 +87,6 @@ def test_salted_lookup_equals_unsalted_with_a_hot_member(spark):
     lists = [f"o{i:03d} HOT m{i % 7} m{(i * 3) % 11}" for i in range(300)] + ["x HOT m1"]
     lists_df = member_lists(spark.createDataFrame([(x,) for x in lists], "value string"))
     pairs = spark.createDataFrame([("HOT", f"m{i}") for i in range(11)] + [("m1", "HOT")], "a string, b string")
-    plain = sorted(map(tuple, common_owners(lists_df, pairs).collect()))
-    salted = sorted(map(tuple, common_owners(lists_df, pairs, salt=8).collect()))
-    assert plain == salted and len(plain) == 11
+    plain = sorted(map(tuple, common_owner_rows(lists_df, pairs).collect()))
+    salted = sorted(map(tuple, common_owner_rows(lists_df, pairs, salt=8).collect()))
+    assert plain == salted and len({r[:2] for r in plain}) == 11

@@ -1,29 +1,81 @@
-"""Plan properties of every registered query: no Python evaluation, pruned scans."""
+"""Plan properties of every registered query: no Python evaluation, no cross join, pruned scans.
+
+Queries that run jobs of their own while they are built (streams, stores, rank checkpoints) are held
+to the same rules: a listener collects the plan of every query that ran, not only of the last.
+"""
 
 import re
 
 import pytest
 
-import __spark_entry__ as entry
+from postlens.operators import store
+from postlens.plans import registry, report
+from postlens.plans.cells import keep_dictionary_counts
+from postlens.sources.text import keyword_dictionary
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_python_and_pruned_scans(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+@pytest.fixture(scope="module")
+def event_log(spark):
+    """Texts of all executed plans, by the number of plans before."""
+    seen = []
+
+    class Listener:
+        def onSuccess(self, name, execution, duration):
+            seen.append(execution.toString())
+
+        def onFailure(self, name, execution, error):
+            seen.append(execution.toString())
+
+        class Java:
+            implements = ["org.apache.spark.sql.util.QueryExecutionListener"]
+
+    started = spark.sparkContext._gateway
+    from pyspark.java_gateway import ensure_callback_server_started
+
+    ensure_callback_server_started(started)
+    listener = Listener()
+    manager = spark._jsparkSession.listenerManager()
+    manager.register(listener)
+    yield seen
+    manager.unregister(listener)
+
+
+def physical(text):
+    return text.split("== Physical Plan ==")[-1]
+
+
+@pytest.mark.parametrize("name", sorted(registry.registered()))
+def test_no_python_and_pruned_scans(spark, event_log, name):
+    before = len(event_log)
+    df = registry.registered()[name](spark, SF_SMALL)
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    for node in PYTHON_NODES:
-        assert node not in plan, (name, node)
-    for node in ("BroadcastNestedLoopJoin", "CartesianProduct"):  # no cross joins anywhere
-        assert node not in plan, (name, node)
-    # Scans of the wide driver tables read only the columns the query needs.
-    for schema in re.findall(r"ReadSchema: (struct<[^>]*>)", df._jdf.queryExecution().explainString(
-            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))):
-        assert "o_comment" not in schema and "l_comment" not in schema and "c_address" not in schema
-        assert "o_orderdate" not in schema and "ts:" not in schema, (name, schema)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = [physical(p) for p in event_log[before:]] + [df._jdf.queryExecution().executedPlan().toString()]
+    for plan in plans:
+        for node in PYTHON_NODES:
+            assert node not in plan, (name, node)
+        for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "RoundRobinPartitioning"):
+            assert node not in plan, (name, node)
+        # Scans of the wide driver tables read only the columns the query needs.
+        for schema in re.findall(r"ReadSchema: (struct<[^>]*>)", plan):
+            assert "o_comment" not in schema and "l_comment" not in schema and "c_address" not in schema, name
+            assert "o_orderdate" not in schema and "ts:" not in schema, (name, schema)
+
+
+def test_streaming_plan(spark):
+    """The plan of the micro-batches themselves: native, one stateful aggregate, no cross join."""
+    folder = registry.write_lines(registry.posting_lines(spark, SF_SMALL), registry.scratch_path(spark, "plan-stream"))
+    query = registry.stream_report.start(
+        spark, registry.stream_lines(spark, "files", {}, path=folder), keyword_dictionary(spark),
+        registry.scratch_path(spark, "plan-store"), registry.scratch_path(spark, "plan-ckpt"), trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("StateStoreSave") == 1 and "FileScan text" in plan
+    assert not any(node in plan for node in (*PYTHON_NODES, "BroadcastNestedLoopJoin", "CartesianProduct"))
 
 
 def test_documents_scan_reads_text_only(spark):
@@ -32,16 +84,44 @@ def test_documents_scan_reads_text_only(spark):
     from postlens.sources.fixture import table
 
     df = skills.word_counts(table(spark, SF_SMALL, "documents", ["text"]), "text", schema.STOP_WORDS)
-    text = df._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    text = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", text)
     assert schemas and all(s == "struct<text:string>" for s in schemas)
 
 
+def final_plan(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]
+
+
 def test_full_report_is_one_aggregate_exchange_over_one_scan(spark):
-    df = entry.entry(spark)
-    text = df._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert text.count("Scan parquet") >= 1
-    assert "partial_count" in text
-    assert "BroadcastHashJoin" in text
+    posts = registry.fixture_postings(spark, SF_SMALL)
+    path = registry.scratch_path(spark, "plan-postings")
+    posts.write.mode("overwrite").parquet(path)
+    plan = final_plan(report.full_report(spark.read.parquet(path), keyword_dictionary(spark)))
+    assert plan.count("FileScan") == 1, plan
+    # Computed once, used by both branches.
+    assert len(re.findall(r"Exchange hashpartitioning\(section", plan)) - plan.count("ReusedExchange") == 1
+    assert plan.count("ReusedExchange") == 1
+
+
+def test_a_large_dictionary_never_shuffles_the_fixed_cells(spark):
+    """With broadcasts off, only the branch of the counted tokens is shuffled for the join."""
+    counted = spark.createDataFrame([("salary_0", "1-2", 5), ("skill_bg", "java", 3), ("skill_bg", "zzz", 9)], "section string, key string, n long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = keep_dictionary_counts(counted, keyword_dictionary(spark), "section", "skill_bg", ["section", "key", "n"])
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        union = plan.index("Union")
+        fixed = plan[union:].split("SortMergeJoin")[0]
+        assert "SortMergeJoin" in plan and "Join" not in fixed
+        assert sorted(map(tuple, df.collect())) == [("salary_0", "1-2", 5), ("skill_bg", "java", 3)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pivot_reads_the_store_once(spark):
+    plan = final_plan(registry.q_cell_store_pivot(spark, SF_SMALL))
+    assert plan.count("FileScan") == 1 and len(re.findall("Exchange", plan)) == 1
+    assert store.CELL_COLUMNS

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.functions.salary import edge_bucket, grid_buckets, salary_bucket
+from postlens.functions.salary import bucket_hi, bucket_lo, edge_bucket, grid_frame, salary_part
 from postlens.operators import salary as ops
 
 GRID = (0, 40000, 3000)
@@ -34,6 +34,16 @@ CASES = [
 ]
 
 
+def grid_buckets(start, end, step):
+    """The buckets of a grid, by counting up."""
+    return [(lo, min(lo + step, end)) for lo in range(start, end, step)]
+
+
+def salary_bucket(name, side, grid):
+    lo = bucket_lo(salary_part(name, side), *grid)
+    return lo, bucket_hi(lo, grid[1], grid[2])
+
+
 def test_bucket_micro_fixture(spark):
     df = spark.createDataFrame([(s,) for s, _, _ in CASES], "salary string")
     flo, fhi = salary_bucket("salary", 0, GRID)
@@ -45,13 +55,18 @@ def test_bucket_micro_fixture(spark):
         assert got[s] == exp, s
 
 
-def test_grids():
-    assert len(grid_buckets(0, 40000, 3000)) == 14
+def test_grids(spark):
+    for grid in [(0, 40000, 3000), (0, 40000, 5000), (-3000, 10, 7), (5, 5, 1), (20, 10, 5)]:
+        assert sorted((r["lo"], r["hi"]) for r in grid_frame(spark, *grid).collect()) == grid_buckets(*grid)
     assert grid_buckets(0, 40000, 3000)[-1] == (39000, 40000)
-    assert len(grid_buckets(0, 40000, 5000)) == 8
-    assert grid_buckets(10, 10, 5) == [] and grid_buckets(20, 10, 5) == []
     with pytest.raises(ValueError):
-        grid_buckets(0, 10, 0)
+        grid_frame(spark, 0, 10, 0)
+
+
+def test_full_grid_histogram_has_empty_buckets(spark):
+    df = spark.createDataFrame([("1-2",), ("9-12",), ("x",)], "salary string")
+    got = [(r["bucket"], r["n"]) for r in ops.full_grid_histogram(df, 1, (0, 25, 10)).orderBy("lo").collect()]
+    assert got == [("0-10", 1), ("10-20", 1), ("20-25", 0)]
 
 
 def test_stream_rule_drops_first_bucket(spark):
@@ -133,8 +148,6 @@ def test_arithmetic_bucket_equals_edge_bucket(spark):
     grid = (-3000, 40000, 3000)
     edges = [lo for lo, _ in grid_buckets(*grid)] + [grid[1]]
     df = spark.createDataFrame([(rnd.randint(-10000, 50000),) for _ in range(500)], "v int")
-    from postlens.functions.salary import bucket_hi, bucket_lo
-
     lo = bucket_lo(F.col("v"), *grid)
     elo, ehi = edge_bucket(F.col("v"), edges)
     rows = df.select(lo.alias("lo"), elo.alias("elo"), ehi.alias("ehi")).select(
@@ -150,18 +163,8 @@ def test_edges_must_increase():
 
 
 def test_strict_mode_fails_on_bad_number(spark):
-    from postlens.functions.salary import salary_part
-
     ok = spark.createDataFrame([("5000-8000",), ("面议",), ("5000-",)], "salary string")
     assert [r[0] for r in ok.select(salary_part("salary", 1, on_bad="fail")).collect()] == [8000, None, None]
     bad = spark.createDataFrame([("5000-8000元/月",)], "salary string")
     with pytest.raises(Exception):
         bad.select(salary_part("salary", 1, on_bad="fail")).collect()
-
-
-def test_grid_frame_equals_grid_buckets(spark):
-    from postlens.functions.salary import grid_frame
-
-    for grid in [(0, 40000, 3000), (0, 40000, 5000), (-3000, 10, 7), (5, 5, 1)]:
-        got = sorted((r["lo"], r["hi"]) for r in grid_frame(spark, *grid).collect())
-        assert got == grid_buckets(*grid)

@@ -39,6 +39,27 @@ def test_cjk_keywords_overlapping_substrings(spark):
     assert got == {"数据挖掘": 1, "数据分析": 1, "算法": 3}
 
 
+def test_words_of_every_script(spark):
+    words = ["java开发", "大数据etl", "开发java", "c++", "c#", ".net", "spring boot", "node.js", "数据", "java"]
+    d = keyword_dictionary(spark, words=words)
+    df = texts(spark, "Java开发 大数据ETL, C++、c#；.NET / Spring Boot,spring  boot", "java开发java", "xjava开发 objc++ Node.js")
+    # java: a letter run, so also inside the mixed words; xjava and javascript are other runs
+    assert counts(skills.keyword_counts(df, d)) == {
+        "java开发": 2, "大数据etl": 1, "开发java": 1, "c++": 1, "c#": 1, ".net": 1, "spring boot": 1, "node.js": 1, "数据": 1, "java": 3}
+
+
+def test_a_word_that_no_rule_finds_is_an_error(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="a,b"):
+        skills.keyword_counts(texts(spark, "a,b"), keyword_dictionary(spark, words=["ok", "a,b c;d"]))
+
+
+def test_long_texts_do_not_overflow(spark):
+    d = keyword_dictionary(spark, words=["of the", "x++"])
+    assert counts(skills.keyword_counts(texts(spark, "of the x++ " * 30_000), d)) == {"of the": 30_000, "x++": 30_000}
+
+
 def test_user_dictionary_and_extension_words(spark):
     d = keyword_dictionary(spark, words=["Spark"], extra_words=schema.EXTENSION_WORDS)
     df = texts(spark, "spark 编程思想 本科以上学历")

@@ -33,9 +33,9 @@ def test_latest_wins_and_is_order_independent(spark):
 
 def test_batches_are_idempotent(spark):
     path = scratch_path(spark, "test-store")
-    store.write_cells(cells(spark), path, 0)
-    store.write_cells(cells(spark), path, 0)  # replay of batch 0
-    store.write_cells(cells(spark, [("r1", "info", "a", "3", 7)]), path, 1)
+    store.write_cells(cells(spark), path, "one", 0)
+    store.write_cells(cells(spark), path, "one", 0)  # replay of run 0
+    store.write_cells(cells(spark, [("r1", "info", "a", "3", 7)]), path, "two", 0)  # another job
     all_cells = store.read_cells(spark, path)
     assert all_cells.count() == len(CELLS) + 1
     latest = {(r["row_key"], r["family"], r["qualifier"]): r["value"] for r in store.latest(all_cells).collect()}
@@ -44,7 +44,7 @@ def test_batches_are_idempotent(spark):
 
 def test_pivot_and_text(spark):
     latest = store.latest(cells(spark))
-    piv = {r["row_key"]: (r["a"], r["b"]) for r in store.pivot(latest, "info", ["a", "b"]).collect()}
+    piv = {r["row_key"]: (r["a"], r["b"]) for r in store.pivot(cells(spark), ["a", "b"], "info").collect()}
     assert piv == {"r1": ("2", "x"), "r2": ("y", None)}
     text = {r["row_key"]: r["text"] for r in store.as_text(latest, "info").collect()}
     assert text == {"r1": "a:2\tb:x", "r2": "a:y"}
@@ -64,14 +64,19 @@ def test_as_cells_casts(spark):
                           ("value", "string"), ("version", "bigint")]
 
 
-def test_compact_keeps_latest_view(spark):
-    path = scratch_path(spark, "test-store-c")
-    store.write_cells(cells(spark), path, 0)
-    store.write_cells(cells(spark, [("r1", "info", "a", "9", 8)]), path, 1)
-    before = sorted(map(tuple, store.latest(store.read_cells(spark, path)).collect()))
-    new = store.compact(spark, path, scratch_path(spark, "test-store-c2"))
-    after = sorted(map(tuple, store.latest(store.read_cells(spark, new)).collect()))
-    assert before == after and store.read_cells(spark, new).count() == len(before)
+def test_runs_grow_and_are_read_apart(spark):
+    path = scratch_path(spark, "test-store-runs")
+    first = store.new_run()
+    store.write_cells(cells(spark), path, "one", first)
+    store.write_cells(cells(spark, [("r9", "info", "a", "9", 8)]), path, "one", first + 1)
+    assert store.new_run() >= first
+    assert [r["row_key"] for r in store.read_cells(spark, path, "one", first + 1).collect()] == ["r9"]
+    assert {(r["job"], r["run"]) for r in store.read_cells(spark, path).collect()} == {("one", first), ("one", first + 1)}
+
+
+def test_pivot_is_one_shuffle(spark):
+    plan = store.pivot(cells(spark), ["a", "b"], "info")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
 
 
 def test_glob_matches_fnmatch(spark):

@@ -4,8 +4,9 @@ import json
 
 from pyspark.sql import functions as F
 
+from postlens import fs
 from postlens.functions.parse import postings
-from postlens.operators.skills import han_word_lengths
+from postlens.operators.skills import dictionary_needs
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines
 from postlens.sources.text import keyword_dictionary, stream_lines, write_lines
@@ -15,7 +16,7 @@ from tests.conftest import SF_SMALL
 
 def batch_totals(spark, lines_df):
     d = keyword_dictionary(spark)
-    rows = sr.stream_rows(postings(lines_df, "line"), d, han_word_lengths(d))
+    rows = sr.stream_rows(postings(lines_df, "line"), d, dictionary_needs(d))
     return sorted(map(tuple, sr.running_counts(rows).collect()))
 
 
@@ -32,7 +33,7 @@ def test_stream_equals_batch_restart_and_resume(spark):
     first = all_lines.where(F.col("id") < 4000)
     second = all_lines.where(F.col("id") >= 4000)
     src = scratch_path(spark, "test-stream-in")
-    write_lines(first, src + "/part1", n_files=3)
+    write_lines(first.repartition(3), src + "/part1")
     store_path, ckpt = scratch_path(spark, "test-stream-store"), scratch_path(spark, "test-stream-ckpt")
 
     q = run(spark, src + "/*", store_path, ckpt)
@@ -46,7 +47,7 @@ def test_stream_equals_batch_restart_and_resume(spark):
     assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == got
 
     # New files: the totals continue from the checkpointed state.
-    write_lines(second, src + "/part2", n_files=2)
+    write_lines(second.repartition(2), src + "/part2")
     run(spark, src + "/*", store_path, ckpt)
     assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, all_lines)
 
@@ -89,7 +90,7 @@ def test_nested_documents_under_bare_key(spark):
 def test_complete_mode_equals_update_mode(spark):
     lines = posting_lines(spark, SF_SMALL)
     src = scratch_path(spark, "test-stream-modes")
-    write_lines(lines, src, n_files=3)
+    write_lines(lines.repartition(3), src)
     out = {}
     for mode in ("update", "complete"):
         store_path = scratch_path(spark, f"test-stream-{mode}")
@@ -102,7 +103,7 @@ def test_complete_mode_equals_update_mode(spark):
 
 
 def test_state_partitions_option_restores_session_setting(spark):
-    src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "test-stream-parts"), n_files=1)
+    src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "test-stream-parts"))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     stream = stream_lines(spark, "files", {}, path=src)
     q = sr.start(spark, stream, keyword_dictionary(spark), scratch_path(spark, "st"), scratch_path(spark, "ck"),
@@ -116,7 +117,7 @@ def test_interrupted_stream_resumes_exactly_once(spark):
     import time
 
     lines = posting_lines(spark, SF_SMALL)
-    src = write_lines(lines, scratch_path(spark, "test-stream-int"), n_files=4)
+    src = write_lines(lines.repartition(4), scratch_path(spark, "test-stream-int"))
     store_path, ckpt = scratch_path(spark, "test-stream-int-store"), scratch_path(spark, "test-stream-int-ckpt")
     stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
     q = sr.start(spark, stream, keyword_dictionary(spark), store_path, ckpt, trigger={"processingTime": "1 second"})
@@ -129,24 +130,54 @@ def test_interrupted_stream_resumes_exactly_once(spark):
 
 
 def test_per_batch_json_store(spark):
-    from postlens.operators import store
-
-    src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "test-stream-json"), n_files=2)
+    src = write_lines(posting_lines(spark, SF_SMALL).repartition(4), scratch_path(spark, "test-stream-json"))
     store_path, json_path = scratch_path(spark, "tsj-store"), scratch_path(spark, "tsj-json")
     stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
     q = sr.start(spark, stream, keyword_dictionary(spark), store_path, scratch_path(spark, "tsj-ck"),
                  trigger={"availableNow": True}, json_store=json_path, job="javaweb")
     q.awaitTermination()
-    cells = store.read_cells(spark, json_path)
-    assert {r["batch"] for r in cells.select("batch").distinct().collect()} == {"0", "1"}
-    latest = {r["row_key"]: r["value"] for r in store.latest(cells).collect()}
+    # Whole views only, of the last two batches: earlier ones are gone, nothing was read back.
+    assert fs.children(spark, json_path + "/run=0") == ["full=2", "full=3"]
+    latest = {r["row_key"]: r["value"] for r in sr.stored(spark, json_path).collect()}
     want = {r["key"]: r["value"] for r in sr.json_documents(sr.totals(spark, store_path), "javaweb").collect()}
     assert latest == want and len(want) == 4
 
 
+def test_fresh_checkpoint_on_an_old_store_gives_the_new_totals(spark):
+    lines = posting_lines(spark, SF_SMALL)
+    old = write_lines(lines.repartition(4), scratch_path(spark, "test-stream-old"))
+    few = lines.where("id < 40")
+    new = write_lines(few, scratch_path(spark, "test-stream-new"))
+    store_path = scratch_path(spark, "test-stream-lives")
+    run(spark, old, store_path, scratch_path(spark, "ck-old"))
+    run(spark, new, store_path, scratch_path(spark, "ck-new"))
+    assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, few)
+    assert fs.children(spark, store_path) == ["run=0", "run=1"]
+
+
+def test_sink_keeps_few_folders(spark):
+    lines = posting_lines(spark, SF_SMALL)
+    src = write_lines(lines.repartition(9), scratch_path(spark, "test-stream-full"))
+    store_path = scratch_path(spark, "test-stream-full-store")
+    stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+    q = sr.start(spark, stream, keyword_dictionary(spark), store_path, scratch_path(spark, "ck-full"),
+                 trigger={"availableNow": True}, full_every=3)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert fs.children(spark, store_path + "/run=0") == ["delta=6", "delta=7", "full=5", "full=8"]
+    assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, lines)
+
+
+def test_stopped_streams_leave_nothing_cached(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "test-stream-cache"))
+    run(spark, src, scratch_path(spark, "cache-store"), scratch_path(spark, "cache-ck"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
 def test_echo_prints_batches_and_keeps_totals(spark):
     lines = posting_lines(spark, SF_SMALL)
-    src = write_lines(lines, scratch_path(spark, "test-stream-echo"), n_files=2)
+    src = write_lines(lines.repartition(2), scratch_path(spark, "test-stream-echo"))
     store_path = scratch_path(spark, "tse-store")
     stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
     q = sr.start(spark, stream, keyword_dictionary(spark), store_path, scratch_path(spark, "tse-ck"),
