@@ -106,6 +106,59 @@ QUERIES: dict[str, Query] = {
     "op10_source_mixing": op10_source_mixing,
 }
 
+#: Rules and redirect equivalence in SQL: spellings as text, links followed by recursion.
+URL_SQL = r"""
+    WITH RECURSIVE parts AS (
+        SELECT page_id, url, html, instr(url, '://') > 0 AS ok,
+               CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ), linked AS (
+        SELECT DISTINCT url AS page, unnest([
+            regexp_extract(list_extract(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?canonical\b')), 1), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+            regexp_extract(list_extract(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')), 1), '(?is)\bcontent\s*=\s*["''][^"''>]*?url\s*=\s*([^"''\s>;]+)', 1)
+        ]) AS link FROM parts WHERE ok
+    ), targets AS (
+        SELECT page, CASE WHEN instr(link, '://') > 0 THEN link
+                          WHEN starts_with(link, '//') THEN regexp_extract(page, '^(.*?:)//', 1) || link
+                          WHEN starts_with(link, '/') THEN regexp_extract(page, '^(.*?://[^/?#]*)', 1) || link END AS target
+        FROM linked WHERE link <> ''
+    ), urls AS (
+        SELECT DISTINCT u FROM (SELECT url AS u FROM parts WHERE ok UNION ALL SELECT target FROM targets) WHERE instr(u, '://') > 0
+    ), cut AS (
+        SELECT u, substring(u, instr(u, '://') + 3) AS rest FROM urls
+    ), named AS (
+        SELECT u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path,
+               regexp_extract(regexp_replace(rest, '(?s)#.*$', ''), '(?s)\?(.*)$', 1) AS query
+        FROM cut
+    ), ruled AS (
+        SELECT u, host, path, query,
+               (SELECT arg_max([r.host || r.prefix, r.verdict], length(r.host || r.prefix)) FROM rules r
+                WHERE (named.host = r.host OR ends_with(named.host, '.' || r.host)) AND starts_with(named.path, r.prefix)) AS own
+        FROM named
+    ), spelled AS (
+        SELECT u, host, path, own, regexp_replace(host, '^(www\.|m\.)+', '') || regexp_replace(regexp_replace(path, '(?i)\.html?$', ''), '/+$', '')
+               || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT regexp_full_match(p, '(utm_[a-z]+|ref|fbclid|gclid)=[^&]*'))), '&'), ''), '') AS node
+        FROM ruled
+    ), edges AS (
+        SELECT a.node AS x, b.node AS y FROM targets JOIN spelled a ON a.u = page JOIN spelled b ON b.u = target
+    ), either_way AS (
+        SELECT x, y FROM edges UNION SELECT y, x FROM edges
+    ), reach AS (
+        SELECT DISTINCT node AS x, node AS y FROM spelled
+        UNION
+        SELECT reach.x, either_way.y FROM reach JOIN either_way ON either_way.x = reach.y
+    ), judged AS (
+        SELECT reach.x AS node, bool_or(coalesce(own[2] = 'block', false)) AND NOT bool_or(coalesce(own[2] = 'allow', false)) AS blocked
+        FROM reach JOIN spelled ON spelled.node = reach.y GROUP BY reach.x
+    )
+    SELECT page_id, coalesce(s.host, '') AS host, coalesce(s.path, '') AS path, s.own[1] AS rule,
+           coalesce(s.own[2], CASE WHEN j.blocked THEN 'block' ELSE 'allow' END) AS verdict,
+           CASE WHEN s.own IS NOT NULL THEN 'rule' WHEN j.blocked THEN 'alias' ELSE 'default' END AS decided_by
+    FROM parts LEFT JOIN spelled s ON s.u = parts.url LEFT JOIN judged j ON j.node = s.node""".replace(
+    "WITH RECURSIVE parts AS", "WITH RECURSIVE rules(verdict, host, prefix) AS (VALUES " + ", ".join(str(r) for r in URL_RULES) + "), parts AS", 1
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op1_topk_search": f"""
         WITH signs AS (
@@ -118,9 +171,45 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, rank, vec_id, distance
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)
         WHERE rank <= {TOP_K}""",
+    "op2_jaccard_join": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+        ), grams AS (
+            SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i: array_to_string(ws[i:i + 4], ' '))) AS gram
+            FROM worded WHERE len(ws) > 0
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 10 * k >= 8 * (p.n + q.n - k)
+        ), reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM documents
+            UNION
+            SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+        ), classes AS (
+            SELECT x, min(y) AS class_id FROM reach GROUP BY x
+        ), degrees AS (
+            SELECT x, count(*) AS n FROM links GROUP BY x
+        )
+        SELECT doc_id, class_id, CAST(coalesce(degrees.n, 0) AS BIGINT) AS n_links
+        FROM documents JOIN classes ON classes.x = doc_id LEFT JOIN degrees ON degrees.x = doc_id""",
     "op5_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         WINDOW g AS (PARTITION BY norm)""",
+    "op7_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+            UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id""",
+    "op8_url_filter": URL_SQL,
 }

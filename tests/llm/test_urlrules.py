@@ -86,3 +86,23 @@ def test_query_on_driver_table(spark):
     for r in got:
         rule, verdict = own(*host_path(pages[r["page_id"]]))
         assert r["rule"] == rule and (verdict is None or r["verdict"] == verdict)
+
+
+def test_sql_agrees_where_pages_link(spark, tmp_path):
+    import duckdb
+
+    rows = [(100 + i, u, None) for i, u in enumerate(URLS)]
+    rows += [
+        (1, "http://a.net/1", link("http://b.net/2")), (2, "https://www.b.net/2.html?utm_source=x#t", refresh("http://c.com/de/9")),
+        (3, "http://d.net/3", link("/4")), (4, "http://d.net/4/", None), (5, "http://e.net/5?b=2&a=1&ref=q", link("//a.net/1")),
+        (6, "http://e.net/5.html?a=1&b=2", None), (7, "http://g.org/7", link("http://c.com/de/9")), (7, "http://g.org/7", None),
+        (8, "http://h.net/8", link("http://example.org/es/1") + refresh("relative/path")), (9, "http://h.net/8/", "<link rel=stylesheet href=x>"),
+    ]
+    pages = frame(spark, rows, PAGES)
+    got = urlrules.judge_urls(pages, queries.URL_RULES)
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    want = con.execute(queries.ORACLE_SQL["op8_url_filter"])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=str) == sorted(want.fetchall(), key=str)
