@@ -120,7 +120,7 @@ def descend(samples: list[tuple[int, np.ndarray, np.ndarray]], visits: int = VIS
     """The model learned from (class, buckets, counts) samples by stochastic gradient descent.
 
     Steps shrink with what a vector or the layer has moved already (Adagrad). Classes weigh as much
-    as each other in the gradient and are brought back to their shares by the offset.
+    as each other, so a score means the same whatever their shares of the sample.
     """
     rng = np.random.default_rng(seed)
     labels = np.array([s[0] for s in samples])
@@ -152,8 +152,7 @@ def descend(samples: list[tuple[int, np.ndarray, np.ndarray]], visits: int = VIS
             offset -= p * pace
             moved[buckets] += share**2 * float(back @ back)
             vectors[buckets] -= np.outer(share / np.sqrt(moved[buckets]), back * now)
-    prior = np.log(balance[0] / balance[1])
-    return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(offset[1] - offset[0] + prior))
+    return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(offset[1] - offset[0]))
 
 
 def fit(
