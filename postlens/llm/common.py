@@ -57,15 +57,17 @@ def hash_share(name: str, seed: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, id_col: str, class_col: str, rows: int, seed: int) -> DataFrame:
-    """About ``rows / classes`` rows of each class, at most ``rows`` in all, chosen by id hash.
+    """About ``0.9 rows / classes`` rows of each class, at most ``rows`` in all, chosen by id hash.
 
     One count per class decides the share of each; the choice itself is a filter, so no class is
-    gathered or sorted in one task.
+    gathered or sorted in one task, and reruns choose alike (the margin keeps the limit from
+    binding). Of more classes than rows the most frequent ones are sampled.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(class_col).count().where(F.col(class_col).isNotNull()).limit(rows).collect()}
+    sizes = df.groupBy(class_col).count().where(F.col(class_col).isNotNull())
+    counts = {r[0]: r[1] for r in sizes.orderBy(F.desc("count"), class_col).limit(rows).collect()}
     if not counts:
         return df.limit(0)
-    each = rows / len(counts)
+    each = 0.9 * rows / len(counts)
     share = F.lit(0.0)
     for value, n in sorted(counts.items(), key=lambda kv: str(kv[0])):
         share = F.when(F.col(class_col) == F.lit(value), F.lit(min(1.0, each / n))).otherwise(share)
