@@ -1,12 +1,14 @@
 """Plan properties of every registered query: no Python evaluation, no cross join, pruned scans.
 
-Queries that run jobs of their own while they are built (streams, stores, rank checkpoints) are held
-to the same rules: a listener collects the plan of every query that ran, not only of the last.
+Queries that run jobs of their own while they are built (stores, jobs, rank checkpoints) are held to
+the same rules: the plan of every frame that is written or checkpointed on the way is kept too.
 """
 
 import re
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
+from pyspark.sql.readwriter import DataFrameWriter
 
 from postlens.operators import store
 from postlens.plans import registry, report
@@ -17,44 +19,36 @@ from tests.conftest import SF_SMALL
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.fixture(scope="module")
-def event_log(spark):
-    """Texts of all executed plans, by the number of plans before."""
-    seen = []
-
-    class Listener:
-        def onSuccess(self, name, execution, duration):
-            seen.append(execution.toString())
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
-        def onFailure(self, name, execution, error):
-            seen.append(execution.toString())
 
-        class Java:
-            implements = ["org.apache.spark.sql.util.QueryExecutionListener"]
+@pytest.fixture
+def plans(monkeypatch):
+    """Texts of the plans of all frames written or checkpointed during the test."""
+    seen = []
 
-    started = spark.sparkContext._gateway
-    from pyspark.java_gateway import ensure_callback_server_started
+    def kept(owner, name, frame):
+        before = getattr(owner, name)
 
-    ensure_callback_server_started(started)
-    listener = Listener()
-    manager = spark._jsparkSession.listenerManager()
-    manager.register(listener)
-    yield seen
-    manager.unregister(listener)
+        def call(self, *args, **kwargs):
+            if not frame(self).isStreaming:
+                seen.append(executed(frame(self)))
+            return before(self, *args, **kwargs)
 
+        monkeypatch.setattr(owner, name, call)
 
-def physical(text):
-    return text.split("== Physical Plan ==")[-1]
+    for name in ("parquet", "text"):
+        kept(DataFrameWriter, name, lambda writer: writer._df)
+    kept(DataFrame, "checkpoint", lambda df: df)
+    return seen
 
 
 @pytest.mark.parametrize("name", sorted(registry.registered()))
-def test_no_python_and_pruned_scans(spark, event_log, name):
-    before = len(event_log)
+def test_no_python_and_pruned_scans(spark, plans, name):
     df = registry.registered()[name](spark, SF_SMALL)
     df.collect()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    plans = [physical(p) for p in event_log[before:]] + [df._jdf.queryExecution().executedPlan().toString()]
-    for plan in plans:
+    for plan in [*plans, executed(df)]:
         for node in PYTHON_NODES:
             assert node not in plan, (name, node)
         for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "RoundRobinPartitioning"):
