@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from types import ModuleType
+from typing import TypeVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 
 from postlens.session import shared_dir
 
+T = TypeVar("T")
+
 #: White space of every contract that names it: space, tab, LF, VT, FF, CR.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
@@ -106,6 +111,14 @@ def text_blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS, overlap:
         yield np.array(rows, dtype=np.int64), strings
 
 
+def per_worker(key: str, make: Callable[[], T]) -> T:
+    """What ``make`` returns, made once in each Python worker process and shared by its tasks."""
+    shared = sys.modules.setdefault("_postlens_worker", ModuleType("_postlens_worker")).__dict__
+    if key not in shared:
+        shared[key] = make()
+    return shared[key]
+
+
 def code_points(strings: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the strings, a space before each and one at the end; where each begins."""
     joined = " " + " ".join(strings) + " "

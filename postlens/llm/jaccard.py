@@ -1,7 +1,9 @@
 """N-gram Jaccard join by MinHash bands, verified on the full n-gram sets.
 
 A document's set holds the hashes (64 bits) of its distinct runs of ``NGRAM`` words; one with fewer
-words has one run of them all. Documents with the same words are one node. Each node's MinHash
+words has one run of them all. Words are the runs of letters, marks and digits of the lower-cased
+text, as an edited copy often has its sentences cut and capitalised anew. Documents with the same
+words are one node. Each node's MinHash
 signature is cut into bands; the numbers of bands and of rows in a band follow from the similarity
 and the recall asked for. Nodes are shuffled on their band hashes, and within a band's bucket
 linked to its smallest node only, never all pairs. The connected components of these
@@ -14,7 +16,7 @@ similarity meet, and a task still holds two blocks.
 A document's links are all other rows at or above the similarity, copies included, and a class is
 a connected component of links; its id is the smallest id in it.
 
-Results for odd input: a null or empty text has no n-grams, no links, and is its own class; so is
+Results for odd input: a null or empty text, or one without a word, has no n-grams, no links, and is its own class; so is
 each row with a null id, whose class is null. Rows that repeat are copies and count as links of
 each other. Ids name documents: rows that share an id but not the text are linked as one node. An
 empty table gives an empty result; other columns are ignored.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import code_points, cut, mix64, text_blocks, word_hashes
+from postlens.llm.common import code_points, cut, mix64, per_worker, text_blocks, word_hashes
 from postlens.llm.components import connected_components
 
 NGRAM = 5
@@ -60,16 +63,31 @@ def choose_bands(similarity: float, recall: float, hashes: int = HASHES) -> tupl
     return best
 
 
+#: Code points from here on are taken as they are.
+_TABLE_END = 0x30000
+
+
+def word_table() -> np.ndarray:
+    """Code point -> its lower-case letter, mark or digit; anything else -> a space."""
+    out = np.full(_TABLE_END, 32, dtype=np.uint32)
+    for c in range(_TABLE_END):
+        char = chr(c)
+        if char.isalnum() or unicodedata.category(char)[0] == "M":
+            low = char.lower()
+            out[c] = ord(low) if len(low) == 1 else c
+    return out
+
+
 def shingles(texts: list[str | None], n: int = NGRAM) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
     """(hashes, starts, digests, words): the n-gram hashes of all texts, those of text i from ``starts[i]`` to ``starts[i + 1]``.
 
-    A digest names a sequence of words. White space is that of the contracts; a run of
-    more than a block of characters without any counts as several words.
+    A digest names a sequence of words. A word of more than a block of characters counts as several.
     """
+    table = per_worker("words", word_table)
     hashes, owner = [], []
     for rows, strings in text_blocks(texts):
         points, starts = code_points(strings)
-        found, begin = word_hashes(points)
+        found, begin = word_hashes(np.where(points < _TABLE_END, table[np.minimum(points, _TABLE_END - 1)], points))
         hashes.append(found)
         owner.append(rows[np.searchsorted(starts, begin, side="right") - 1])
     words = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)

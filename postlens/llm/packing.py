@@ -20,11 +20,9 @@ from __future__ import annotations
 
 import heapq
 import re
-import sys
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 from itertools import count
-from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -32,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import cut
+from postlens.llm.common import cut, per_worker
 
 WINDOW = 1024
 MAX_PIECE = 256
@@ -137,21 +135,13 @@ class WordEncoder:
         return b"".join(found[1:])
 
 
-def worker_encoder(path: str) -> WordEncoder:
-    """The encoder that the tasks of a Python worker share, so that words are remembered across them."""
-    shared = sys.modules.setdefault("_postlens_worker", ModuleType("_postlens_worker"))
-    if path not in shared.__dict__:
-        shared.__dict__[path] = WordEncoder(path)
-    return shared.__dict__[path]
-
-
 def token_pieces(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, window: int = WINDOW, max_piece: int = MAX_PIECE
 ) -> DataFrame:
     """(id, start, length, ids, doc_tokens): the pieces of every row; ``ids`` as little-endian 32-bit numbers."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(tokenizer)
+        encoder = per_worker(tokenizer, lambda: WordEncoder(tokenizer))  # words are remembered across tasks
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             owners: list[int] = []

@@ -173,7 +173,7 @@ ORACLE_SQL: dict[str, str] = {
         WHERE rank <= {TOP_K}""",
     "op2_jaccard_join": r"""
         WITH RECURSIVE worded AS (
-            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') AS ws FROM documents
         ), grams AS (
             SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i: array_to_string(ws[i:i + 4], ' '))) AS gram
             FROM worded WHERE len(ws) > 0

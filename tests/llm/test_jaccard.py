@@ -1,15 +1,15 @@
 import random
-import re
 
 import numpy as np
 import pytest
+import regex
 
 from postlens.llm import jaccard, queries
 from tests.llm.support import DOCS, ODD, SF, doc, frame, write_tables
 
 
 def grams(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    words = regex.findall(r"[\p{L}\p{M}\p{N}]+", (text or "").lower())
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
@@ -55,6 +55,10 @@ def corpus():
         texts += variants(rng, words, 25, 4)
     shared = " ".join(f"p{i}" for i in range(40))  # a passage that many documents share
     texts += [shared + " " + " ".join(f"q{rng.randint(0, 10**6)}" for _ in range(60)) for _ in range(60)]
+    words = [f"v{rng.randint(0, 400)}" for _ in range(90)]  # cut into sentences anew, three times
+    for step in (7, 9, 11):
+        texts.append(" ".join(w.capitalize() if i % step == 0 else w + ("." if i % step == step - 1 else "") for i, w in enumerate(words)))
+    texts += ["...", "!?"] * 2
     texts += ["one two three", "one  two\nthree", "one two three four five", "copy of it all, many times over"] * 4
     rng.shuffle(texts)
     return [(i + 1, t) for i, t in enumerate(texts)]
