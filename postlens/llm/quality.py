@@ -36,6 +36,8 @@ SAMPLE_ROWS = 4000
 VISITS = 24_000
 RATE = 0.2
 SEED = 11
+#: A feature that occurs more often than this in a learned document counts as this often.
+_MOST = (1 << 16) - 1
 
 
 def features(points: np.ndarray, starts: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -96,7 +98,7 @@ class Model:
 
 
 def document_features(docs: DataFrame, id_col: str, text_col: str, class_col: str) -> DataFrame:
-    """(id, class, buckets, counts) of each row: its distinct features and how often each occurs, as packed 32-bit numbers."""
+    """(id, class, buckets, counts) of each row: its distinct features and how often each occurs, as packed 16-bit numbers."""
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -108,7 +110,7 @@ def document_features(docs: DataFrame, id_col: str, text_col: str, class_col: st
                     for bucket, _ in features(points, starts):
                         counts += np.bincount(bucket, minlength=1 << BITS).astype(np.int32)
                 used = np.flatnonzero(counts)
-                found.append((used.astype(np.int32).tobytes(), counts[used].tobytes()))
+                found.append((used.astype(np.uint16).tobytes(), np.minimum(counts[used], _MOST).astype(np.uint16).tobytes()))
             yield pd.DataFrame({"id": frame["id"], "class": frame["class"], "buckets": [f[0] for f in found], "counts": [f[1] for f in found]})
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(class_col).cast("int").alias("class"), F.col(text_col).alias("text"))
@@ -138,7 +140,7 @@ def descend(samples: list[tuple[int, np.ndarray, np.ndarray]], visits: int = VIS
             step += 1
             if not len(buckets):
                 continue
-            share = (counts / counts.sum()).astype(np.float32)
+            share = (counts / counts.sum(dtype=np.int64)).astype(np.float32)
             hidden = share @ vectors[buckets]
             z = hidden @ layer + offset
             p = np.exp(z - z.max())
@@ -168,7 +170,7 @@ def fit(
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     pairs = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_label_id"))
     rows = sorted(document_features(pairs, "_id", "_text", "_class").collect(), key=lambda r: (r["id"], r["class"]))
-    samples = [(r["class"], np.frombuffer(r["buckets"], dtype=np.int32), np.frombuffer(r["counts"], dtype=np.int32)) for r in rows]
+    samples = [(r["class"], np.frombuffer(r["buckets"], dtype=np.uint16), np.frombuffer(r["counts"], dtype=np.uint16)) for r in rows]
     return descend(samples) if len({s[0] for s in samples}) == 2 else None
 
 
