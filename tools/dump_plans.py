@@ -1,4 +1,4 @@
-"""Write the final physical plan (after AQE) of every registered query to PLANS.md.
+"""Write the final physical plan (after AQE) of every query of the reference's operators to PLANS.md.
 
 Usage: python tools/dump_plans.py [sf_dir]   (default /root/testdata/sf0.01)
 """
@@ -10,7 +10,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from postlens.plans import registry  # noqa: E402
 from postlens.session import local_session  # noqa: E402
 
 
@@ -34,7 +34,7 @@ def main() -> None:
         "Queries with a lineage cut (ranks, result-store reads, streams) show the plan after the cut.",
         "",
     ]
-    for name, fn in entry.queries().items():
+    for name, fn in registry.registered().items():
         df = fn(spark, sf_dir)
         df.collect()  # executes this QueryExecution, so the AQE final plan is shown
         out += [f"## {name}", "", "```", plan_tree(df), "```", ""]
