@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8),
-``BENCH_RUNS`` (default 5; the median is reported).
+``BENCH_RUNS`` (default 3; the median is reported).
 
 Untimed setup: the posting lines Spark derives from ``orders ⋈ customer ⋈ nation`` are written
 once as text files, so the report queries read raw posting text as a production job would. The
@@ -53,11 +53,11 @@ def timed(fn, runs: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "5"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=max(cpus, 2), app="postlens-bench")
     spark.sparkContext.setLogLevel("ERROR")
 
-    text_dir = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "bench-postings"))
+    text_dir = write_lines(posting_lines(spark, sf_dir).repartition(max(cpus, 3)), scratch_path(spark, "bench-postings"))
     dictionary = keyword_dictionary(spark)
     needs = skills.dictionary_needs(dictionary)
 
@@ -79,9 +79,7 @@ def main() -> None:
             skills.word_counts(documents(), "text", schema.STOP_WORDS)
         ),
         "cell_store_latest": lambda: registry.q_cell_store_latest(spark, sf_dir),
-        "cell_store_pivot": lambda: registry.q_cell_store_pivot(spark, sf_dir),
         "common_owner_lookup": lambda: registry.q_common_owner_lookup(spark, sf_dir),
-        "user_dictionary_count": lambda: registry.q_user_dictionary_count(spark, sf_dir),
     }
 
     def q_stream_report():
@@ -92,7 +90,10 @@ def main() -> None:
     # Shuffle exchanges in each batch query's physical plan (broadcasts not counted). Queries that
     # cut lineage with a checkpoint (ranks) or a written store count the plan after the cut.
     exchanges = {name: shuffle_exchanges(build()) for name, build in batch.items()}
-    results = {name: round(timed(fn, runs), 3) for name, fn in plan.items()}
+    results = {}
+    for name, fn in plan.items():
+        results[name] = round(timed(fn, runs), 3)
+        print(name, results[name], file=sys.stderr, flush=True)
     n_postings = spark.read.text(text_dir).count()
     n_docs = table(spark, sf_dir, "documents", ["doc_id"]).count()
     spark.stop()

@@ -100,7 +100,9 @@ def han_grams(text: Column | str, lengths: Iterable[int]) -> Column:
 def mixed_grams(text: Column | str, lengths: Iterable[int]) -> Column:
     """Substrings of the given lengths of runs of Han characters, ASCII letters and digits that
     hold both scripts and cut no ASCII word in two."""
-    runs = extract_all(F.lower(_col(text)), SCRIPT_RUN)
+    # Only runs that hold both scripts are looked into: in other texts this costs one match a run.
+    both_scripts = lambda run: run.rlike(r"\p{IsHan}") & run.rlike("[a-z0-9]")
+    runs = F.filter(extract_all(F.lower(_col(text)), SCRIPT_RUN), both_scripts)
 
     def grams_of(n: int):
         def grams(run: Column) -> Column:
