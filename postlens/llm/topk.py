@@ -1,15 +1,16 @@
 """Exact top-k search in Hamming space by incremental multi-index hashing.
 
-The codes (64 bits) are dealt into blocks by id hash. A block indexes its codes once per segment of
+Of rows that share a code (64 bits) only the ``k`` with the smallest ids can be found, so only these
+are searched. They are dealt into blocks by the code's hash. A block indexes its codes once per segment of
 about ``log2(codes)`` bits. A query probes, segment after segment and radius after radius, the
 buckets whose segment value differs from its own in exactly that many bits, and verifies the whole
 codes found there. With radius ``r`` done for the first ``j + 1`` of ``m`` segments, a code that was
 not found differs in more than ``m r + j`` bits (each of its segments is farther than the radius
 probed for it), so the search ends once the k-th verified distance is at most that.
 
-Every query first searches the block that holds its own hash; the k-th distance found there bounds
-its radius in all other blocks, which return only what is as near. The nearest of all blocks are
-then ranked. Where a radius has more buckets than the block has codes, the block's codes are all
+Every query first searches one block, chosen by its id's hash; the k-th distance found there bounds
+its radius in all blocks, which return only what is as near, at most ``k`` for each query: hits
+are trimmed to ``k`` step by step. The nearest of all blocks are then ranked. Where a radius has more buckets than the block has codes, the block's codes are all
 verified instead, which is as exact.
 
 Blocks and query batches have bounded sizes, so queries are sent to blocks as a stated set against
@@ -41,6 +42,8 @@ BATCH_QUERIES = 1 << 20
 LEAST_BLOCK = 1 << 10
 #: Probes or candidates that one step of array work holds.
 STEP = 1 << 20
+#: Shares in which the copies of a code are first reduced.
+SHARES = 16
 BITS = 64
 
 
@@ -113,46 +116,71 @@ class Block:
             query, code = np.indices(apart.shape)
             yield query.ravel() + at, code.ravel(), apart.ravel()
 
-    def nearest(self, queries: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, code, distance) of everything within each query's bound that may be among its k nearest."""
-        seen = np.zeros((len(queries), BITS + 1), dtype=np.int64)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        limit = np.minimum(bounds, BITS)
+    def nearest(self, queries: np.ndarray, bounds: np.ndarray, k: int, ties: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, code, distance) of everything within each query's bound that may be among its k nearest.
+
+        Without ``ties`` those of equal distance are ranked by their place in ``codes``, and a query
+        has at most ``k``. Hits are merged in steps, so between steps no query holds more than that.
+        """
+        # A hit is one number: query, distance (8 bits), place of the code (32 bits).
+        first = np.arange(len(queries) + 1, dtype=np.int64) << 40
+        last = first[:-1] + (np.minimum(bounds, BITS).astype(np.int64) << 32) + 0xFFFFFFFF  # of each query, what may still count
+        held = np.zeros(0, dtype=np.int64)
         open_ = np.arange(len(queries))
 
+        def limit() -> np.ndarray:
+            return (last >> 32) & 0xFF
+
+        def merge(parts: list[np.ndarray]) -> None:
+            nonlocal held
+            held = np.concatenate((held, *parts))
+            held.sort()
+            starts = np.searchsorted(held, first)
+            full = np.flatnonzero(np.diff(starts) >= k)
+            kth = held[starts[full] + k - 1]
+            last[full] = np.minimum(last[full], kth | 0xFFFFFFFF if ties else kth)
+            held = held[held <= last[held >> 40]]
+
         def take(hits: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+            parts, size = [], 0
             for query, code, apart in hits:
                 query = open_[query]
-                near = apart <= limit[query]
-                query, code, apart = query[near], code[near], apart[near]
-                seen.ravel()[:] += np.bincount(query * (BITS + 1) + apart, minlength=seen.size)
-                found.append((query, code, apart))
-            full = np.cumsum(seen, axis=1) >= k
-            kth = np.where(full[:, -1], full.argmax(axis=1), BITS)
-            np.minimum(limit, kth, out=limit)
+                found = first[query] + (apart << 32) + code
+                parts.append(found[found <= last[query]])
+                size += len(parts[-1])
+                if size >= STEP:
+                    merge(parts)
+                    parts, size = [], 0
+            merge(parts)
 
         covered, radius, m = -1, 0, len(self.segments)
         while len(open_) and covered < BITS:
             if len(self.codes) <= max(k, len(self.flips(self.segments[0][1], radius))):
                 closed = np.ones(len(queries), dtype=bool)  # all codes follow for the open queries
                 closed[open_] = False
-                found = [tuple(x[closed[f[0]]] for x in f) for f in found]
-                seen[open_] = 0
+                held = held[closed[held >> 40]]
                 take(self.whole(queries[open_]))
                 break
             for segment in range(m):
                 take(self.probe(queries[open_], segment, radius))
                 covered = m * radius + segment
-                open_ = open_[limit[open_] > covered]
+                open_ = open_[limit()[open_] > covered]
                 if not len(open_):
                     break
             radius += 1
-        if not found:
-            empty = np.zeros(0, dtype=np.int64)
-            return empty, empty, empty
-        query, code, apart = (np.concatenate(x) for x in zip(*found))
-        near = apart <= limit[query]
-        return query[near], code[near], apart[near]
+        return held >> 40, held & 0xFFFFFFFF, (held >> 32) & 0xFF
+
+
+def first_copies(codes: DataFrame, k: int) -> DataFrame:
+    """Of every code the ``k`` rows with the smallest ids: no others can be among the ``k`` nearest of any query.
+
+    Copies are first reduced in ``SHARES`` shares by id, so a hot code is not read by one task.
+    """
+    share = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SHARES))
+    for keys in (["code", share], ["code"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("id"))
+        codes = codes.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+    return codes
 
 
 def search(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -161,7 +189,7 @@ def search(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     Both frames have the columns ``id`` and ``code``.
     """
     spark = codes.sparkSession
-    codes, queries = cut(codes.where("code is not null"), "codes"), cut(queries.where("code is not null").dropDuplicates(["id", "code"]), "queries")
+    codes, queries = cut(first_copies(codes.where("code is not null").select("id", "code"), k), "codes"), cut(queries.where("code is not null").dropDuplicates(["id", "code"]), "queries")
     n, asked = codes.count(), queries.count()
     blocks = max(1, -(-n // BLOCK_CODES), min(shuffle_partitions(spark), -(-n // LEAST_BLOCK)))
     batches = max(1, -(-asked // BATCH_QUERIES))
@@ -170,21 +198,21 @@ def search(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def nearest(_key: tuple, code_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
         if not len(code_rows) or not len(query_rows):
             return pd.DataFrame({"query_id": [], "id": [], "distance": []})
+        code_rows = code_rows.sort_values("id", na_position="first")  # equal distances are ranked by id
         block = Block(code_rows["code"].to_numpy(dtype=np.int64).view(np.uint64))
         asked = query_rows["code"].to_numpy(dtype=np.int64).view(np.uint64)
-        query, code, apart = block.nearest(asked, query_rows["bound"].to_numpy(dtype=np.int64), k)
-        out = pd.DataFrame({"query_id": query_rows["id"].to_numpy()[query], "id": code_rows["id"].to_numpy()[code], "distance": apart, "query": query})
-        out = out.sort_values(["query", "distance", "id"])
-        return out[out.groupby("query").cumcount() < k][["query_id", "id", "distance"]]
+        query, code, apart = block.nearest(asked, query_rows["bound"].to_numpy(dtype=np.int64), k, ties=False)
+        return pd.DataFrame({"query_id": query_rows["id"].to_numpy()[query], "id": code_rows["id"].to_numpy()[code], "distance": apart})
 
     def within(code_rows: DataFrame, query_rows: DataFrame) -> DataFrame:
         return code_rows.groupBy("block", "batch").cogroup(query_rows.groupBy("block", "batch")).applyInPandas(nearest, schema)
 
-    block, batch = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.pmod(F.xxhash64("id", F.lit(3)), F.lit(batches)).alias("batch")
+    block = lambda name: F.pmod(F.xxhash64(name), F.lit(blocks)).alias("block")
+    batch = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(batches)).alias("batch")
     every = lambda number, name: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long"))).alias(name)
-    dealt = codes.select("id", "code", block, every(batches, "batch"))
-    # First the query's own block, for a bound.
-    home = within(dealt, queries.select("id", "code", block, batch, F.lit(BITS).cast("long").alias("bound")))
+    dealt = codes.select("id", "code", block("code"), every(batches, "batch"))
+    # First one block each, by id as many queries may share a code, for a bound.
+    home = within(dealt, queries.select("id", "code", block("id"), batch, F.lit(BITS).cast("long").alias("bound")))
     bounds = home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").cast("long").alias("far")).where(F.col("n") >= k)
     asked_all = queries.join(bounds, queries["id"] == bounds["query_id"], "left").select(
         "id", "code", F.coalesce("far", F.lit(BITS)).cast("long").alias("bound"), every(blocks, "block"), batch

@@ -53,6 +53,19 @@ def test_block_is_exact_for_any_bound(n):
         assert sorted(zip(code[query == q], apart[query == q])) == [(i, d) for i, d in enumerate(every) if d <= limit]
 
 
+def test_hot_codes_hold_k_hits_a_query(spark, monkeypatch):
+    hot = 0x0F0F0F0F0F0F0F0F
+    codes = [(i, signed(hot if i % 3 else hot ^ (1 << i % 64))) for i in range(6000)]  # 4,000 equal, the others one bit off
+    assert topk.first_copies(frame(spark, codes, CODES), 10).count() == 650
+    assert sorted(r[0] for r in topk.first_copies(frame(spark, codes, CODES), 10).where(f"code = {hot}").collect()) == [i for i, c in codes if c == hot][:10]
+    assert read(topk.search(frame(spark, codes, CODES), frame(spark, codes[::7], CODES), 10)) == brute(codes, codes[::7], 10)
+    # Within a block too, however many codes are equally near: ranked by place, held in steps.
+    monkeypatch.setattr(topk, "STEP", 1 << 10)
+    near = np.array([hot ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)], dtype=np.uint64)
+    query, code, apart = topk.Block(near).nearest(np.full(500, hot, dtype=np.uint64), np.full(500, 64), 10, ties=False)
+    assert query.tolist() == np.repeat(np.arange(500), 10).tolist() and code.tolist() == [*range(10)] * 500 and set(apart.tolist()) == {2}
+
+
 def test_odd_vectors(spark, tmp_path):
     rows = [(0, [1.0, -1.0, None, float("nan")], 1), (50, [1.0, -1.0, 0.0, 5.0], 1), (100, None, 1), (150, [], 1), (7, [1.0] * 70, None)]
     path = write_tables(spark, tmp_path, embeddings=(rows, "vec_id long, embedding array<float>, label int"))
