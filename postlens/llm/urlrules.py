@@ -3,18 +3,23 @@
 Rules allow or block hosts and path prefixes; a url's own rule is the longest that fits it. Urls
 that lead to the same page are aliases: a page's canonical link, a refresh redirect in its markup,
 and spellings that only differ in scheme, ``www.``/``m.`` host, tracking parameters, fragment,
-``.html`` or a last slash. Connected components over these edges carry a block decision from
-any blocked member to the aliases that have no rule of their own; a member with its own allow rule
-stays allowed, and an allow rule anywhere among the aliases outweighs a block among them.
+``.html`` or a last slash. Links may be relative in any form (to the page's url, or its ``<base>``),
+their character references are decoded, and a refresh target may stand in quotes of its own.
+Connected components over these edges carry a block decision from any blocked member to the
+aliases that have no rule of their own; a member with its own allow rule stays allowed, and an
+allow rule anywhere among the aliases outweighs a block among them.
 
 Results for odd input: a null url, or one without ``://``, has empty host and path, no rule and
-no aliases, and is allowed. Repeated rows and rows that share a url get the same verdict. Markup
-may be null. An empty table gives an empty result; other columns are ignored.
+no aliases, and is allowed. A link to no host (``mailto:``) is none. Repeated rows and rows that
+share a url get the same verdict. Markup may be null. An empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from html import unescape
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +32,15 @@ Rule = tuple[str, str, str]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TRACKING = r"(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
-_REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["'][^"'>]*?url\s*=\s*([^"'\s>;]+)"""
+#: The first tag of a kind, up to its end.
+_CANONICAL = r"""(?is)<link\b(?=[^>]*(?<![\w-])rel\s*=\s*["']?canonical\b)(?=[^>]*(?<![\w-])href\s*=)[^>]*"""
+_REFRESH = r"""(?is)<meta\b(?=[^>]*(?<![\w-])http-equiv\s*=\s*["']?refresh\b)(?=[^>]*(?<![\w-])content\s*=)[^>]*"""
+_BASE = r"""(?is)<base\b(?=[^>]*(?<![\w-])href\s*=)[^>]*"""
+_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+#: Seconds and target of a refresh; the target may stand in quotes of its own.
+_TARGET = re.compile(r"""(?:\s*+[\d.]++(?:\s*+[;,]|\s)\s*+(?:url\s*+=)?|\s*+[;,]?\s*+url\s*+=)\s*+(?:"([^"]*)|'([^']*)|(.*))""", re.I | re.S)
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
 
 
 def after_scheme(url: Column) -> Column:
@@ -63,19 +75,54 @@ def canonical_form(url: Column) -> Column:
     return F.when(after_scheme(url).isNotNull(), F.concat(host, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit(""))))
 
 
+def attribute(tag: str, name: str) -> str:
+    """The value of a tag's attribute, character references decoded; empty if it has none."""
+    for found, *value in _ATTRIBUTE.findall(tag):
+        if found.lower() == name:
+            return _ENTITY.sub(lambda m: unescape(m[0]), value[0] or value[1] or value[2].strip("\"'"))
+    return ""
+
+
+def absolute(page: str, link: str) -> str | None:
+    """``link`` as it reads on ``page`` (RFC 3986, 5.2); null if it leads to no host. The scheme may change, as no rule or spelling knows it."""
+    link = re.sub(r"[\t\r\n]", "", link.strip())
+    if _SCHEME.match(link):
+        return link if link[link.index(":") :].startswith("://") else None
+    if link.startswith("//"):
+        return "http:" + link
+    host, path, query = re.match(r"([^/?#]*)([^?#]*)(\??[^#]*)", page.split("://", 1)[1], re.S).groups()
+    target, tail = re.match(r"([^?#]*)(.*)", link, re.S).groups()
+    if not target:
+        return f"http://{host}{path}{tail if tail.startswith('?') else query}"
+    if not target.startswith("/"):
+        target = (path[: path.rfind("/") + 1] or "/") + target
+    kept: list[str] = []
+    parts = target.split("/")[1:]
+    for part in parts:
+        if part == "..":
+            del kept[-1:]
+        elif part != ".":
+            kept.append(part)
+    if parts[-1] in (".", ".."):
+        kept.append("")
+    return f"http://{host}/{'/'.join(kept)}{tail}"
+
+
+def tag_links(page: str | None, canonical: str | None, refresh: str | None, base: str | None) -> list[str]:
+    """Absolute urls that the tags of a page lead to."""
+    if not page or "://" not in page or not (canonical or refresh):
+        return []
+    target = _TARGET.match(attribute(refresh or "", "content"))
+    links = [attribute(canonical or "", "href").strip(), next(filter(None, target.groups()), "").strip() if target else ""]
+    start = attribute(base or "", "href").strip()
+    start = (absolute(page, start) if start else None) or page
+    return [found for link in links if link for found in [absolute(start, link)] if found]
+
+
 def linked_urls(url: Column, html: Column) -> Column:
-    """Urls that a page names as its canonical place or redirects to, absolute."""
-
-    def absolute(link: Column) -> Column:
-        origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-        return (
-            F.when(F.instr(link, "://") > 0, link)
-            .when(link.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), link))
-            .when(link.startswith("/"), F.concat(origin, link))
-        )
-
-    found = F.array(absolute(F.regexp_extract(html, _CANONICAL, 1)), absolute(F.regexp_extract(html, _REFRESH, 1)))
-    return F.filter(found, lambda x: x.isNotNull())
+    """Urls that a page names as its canonical place or redirects to, absolute. Only the tags leave the JVM."""
+    resolve = F.udf(tag_links, "array<string>", useArrow=True)
+    return resolve(url, *[F.regexp_extract(html, pattern, 0) for pattern in (_CANONICAL, _REFRESH, _BASE)])
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html") -> DataFrame:

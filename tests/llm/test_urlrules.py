@@ -66,6 +66,40 @@ def test_aliases(spark):
     assert set(got.values()) == {"allow"}
 
 
+def test_links_of_ordinary_markup(spark):
+    page = "http://s.net/a/b/c.html?q=1#t"
+    want = {
+        "b.html": "http://s.net/a/b/b.html", "../b": "http://s.net/a/b", "./": "http://s.net/a/b/", "../../../x/./y": "http://s.net/x/y",
+        "?p=2": "http://s.net/a/b/c.html?p=2", "#x": "http://s.net/a/b/c.html?q=1", "/r/../s?u=http://c.com/de/1": "http://s.net/s?u=http://c.com/de/1",
+        "//h.net/x": "http://h.net/x", "https://h.net/x;jsessionid=1": "https://h.net/x;jsessionid=1", "x?a=1&amp;b=2": "http://s.net/a/b/x?a=1&b=2",
+        "x?a=1&copy=2": "http://s.net/a/b/x?a=1&copy=2", "x&#47;y": "http://s.net/a/b/x/y", " x\n": "http://s.net/a/b/x", "mailto:a@b.net": None, "": None,
+    }
+    metas = {
+        """<meta http-equiv="refresh" content="0; url='http://c.com/de/9'">""": "http://c.com/de/9",
+        """<META content='5;URL="../it;jsessionid=1?x=1&amp;b=2"' http-equiv=Refresh />""": "http://s.net/a/it;jsessionid=1?x=1&b=2",
+        """<meta http-equiv="refresh" content="0; url=it's.html">""": "http://s.net/a/b/it's.html",
+        """<meta http-equiv=refresh content=0;url=/x>""": "http://s.net/x", """<meta http-equiv="refresh" content="0, /x?url=y">""": "http://s.net/x?url=y",
+        """<meta http-equiv="refresh" content="30">""": None, """<base href="/z/"><meta http-equiv="refresh" content="1;url=w">""": "http://s.net/z/w",
+    }
+    rows = [(i, page, link(to), to_ and [to_]) for i, (to, to_) in enumerate(want.items())]
+    rows += [(100 + i, page, meta, to and [to]) for i, (meta, to) in enumerate(metas.items())]
+    rows += [(200, page, "<link data-href=x rel=canonical href=y>", ["http://s.net/a/b/y"]), (201, "no scheme", link("b"), None), (202, None, link("b"), None), (203, page, None, None)]
+    rows += [(204, "http://s.net", link("b"), ["http://s.net/b"]), (205, page, link("x") + refresh("y"), ["http://s.net/a/b/x", "http://s.net/a/b/y"])]
+    df = frame(spark, rows, PAGES + ", want array<string>")
+    for r in df.select("page_id", "html", "want", urlrules.linked_urls(df["url"], df["html"]).alias("got")).collect():
+        assert [u.replace("https:", "http:") for u in r["got"]] == [u.replace("https:", "http:") for u in r["want"] or []], r["html"]
+
+
+def test_blocks_reach_aliases_by_relative_and_quoted_links(spark):
+    rows = [
+        (1, "http://c.com/de/x/1", None), (2, "http://a.net/1", """<meta http-equiv="refresh" content="0; url='http://c.com/de/x/1'">"""),
+        (3, "http://a.net/d/3", link("../1")), (4, "http://a.net/d/4.html", link("3.html")), (5, "http://a.net/d/?p=1", link("4")),
+        (6, "http://a.net/d/", link("?ref=x&amp;p=1")), (7, "http://a.net/d/7", link("mailto:x")), (8, "http://q.net/8", link("mailto:x")),
+    ]
+    got = {r["page_id"]: r["verdict"] for r in urlrules.judge_urls(frame(spark, rows, PAGES), queries.URL_RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "allow", 8: "allow"}
+
+
 def test_long_chain_and_hub(spark):
     chain = [(i, f"http://n{i}.net/p", link(f"http://n{i + 1}.net/p")) for i in range(60)] + [(60, "http://n60.net/p", link("http://x.com/de/1"))]
     hub = [(100 + i, f"http://h{i}.net/p", link("http://hub.net/")) for i in range(300)]
