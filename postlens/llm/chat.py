@@ -15,9 +15,14 @@ Conversations are formatted and read back as streams within a task: a conversati
 of about ``CHUNK_CHARS`` characters, each with whole turns, so memory is bounded by a chunk and the
 longest turn, however many turns a conversation has.
 
-Results for odd input: a null text is empty, a null role is the empty role; records of one place
+Paths that a mapping declares ignorable (ids, sources and the like, with all below them) don't count
+for its fingerprint. A message's ``weight`` is not among them, as it may keep a text out of the loss.
+
+Results for odd input: a missing or null text of a message is empty, a missing or null role is the
+empty role; a message that is no object is a turn of role ``unmapped`` with its JSON (a string as it
+is) as text; half a surrogate pair becomes U+FFFD; records of one place
 are ordered by role and text, so reruns agree; rows that repeat are turns of their own; a null
-conversation id is a conversation; a record that is no JSON object, or whose fingerprint no
+conversation id is a conversation; a record that is no JSON object, is nested beyond Python's stack, or whose fingerprint no
 mapping has, is one turn of role ``unmapped`` with the record as its text, outside the loss mask.
 An empty table gives an empty result; other columns are ignored.
 """
@@ -42,32 +47,55 @@ CHUNK_CHARS = 1 << 20
 #: Other names of the canonical roles, in layouts that use them.
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
+#: Fields of a record, and of a message, that say nothing of its turns.
+RECORD_NOTES = ("created", "id", "lang", "meta", "metadata", "name", "source", "timestamp", "weight")
+MESSAGE_NOTES = ("id", "metadata", "name", "source", "timestamp")
+
 #: Declarative mappings. ``list``: where the messages are and which of their fields is what;
 #: ``fields``: for each turn its role and the fields whose texts, joined by an empty line, it says.
-#: Paths in ``optional`` may be absent: each choice of them has a fingerprint of its own.
+#: Paths in ``optional`` may be absent: each choice of them has a fingerprint of its own; ``ignored``
+#: ones are removed before the hash. Of a message's paths any may be absent.
 LAYOUTS = (
-    {"name": "turn", "fields": [(("role",), ("text",))], "paths": ("role", "text"), "optional": ()},
-    {"name": "messages", "list": "messages", "role": "role", "text": "content", "paths": ("messages[].content", "messages[].role"), "optional": ()},
-    {"name": "conversations", "list": "conversations", "role": "from", "text": "value", "paths": ("conversations[].from", "conversations[].value"), "optional": ()},
+    {"name": "turn", "fields": [(("role",), ("text",))], "paths": ("role", "text"), "optional": (), "ignored": RECORD_NOTES},
+    *(
+        {
+            "name": where,
+            "list": where,
+            "role": role,
+            "text": text,
+            "paths": (),
+            "optional": (f"{where}[]", f"{where}[].{role}", f"{where}[].{text}"),
+            "ignored": (*RECORD_NOTES, *(f"{where}[].{n}" for n in MESSAGE_NOTES)),
+        }
+        for where, role, text in (("messages", "role", "content"), ("conversations", "from", "value"))
+    ),
     {
         "name": "prompt",
         "fields": [("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",))],
         "paths": ("prompt", "response"),
         "optional": ("system",),
+        "ignored": RECORD_NOTES,
     },
     {
         "name": "instruction",
         "fields": [("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",))],
         "paths": ("instruction", "output"),
         "optional": ("input", "system"),
+        "ignored": RECORD_NOTES,
     },
 )
+#: Fingerprints that an index holds at most; others are looked up anew.
+KNOWN = 10_000
+
+_PLAIN = re.compile(r"""[^.\[\]"\n]+""")
+_SURROGATE = re.compile("[\ud800-\udfff]")
 
 
 def field_paths(value: object, at: str = "") -> set[str]:
-    """Paths of the fields that hold values; ``[]`` marks a list."""
+    """Paths of the fields that hold values; ``[]`` marks a list, names that could be taken for a path are quoted."""
     if isinstance(value, dict):
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items())) if value else {at}
+        named = ((k if _PLAIN.fullmatch(k) else json.dumps(k), v) for k, v in value.items())
+        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in named)) if value else {at}
     if isinstance(value, list):
         return set().union(*(field_paths(v, f"{at}[]") for v in value)) if value else {f"{at}[]"}
     return {at}
@@ -77,35 +105,52 @@ def fingerprint(paths: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-def layout_index(layouts: tuple[dict, ...] = LAYOUTS) -> dict[str, dict]:
+def layout_index(layouts: tuple[dict, ...] = LAYOUTS) -> dict[str, dict | None]:
     """Fingerprint -> mapping, for every choice of a mapping's optional paths."""
-    found = {}
+    found: dict[str, dict | None] = {}
     for layout in layouts:
         for n in range(len(layout["optional"]) + 1):
             for extra in combinations(layout["optional"], n):
-                found[fingerprint({*layout["paths"], *extra})] = layout
-        if "list" in layout:  # an empty list shows no fields
-            found[fingerprint({f"{layout['list']}[]"})] = layout
+                if layout["paths"] or extra:
+                    found[fingerprint({*layout["paths"], *extra})] = layout
+    return found
+
+
+def _without(paths: set[str], ignored: tuple[str, ...]) -> set[str]:
+    below = tuple(f"{i}{mark}" for i in ignored for mark in (".", "[]"))
+    return {p for p in paths if p not in ignored and not p.startswith(below)}
+
+
+def layout_of(paths: set[str], index: dict[str, dict | None]) -> dict | None:
+    """The mapping of a record with these paths; the index remembers what it was asked."""
+    key = fingerprint(paths)
+    if key in index:
+        return index[key]
+    layouts = {id(layout): layout for layout in index.values() if layout}.values()
+    found = next((layout for layout in layouts if index.get(fingerprint(_without(paths, layout.get("ignored", ())))) is layout), None)
+    if len(index) < KNOWN:
+        index[key] = found
     return found
 
 
 def _text(value: object) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    text = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return text if text.isascii() else _SURROGATE.sub("\ufffd", text)
 
 
-def record_turns(record: str | None, index: dict[str, dict]) -> list[tuple[str, str, str]]:
+def record_turns(record: str | None, index: dict[str, dict | None]) -> list[tuple[str, str, str]]:
     """(layout, role, text) of each turn of a record."""
     try:
         value = json.loads(record or "")
-    except ValueError:
-        value = None
-    layout = index.get(fingerprint(field_paths(value))) if isinstance(value, dict) else None
+        layout = layout_of(field_paths(value), index) if isinstance(value, dict) else None
+    except (ValueError, RecursionError):
+        layout = None
     if layout is None:
         return [(UNMAPPED, UNMAPPED, record or "")]
     name = layout["name"]
     if "list" in layout:
-        turns = [(_text(m[layout["role"]]), _text(m[layout["text"]])) for m in value[layout["list"]]]
-        return [(name, ROLE_NAMES.get(role, role), text) for role, text in turns]
+        turns = [(_text(m.get(layout["role"])), _text(m.get(layout["text"]))) if isinstance(m, dict) else (UNMAPPED, m if isinstance(m, str) else json.dumps(m)) for m in value[layout["list"]]]
+        return [(name, ROLE_NAMES.get(role, role), _text(text)) for role, text in turns]
     found = []
     for role, fields in layout["fields"]:
         present = [_text(value[f]) for f in fields if f in value]

@@ -56,6 +56,33 @@ def test_layouts_give_the_same_turns(spark):
         assert chat.record_turns(bad, index) == [("unmapped", "unmapped", bad or "")]
 
 
+def test_no_record_ends_the_job(spark):
+    user, answer = {"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}
+    said = [("user", "q"), ("assistant", "a")]
+    mapped = [
+        ({"messages": [user, {"role": "assistant"}]}, [("user", "q"), ("assistant", "")]),
+        ({"messages": [{"content": None, "role": None}, answer]}, [("", ""), ("assistant", "a")]),
+        ({"messages": [{}]}, [("", "")]), ({"messages": [{}, user]}, [("", ""), ("user", "q")]), ({"messages": [{"content": "x"}]}, [("", "x")]),
+        ({"messages": [None]}, [("unmapped", "null")]), ({"conversations": ["text"]}, [("unmapped", "text")]), ({"messages": [user, "text", 1, answer]}, [said[0], ("unmapped", "text"), ("unmapped", "1"), said[1]]),
+        ({"id": 1, "messages": [user | {"name": "n"}, answer | {"id": "x"}], "metadata": {"tags": ["t"], "by": {"x": 1}}}, said),
+        ({"id": 1, "source": "s", "weight": 0.5, "prompt": "q", "response": "a"}, said), ({"name": "n", "instruction": "q", "output": "a", "meta": []}, said),
+        ({"id": 1, "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}, said), ({"messages": [], "id": 3}, []),
+        ({"id": None, "role": "user", "text": "q"}, said[:1]), ({"prompt": "\ud800", "response": "é\udfff"}, [("user", "\ufffd"), ("assistant", "é\ufffd")]),
+    ]
+    strange = [
+        {"id": 1}, {"messages[]": 1}, {"messages": None}, {"messages": {}}, {"messages": [[]]}, {"messages": [{"name": "n"}]}, {"role\ntext": 1}, {"": {"role": "r"}, "text": "t"},
+        {"messages": [answer | {"weight": 0}]}, {"id": 1, "prompt": "q", "response": "a", "score": 1}, {"messages[].role": "x", "messages[].content": "y"},
+    ]
+    rows = [(i, 0, json.dumps(r)) for i, (r, _) in enumerate(mapped)]
+    rows += [(100 + i, 0, json.dumps(r)) for i, r in enumerate(strange)] + [(200, 0, '{"a":' * 700 + "1" + "}" * 700), (201, 0, "[" * 200_000)]
+    turns = chat.canonical_turns(frame(spark, rows, "id long, place long, record string"), "id", "place", "record").collect()
+    got = {}
+    for r in sorted(turns, key=lambda r: (r["id"], r["part"])):
+        got.setdefault(r["id"], []).append((r["role"], r["text"]))
+    for i, _, record in rows:
+        assert got.get(i, []) == (mapped[i][1] if i < 100 else [("unmapped", record)]), record
+
+
 def test_long_conversation_in_chunks(spark):
     rows = [(1, i, 0, "turn", "assistant" if i % 2 else "user", f"text {i} " * 20) for i in range(400)]
     turns = frame(spark, rows, "id long, place long, part int, layout string, role string, text string")
