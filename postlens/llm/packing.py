@@ -8,8 +8,9 @@ own, and the two partitions with the widest spread are merged again and again, t
 of one with the emptiest of the other, until one is left whose windows are nearly equal. If a
 window then exceeds the capacity, the group is partitioned anew into one window more.
 
-The number of groups follows the number of pieces, a group has a bounded number of pieces whatever
-the documents are, and only places (not ids) are shuffled.
+A full window gets a number of its own where it stands: it is not shuffled and joins no group. The
+number of groups follows the number of rests, so a group has about ``GROUP_PIECES`` pieces however
+long the documents are; only copies of a row, with the same id and place, always share a group.
 
 Results for odd input: a null or empty text is the end id alone, one piece; a text of any length is
 tokenized in blocks and cut; rows that repeat, also with the same id, are packed as rows of their
@@ -35,6 +36,8 @@ from postlens.llm.common import cut, per_worker
 WINDOW = 1024
 MAX_PIECE = 256
 GROUP_PIECES = 512
+#: Least sequence id of a full window.
+FULL = 1 << 62
 #: Distinct words of a generation whose ids a worker remembers.
 MEMORY_WORDS = 400_000
 
@@ -235,16 +238,18 @@ def pack(pieces: DataFrame, length_col: str = "length", window: int = WINDOW, gr
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     keys = [F.col(f"`{c}`") for c, kind in pieces.select(*[F.col(f"`{c}`") for c in names]).dtypes if kind != "binary"]
     rows = cut(pieces.select(*[F.col(f"`{c}`") for c in names]), "pieces")
-    rests = rows.where(F.col(f"`{length_col}`") < window).count()
-    groups = max(1, -(-rests // group_pieces))
-    dealt = rows.withColumn("_tie", F.xxhash64(*keys)).withColumn("_bucket", F.pmod(F.col("_tie"), F.lit(groups)))
+    fills = F.col(f"`{length_col}`") >= window
+    # Numbers from FULL on don't meet those of the groups; the rows are read from files, so a retry numbers alike.
+    full = rows.where(fills).withColumns({"sequence_id": F.lit(FULL) + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    rests = rows.where(~fills)
+    groups = max(1, -(-rests.count() // group_pieces))
+    dealt = rests.withColumn("_tie", F.xxhash64(*keys)).withColumn("_bucket", F.pmod(F.col("_tie"), F.lit(groups)))
 
     def place(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         # An order that does not depend on how the rows arrived.
         group = group.sort_values([length_col, "_tie"], ascending=[False, True], kind="stable").reset_index(drop=True)
         sizes = group[length_col].to_numpy()
-        full = int((sizes >= window).sum())
-        windows = [[i] for i in range(full)] + [[full + p for p in w] for w in fitted(sizes[full:].tolist(), window)]
+        windows = fitted(sizes.tolist(), window)
         number = np.zeros(len(sizes), dtype=np.int64)
         offset = np.zeros(len(sizes), dtype=np.int64)
         for w, members in enumerate(windows):
@@ -254,5 +259,4 @@ def pack(pieces: DataFrame, length_col: str = "length", window: int = WINDOW, gr
                 at += sizes[i]
         return group[names].assign(sequence_id=number, offset=offset)
 
-    kept = rows.select(*[F.col(f"`{c}`") for c in names]).withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
-    return dealt.groupBy("_bucket").applyInPandas(place, kept.schema)
+    return dealt.groupBy("_bucket").applyInPandas(place, full.schema).unionByName(full)

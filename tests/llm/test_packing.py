@@ -100,6 +100,16 @@ def test_windows_rise_when_capacity_is_exceeded():
     assert [len(packing.fitted([6] * n, 10)) for n in (1, 2, 3)] == [1, 2, 3]  # by sum alone: 1, 2, 2
 
 
+def test_full_windows_join_no_group(spark):
+    pieces = spark.range(5000).selectExpr("id doc_id", "1024 * id start", "if(id % 1000 = 0, 100, 1024L) length", "cast('ids' as binary) ids")
+    out = packing.pack(pieces)
+    assert out.columns == ["doc_id", "start", "length", "ids", "sequence_id", "offset"]
+    rows = out.collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(5000)) and len(sequences(rows)) == 4996
+    grouped = [r for r in rows if r["sequence_id"] < packing.FULL]
+    assert sorted(r["doc_id"] for r in grouped) == [0, 1000, 2000, 3000, 4000]
+
+
 def test_repeats_null_ids_and_clashing_columns(spark):
     df = frame(spark, [(1, "a b c", 1), (1, "a b c", 1), (None, "d", 2)], "doc_id long, text string, length int")
     out = packing.pack(packing.token_pieces(df, PATH)).collect()
