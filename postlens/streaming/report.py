@@ -94,9 +94,11 @@ def _run_of(spark: SparkSession, checkpoint: str, store_path: str) -> int:
     return run
 
 
-def _parts(spark: SparkSession, run_path: str) -> tuple[int, list[int], list[int]]:
-    """(newest full view or -1, deltas after it, what is older) of a run; unfinished writes don't count."""
+def _parts(spark: SparkSession, run_path: str, before: int | None = None) -> tuple[int, list[int], list[int]]:
+    """(newest full view or -1, deltas after it, what is older) of a run (of batches before ``before``);
+    unfinished writes don't count."""
     done = [n for n in fs.children(spark, run_path) if fs.exists(spark, f"{run_path}/{n}/_SUCCESS")]
+    done = [n for n in done if before is None or int(n.partition("=")[2]) < before]
     fulls = sorted(int(n[5:]) for n in done if n.startswith("full="))
     deltas = sorted(int(n[6:]) for n in done if n.startswith("delta="))
     newest = fulls[-1] if fulls else -1
@@ -105,16 +107,16 @@ def _parts(spark: SparkSession, run_path: str) -> tuple[int, list[int], list[int
 
 def _view(spark: SparkSession, run_path: str, before: int | None = None) -> DataFrame:
     """The cells of a run's newest full view and the deltas after it (of batches before ``before``)."""
-    newest, deltas, _ = _parts(spark, run_path)
-    paths = ([f"{run_path}/full={newest}"] if newest >= 0 else []) + [f"{run_path}/delta={d}" for d in deltas if before is None or d < before]
+    newest, deltas, _ = _parts(spark, run_path, before)
+    paths = ([f"{run_path}/full={newest}"] if newest >= 0 else []) + [f"{run_path}/delta={d}" for d in deltas]
     reader = spark.read.schema(store.CELL_SCHEMA)
     return reader.parquet(*paths) if paths else spark.createDataFrame([], store.CELL_SCHEMA)
 
 
 def _write_full(spark: SparkSession, cells: DataFrame, run_path: str, batch_id: int) -> None:
     """Writes a full view and removes what came before the full view before it, which readers
-    that began earlier may still read."""
-    previous = _parts(spark, run_path)[0]
+    that began earlier may still read and a replay of the batch reads again."""
+    previous = _parts(spark, run_path, before=batch_id)[0]
     cells.select(*store.CELL_COLUMNS).write.mode("overwrite").parquet(f"{run_path}/full={batch_id}")
     for name in fs.children(spark, run_path):
         kind, _, number = name.partition("=")

@@ -168,6 +168,22 @@ def test_sink_keeps_few_folders(spark):
     assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, lines)
 
 
+def test_replay_of_a_full_view_batch(spark):
+    lines = posting_lines(spark, SF_SMALL)
+    src = write_lines(lines.repartition(4), scratch_path(spark, "test-stream-replay"))
+    store_path, ckpt = scratch_path(spark, "test-stream-replay-store"), scratch_path(spark, "ck-replay")
+    for life in range(3):
+        stream = stream_lines(spark, "files", {"maxFilesPerTrigger": "1"}, path=src)
+        q = sr.start(spark, stream, keyword_dictionary(spark), store_path, ckpt, trigger={"availableNow": True}, full_every=2)
+        q.awaitTermination()
+        assert q.exception() is None
+        assert fs.children(spark, store_path + "/run=0") == ["delta=2", "full=1", "full=3"]
+        assert sorted(map(tuple, sr.totals(spark, store_path).collect())) == batch_totals(spark, lines)
+        for name in ("3", ".3.crc"):  # as if the driver had died before batch 3 was committed
+            if fs.exists(spark, f"{ckpt}/commits/{name}"):
+                fs.delete(spark, f"{ckpt}/commits/{name}")
+
+
 def test_stopped_streams_leave_nothing_cached(spark):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     src = write_lines(posting_lines(spark, SF_SMALL), scratch_path(spark, "test-stream-cache"))
