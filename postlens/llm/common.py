@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -11,6 +13,7 @@ from typing import TypeVar
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from postlens.session import shared_dir
 
@@ -19,6 +22,8 @@ T = TypeVar("T")
 #: White space of every contract that names it: space, tab, LF, VT, FF, CR.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
+_SPACES = " \t\n\v\f\r"
+_SPACE = re.compile(SPACE_CLASS)
 #: Characters that one block of array work holds; bounds a worker's memory for any text length.
 BLOCK_CHARS = 1 << 18
 
@@ -73,37 +78,44 @@ def bounded_sample(df: DataFrame, id_col: str, class_col: str, rows: int, seed:
     if not counts:
         return df.limit(0)
     each = 0.9 * rows / len(counts)
-    share = F.lit(0.0)
-    for value, n in sorted(counts.items(), key=lambda kv: str(kv[0])):
-        share = F.when(F.col(class_col) == F.lit(value), F.lit(min(1.0, each / n))).otherwise(share)
+    kind = df.schema[class_col].dataType
+    classes = F.from_json(F.lit(json.dumps(list(counts))), ArrayType(kind))
+    shares = F.from_json(F.lit(json.dumps([min(1.0, each / n) for n in counts.values()])), ArrayType(DoubleType()))
+    share = F.coalesce(F.element_at(F.map_from_arrays(classes, shares), F.col(class_col)), F.lit(0.0))
     return df.where(hash_share(id_col, seed) < share).limit(rows)
 
 
 def text_blocks(texts: Sequence[str | None], limit: int = BLOCK_CHARS, overlap: int = 0) -> Iterator[tuple[np.ndarray, list[str]]]:
     """Lists of strings of about ``limit`` characters, with the row that each belongs to.
 
-    A longer text is cut into several strings at a space where there is one near, else after
-    ``limit`` characters; each of its strings begins with the ``overlap`` characters before it.
+    A longer text is cut into several strings, always at white space: the last within ``limit``
+    characters, else the next (a word of more than ``limit`` characters makes a longer block). Each
+    of its strings begins with whole words of the one before, ``overlap`` characters or more.
     """
     rows: list[int] = []
     strings: list[str] = []
     size = 0
     for row, text in enumerate(texts):
         text = text or ""
-        at = 0
+        at = begin = 0
         while True:
             end = len(text)
             if end - at > limit:
-                end = at + limit
-                space = text.rfind(" ", at + limit // 2, end)
-                end = space if space > 0 else end
-            part = text[max(0, at - overlap) : end]
+                space = max(text.rfind(c, at + 1, at + limit) for c in _SPACES)
+                if space < 0:
+                    later = _SPACE.search(text, at + limit)
+                    space = later.start() if later else end
+                end = space
+            part = text[begin:end]
             rows.append(row)
             strings.append(part)
             size += len(part) + 1
             if size >= limit:
                 yield np.array(rows, dtype=np.int64), strings
                 rows, strings, size = [], [], 0
+            begin = end
+            if overlap:
+                begin = max(at, *(text.rfind(c, at, max(at, end - overlap) + 1) for c in _SPACES))
             at = end
             if at >= len(text):
                 break

@@ -76,7 +76,8 @@ class Presence:
         lettered = np.zeros(len(texts), dtype=bool)
         spread, shift = np.uint32(0x9E3779B1), np.uint32(32 - BITS)
         for rows, strings in text_blocks(texts, overlap=GRAMS):
-            raw, starts = code_points(strings)
+            # Each string closes with a separator of its own, so that no n-gram depends on what follows it.
+            raw, starts = code_points([s + " " for s in strings])
             lettered[rows[np.add.reduceat(self.letters[raw], starts, dtype=np.int64) > 0]] = True
             points = self.table[raw]
             gap = points == _SEPARATOR
@@ -171,6 +172,7 @@ def identify(presence: Presence, docs: DataFrame, model: Model | None, id_col: s
     """(id, lang_pred, score) of every row; the score is the winning regression's value on a 0 to 1 scale."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = None if model is None else model.matrix.astype(np.float64)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
@@ -178,9 +180,10 @@ def identify(presence: Presence, docs: DataFrame, model: Model | None, id_col: s
                 if model is None:
                     best, score = np.full(part.num_rows, UNDETERMINED, dtype=object), np.zeros(part.num_rows)
                 else:
-                    values = (grams.astype(np.float32) @ model.matrix) / lengths(grams)
+                    # Double precision and rounding: a text's values don't depend on its place in the batch.
+                    values = np.round((grams.astype(np.float64) @ weights) / lengths(grams), 9)
                     best = np.array(model.languages, dtype=object)[values.argmax(axis=1)]
-                    score = np.clip((values.max(axis=1).astype(np.float64) + 1) / 2, 0, 1)
+                    score = np.clip((values.max(axis=1) + 1) / 2, 0, 1)
                 best = np.where(lettered, best, UNDETERMINED)
                 score = np.where(lettered, score, 0.0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(best.tolist(), pa.string()), pa.array(score, pa.float64())], names=["id", "lang_pred", "score"])

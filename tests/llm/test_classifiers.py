@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from postlens.llm import langid, quality, queries
-from postlens.llm.common import code_points
+from postlens.llm.common import code_points, text_blocks
 from tests.llm.support import DOCS, ODD, doc, frame, write_tables
 
 SF = "/root/testdata/sf0.01"
@@ -100,3 +100,22 @@ def test_features_stay_within_a_text():
     model = quality.Model(np.random.default_rng(0).normal(size=1 << quality.BITS).astype(np.float32), 0.1)
     texts = ["one two", "", "three four five", "six " * 100]
     assert model.scores(texts) == pytest.approx(np.concatenate([model.scores([t]) for t in texts]))
+
+
+def test_many_languages_and_any_partitioning(spark):
+    rng = random.Random(4)
+    rows = [doc(i, "".join(rng.choices("abcdefgh ijklm", k=rng.choice((12, 25, 400)))), lang=f"l{i % 1500}") for i in range(3000)]
+    df = frame(spark, rows, DOCS)
+    presence = langid.Presence()
+    model = langid.fit(presence, df)
+    assert len(model.languages) > 1000
+    one = {tuple(r) for r in langid.identify(presence, df.repartition(1), model).collect()}
+    assert one == {tuple(r) for r in langid.identify(presence, df.repartition(13, "text"), model).collect()}
+
+
+def test_blocks_are_cut_between_words():
+    for gap in ("\n", " ", "\t", "\r"):
+        text = gap.join(f"w{i}" for i in range(60_000))
+        blocks = [s for _, strings in text_blocks([text], limit=1 << 12) for s in strings]
+        assert len(blocks) > 50 and sum(len(s.split()) for s in blocks) == 60_000
+    assert [s for _, strings in text_blocks(["x" * 9000 + " y"], limit=1 << 12) for s in strings] == ["x" * 9000, " y"]
