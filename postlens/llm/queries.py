@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, dedup, jaccard, langid, mixing, packing, quality, secrets, topk, urlrules
+from postlens.llm import chat, dedup, jaccard, langid, linededup, mixing, packing, quality, secrets, topk, urlrules
 from postlens.llm.common import cut, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk_search": op1_topk_search,
     "op2_jaccard_join": op2_jaccard_join,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_secret_scan": op9_secret_scan,
     "op10_source_mixing": op10_source_mixing,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 #: Rules and redirect equivalence in SQL: spellings as text, links followed by recursion.
@@ -212,4 +218,17 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
         FROM turns GROUP BY conv_id""",
     "op8_url_filter": URL_SQL,
+    "op12_line_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+        ), lines AS (
+            SELECT doc_id, pos, parts[pos] AS line,
+                   translate(regexp_replace(regexp_replace(parts[pos], '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM split, unnest(range(1, len(parts) + 1)) u(pos)
+        ), repeated AS (
+            SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        )
+        SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE keeper <> doc_id) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+        FROM lines LEFT JOIN repeated USING (key) GROUP BY doc_id""",
 }
