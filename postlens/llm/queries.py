@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, dedup, jaccard, langid, linededup, mixing, packing, quality, secrets, topk, urlrules
+from postlens.llm import chat, dedup, divergence, jaccard, langid, linededup, mixing, packing, quality, secrets, topk, urlrules
 from postlens.llm.common import cut, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -109,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_secret_scan": op9_secret_scan,
     "op10_source_mixing": op10_source_mixing,
+    "op11_source_divergence": op11_source_divergence,
     "op12_line_dedup": op12_line_dedup,
 }
 
@@ -218,6 +223,41 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
         FROM turns GROUP BY conv_id""",
     "op8_url_filter": URL_SQL,
+    "op11_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), used AS (
+            SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL
+        ), kept AS (
+            SELECT lang, term FROM (SELECT lang, row, unnest(list_distinct(terms)) AS term FROM docs) GROUP BY ALL HAVING count(*) >= 10
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM docs
+        ), counts AS (
+            SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n
+            FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+        ), whole AS (
+            SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL
+        ), shares AS (
+            SELECT lang, source, term, n, 1 + 1000000000 * (n + 2)::HUGEINT // (sum(n) OVER g + 2 * count(*) OVER g) AS p FROM counts WINDOW g AS (PARTITION BY lang, source)
+        ), whole_shares AS (
+            SELECT lang, term, 1 + 1000000000 * (n + 2)::HUGEINT // (sum(n) OVER g + 2 * count(*) OVER g) AS q FROM whole WINDOW g AS (PARTITION BY lang)
+        ), pairs AS (
+            SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+        ), all_pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+        ), terms AS (
+            SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+            FROM shares JOIN whole_shares USING (lang, term) WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+            FROM (FROM all_pairs UNION ALL FROM terms)
+        )
+        FROM ranked WHERE part = 'pair' OR rank <= 10""",
     "op12_line_dedup": r"""
         WITH split AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
