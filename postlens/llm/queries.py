@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, dedup, divergence, jaccard, langid, linededup, mixing, packing, quality, secrets, topk, urlrules
+from postlens.llm import chat, dedup, divergence, jaccard, langid, linededup, mixing, packing, quality, repair, secrets, topk, urlrules
 from postlens.llm.common import cut, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,25 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversation rows with some dropped, emptied, cut, repeated or given to the user, by the hash of their place."""
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    hit = F.crc32(place.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return turns.where(hit != 0).select(
+        "conv_id",
+        "turn",
+        F.when(hit == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(hit == 1, "").when(hit == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(hit == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
+    ).drop("_copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.audit_report(turns, repair.repair(damaged(turns)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk_search": op1_topk_search,
     "op2_jaccard_join": op2_jaccard_join,
@@ -115,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op10_source_mixing": op10_source_mixing,
     "op11_source_divergence": op11_source_divergence,
     "op12_line_dedup": op12_line_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: Rules and redirect equivalence in SQL: spellings as text, links followed by recursion.
@@ -271,4 +291,69 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE keeper <> doc_id) AS BIGINT) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
         FROM lines LEFT JOIN repeated USING (key) GROUP BY doc_id""",
+    # Cheapest edits row by row: of all ways into a state the least cost, then the least path. Costs
+    # are written in front of paths with leading zeros, so that the least text is both.
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations
+        ), hit AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(place, ''), lambda c: ascii(c)::BIGINT)),
+                       lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS damage
+            FROM keyed
+        ), after AS (
+            SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM hit, unnest(range(CASE damage WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) copies(copy)
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM after
+        ), judged AS (
+            SELECT conv_id, turn, role, text, pos, role[1] AS initial,
+                   CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+                   lag(role[1]) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+            FROM numbered
+        ), inserted(entry, n, state, follows) AS (
+            VALUES (0,0,0,2), (0,1,2,3), (0,2,3,2), (1,0,1,2), (1,1,2,3), (1,2,3,2), (2,0,2,3), (2,1,3,2), (2,2,2,3), (3,0,3,2), (3,1,2,3), (3,2,3,2)
+        ), moves AS (
+            SELECT entry, repeat('I', n) || 'D' AS edits, state AS to_state, '' AS fits, 5 * n + 2 AS cost FROM inserted
+            UNION ALL SELECT entry, repeat('I', n) || 'R', follows, '', 5 * n + 1 FROM inserted
+            UNION ALL SELECT entry, repeat('I', n) || 'K', follows, CASE follows WHEN 2 THEN 'u' ELSE 'a' END, 5 * n FROM inserted
+            UNION ALL SELECT entry, 'K', 1, 's', 0 FROM inserted WHERE entry = 0 AND n = 0
+        ), best AS (
+            SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS state, '000000000000' AS way FROM judged
+            UNION ALL
+            SELECT b.conv_id, b.pos + 1, m.to_state, min(lpad(CAST(CAST(left(b.way, 12) AS BIGINT) + m.cost + CASE WHEN r.fault = 'truncated' AND m.edits NOT LIKE '%D' THEN 5 ELSE 0 END AS VARCHAR), 12, '0') || b.way[13:] || m.edits)
+            FROM best b JOIN judged r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.pos = b.pos + 1 JOIN moves m ON m.entry = b.state
+            WHERE (m.fits = '' OR m.fits = r.initial) AND (m.edits LIKE '%D' OR r.fault NOT IN ('blank', 'duplicate'))
+            GROUP BY b.conv_id, b.pos, m.to_state
+        ), ends AS (
+            SELECT conv_id, max(pos) AS pos FROM judged GROUP BY conv_id
+        ), audits AS (
+            SELECT b.conv_id, min(CASE state WHEN 1 THEN lpad(CAST(CAST(left(way, 12) AS BIGINT) + 10 AS VARCHAR), 12, '0') || way[13:] || 'II'
+                                             WHEN 2 THEN lpad(CAST(CAST(left(way, 12) AS BIGINT) + 5 AS VARCHAR), 12, '0') || way[13:] || 'I' ELSE way END) AS way
+            FROM best b JOIN ends e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.pos = b.pos GROUP BY b.conv_id
+        ), edits AS (
+            SELECT conv_id, i, way[12 + i] AS edit, CAST(sum(CASE way[12 + i] WHEN 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY i) AS BIGINT) AS pos
+            FROM audits, unnest(range(1, length(way) - 11)) u(i)
+        ), kept AS (
+            SELECT e.conv_id, e.i, e.edit, r.role, r.text, r.initial, row_number() OVER (PARTITION BY e.conv_id ORDER BY e.i) AS place
+            FROM edits e LEFT JOIN judged r ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.pos = e.pos WHERE e.edit <> 'D'
+        ), led AS (
+            SELECT *, max(CASE WHEN place = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS lead FROM kept
+        ), repaired AS (
+            SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS said
+            FROM led GROUP BY conv_id
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+                   count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                   count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id
+        )
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(CAST(left(way, 12) AS BIGINT), 0) AS cost, coalesce(way[13:], '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }

@@ -1,0 +1,138 @@
+import hashlib
+import heapq
+import random
+import re
+import zlib
+
+from postlens.llm import queries, repair
+from tests.llm.support import frame, write_tables
+
+TURNS = "conv_id long, turn long, role string, text string"
+SPACES = " \t\n\v\f\r"
+RIGHT = re.compile("(s?(ua)+)?")
+
+
+def judged(rows):
+    """(role, text, fault) of rows in order."""
+    out, seen = [], set()
+    for role, text in rows:
+        bare = text.strip(SPACES)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+        seen.add((role, text))
+        out.append((role, text, fault))
+    return out
+
+
+def cheapest(rows):
+    """(cost, audit, lines) by trying edit sequences in order of cost, then ASCII: nothing is shared with the search."""
+    heap, done = [(0, "", 0, ())], set()
+    while heap:
+        cost, path, at, said = heapq.heappop(heap)
+        initials = "".join(line[0][:1] or "-" for line in said)  # an empty role fits nowhere
+        if at == len(rows) and RIGHT.fullmatch(initials):
+            return cost, path, [f"{role}:{text}" for role, text in said]
+        # Only the last initial and whether there is one matter for what may follow.
+        state = (at, initials[-1:])
+        if state in done or not RIGHT.fullmatch(initials) and not RIGHT.fullmatch(initials + "a") and not RIGHT.fullmatch(initials + "ua"):
+            continue
+        done.add(state)
+        steps = [("I", 5, at, (role, "")) for role in ("user", "assistant")]
+        if at < len(rows):
+            role, text, fault = rows[at]
+            steps.append(("D", 2, at + 1, None))
+            if fault not in ("blank", "duplicate"):
+                more = 5 if fault == "truncated" else 0
+                steps += [("K", more, at + 1, (role, text))] + [("R", 1 + more, at + 1, (r, text)) for r in ("user", "assistant")]
+        for edit, price, then, line in steps:
+            heapq.heappush(heap, (cost + price, path + edit, then, said + ((line,) if line else ())))
+
+
+def brute(rows):
+    """Report rows by id of (id, turn, role, text) rows."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted(((r[1] is not None, r[1] or 0, r[1], r[2], r[3]) for r in rows if r[0] == conv), key=lambda r: r[:2])
+        faulty = judged([(" " if r[3] is None else r[3], " " if r[4] is None else r[4]) for r in own])
+        cost, audit, lines = cheapest(faulty)
+        turns = {r[2] for r in own if r[2] is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        count = lambda f: sum(x[2] == f for x in faulty)
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(faulty, faulty[1:]))
+        out[conv] = (gaps, count("blank"), count("duplicate"), count("truncated"), illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def check(spark, rows):
+    df = frame(spark, rows, TURNS)
+    got = {r["conv_id"]: tuple(r)[1:] for r in repair.audit_report(df, repair.repair(df)).collect()}
+    assert got == brute(rows)
+
+
+ROLES = ("user", "assistant", "system", "tool", "user", "assistant", "", "ux")
+
+
+def test_random_conversations_against_cheapest_first_search(spark):
+    rng = random.Random(2)
+    said = ("Hi.", "Yes!", "cut off", "", " \n\t", "Same.", "é?", "ok! \v", "end. ")
+    rows = [(c, t * rng.choice((1, 1, 1, 2)) + 100 * t, rng.choice(ROLES), rng.choice(said) if rng.random() < 0.6 else f"{t}.") for c in range(250) for t in range(rng.randrange(1, 9))]
+    check(spark, rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "user", "a."), (1, 5, "assistant", None), (1, 7, None, "b."), (2, None, None, None), (3, 4, "user", "x" * 100_000 + "."), (3, 4, "user", "x" * 100_000 + ".")]
+    rows += [(None, 1, "user", "a."), (None, 2, "assistant", "b."), (-4, 9, "system", "only."), (5, 1, "system", ""), (5, 2, "system", "\r")]
+    check(spark, rows)
+    empty = frame(spark, [], TURNS)
+    assert repair.audit_report(empty, repair.repair(empty)).count() == 0
+
+
+def test_segments_give_what_one_search_gives(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(c, t, rng.choice(ROLES[:4]), rng.choice(("a.", "b", "", f"{t}."))) for c in range(6) for t in range(70)]
+    monkeypatch.setattr(repair, "SEGMENT", 8)
+    check(spark, rows)
+
+
+def test_choices_of_a_segment():
+    assert repair.segment_choices("x") == [
+        {"entry": s, "exit": t, "cost": 2 + 5 * len(p), "path": p + "D"}
+        for t in range(4) for s in range(4) for p in [{(0, 2): "I", (0, 3): "II", (1, 2): "I", (1, 3): "II", (2, 3): "I", (3, 2): "I"}.get((s, t), "")] if s == t or p
+    ]
+    rng = random.Random(1)
+    for _ in range(200):
+        symbols = "".join(rng.choice("suaoxSUAO") for _ in range(rng.randrange(1, 40)))
+        for c in repair.segment_choices(symbols):
+            state, cost, at = c["entry"], 0, 0
+            for edit in c["path"]:
+                symbol = symbols[min(at, len(symbols) - 1)]
+                cost += repair.COST[edit] + (5 if edit in "KR" and symbol.isupper() else 0)
+                state = repair.NEXT[state] if edit in "IR" else repair.kept_state(symbol, state) if edit == "K" else state
+                at += edit != "I"
+            assert (state, cost, at) == (c["exit"], c["cost"], len(symbols))
+
+
+def test_a_long_conversation(spark):
+    rng = random.Random(3)
+    rows = [(7, t, rng.choice(ROLES[:3]), rng.choice(("Yes.", f"{t}.", f"{t} cut", ""))) for t in range(3000)]
+    df = frame(spark, rows, TURNS)
+    found = repair.repair(df)
+    report = found.report.collect()
+    lines = found.turns.orderBy("place", "step").collect()
+    assert RIGHT.fullmatch("".join(r["role"][:1] for r in lines)) and len(report) == 1
+    audit = report[0]["audit"]
+    assert len(audit.replace("I", "")) == len(rows) and len(audit.replace("D", "")) == len(lines)
+
+
+def test_query_counts_the_damage(spark, tmp_path):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"Said {c} {t}.") for c in range(300) for t in range(2)] + [(None, None, None, None)]
+    damage = {(c, t): zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20 for c, t, _, _ in rows}
+    got = {r["conv_id"]: r for r in queries.op13_conversation_repair(spark, write_tables(spark, tmp_path, conversations=(rows, TURNS))).collect()}
+    assert len(got) == 301
+    after = []
+    for c, t, role, text in rows:
+        hit = damage[c, t]
+        row = (c, t, "user" if hit == 4 else role, "" if hit == 1 else re.sub("[.!?]", "", text or " ") if hit == 2 else text)
+        after += [row] * {0: 0, 3: 2}.get(hit, 1)
+    want = brute(after)
+    for c, r in got.items():
+        assert tuple(r)[1:] == want.get(c, (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()))
