@@ -16,7 +16,7 @@ range-partitioned by path, so every task walks its part of the tree depth first
 one path and the sums of the pairs met; a node at the edge of two ranges has its multiplicity in two
 parts, whose corrections add up. All arithmetic is exact.
 
-Terms are counted per (language, source, term) with map-side aggregation, so neither a hot source nor
+Terms are counted in bounded tables within each task and then per (language, source, term), so neither a hot source nor
 a frequent term is gathered; a term's row has one entry per source of its language, of which the
 result has the square.
 
@@ -28,41 +28,69 @@ empty table gives an empty result. Other columns are ignored, whatever their nam
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import cut, text_or_empty
 
-#: Letters A to Z and everything beyond ASCII (fixed pattern).
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: What separates terms: every ASCII character that is no letter (fixed pattern).
+GAPS = bytes(c for c in range(0x80) if not chr(c).isalpha())
+#: UTF-8 bytes of a text to those of its terms: A to Z in lower case, separators as spaces.
+_TERM_BYTES = bytes(0x20 if c in GAPS else c for c in range(256)).lower()
 MIN_DOCS = 10
 SCALE = 1_000_000_000
 TOP_TERMS = 10
-#: Pairs whose sums a task holds before it hands them on.
-HELD_PAIRS = 100_000
+#: Terms that a task counts before it hands them on.
+HELD_TERMS = 1 << 19
+#: Sources whose pairs a task adds up before it hands them on; pairs of wider paths go straight on.
+HELD_SOURCES = 1024
+#: Pairs that are worked on together.
+PAIRS_AT_ONCE = 1 << 20
+#: First entries of a path that its range key holds, before a hash of the whole path.
+PREFIX = 4
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): occurrences, and documents with the term."""
 
-def terms_of(text: Column) -> Column:
-    ascii_only = F.octet_length(text) == F.char_length(text)  # there, lower() changes A to Z alone and is faster
-    return F.regexp_extract_all(F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER)), F.lit(TERM), 0)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple, tuple[Counter, Counter]] = {}
+        held = 0
 
+        def flush() -> pa.RecordBatch:
+            langs, sources, terms, n, docs = [], [], [], [], []
+            for (lang, source), (uses, holders) in found.items():
+                langs += [lang] * len(uses)
+                sources += [source] * len(uses)
+                terms += uses.keys()
+                n += uses.values()
+                docs += map(holders.__getitem__, uses)
+            found.clear()
+            made = [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
+            return pa.RecordBatch.from_arrays(made, names=["lang", "source", "term", "n", "docs"])
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents with the term."""
-    ordered = docs.select("lang", "source", F.sort_array(terms_of(F.col("text"))).alias("_terms"))
-    # Of equal neighbours the first one counts the document.
-    marked = F.transform("_terms", lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get("_terms", i - 1) != t)).cast("int").alias("first")))
-    return (
-        ordered.select("lang", "source", F.inline(marked))
-        .groupBy("lang", "source", "term")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("docs"))
-    )
+        for batch in batches:
+            texts = batch.column(2).cast(pa.binary())
+            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
+                uses, holders = found.setdefault((lang, source), (Counter(), Counter()))
+                terms = text.as_py().translate(_TERM_BYTES).split()
+                held -= len(uses)
+                uses.update(terms)
+                holders.update(set(terms))
+                held += len(uses)
+                if held > HELD_TERMS:
+                    yield flush()
+                    held = 0
+        yield flush()
+
+    rows = docs.select("lang", "source", "text").mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
+    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(n: Column | int, total: Column, kept: Column) -> Column:
@@ -92,52 +120,80 @@ def tree_corrections(paths: DataFrame) -> DataFrame:
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, str, str], int] = {}
         lang: str | None = None
         path: list[tuple] = []  # (source, p, z) from the root down to the current node
         rows: list[int] = []  # rows that end at or below each of its nodes, as far as they are known
-        p, z = np.zeros(64, dtype=np.int64), np.zeros(64, dtype=np.int64)
+        number: dict[str, int] = {}  # the language's sources met so far
+        sums = np.zeros((0, 0), dtype=np.int64)
+        ready: list[pa.RecordBatch] = []
+
+        def hand_on(names: list[str], a: np.ndarray, b: np.ndarray, values: np.ndarray) -> None:
+            names = pa.array(names, pa.string())
+            made = [pa.array([lang] * len(values), pa.string()), names.take(pa.array(a)), names.take(pa.array(b)), pa.array(values, pa.int64())]
+            ready.append(pa.RecordBatch.from_arrays(made, names=["lang", "a", "b", "value"]))
+
+        def flush() -> None:
+            nonlocal sums
+            if number:
+                b, a = np.nonzero(sums)
+                hand_on(list(number), a, b, sums[b, a])
+            number.clear()
+            sums = np.zeros((0, 0), dtype=np.int64)
 
         def close_to(depth: int) -> None:
-            """Leaves the nodes below ``depth``: each settles with its ancestors and adds its rows to its parent's."""
-            while len(path) > depth:
-                source, own, none = path.pop()
-                number, above = rows.pop(), len(path)
-                if above:
-                    value = _distance(p[:above], own) - _distance(p[:above], none) - _distance(z[:above], own) + _distance(z[:above], none)
-                    for (other, _, _), v in zip(path, (value * number).tolist()):
-                        key = (lang, other, source)
-                        sums[key] = sums.get(key, 0) + v
-                    rows[-1] += number
-
-        def flush() -> pa.RecordBatch:
-            keys = list(sums)
-            made = [pa.array([k[i] for k in keys], pa.string()) for i in range(3)] + [pa.array(list(sums.values()), pa.int64())]
-            sums.clear()
-            return pa.RecordBatch.from_arrays(made, names=["lang", "a", "b", "value"])
+            """Leaves the nodes below ``depth``: each settles with all its ancestors at once, and adds its rows to its parent's."""
+            nonlocal sums
+            size = len(path)
+            if size == depth:
+                return
+            times = np.cumsum(rows[depth:][::-1])[::-1]
+            p, z = (np.array([item[k] for item in path], dtype=np.int64) for k in (1, 2))
+            wide = size > HELD_SOURCES
+            if not wide:
+                if len(number) + size > HELD_SOURCES:
+                    flush()
+                at = np.array([number.setdefault(item[0], len(number)) for item in path])
+                if len(number) > len(sums):
+                    more = max(2 * len(sums), len(number)) - len(sums)
+                    sums = np.pad(sums, ((0, more), (0, more)))
+            step = max(1, PAIRS_AT_ONCE // size)
+            for begin in range(max(depth, 1), size, step):
+                end = min(begin + step, size)
+                own, none = p[begin:end, None], z[begin:end, None]
+                value = _distance(p[None, :end], own) - _distance(p[None, :end], none) - _distance(z[None, :end], own) + _distance(z[None, :end], none)
+                value *= times[begin - depth : end - depth, None]
+                value = np.tril(value, begin - 1)  # node begin + i has the ancestors before it
+                if wide:
+                    b, a = np.nonzero(value)
+                    hand_on([item[0] for item in path], a, b + begin, value[b, a])
+                else:
+                    sums[at[begin:end, None], at[None, :end]] += value
+            if depth:
+                rows[depth - 1] += int(times[0])
+            del path[depth:], rows[depth:]
 
         for batch in batches:
-            langs, numbers = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for row_lang, items, number in zip(langs, batch.column(1), numbers):
-                row = [(e["source"], e["p"], e["z"]) for e in items.as_py()]
+            paths_of, items = batch.column(1), batch.column(1).flatten()
+            edges = np.concatenate(([0], np.cumsum(pc.list_value_length(paths_of).to_numpy(zero_copy_only=False)))).tolist()
+            entries = list(zip(*(items.field(k).to_pylist() for k in range(3))))
+            for i, (row_lang, times) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                row = entries[edges[i] : edges[i + 1]]
                 shared = 0
                 if row_lang == lang:
                     while shared < min(len(row), len(path)) and row[shared] == path[shared]:
                         shared += 1
                 close_to(shared)
+                if row_lang != lang:
+                    flush()
                 lang = row_lang
-                for item in row[shared:]:
-                    at = len(path)
-                    if at == len(p):
-                        p, z = np.resize(p, 2 * at), np.resize(z, 2 * at)
-                    p[at], z[at] = item[1], item[2]
-                    path.append(item)
-                    rows.append(0)
-                rows[-1] += number
-                if len(sums) > HELD_PAIRS:
-                    yield flush()
+                path += row[shared:]
+                rows += [0] * (len(row) - shared)
+                rows[-1] += times
+                yield from ready
+                ready.clear()
         close_to(0)
-        yield flush()
+        flush()
+        yield from ready
 
     return paths.select("lang", "path", "rows").mapInArrow(walk, _PAIR_DDL)
 
@@ -176,7 +232,9 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     )
     row = used.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("source", "p", "z"))).alias("path"))
     paths = row.groupBy("lang", "path").agg(F.count(F.lit(1)).alias("rows"))
-    both = tree_corrections(paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path"))
+    # The sampled range keys pass through the driver: they hold a part of the path only.
+    ranged = paths.repartitionByRange("lang", F.slice("path", 1, PREFIX), F.xxhash64("path")).sortWithinPartitions("lang", "path")
+    both = tree_corrections(ranged)
 
     def mirrored(df: DataFrame, a: str, b: str) -> DataFrame:
         ends = F.array(F.struct(F.col(a).alias("source"), F.col(b).alias("item")), F.struct(F.col(b).alias("source"), F.col(a).alias("item")))

@@ -56,11 +56,13 @@ def words(rng, n):
     return "".join(rng.choice(pool[: 1 + int(rng.random() ** 2 * len(pool))]) + rng.choice(" 1-_[`{\n\x7f") for _ in range(n))
 
 
-def test_random_documents_against_brute_force(spark):
+def test_random_documents_against_brute_force(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(words(rng, rng.randrange(0, 30)), rng.choice(("en", "fr", None, "")), rng.choice(("a", "b", "c", "é", "Z", None, ""))) for _ in range(260)]
     check(spark, rows)
     check(spark, rows, min_docs=1, top=3)
+    monkeypatch.setattr(divergence, "HELD_TERMS", 3)
+    check(spark, rows)
 
 
 def test_groups_without_terms_and_odd_texts(spark):
@@ -78,7 +80,6 @@ def test_many_sources_and_shared_paths(spark):
 
 
 def test_a_tree_in_parts_gives_the_same_sums(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "HELD_PAIRS", 1)
     rng = random.Random(6)
     items = [[(s, rng.randrange(1, 4), 1) for s in "abcdef" if rng.random() < 0.6] or [("a", 1, 1)] for _ in range(200)]
     df = frame(spark, [("en", p, 1 + i % 3) for i, p in enumerate(items)], "lang string, path array<struct<source: string, p: bigint, z: bigint>>, rows bigint")
@@ -87,7 +88,13 @@ def test_a_tree_in_parts_gives_the_same_sums(spark, monkeypatch):
         part = df.repartition(parts, "path").sortWithinPartitions("lang", "path")
         return sorted(tuple(r) for r in divergence.tree_corrections(part).groupBy("lang", "a", "b").agg(F.sum("value")).collect())
 
-    assert sums(1) == sums(7) == sums(40)
+    whole = sums(1)
+    assert whole == sums(7) == sums(40)
+    monkeypatch.setattr(divergence, "PAIRS_AT_ONCE", 5)
+    assert whole == sums(3)
+    for sources in (6, 4, 3, 1):  # handed on early, and paths wider than what a task holds
+        monkeypatch.setattr(divergence, "HELD_SOURCES", sources)
+        assert whole == sums(3)
 
 
 def test_query_ignores_other_columns(spark, tmp_path):
