@@ -361,6 +361,15 @@ def queries() -> dict[str, str]:
         "kt AS (SELECT lower(skills) AS t FROM postings WHERE n_fields = 11 UNION ALL SELECT lower(text) FROM documents)",
         f"tok AS ({found_words('kt')})",
     ) + "SELECT token, CAST(count(*) AS BIGINT) AS n FROM tok GROUP BY token"
+    q["document_term_count"] = r"""
+    WITH names AS (
+      SELECT lower(text) AS t FROM benchmark UNION ALL SELECT lower(c_mktsegment) FROM customer
+    ), terms AS (
+      SELECT DISTINCT unnest(list_filter(string_split_regex(t, '[^a-z]+'), lambda w: w <> '')) AS token FROM names
+    ), used AS (
+      SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS token FROM documents
+    )
+    SELECT token, CAST(count(*) AS BIGINT) AS n FROM used WHERE token IN (FROM terms) GROUP BY token"""
     q["dimension_files"] = q["dimension_counts"]
 
     cells = (

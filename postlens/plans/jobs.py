@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens import schema
 from postlens.functions.parse import gate
-from postlens.operators import skills, store
+from postlens.operators import automaton, skills, store
 from postlens.plans import report
 from postlens.sources.text import Paths, dictionary_name, keyword_dictionary, read_postings
 
@@ -75,11 +75,13 @@ def keyword_job(
     source: str = "path",
     rebalance: bool = False,
 ) -> DataFrame:
-    """The ``skill_<dictionary name>`` cell of every report."""
+    """The ``skill_<dictionary name>`` cell of every report. A user's dictionary is searched with one
+    automaton, whatever the kinds and lengths of its words; the bundled list by built-in functions."""
     run = store.new_run() if run is None else run
     posts = gate(read_postings(spark, path, source=source, rebalance=rebalance), exact=schema.GATE_FULL)
     name = report.skill_section(dictionary_name(dictionary_path))
-    counted = skills.keyword_counts(posts, keyword_dictionary(spark, path=dictionary_path), by=("source",))
+    counts = automaton.keyword_counts if dictionary_path else skills.keyword_counts
+    counted = counts(posts, keyword_dictionary(spark, path=dictionary_path), by=("source",))
     cells = report.json_cells(counted.withColumn("qualifier", F.lit(name)), F.col("source"), "qualifier", "token", run)
     return _write(spark, cells, store_path, name, run)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens import fs, schema
 from postlens.functions.parse import gate, postings
-from postlens.operators import dimensions, pairs, salary, skills, store
+from postlens.operators import automaton, dimensions, pairs, salary, skills, store
 from postlens.plans import jobs, report
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines, table
@@ -165,7 +165,19 @@ def q_user_dictionary_count(spark, sf_dir):
     path = scratch_path(spark, "dictionary") + "/user.dic"
     spark.createDataFrame([(w,) for w in USER_WORDS], "value string").write.text(path)
     texts = full_postings(spark, sf_dir).select("skills").unionByName(table(spark, sf_dir, "documents", ["text"]).select(F.col("text").alias("skills")))
-    return skills.keyword_counts(texts, keyword_dictionary(spark, path=path))
+    return automaton.keyword_counts(texts, keyword_dictionary(spark, path=path))
+
+
+def q_document_term_count(spark, sf_dir):
+    """Counts in the documents of a dictionary that the data give: the distinct ASCII words of
+    the benchmark passages and market segments, of every length, written as a dictionary file."""
+    path = scratch_path(spark, "dictionary") + "/names.dic"
+    names = table(spark, sf_dir, "benchmark", ["text"]).select(F.col("text").alias("name"))
+    names = names.unionByName(table(spark, sf_dir, "customer", ["c_mktsegment"]).toDF("name"))
+    words = names.select(F.explode(F.regexp_extract_all(F.lower("name"), F.lit("[a-z]+"), F.lit(0))).alias("value")).distinct()
+    words.write.text(path)
+    docs = table(spark, sf_dir, "documents", ["text"])
+    return automaton.keyword_counts(docs, keyword_dictionary(spark, path=path), "text")
 
 
 def q_dimension_files(spark, sf_dir):
@@ -336,6 +348,7 @@ def registered() -> dict[str, Query]:
         "job_cells": q_job_cells,
         "tab_word_count": q_tab_word_count,
         "user_dictionary_count": q_user_dictionary_count,
+        "document_term_count": q_document_term_count,
         "dimension_files": q_dimension_files,
         "cell_store_latest": q_cell_store_latest,
         "cell_store_pivot": q_cell_store_pivot,
