@@ -1,9 +1,10 @@
 """Skill keyword counts (A9, J1) and word counts.
 
-Keyword counting explodes the tokens of each posting, counts them, and keeps the counts of
-dictionary words with a left-semi join. The join comes after the count, so it sees one row per
-distinct token: whether the planner broadcasts the dictionary (by its size in bytes) or shuffles
-both sides, a token that occurs in a third of all postings is one row per task by then.
+Keyword counting explodes the tokens of each posting and keeps the dictionary's with a left-semi
+join. A dictionary whose measured bytes are below the broadcast threshold filters the tokens before
+they are counted, so only its words are shuffled. A larger one meets the counted tokens: the join sees
+one row per distinct token, and a token that occurs in a third of all postings is one row per task
+by then. Both give the same counts.
 """
 
 from __future__ import annotations
@@ -38,6 +39,19 @@ def dictionary_needs(dictionary: DataFrame) -> dict[str, list[int]]:
     return {rule: sorted(n) for rule, n in needs.items()}
 
 
+#: Bytes that a broadcast word takes beside its own.
+WORD_OVERHEAD = 64
+
+
+def broadcastable(dictionary: DataFrame) -> bool:
+    """Whether the dictionary, measured, takes less than the session's broadcast threshold."""
+    threshold = dictionary.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if threshold <= 0:
+        return False
+    size = dictionary.agg(F.sum(F.octet_length("word") + WORD_OVERHEAD).alias("bytes")).first()["bytes"]
+    return (size or 0) < threshold
+
+
 # A tokenizer maps a text column to an ARRAY<STRING> column. The default rules are built-in
 # functions; a user segmenter can be plugged in as a vectorised pandas UDF returning a list.
 Tokenizer = Callable[[Column], Column]
@@ -66,8 +80,12 @@ def keyword_counts(
     """``by..., token, n`` — occurrences of each dictionary word in ``text_col``."""
     if needs is None:
         needs = {} if tokenizer is not None else dictionary_needs(dictionary)
-    counted = tokens(postings, text_col, needs, tokenizer, keep=by).groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
-    return counted.join(dictionary.select(F.col("word").alias("token")), "token", "left_semi").select(*by, "token", "n")
+    toks = tokens(postings, text_col, needs, tokenizer, keep=by)
+    words = dictionary.select(F.col("word").alias("token"))
+    if broadcastable(dictionary):
+        return toks.join(F.broadcast(words), "token", "left_semi").groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
+    counted = toks.groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(words, "token", "left_semi").select(*by, "token", "n")
 
 
 def without_stop_words(toks: DataFrame, stop: DataFrame | Sequence[str] | None) -> DataFrame:

@@ -8,12 +8,13 @@ and count them with a single aggregate. The pieces here keep that plan lean:
 * ``explode_cells`` emits the fixed cells and the tokens with one ``posexplode`` over a plain
   string array (a generator that stays in whole-stage codegen) and looks the cell's tags up by
   position;
-* ``keep_dictionary_counts`` (batch) keeps the counted token cells that are dictionary words: the
-  semi-join comes after the one aggregate, so only distinct tokens meet the dictionary, and the
-  other cells never do; both branches read the same aggregate (one scan);
-* ``keep_dictionary_tokens`` (stream, before the state) keeps the token cells that are dictionary
-  words. The planner broadcasts a small dictionary; a large one is shuffled, and then tokens are
-  salted so that a hot one spreads, and the other cells are spread evenly.
+* ``keep_dictionary_tokens`` keeps the token cells that are dictionary words, before they are counted:
+  in batch for a dictionary that may be broadcast, in streams (before the state) for any. A large one
+  is shuffled in a stream; then tokens are salted so that a hot one spreads, and so are the other
+  cells, which match nothing;
+* ``keep_dictionary_counts`` (batch, a large dictionary) keeps the counted token cells that are
+  dictionary words: only distinct tokens meet the dictionary, and the other cells never do; both
+  branches read the same aggregate (one scan).
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def explode_cells(
     )
 
 
-#: Slices that a hot token is dealt into before a shuffle join with the dictionary (streams).
+#: Slices that a hot token or cell is dealt into before a shuffle join with the dictionary (streams).
 TOKEN_SLICES = 8
 
 
@@ -92,13 +93,21 @@ def keep_dictionary_counts(counted: DataFrame, dictionary: DataFrame, tag: str,
     return split.where(~F.col("_token")).unionByName(kept).select(*columns)
 
 
-def keep_dictionary_tokens(rows: DataFrame, dictionary: DataFrame, tag: str, token_tag: str, columns: Sequence[str]) -> DataFrame:
-    """Drops rows tagged ``token_tag`` whose key is not a dictionary word; other rows pass."""
-    slices = F.sequence(F.lit(0), F.lit(TOKEN_SLICES - 1))
-    words = dictionary.select(F.col("word").alias("_dw"), F.explode(slices).alias("_ds"))
+def keep_dictionary_tokens(
+    rows: DataFrame, dictionary: DataFrame, tag: str, token_tag: str, columns: Sequence[str], small: bool
+) -> DataFrame:
+    """Drops rows tagged ``token_tag`` whose key is not a dictionary word; other rows pass.
+
+    ``small`` says that the dictionary was measured and may be broadcast.
+    """
     is_token = F.col(tag) == token_tag
-    spread = F.floor(F.rand(7) * TOKEN_SLICES).cast("int")  # any slice finds the word; its counts are the same
-    # No word has slice -1, so the other cells never match; their own keys spread them.
-    salted = rows.withColumn("_slice", F.when(is_token, spread).otherwise(F.lit(-1)))
-    joined = salted.join(words, (F.col("key") == F.col("_dw")) & (F.col("_slice") == F.col("_ds")), "left")
+    words = dictionary.select(F.col("word").alias("_dw"))
+    if small:
+        joined = rows.join(F.broadcast(words), is_token & (F.col("key") == F.col("_dw")), "left")
+    else:
+        # Any slice finds the word; its counts are the same. Other cells get slices that no word has.
+        spread = F.floor(F.rand(7) * TOKEN_SLICES).cast("int")
+        salted = rows.withColumn("_spread", spread).withColumn("_slice", F.when(is_token, F.col("_spread")).otherwise(-1 - F.col("_spread")))
+        sliced = words.select("_dw", F.explode(F.sequence(F.lit(0), F.lit(TOKEN_SLICES - 1))).alias("_ds"))
+        joined = salted.join(sliced, (F.col("key") == F.col("_dw")) & (F.col("_slice") == F.col("_ds")), "left")
     return joined.where(~is_token | F.col("_dw").isNotNull()).select(*columns)

@@ -17,8 +17,8 @@ from postlens.functions.jsonfmt import chunk_name, chunked, json_object
 from postlens.functions.salary import bucket_hi, bucket_label, bucket_lo, keep_bucket, salary_part
 from postlens.functions.text import keyword_tokens
 from postlens.operators import store
-from postlens.operators.skills import Needs, dictionary_needs
-from postlens.plans.cells import explode_cells, keep_dictionary_counts, with_bucket_labels
+from postlens.operators.skills import Needs, broadcastable, dictionary_needs
+from postlens.plans.cells import explode_cells, keep_dictionary_counts, keep_dictionary_tokens, with_bucket_labels
 
 
 def skill_section(dictionary_name: str = schema.DEFAULT_DICTIONARY_NAME) -> str:
@@ -60,11 +60,17 @@ def full_report(
     **kwargs,
 ) -> DataFrame:
     """``keep..., section, key, n`` — every section of the batch report from one scan and one
-    aggregate; then only the counted tokens meet the dictionary."""
+    aggregate. A dictionary that may be broadcast filters the tokens below the aggregate; a larger
+    one meets the counted tokens above it."""
     needs = dictionary_needs(dictionary) if needs is None else needs
     rows = report_rows(postings, needs, dictionary_name, keep=keep, **kwargs)
-    counted = rows.groupBy(*keep, "section", "key").agg(F.count(F.lit(1)).alias("n"))
-    return keep_dictionary_counts(counted, dictionary, "section", skill_section(dictionary_name), [*keep, "section", "key", "n"])
+    skill = skill_section(dictionary_name)
+    columns = [*keep, "section", "key"]
+    small = broadcastable(dictionary)
+    if small:
+        rows = keep_dictionary_tokens(rows, dictionary, "section", skill, columns, small)
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    return counted if small else keep_dictionary_counts(counted, dictionary, "section", skill, [*columns, "n"])
 
 
 def json_cells(counted: DataFrame, row_key: str | Column, qualifier: str, key: str, version: int) -> DataFrame:

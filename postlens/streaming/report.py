@@ -27,7 +27,7 @@ from postlens.functions.jsonfmt import chunk_name, chunked, envelope, nested_map
 from postlens.functions.parse import postings
 from postlens.functions.text import keyword_tokens
 from postlens.operators import store
-from postlens.operators.skills import Needs, dictionary_needs
+from postlens.operators.skills import Needs, broadcastable, dictionary_needs
 from postlens.plans.cells import explode_cells, keep_dictionary_tokens, with_bucket_labels
 
 SALARY_FLOOR = "salary_floor"
@@ -72,7 +72,7 @@ def stream_rows(
     rows = explode_cells(base, ["metric", "dim"], fixed, F.col("_tok") if with_skills else None, (SKILLS, ""))
     if not with_skills:
         return rows
-    return keep_dictionary_tokens(rows, dictionary, "metric", SKILLS, ["metric", "dim", "key"])
+    return keep_dictionary_tokens(rows, dictionary, "metric", SKILLS, ["metric", "dim", "key"], broadcastable(dictionary))
 
 
 def running_counts(rows: DataFrame) -> DataFrame:

@@ -7,12 +7,13 @@ the same rules: the plan of every frame that is written or checkpointed on the w
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql.readwriter import DataFrameWriter
 
 from postlens.operators import store
 from postlens.plans import registry, report
-from postlens.plans.cells import keep_dictionary_counts
+from postlens.plans.cells import keep_dictionary_counts, keep_dictionary_tokens
 from postlens.sources.text import keyword_dictionary
 from tests.conftest import SF_SMALL
 
@@ -94,12 +95,48 @@ def test_full_report_is_one_aggregate_exchange_over_one_scan(spark):
     path = registry.scratch_path(spark, "plan-postings")
     posts.write.mode("overwrite").parquet(path)
     plan = final_plan(report.full_report(spark.read.parquet(path), keyword_dictionary(spark)))
+    # A dictionary that is broadcast filters the tokens first: nothing but the counted cells is shuffled.
+    assert plan.count("FileScan") == 1 and len(re.findall(r"Exchange hashpartitioning", plan)) == 1, plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(report.full_report(spark.read.parquet(path), keyword_dictionary(spark)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # A larger one: counted once, used by both branches.
     assert plan.count("FileScan") == 1, plan
-    # Computed once, used by both branches.
     assert len(re.findall(r"Exchange hashpartitioning\(section", plan)) - plan.count("ReusedExchange") == 1
     assert plan.count("ReusedExchange") == 1
 
 
+def test_small_and_large_dictionaries_count_alike(spark):
+    posts, d = registry.fixture_postings(spark, SF_SMALL), keyword_dictionary(spark)
+
+    def counted():
+        rows = report.full_report(posts, d).collect()
+        stream = registry.stream_report.running_counts(registry.stream_report.stream_rows(posts, d, registry.skills.dictionary_needs(d))).collect()
+        words = registry.skills.keyword_counts(posts, d).collect()
+        return [sorted(map(tuple, r)) for r in (rows, stream, words)]
+
+    small = counted()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert counted() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_cell_is_spread_before_a_shuffle_join_with_the_dictionary(spark):
+    rows = spark.range(4000).select(F.lit("other").alias("metric"), F.when(F.col("id") > 9, "hot").otherwise(F.col("id").cast("string")).alias("key"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = keep_dictionary_tokens(rows, keyword_dictionary(spark), "metric", "skills", ["metric", "key"], small=False)
+        plan = executed(df)
+        assert "hashpartitioning(key" in plan and "_slice" in plan.split("hashpartitioning(key")[1].split(")")[0]
+        assert df.count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_large_dictionary_never_shuffles_the_fixed_cells(spark):
     """With broadcasts off, only the branch of the counted tokens is shuffled for the join."""
     counted = spark.createDataFrame([("salary_0", "1-2", 5), ("skill_bg", "java", 3), ("skill_bg", "zzz", 9)], "section string, key string, n long")
