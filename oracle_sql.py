@@ -370,6 +370,52 @@ def queries() -> dict[str, str]:
       SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS token FROM documents
     )
     SELECT token, CAST(count(*) AS BIGINT) AS n FROM used WHERE token IN (FROM terms) GROUP BY token"""
+    from postlens.operators import segment
+    from postlens.plans.registry import HAN_LETTERS, LETTERS
+
+    han = [
+        f"ht AS (SELECT lower(skills) AS t FROM postings WHERE n_fields = 11 UNION ALL SELECT translate(lower(text), '{LETTERS} ', '{HAN_LETTERS}') FROM documents)",
+        "runs AS MATERIALIZED (SELECT row_number() OVER () AS id, * FROM (SELECT run, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_filter(string_split_regex(t, '[^\\p{Han}]+'), lambda w: w <> '')) AS run FROM ht) r GROUP BY run))",
+        "places AS (SELECT id, run, n, unnest(range(1, length(run) + 1)) AS pos FROM runs)",
+        f"pieces AS MATERIALIZED (SELECT id, n, pos, k, substring(run, pos, k) AS gram FROM places, range(1, {segment.LONGEST + 2}) ks(k) WHERE pos + k - 1 <= length(run))",
+        "grams AS (SELECT gram, CAST(sum(n) AS BIGINT) AS n FROM pieces GROUP BY gram)",
+        "tot AS (SELECT CAST(sum(n * length(run)) AS DOUBLE) AS total FROM runs)",
+        "lefts AS (SELECT substring(gram, 2) AS word, sum(n * ln(n)) AS w FROM grams WHERE length(gram) > 1 GROUP BY ALL)",
+        "rights AS (SELECT left(gram, -1) AS word, sum(n * ln(n)) AS w FROM grams WHERE length(gram) > 1 GROUP BY ALL)",
+        f"cand AS (SELECT gram AS word, n FROM grams WHERE length(gram) BETWEEN 2 AND {segment.LONGEST} AND n >= {segment.MIN_COUNT})",
+        "apart AS (SELECT word, max(ln(a.n) + ln(b.n)) AS w FROM (SELECT word, unnest(range(1, length(word))) AS k FROM cand) c JOIN grams a ON a.gram = left(word, k) JOIN grams b ON b.gram = substring(word, k + 1) GROUP BY word)",
+        """stat AS (SELECT word, n, CAST(round((ln(n) + ln(total) - apart.w) * 1000) AS BIGINT) AS cohesion,
+            CAST(round((ln(n) - coalesce(lefts.w, 0) / n) * 1000) AS BIGINT) AS "left", CAST(round((ln(n) - coalesce(rights.w, 0) / n) * 1000) AS BIGINT) AS "right"
+            FROM cand JOIN apart USING (word) LEFT JOIN lefts USING (word) LEFT JOIN rights USING (word), tot)""",
+    ]
+    q["han_word_statistics"] = _with(*han) + 'SELECT word, n, cohesion, "left", "right" FROM stat'
+    own = sql_list(sorted({w.lower() for w in USER_WORDS}))
+    q["han_word_count"] = _with(
+        *han,
+        f"own(word) AS (SELECT * FROM (VALUES {own}) v(word) WHERE regexp_full_match(word, '\\p{{Han}}{{2,}}'))",
+        f"""lex AS MATERIALIZED (SELECT word, CAST(round((ln(total) - ln(n)) * 1000) AS BIGINT) AS cost FROM (
+            SELECT word, n FROM stat WHERE cohesion >= {segment.MIN_COHESION} AND "left" >= {segment.MIN_FREEDOM} AND "right" >= {segment.MIN_FREEDOM} AND word NOT IN (FROM own)
+            UNION ALL SELECT gram, n FROM grams WHERE length(gram) = 1 AND n > 1
+            UNION ALL SELECT word, CASE WHEN n > 1 THEN n ELSE 1 END FROM own LEFT JOIN grams ON gram = word) w, tot)""",
+        # w1 .. w4: the cost of the word of that length which ends at a place.
+        """ends AS MATERIALIZED (SELECT id, pos + k - 1 AS pos, max(CASE WHEN k = 1 THEN coalesce(cost, CAST(round(ln(total) * 1000) AS BIGINT)) END) AS w1,
+            max(CASE WHEN k = 2 THEN cost END) AS w2, max(CASE WHEN k = 3 THEN cost END) AS w3, max(CASE WHEN k = 4 THEN cost END) AS w4
+            FROM pieces LEFT JOIN lex ON word = gram, tot WHERE k <= 4 GROUP BY ALL)""",
+        # The best ways to the last four places: cost with leading zeros, then 9 less each length, so that the least text wins.
+        """ways AS (
+            SELECT id, CAST(0 AS BIGINT) AS pos, repeat('0', 12) AS a, CAST(NULL AS VARCHAR) AS b, CAST(NULL AS VARCHAR) AS c, CAST(NULL AS VARCHAR) AS d FROM runs
+            UNION ALL
+            SELECT w.id, e.pos, least(
+                lpad(CAST(CAST(left(a, 12) AS BIGINT) + w1 AS VARCHAR), 12, '0') || a[13:] || '8',
+                lpad(CAST(CAST(left(b, 12) AS BIGINT) + w2 AS VARCHAR), 12, '0') || b[13:] || '7',
+                lpad(CAST(CAST(left(c, 12) AS BIGINT) + w3 AS VARCHAR), 12, '0') || c[13:] || '6',
+                lpad(CAST(CAST(left(d, 12) AS BIGINT) + w4 AS VARCHAR), 12, '0') || d[13:] || '5'), a, b, c
+            FROM ways w JOIN ends e ON e.id = w.id AND e.pos = w.pos + 1)""",
+        "done AS (SELECT run, n, a[13:] AS path FROM ways JOIN runs USING (id) WHERE pos = length(run))",
+        "steps AS (SELECT run, n, i, 9 - CAST(path[i] AS BIGINT) AS k, sum(9 - CAST(path[i] AS BIGINT)) OVER (PARTITION BY run ORDER BY i) AS upto FROM done, unnest(range(1, length(path) + 1)) u(i))",
+        "words AS (SELECT substring(run, CAST(upto - k + 1 AS BIGINT), k) AS token, n FROM steps UNION ALL SELECT unnest(list_filter(string_split_regex(t, '[^\\p{L}\\p{N}]+|\\p{Han}+'), lambda w: w <> '')), 1 FROM ht)",
+    ).replace("WITH ", "WITH RECURSIVE ", 1) + f"SELECT token, CAST(sum(n) AS BIGINT) AS n FROM words WHERE token NOT IN ({STOP_SQL}) GROUP BY token"
+
     q["dimension_files"] = q["dimension_counts"]
 
     cells = (

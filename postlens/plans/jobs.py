@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens import schema
 from postlens.functions.parse import gate
-from postlens.operators import automaton, skills, store
+from postlens.operators import automaton, segment, skills, store
 from postlens.plans import report
 from postlens.sources.text import Paths, dictionary_name, keyword_dictionary, read_postings
 
@@ -86,8 +86,19 @@ def keyword_job(
     return _write(spark, cells, store_path, name, run)
 
 
-def word_count_job(spark: SparkSession, path: str | list[str], out_path: str, sep: str = "\t") -> None:
+def word_count_job(
+    spark: SparkSession, path: str | list[str], out_path: str, sep: str = "\t", segmented: bool = False, dictionary_path: str | None = None
+) -> None:
     """Words of field 10 of rows with more than 10 fields, stop words removed, written as
-    ``(word,count)`` lines ordered by count."""
+    ``(word,count)`` lines ordered by count.
+
+    ``segmented`` cuts Han runs into words that are learned from the same texts, together with the
+    words of the dictionary at ``dictionary_path``.
+    """
     posts = gate(read_postings(spark, path, sep=sep), above=schema.GATE_WORD_COUNT_ABOVE)
-    report.save_word_count(skills.word_counts(posts, "skills", schema.STOP_WORDS), out_path)
+    if segmented:
+        own = keyword_dictionary(spark, path=dictionary_path) if dictionary_path else None
+        counts = segment.word_counts(posts, "skills", schema.STOP_WORDS, own)
+    else:
+        counts = skills.word_counts(posts, "skills", schema.STOP_WORDS)
+    report.save_word_count(counts, out_path)

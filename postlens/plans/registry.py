@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens import fs, schema
 from postlens.functions.parse import gate, postings
-from postlens.operators import automaton, dimensions, pairs, salary, skills, store
+from postlens.operators import automaton, dimensions, pairs, salary, segment, skills, store
 from postlens.plans import jobs, report
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines, table
@@ -180,6 +180,36 @@ def q_document_term_count(spark, sf_dir):
     return automaton.keyword_counts(docs, keyword_dictionary(spark, path=path), "text")
 
 
+#: Han characters that stand for the letters a to z, so that the documents become text without spaces.
+HAN_LETTERS = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def han_texts(spark, sf_dir) -> DataFrame:
+    """The postings' skills, and all documents with their letters as Han characters and no spaces: runs
+    as long as a sentence."""
+    docs = table(spark, sf_dir, "documents", ["text"])
+    return full_postings(spark, sf_dir).select("skills").unionByName(docs.select(F.translate(F.lower("text"), LETTERS + " ", HAN_LETTERS).alias("skills")))
+
+
+def q_han_word_statistics(spark, sf_dir):
+    """Occurrences, cohesion and neighbour entropies of the word candidates of Han text."""
+    runs = segment.counted_runs(skills.word_counts(han_texts(spark, sf_dir), "skills")).transform(stored_once)
+    total = segment.characters(runs).first()["total"]
+    return segment.word_statistics(segment.ngram_counts(runs, segment.LONGEST + 1).transform(stored_once), total)
+
+
+def q_han_word_count(spark, sf_dir):
+    """Word count of Han text: words learned from the text, and those of a user's dictionary."""
+    return segment.word_counts(han_texts(spark, sf_dir), "skills", schema.STOP_WORDS, keyword_dictionary(spark, words=USER_WORDS))
+
+
+def stored_once(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def q_dimension_files(spark, sf_dir):
     """Dimension counts written with a folder per dimension, read back."""
     path = scratch_path(spark, "dimension-files")
@@ -349,6 +379,8 @@ def registered() -> dict[str, Query]:
         "tab_word_count": q_tab_word_count,
         "user_dictionary_count": q_user_dictionary_count,
         "document_term_count": q_document_term_count,
+        "han_word_statistics": q_han_word_statistics,
+        "han_word_count": q_han_word_count,
         "dimension_files": q_dimension_files,
         "cell_store_latest": q_cell_store_latest,
         "cell_store_pivot": q_cell_store_pivot,
