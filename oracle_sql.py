@@ -427,6 +427,9 @@ def queries() -> dict[str, str]:
         "FROM cells GROUP BY row_key, family, qualifier)"
     )
     q["cell_store_latest"] = f"WITH {cells}, {latest} SELECT row_key, family, qualifier, value, version FROM lat"
+    q["cell_store_compacted"] = q["cell_store_latest"]
+    newest = "SELECT row_key, family, qualifier, value, version"
+    q["cell_store_scan"] = f"WITH {cells}, {latest} {newest}, 'range' AS scan FROM lat WHERE row_key >= '2' AND row_key < '37' UNION ALL {newest}, 'prefix' FROM lat WHERE starts_with(row_key, '19')"
     q["cell_store_pivot"] = f"WITH {cells}, {latest} " + (
         "SELECT row_key, "
         "arg_max(value, version) FILTER (WHERE qualifier = 'click') AS click, "

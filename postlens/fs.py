@@ -3,6 +3,7 @@ that any store Spark reads will do."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -44,3 +45,17 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.writeUTF(text)
     finally:
         stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a short text as a new file; False if there is one (also if another writer was faster)."""
+    fs, target = _at(spark, path)
+    if fs.exists(target):
+        return False
+    try:
+        write_text(spark, path, text)
+    except Py4JJavaError as e:
+        if fs.exists(target):
+            return False
+        raise e
+    return True

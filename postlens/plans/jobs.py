@@ -37,7 +37,7 @@ def full_report_job(
 ) -> DataFrame:
     """Salary (both sides, and the cohort), keywords and the five dimensions of every report,
     as cells ``(row key, 'info', section, json)``. Returns the cells written."""
-    run = store.new_run() if run is None else run
+    run = store.new_run(spark, store_path) if run is None else run
     name = dictionary_name(dictionary_path)
     cells = report.report_cells_by_source(
         read_postings(spark, path, source=source, rebalance=rebalance),
@@ -60,7 +60,7 @@ def salary_job(
     rebalance: bool = False,
 ) -> DataFrame:
     """``salary_<side>`` and ``salary3_<side>`` cells of every report."""
-    run = store.new_run() if run is None else run
+    run = store.new_run(spark, store_path) if run is None else run
     rows = report.salary_rows(read_postings(spark, path, source=source, rebalance=rebalance), side, grid, keep=("source",))
     counted = rows.groupBy("source", "qualifier", "key").agg(F.count(F.lit(1)).alias("n"))
     return _write(spark, report.json_cells(counted, F.col("source"), "qualifier", "key", run), store_path, f"salary_{side}", run)
@@ -77,7 +77,7 @@ def keyword_job(
 ) -> DataFrame:
     """The ``skill_<dictionary name>`` cell of every report. A user's dictionary is searched with one
     automaton, whatever the kinds and lengths of its words; the bundled list by built-in functions."""
-    run = store.new_run() if run is None else run
+    run = store.new_run(spark, store_path) if run is None else run
     posts = gate(read_postings(spark, path, source=source, rebalance=rebalance), exact=schema.GATE_FULL)
     name = report.skill_section(dictionary_name(dictionary_path))
     counts = automaton.keyword_counts if dictionary_path else skills.keyword_counts

@@ -241,7 +241,35 @@ def q_cell_store_pivot(spark, sf_dir):
 
 
 def q_cell_store_text(spark, sf_dir):
-    return store.as_text(store.latest(stored_event_cells(spark, sf_dir)), schema.STORE_FAMILY)
+    return store.as_text(store.latest(stored_event_cells(spark, sf_dir)), schema.STORE_FAMILY).select("row_key", "text")
+
+
+STORE_RUNS = 30
+
+
+def compacted_store(spark, sf_dir) -> str:
+    """All events written as ``STORE_RUNS`` runs, by the remainder of the event's id; compacted after
+    two thirds of them and again at the end but for the last run."""
+    path, cells = scratch_path(spark, "cell-store"), stored_once(event_cells(spark, sf_dir))
+    for k in range(STORE_RUNS):
+        run = store.new_run(spark, path)
+        store.write_cells(cells.where(F.col("version") % STORE_RUNS == k), path, "events", run)
+        if k in (STORE_RUNS * 2 // 3, STORE_RUNS - 2):
+            store.compact(spark, path)
+    store.vacuum(spark, path)
+    return path
+
+
+def q_cell_store_compacted(spark, sf_dir):
+    """The newest cells of a store whose runs were compacted twice while it was written."""
+    return store.latest(store.read_cells(spark, compacted_store(spark, sf_dir)))
+
+
+def q_cell_store_scan(spark, sf_dir):
+    """The newest cells of a range of row keys and of those with a prefix, read from a compacted store."""
+    cells = store.read_cells(spark, compacted_store(spark, sf_dir))
+    between = store.latest(store.rows_between(cells, "2", "37")).withColumn("scan", F.lit("range"))
+    return between.unionByName(store.latest(store.rows_with_prefix(cells, "19")).withColumn("scan", F.lit("prefix")))
 
 
 def q_result_store_keys(spark, sf_dir):
@@ -385,6 +413,8 @@ def registered() -> dict[str, Query]:
         "cell_store_latest": q_cell_store_latest,
         "cell_store_pivot": q_cell_store_pivot,
         "cell_store_text": q_cell_store_text,
+        "cell_store_compacted": q_cell_store_compacted,
+        "cell_store_scan": q_cell_store_scan,
         "result_store_keys": q_result_store_keys,
         "common_owner_lookup": q_common_owner_lookup,
         "common_members": q_common_members,
