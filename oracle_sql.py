@@ -301,6 +301,11 @@ def queries() -> dict[str, str]:
         f"FROM i WHERE idx >= 1 AND idx < {len(EDGES)})",
     ) + f"SELECT {label()} AS bucket, lo, hi, CAST(count(*) AS BIGINT) AS n FROM lh GROUP BY lo, hi"
 
+    q["salary_bucket_range_join"] = _with(
+        f"v AS (SELECT {salary_value(1)} AS v FROM postings WHERE n_fields = 11)",
+        "w AS (SELECT s_name, CAST(abs(floor(s_acctbal)) AS BIGINT) AS lo, CAST(abs(floor(s_acctbal)) AS BIGINT) + s_suppkey * 37 % 5000 AS hi FROM supplier)",
+    ) + "SELECT s_name, lo, hi, CAST(count(*) AS BIGINT) AS n FROM w JOIN v ON v >= lo AND v < hi GROUP BY ALL"
+
     q["salary_grid"] = _with(
         f"v AS (SELECT {salary_value(0)} AS v FROM postings WHERE n_fields = 11)",
         "g AS (SELECT CAST(lo AS INTEGER) AS lo, CAST(least(lo + 7000, 90000) AS INTEGER) AS hi FROM range(0, 90000, 7000) r(lo))",

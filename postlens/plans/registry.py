@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens import fs, schema
 from postlens.functions.parse import gate, postings
-from postlens.operators import automaton, dimensions, pairs, salary, segment, skills, store
+from postlens.operators import automaton, dimensions, intervals, pairs, salary, segment, skills, store
 from postlens.plans import jobs, report
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines, table
@@ -72,6 +72,14 @@ def q_salary_histogram_edges(spark, sf_dir):
     return salary.edge_histogram(full_postings(spark, sf_dir), EDGES, schema.CEILING)
 
 
+def q_salary_bucket_range_join(spark, sf_dir):
+    """Ceiling salaries counted in the intervals of a table: one per supplier, of every width, overlapping."""
+    balance = F.abs(F.floor("s_acctbal")).cast("bigint")
+    wanted = table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_acctbal"]).select("s_name", balance.alias("lo"), (balance + F.col("s_suppkey") * 37 % 5000).alias("hi"))
+    values = full_postings(spark, sf_dir).select(salary.salary_part("salary", schema.CEILING).alias("ceiling"))
+    return intervals.interval_counts(values, wanted, "ceiling", ["s_name"])
+
+
 def q_salary_grid(spark, sf_dir):
     """Every bucket of a grid that reaches beyond all salaries, empty ones too."""
     return salary.full_grid_histogram(full_postings(spark, sf_dir), schema.FLOOR, (0, 90000, 7000))
@@ -391,6 +399,7 @@ def registered() -> dict[str, Query]:
         "salary_histogram_floor": q_salary_histogram_floor,
         "salary_cohort_histogram": q_salary_cohort_histogram,
         "salary_histogram_edges": q_salary_histogram_edges,
+        "salary_bucket_range_join": q_salary_bucket_range_join,
         "salary_grid": q_salary_grid,
         "salary_report": q_salary_report,
         "dimension_counts": q_dimension_counts,
