@@ -358,6 +358,21 @@ def q_stream_restart(spark, sf_dir):
     return stream_report.totals(spark, store_path)
 
 
+def q_stream_state_rebuild(spark, sf_dir):
+    """A store rebuilt from the state in the stream's checkpoint after the stream's own is lost."""
+    folder = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "stream-input"))
+    store_path, checkpoint = scratch_path(spark, "stream-store"), scratch_path(spark, "stream-ckpt")
+    drain(spark, folder, store_path, checkpoint)
+    fs.delete(spark, store_path)
+    stream_report.rebuild(spark, checkpoint, store_path)
+    return stream_report.totals(spark, store_path)
+
+
+def q_stream_documents_read(spark, sf_dir):
+    """The totals read back from the stream's JSON documents."""
+    return stream_report.read_documents(stream_report.json_documents(run_stream(spark, sf_dir), STREAM_JOB))
+
+
 def q_stream_json_store(spark, sf_dir):
     """The documents that the stream's own per-batch writer left, newest first."""
     folder = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "stream-input"))
@@ -433,6 +448,8 @@ def registered() -> dict[str, Query]:
         "stream_dimension_counts": q_stream_dimension_counts,
         "stream_report": q_stream_report,
         "stream_report_json": q_stream_report_json,
+        "stream_state_rebuild": q_stream_state_rebuild,
+        "stream_documents_read": q_stream_documents_read,
         "stream_json_store": q_stream_json_store,
         "stream_restart": q_stream_restart,
     }

@@ -221,6 +221,61 @@ def totals(spark: SparkSession, store_path: str) -> DataFrame:
     )
 
 
+def state_totals(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """``metric, dim, key, n`` — the running totals in the query's own state, read from its checkpoint (of
+    the last batch that was committed, or of an earlier one whose state is still kept).
+
+    The store isn't read, so this audits it and replaces it if it is lost. The query may be running.
+    """
+    reader = spark.read.format("statestore")
+    if batch is not None:
+        reader = reader.option("batchId", str(batch))
+    state = reader.load(checkpoint)
+    count = state.schema["value"].dataType.names[-1]  # the aggregate's one buffer
+    return state.select("key.metric", "key.dim", "key.key", F.col("value")[count].cast("bigint").alias("n"))
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch that a query committed; -1 before its first."""
+    return max([int(n) for n in fs.children(spark, f"{checkpoint.rstrip('/')}/commits") if n.isdigit()], default=-1)
+
+
+def rebuild(spark: SparkSession, checkpoint: str, store_path: str) -> None:
+    """Writes the store of a stopped query anew from its state: one full view, as of its last batch. The
+    query can be started again on the same checkpoint and goes on from there."""
+    batch = last_batch(spark, checkpoint)
+    if batch >= 0:
+        run = f"{store_path.rstrip('/')}/run={_run_of(spark, checkpoint, store_path)}"
+        _write_full(spark, counts_as_cells(state_totals(spark, checkpoint, batch), F.lit(batch)), run, batch)
+
+
+def differences(spark: SparkSession, checkpoint: str, store_path: str) -> DataFrame:
+    """``metric, dim, key, in_state, in_store`` — the cells whose totals in the state and in the store differ."""
+    cell = ["metric", "dim", "key"]
+    state, kept = state_totals(spark, checkpoint).withColumnRenamed("n", "in_state"), totals(spark, store_path).withColumnRenamed("n", "in_store")
+    return state.join(kept, cell, "full").where(~F.col("in_state").eqNullSafe(F.col("in_store"))).select(*cell, "in_state", "in_store")
+
+
+def read_documents(documents: DataFrame) -> DataFrame:
+    """``job, section, dim, key, n, broken`` — the totals in ``key, value`` documents, nested or doubly encoded.
+
+    Chunks of a section come together again; ``dim`` is '' but for the dimensions. A document that
+    can't be read gives one row with its text in ``broken`` and no total; an empty one gives none.
+    """
+    maps = "map<string,map<string,bigint>>"
+    job = F.substring_index("key", ":", 1)
+    outer = F.from_json("value", "map<string,string>")  # an inner object comes as its text
+    parsed = documents.select(job.alias("job"), F.regexp_replace(F.substr("key", F.char_length(job) + 2), r"#\d+$", "").alias("section"), "value", F.map_values(outer).alias("_v"))
+    parsed = parsed.withColumn("inner", F.from_json(F.get("_v", F.lit(0)), maps, {"mode": "PERMISSIVE"}))
+    good = F.col("inner").isNotNull() & (F.size("_v") == 1) & F.forall(F.map_values("inner"), lambda m: m.isNotNull() & F.forall(F.map_values(m), lambda n: n.isNotNull()))
+    parsed = parsed.withColumn("good", F.coalesce(good, F.lit(False)))
+    part = parsed.where("good").select("job", "section", F.explode("inner").alias("part", "counts"))
+    dim = F.when(F.col("part") == F.col("section"), "").otherwise(F.col("part")).alias("dim")
+    totals_ = part.select("job", "section", dim, F.explode("counts").alias("key", "n"), F.lit(None).cast("string").alias("broken"))
+    none = F.lit(None).cast("string")
+    return totals_.unionByName(parsed.where("not good").select("job", "section", none.alias("dim"), none.alias("key"), F.lit(None).cast("bigint").alias("n"), F.col("value").alias("broken")))
+
+
 def json_documents(report_totals: DataFrame, job: str, nested: bool = False, bare_key: bool = False) -> DataFrame:
     """``key, value`` — one document per metric under ``<job>:<section>``.
 
