@@ -44,6 +44,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _ISSUED = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 _SIGNED = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+_TOKEN_RUN = re.compile(r"eyJ[A-Za-z0-9_-]+")
 _PRIVATE = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----")
 
 #: Keyword (lower case) -> kind. Every match of a kind begins with one of its keywords.
@@ -106,7 +107,11 @@ def text_spans(text: str, words: ahocorasick.Automaton) -> list[tuple[str, int,
     done = dict.fromkeys(RULES, 0)
     for start, kind in hits:
         pattern, group, fits = RULES[kind]
-        if start < done[kind] or not (m := pattern.match(text, start)):
+        if start < done[kind]:
+            continue
+        if not (m := pattern.match(text, start)):
+            if kind == "signed" and (run := _TOKEN_RUN.match(text, start)):
+                done[kind] = run.end()  # what follows the run doesn't fit, so no later start in it will
             continue
         done[kind] = m.end()
         if fits(m):

@@ -32,10 +32,10 @@ Rule = tuple[str, str, str]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TRACKING = r"(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
-#: The first tag of a kind, up to its end.
-_CANONICAL = r"""(?is)<link\b(?=[^>]*(?<![\w-])rel\s*=\s*["']?canonical\b)(?=[^>]*(?<![\w-])href\s*=)[^>]*"""
-_REFRESH = r"""(?is)<meta\b(?=[^>]*(?<![\w-])http-equiv\s*=\s*["']?refresh\b)(?=[^>]*(?<![\w-])content\s*=)[^>]*"""
-_BASE = r"""(?is)<base\b(?=[^>]*(?<![\w-])href\s*=)[^>]*"""
+#: The first tag of a kind, up to its end. A tag ends at < too, so that no tag is read into by another.
+_CANONICAL = r"""(?is)<link\b(?=[^<>]*(?<![\w-])rel\s*=\s*["']?canonical\b)(?=[^<>]*(?<![\w-])href\s*=)[^<>]*+"""
+_REFRESH = r"""(?is)<meta\b(?=[^<>]*(?<![\w-])http-equiv\s*=\s*["']?refresh\b)(?=[^<>]*(?<![\w-])content\s*=)[^<>]*+"""
+_BASE = r"""(?is)<base\b(?=[^<>]*(?<![\w-])href\s*=)[^<>]*+"""
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 #: Seconds and target of a refresh; the target may stand in quotes of its own.
@@ -119,10 +119,16 @@ def tag_links(page: str | None, canonical: str | None, refresh: str | None, base
     return [found for link in links if link for found in [absolute(start, link)] if found]
 
 
-def linked_urls(url: Column, html: Column) -> Column:
+def page_tags(html: Column) -> Column:
+    """The tags of a page that may lead elsewhere, and its base; null for a page without any."""
+    tags = [F.regexp_extract(html, pattern, 0) for pattern in (_CANONICAL, _REFRESH, _BASE)]
+    return F.when((tags[0] != "") | (tags[1] != ""), F.struct(*[t.alias(n) for t, n in zip(tags, ("canonical", "refresh", "base"))]))
+
+
+def linked_urls(url: Column, tags: Column) -> Column:
     """Urls that a page names as its canonical place or redirects to, absolute. Only the tags leave the JVM."""
     resolve = F.udf(tag_links, "array<string>", useArrow=True)
-    return resolve(url, *[F.regexp_extract(html, pattern, 0) for pattern in (_CANONICAL, _REFRESH, _BASE)])
+    return resolve(url, tags["canonical"], tags["refresh"], tags["base"])
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html") -> DataFrame:
@@ -140,16 +146,22 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
             host_of(url).alias("host"),
             path_of(url).alias("path"),
             F.when(after_scheme(url).isNotNull(), node(url)).alias("node"),
-            F.transform(linked_urls(url, html), lambda u: F.struct(node(u).alias("v"), own_rule(host_of(u), path_of(u), rules)["verdict"].alias("verdict"))).alias("links"),
-        ).withColumn("own", own_rule(F.col("host"), F.col("path"), rules)),
+            url.alias("_url"),
+            page_tags(html).alias("tags"),
+        )
+        .withColumn("own", own_rule(F.col("host"), F.col("path"), rules))
+        .withColumn("_url", F.when(F.col("tags").isNotNull(), F.col("_url"))),
         "urls",
     )
-    links = judged.where("node is not null and size(links) > 0").select(F.col("node").alias("u"), F.explode("links").alias("l"))
-    members = connected_components(links.select("u", F.col("l.v").alias("v")))
+    # Python sees pages with such tags only.
+    targets = judged.where("node is not null and tags is not null").select(F.col("node").alias("u"), F.explode(linked_urls(F.col("_url"), F.col("tags"))).alias("l"))
+    to = F.col("l")
+    links = cut(targets.select("u", node(to).alias("v"), own_rule(host_of(to), path_of(to), rules)["verdict"].alias("verdict")), "url-links")
+    members = connected_components(links.select("u", "v"))
     # What the rules say about any spelling of a node, pages and link targets alike, pre-aggregated.
     said = (
         judged.where("node is not null").select("node", F.col("own.verdict").alias("verdict"))
-        .union(links.select(F.col("l.v").alias("node"), F.col("l.verdict").alias("verdict")))
+        .union(links.select(F.col("v").alias("node"), "verdict"))
         .groupBy("node")
         .agg(F.max(F.col("verdict").eqNullSafe("allow")).alias("allow"), F.max(F.col("verdict").eqNullSafe("block")).alias("block"))
     )

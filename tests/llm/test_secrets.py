@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 import zlib
 
 from postlens.llm import queries, secrets
@@ -65,3 +66,13 @@ def test_values_repeats_and_empty_table(spark):
     got = secrets.find_secrets(df).collect()
     assert [[tuple(s) for s in r["spans"]] for r in got] == [[("assign", 0, 12, "abcdef")]] * 2
     assert secrets.find_secrets(frame(spark, [], DOCS)).count() == 0
+
+
+def test_long_token_runs_are_linear():
+    words = secrets.automaton()
+    begun = time.time()
+    signed = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxIn0.c2ln"
+    for text in ("eyJ" * 350_000, "eyJ" * 100_000 + ".eyJ" + "eyJ" * 100_000, "eyJa." * 200_000, "eyJ." * 250_000, "EYJ" * 300_000):
+        found = secrets.text_spans(text + " " + signed, words)
+        assert [s[:3] for s in found if s[0] == "signed"] == [("signed", len(text) + 1, len(text) + 1 + len(signed))]
+    assert time.time() - begun < 30

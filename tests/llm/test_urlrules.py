@@ -1,3 +1,7 @@
+import time
+
+from pyspark.sql import functions as F
+
 from postlens.llm import queries, urlrules
 from tests.llm.support import SF, frame
 
@@ -86,7 +90,7 @@ def test_links_of_ordinary_markup(spark):
     rows += [(200, page, "<link data-href=x rel=canonical href=y>", ["http://s.net/a/b/y"]), (201, "no scheme", link("b"), None), (202, None, link("b"), None), (203, page, None, None)]
     rows += [(204, "http://s.net", link("b"), ["http://s.net/b"]), (205, page, link("x") + refresh("y"), ["http://s.net/a/b/x", "http://s.net/a/b/y"])]
     df = frame(spark, rows, PAGES + ", want array<string>")
-    for r in df.select("page_id", "html", "want", urlrules.linked_urls(df["url"], df["html"]).alias("got")).collect():
+    for r in df.select("page_id", "html", "want", F.coalesce(urlrules.linked_urls(df["url"], urlrules.page_tags(df["html"])), F.array()).alias("got")).collect():
         assert [u.replace("https:", "http:") for u in r["got"]] == [u.replace("https:", "http:") for u in r["want"] or []], r["html"]
 
 
@@ -140,3 +144,11 @@ def test_sql_agrees_where_pages_link(spark, tmp_path):
     names = [d[0] for d in want.description]
     assert sorted(names) == sorted(got.columns)
     assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_long_markup_without_ends_is_linear(spark):
+    pages = [(i, f"http://a.com/{i}", html) for i, html in enumerate(["<link " * 170_000, "<meta " * 170_000, "<link rel=canonical " + "a" * 1_000_000, "<link " * 100_000 + link("http://b.com/x"), "<meta http-equiv=refresh " * 40_000])]
+    df = frame(spark, pages, "page_id long, url string, html string")
+    begun = time.time()
+    got = {r["page_id"]: r["decided_by"] for r in urlrules.judge_urls(df, [("block", "b.com", "/")]).collect()}
+    assert time.time() - begun < 60 and got == {0: "default", 1: "default", 2: "default", 3: "alias", 4: "default"}
