@@ -20,6 +20,7 @@ own; an empty table gives an empty result; a null id stays null. Other columns a
 from __future__ import annotations
 
 import heapq
+import json
 import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
@@ -28,6 +29,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ GROUP_PIECES = 512
 FULL = 1 << 62
 #: Distinct words of a generation whose ids a worker remembers.
 MEMORY_WORDS = 400_000
+#: Bytes of text that are encoded together.
+BATCH_BYTES = 1 << 22
 
 #: White space as the pre-tokenizer sees it (Unicode's White_Space).
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -94,7 +98,7 @@ class WordEncoder:
     tokens spelled out in a text keep their ids, so texts that hold one are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = 0):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -107,6 +111,10 @@ class WordEncoder:
         self.bare = Memo(self._chunk)
         self.marks = {m: self._chunk(m) for m in ".,"}
         self.line_end = self._chunk("\n")
+        self.end = np.array([end_id], dtype="<u4").tobytes()
+        # Texts that go the slower way: with special tokens, or characters that libraries may class differently.
+        self.merges = merge_encoder(path)
+        self.odd = "|".join([f"[^{_SETTLED}]", *map(re.escape, self.special)]) if self.merges else ""
 
     def _token(self, token: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(token)]).tobytes()
@@ -137,50 +145,78 @@ class WordEncoder:
             found += (self.line_end, self.bare[first], *map(spaced, words))
         return b"".join(found[1:])
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, each followed by ``end_id``; how many each has)."""
+        odd = pc.match_substring_regex(texts, self.odd).to_pylist()
+        merged = self.merges
+        parts: list = []
+        for text, apart in zip(texts.to_pylist(), odd):
+            parts += (self.encode(text) if apart else merged.encode_to_tiktoken_buffer(text, _NONE), self.end)
+        sizes = np.fromiter((memoryview(p).nbytes for p in parts), dtype=np.int64, count=len(parts)) // 4
+        return np.frombuffer(b"".join(parts), dtype="<u4"), sizes[0::2] + 1
+
+
+#: How plain byte-level vocabularies cut texts into pre-tokens (a fixed rule).
+_PRE_TOKENS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters whose class is the same in every version of Unicode, as far as the vocabularies' texts go.
+_SETTLED = r"\x00-\x{24F}\x{4E00}-\x{9FA5}"
+_NONE: set[str] = set()
+
+
+def merge_encoder(path: str):
+    """A byte-pair encoder that merges by token id and writes ids into one buffer, for plain byte-level
+    vocabularies whose merges stand in the order of their ids; None for others."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    model, cut_rule = made["model"], made.get("pre_tokenizer") or {}
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+    merged = [model["vocab"][a + b] for a, b in pairs]
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    unused = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if (
+        model["type"] != "BPE" or made.get("normalizer") or {k: cut_rule.get(k, True) for k in plain} != plain
+        or any(model.get(k) for k in unused) or any(x >= y for x, y in zip(merged, merged[1:]))
+    ):
+        return None
+    byte = {letter: b for b, letter in byte_letters().items()}
+    added = {t["content"] for t in made["added_tokens"]}
+    ranks = {bytes(byte[c] for c in token): number for token, number in model["vocab"].items() if token not in added}
+    return tiktoken.Encoding("vocabulary", pat_str=_PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})._core_bpe
+
 
 def token_pieces(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, window: int = WINDOW, max_piece: int = MAX_PIECE
 ) -> DataFrame:
     """(id, start, length, ids, doc_tokens): the pieces of every row; ``ids`` as little-endian 32-bit numbers."""
 
+    def cut_up(rows: pa.RecordBatch, encoder: WordEncoder) -> pa.RecordBatch:
+        ids, totals = encoder.encode_all(pc.fill_null(rows.column(1), ""))
+        full = totals // window
+        number = full + -(-(totals - full * window) // max_piece)
+        owner = np.repeat(np.arange(len(totals)), number)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+        whole = place < full[owner]
+        start = np.where(whole, place * window, full[owner] * window + (place - full[owner]) * max_piece)
+        length = np.where(whole, window, np.minimum(max_piece, totals[owner] - start))
+        # The pieces lie one after the other in the ids, so they are cut by their offsets alone.
+        offsets = np.concatenate(([0], np.cumsum(4 * length))).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids, dtype="<u4"))])
+        made = [rows.column(0).take(pa.array(owner)), pa.array(start), pa.array(length), pieces, pa.array(totals[owner])]
+        return pa.RecordBatch.from_arrays(made, names=["id", "start", "length", "ids", "doc_tokens"])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker(tokenizer, lambda: WordEncoder(tokenizer))  # words are remembered across tasks
-        end = np.array([end_id], dtype="<u4").tobytes()
+        encoder = per_worker(f"{tokenizer} {end_id}", lambda: WordEncoder(tokenizer, end_id))  # words are remembered across tasks
         for batch in batches:
-            owners: list[int] = []
-            starts: list[int] = []
-            pieces: list[bytes] = []
-            totals: list[int] = []
-
-            def flush(batch=batch):
-                return pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(owners, pa.int64())),
-                        pa.array(starts, pa.int64()),
-                        pa.array([len(p) // 4 for p in pieces], pa.int64()),
-                        pa.array(pieces, pa.binary()),
-                        pa.array(totals, pa.int64()),
-                    ],
-                    names=["id", "start", "length", "ids", "doc_tokens"],
-                )
-
-            held = 0
-            for row in range(batch.num_rows):
-                ids = encoder.encode(batch.column(1)[row].as_py() or "") + end
-                total = len(ids) // 4
-                full = total - total % window
-                places = [*range(0, full, window), *range(full, total, max_piece)]
-                for at, to in zip(places, [*places[1:], total]):
-                    owners.append(row)
-                    starts.append(at)
-                    pieces.append(ids[4 * at : 4 * to])
-                    totals.append(total)
-                held += total
-                if held > 1 << 20:
-                    yield flush()
-                    owners, starts, pieces, totals, held = [], [], [], [], 0
-            if owners:
-                yield flush()
+            # Some megabytes of text at once; a longer text goes alone.
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                upto = int(np.searchsorted(size, (size[at - 1] if at else 0) + BATCH_BYTES, side="right"))
+                upto = max(upto, at + 1)
+                yield cut_up(batch.slice(at, upto - at), encoder)
+                at = upto
 
     picked = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
@@ -243,7 +279,8 @@ def pack(pieces: DataFrame, length_col: str = "length", window: int = WINDOW, gr
     full = rows.where(fills).withColumns({"sequence_id": F.lit(FULL) + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
     rests = rows.where(~fills)
     groups = max(1, -(-rests.count() // group_pieces))
-    dealt = rests.withColumn("_tie", F.xxhash64(*keys)).withColumn("_bucket", F.pmod(F.col("_tie"), F.lit(groups)))
+    # Rows that repeat are dealt out like all others: by their place in the files, which a retry finds alike.
+    dealt = rests.withColumn("_tie", F.xxhash64(*keys)).withColumn("_bucket", F.pmod(F.xxhash64("_tie", F.monotonically_increasing_id()), F.lit(groups)))
 
     def place(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         # An order that does not depend on how the rows arrived.

@@ -5,6 +5,7 @@ from itertools import product
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from postlens.llm import packing, queries
@@ -115,3 +116,25 @@ def test_repeats_null_ids_and_clashing_columns(spark):
     out = packing.pack(packing.token_pieces(df, PATH)).collect()
     assert len(out) == 3 and len(sequences(out)) == 1
     assert packing.pack(packing.token_pieces(frame(spark, [], DOCS), PATH)).count() == 0
+
+
+def test_both_ways_of_encoding_equal_the_tokenizer():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    encoder, tokenizer = packing.WordEncoder(PATH), Tokenizer.from_file(PATH)
+    assert encoder.merges is not None
+    pool = [*map(chr, range(0x250)), *map(chr, range(0x4E00, 0x4E20)), *" \n\t'sdmtlverai  " * 20]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(0, 40))) for _ in range(3000)] + [t or "" for t in ODD]
+    texts += ["а б", "x y", "<|endoftext|> a", "\U0001f600 ͸"]
+    for merges, odd in ((encoder.merges, encoder.odd), (None, "")):
+        encoder.merges, encoder.odd = merges, odd
+        ids, totals = encoder.encode_all(pa.array(texts))
+        assert [p.tolist() for p in np.split(ids, np.cumsum(totals)[:-1])] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_rows_that_repeat_are_dealt_to_many_groups(spark):
+    pieces = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(100).cast("long").alias("length"))
+    out = packing.pack(pieces)
+    per = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.countDistinct("offset").alias("d"), F.count("offset").alias("c")).where("n > 1024 or d <> c")
+    assert out.count() == 100_000 and per.count() == 0 and out.select("sequence_id").distinct().count() < 10_200
