@@ -48,6 +48,8 @@ SCALE = 1_000_000_000
 TOP_TERMS = 10
 #: Terms that a task counts before it hands them on.
 HELD_TERMS = 1 << 19
+HELD_TEXTS = 1 << 20
+_BITS = 42  # bits of a task's count of occurrences; HELD_TEXTS fits above them
 #: Sources whose pairs a task adds up before it hands them on; pairs of wider paths go straight on.
 HELD_SOURCES = 1024
 #: Pairs that are worked on together.
@@ -60,34 +62,33 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents with the term."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple, tuple[Counter, Counter]] = {}
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            langs, sources, terms, n, docs = [], [], [], [], []
-            for (lang, source), (uses, holders) in found.items():
-                langs += [lang] * len(uses)
-                sources += [source] * len(uses)
-                terms += uses.keys()
-                n += uses.values()
-                docs += map(holders.__getitem__, uses)
+        found: dict[tuple, dict[bytes, int]] = {}  # occurrences, and documents above the lower _BITS bits
+        held = texts_read = 0
+
+        def flush() -> list[pa.RecordBatch]:
+            parts = []
+            for (lang, source), uses in found.items():
+                number = np.fromiter(uses.values(), dtype=np.int64, count=len(uses))
+                terms = pa.array(list(uses), pa.binary()).cast(pa.string())
+                made = [pa.repeat(pa.scalar(lang, pa.string()), len(uses)), pa.repeat(pa.scalar(source, pa.string()), len(uses)), terms, pa.array(number & ((1 << _BITS) - 1)), pa.array(number >> _BITS)]
+                parts.append(pa.RecordBatch.from_arrays(made, names=["lang", "source", "term", "n", "docs"]))
             found.clear()
-            made = [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
-            return pa.RecordBatch.from_arrays(made, names=["lang", "source", "term", "n", "docs"])
+            return parts
 
         for batch in batches:
             texts = batch.column(2).cast(pa.binary())
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-                uses, holders = found.setdefault((lang, source), (Counter(), Counter()))
-                terms = text.as_py().translate(_TERM_BYTES).split()
+                uses = found.setdefault((lang, source), {})
                 held -= len(uses)
-                uses.update(terms)
-                holders.update(set(terms))
+                # A text's own table is small; each of its terms meets the large one once.
+                for term, n in Counter(text.as_py().translate(_TERM_BYTES).split()).items():
+                    uses[term] = uses.get(term, 0) + n + (1 << _BITS)
                 held += len(uses)
-                if held > HELD_TERMS:
-                    yield flush()
-                    held = 0
-        yield flush()
+                texts_read += 1
+                if held > HELD_TERMS or texts_read >= HELD_TEXTS:
+                    yield from flush()
+                    held = texts_read = 0
+        yield from flush()
 
     rows = docs.select("lang", "source", "text").mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
