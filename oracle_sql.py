@@ -458,6 +458,12 @@ def queries() -> dict[str, str]:
     q["common_members"] = """
     SELECT c_mktsegment AS a, o_orderstatus AS b, CAST(o_orderkey AS VARCHAR) AS owner
     FROM orders JOIN customer ON o_custkey = c_custkey"""
+    q["frequent_supplier_pairs"] = """
+    WITH l AS (SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS m, o_custkey AS o FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT x.m AS a, y.m AS b, CAST(count(*) AS BIGINT) AS n FROM l x JOIN l y ON x.o = y.o AND x.m < y.m GROUP BY ALL HAVING count(*) >= 40"""
+    q["co_purchased_parts"] = """
+    WITH l AS (SELECT DISTINCT CAST(l_partkey AS BIGINT) AS m, l_orderkey AS o FROM lineitem)
+    SELECT x.m AS a, y.m AS b, CAST(count(*) AS BIGINT) AS n FROM l x JOIN l y ON x.o = y.o AND x.m < y.m GROUP BY ALL HAVING count(*) >= 2"""
 
     stream = stream_ctes()
     total = "SELECT metric, dim, key, CAST(count(*) AS BIGINT) AS n FROM srows WHERE metric = '{m}' GROUP BY metric, dim, key"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens import fs, schema
 from postlens.functions.parse import gate, postings
-from postlens.operators import automaton, dimensions, intervals, pairs, salary, segment, skills, store
+from postlens.operators import automaton, dimensions, frequent, intervals, pairs, salary, segment, skills, store
 from postlens.plans import jobs, report
 from postlens.session import scratch_path
 from postlens.sources.fixture import posting_lines, table
@@ -315,6 +315,25 @@ def q_common_members(spark, sf_dir):
     return pairs.common_owner_rows(pairs.member_lists(lists), wanted, ordered=True, salt=4)
 
 
+#: Least numbers of lists of the two queries of frequent pairs.
+SUPPLIER_SUPPORT, PART_SUPPORT = 40, 2
+
+
+def q_frequent_supplier_pairs(spark, sf_dir):
+    """Pairs of suppliers that at least ``SUPPLIER_SUPPORT`` customers both bought from: long lists of members."""
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey"])
+    orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    index = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_suppkey").cast("bigint").alias("member"), F.col("o_custkey").alias("owner"))
+    return frequent.frequent_pairs(index, SUPPLIER_SUPPORT)
+
+
+def q_co_purchased_parts(spark, sf_dir):
+    """Pairs of parts that at least ``PART_SUPPORT`` orders hold both: short lists, most pairs in one only."""
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
+    index = li.select(F.col("l_partkey").cast("bigint").alias("member"), F.col("l_orderkey").alias("owner"))
+    return frequent.frequent_pairs(index, PART_SUPPORT)
+
+
 STREAM_BATCHES = 3
 STREAM_JOB = "job"
 
@@ -442,6 +461,8 @@ def registered() -> dict[str, Query]:
         "result_store_keys": q_result_store_keys,
         "common_owner_lookup": q_common_owner_lookup,
         "common_members": q_common_members,
+        "frequent_supplier_pairs": q_frequent_supplier_pairs,
+        "co_purchased_parts": q_co_purchased_parts,
         "stream_salary_floor": q_stream_salary_floor,
         "stream_salary_ceil": q_stream_salary_ceil,
         "stream_skill_counts": q_stream_skill_counts,
