@@ -475,6 +475,7 @@ def queries() -> dict[str, str]:
     q["stream_report_json"] = _with(*stream, *stream_json_ctes("job")) + "SELECT key, value FROM docs"
 
     q["stream_json_store"] = q["stream_report_json"]
+    q["stream_json_incremental"] = q["stream_report_json"]
     q["stream_state_rebuild"] = q["stream_report"]
     named = f"CASE metric WHEN 'salary_floor' THEN '{schema.SECTION_SALARY_FLOOR}' WHEN 'salary_ceiling' THEN '{schema.SECTION_SALARY_CEILING}' WHEN 'skills' THEN '{schema.SECTION_SKILLS}' ELSE '{schema.SECTION_OTHER}' END"
     q["stream_documents_read"] = _with(*stream) + f"SELECT 'job' AS job, {named} AS section, dim, key, CAST(count(*) AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS broken FROM srows GROUP BY ALL"

@@ -29,19 +29,32 @@ def nested_map(key: Column | str, value: Column | str) -> Column:
     return F.map_from_entries(by_key)
 
 
-def chunked(counted: DataFrame, groups: Sequence[str], key: str, entries: int = CHUNK_ENTRIES) -> DataFrame:
+def chunked(counted: DataFrame, groups: Sequence[str], key: str, entries: int = CHUNK_ENTRIES, doubling: bool = False) -> DataFrame:
     """``counted`` with ``chunk``: the number of the document that a row's entry goes to.
 
     Rows are one per group and key. A group of up to ``entries`` keys is all chunk 0; a larger one
     is dealt by key hash into as many chunks as hold ``entries`` keys each, so that no document,
-    and no task that builds one, grows with the number of distinct keys.
+    and no task that builds one, grows with the number of distinct keys. ``doubling``: into the next
+    power of two of chunks (:func:`doubled`), for documents that are kept up while their groups grow.
     """
     # Groups may be constants; tied to the key column they stay the keys of an equi-join.
     none = F.substring(key, 1, 0)
     rows = counted.withColumns({g: F.concat(F.col(g), none) for g in groups})
     sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_keys"))
     number = F.ceil(F.col("_keys") / entries).cast("bigint")
-    return rows.join(sizes, list(groups)).withColumn("chunk", F.pmod(F.xxhash64(key), number)).drop("_keys")
+    if doubling:
+        bits = F.when(number > 1, F.length(F.bin(number - 1))).otherwise(0)
+        number = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+    return rows.join(sizes, list(groups)).withColumn("chunk", chunk_of(key, number)).drop("_keys")
+
+
+def doubled(keys: int, entries: int = CHUNK_ENTRIES) -> int:
+    """Chunks of a group of that many keys with ``doubling``: they change only once the group has doubled."""
+    return 1 << max(0, -(-keys // entries) - 1).bit_length()
+
+
+def chunk_of(key: Column | str, chunks: Column) -> Column:
+    return F.pmod(F.xxhash64(key), chunks)
 
 
 def chunk_name(name: Column, chunk: Column | str = "chunk") -> Column:

@@ -400,6 +400,14 @@ def q_stream_json_store(spark, sf_dir):
     return stream_report.stored(spark, json_store).select(F.col("row_key").alias("key"), "value")
 
 
+def q_stream_json_incremental(spark, sf_dir):
+    """The documents kept up in update mode: each batch reads and writes those that its cells change."""
+    folder = write_lines(posting_lines(spark, sf_dir), scratch_path(spark, "stream-input"))
+    json_store = scratch_path(spark, "stream-json")
+    drain(spark, folder, scratch_path(spark, "stream-store"), scratch_path(spark, "stream-ckpt"), json_store=json_store, job=STREAM_JOB, output_mode="update")
+    return stream_report.stored_documents(spark, json_store)
+
+
 def q_stream_salary_floor(spark, sf_dir):
     return run_stream(spark, sf_dir, [stream_report.SALARY_FLOOR])
 
@@ -472,5 +480,6 @@ def registered() -> dict[str, Query]:
         "stream_state_rebuild": q_stream_state_rebuild,
         "stream_documents_read": q_stream_documents_read,
         "stream_json_store": q_stream_json_store,
+        "stream_json_incremental": q_stream_json_incremental,
         "stream_restart": q_stream_restart,
     }
