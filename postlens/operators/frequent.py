@@ -50,13 +50,13 @@ def _numbered(index: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
 
 def _met_blocks(listings: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """``left, right, same``: lists of members whose pairs are the pairs of the lists, each once."""
-    parts = F.ceil(F.col("size") / block).cast("int")
-    dealt = listings.join(sizes.select("owner", parts.alias("parts")), "owner").withColumn("part", F.pmod(F.xxhash64("number"), F.col("parts")).cast("int"))
-    blocks = _written(dealt.groupBy("owner", "parts", "part").agg(F.collect_list("number").alias("members")), "pair-blocks")
+    pieces = F.ceil(F.col("size") / block).cast("int")
+    dealt = listings.join(sizes.select("owner", pieces.alias("pieces")), "owner").withColumn("part", F.pmod(F.xxhash64("number"), F.col("pieces")).cast("int"))
+    blocks = _written(dealt.groupBy("owner", "pieces", "part").agg(F.collect_list("number").alias("members")), "pair-blocks")
     within = blocks.select(F.col("members").alias("left"), F.col("members").alias("right"), F.lit(True).alias("same"))
     # Block i of a list goes to the cells (i, j) and (j, i) of the list's other blocks j: one row for each of two blocks.
-    cut = blocks.where("parts > 1")
-    low = cut.where("part < parts - 1").select("owner", F.col("part").alias("i"), F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("j"), F.col("members").alias("left"))
+    cut = blocks.where("pieces > 1")
+    low = cut.where("part < pieces - 1").select("owner", F.col("part").alias("i"), F.explode(F.expr("sequence(part + 1, pieces - 1)")).alias("j"), F.col("members").alias("left"))
     high = cut.where("part > 0").select("owner", F.explode(F.expr("sequence(0, part - 1)")).alias("i"), F.col("part").alias("j"), F.col("members").alias("right"))
     return within.unionByName(low.join(high, ["owner", "i", "j"]).select("left", "right", F.lit(False).alias("same")))
 
