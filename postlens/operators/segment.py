@@ -29,6 +29,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -49,6 +50,8 @@ MIN_FREEDOM = 500
 #: What a lexicon may hold to be sent to the tasks.
 MAX_WORDS = 1_000_000
 MAX_BYTES = 32 << 20
+#: Characters whose windows a task counts at once (some 150 MB).
+CHUNK = 1 << 21
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -65,12 +68,78 @@ def _thousandths(x: Column) -> Column:
     return F.round(x * 1000).cast("bigint")
 
 
+def _window_counts(runs: Sequence[str], owned: Sequence[int], weights: np.ndarray, longest: int) -> tuple[list[str], np.ndarray]:
+    """The distinct windows of the runs with their sums of weights: one window of ``longest`` characters (or up to the
+    run's end) from each of the first ``owned`` places of a run."""
+    text = "".join(runs)
+    sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    present = np.zeros(0x110000, np.bool_)
+    present[points] = True
+    dense = np.cumsum(present)[points]  # from 1; 0 stands for the place after a run
+    base = int(present.sum()) + 1
+    room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))  # characters up to the run's end
+    code, top = dense.copy(), base
+    for k in range(1, longest):
+        if top * base >= 1 << 63:
+            code = np.unique(code, return_inverse=True)[1].reshape(-1).astype(np.int64)
+            top = int(code.max()) + 1
+        code *= base
+        code[: len(points) - k] += np.where(room[: len(points) - k] > k, dense[k:], 0)
+        top *= base
+    weight = np.repeat(weights, sizes)
+    if sum(owned) < len(points):  # the rest of a cut run's part begins no window
+        place = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        begin = np.flatnonzero(place < np.repeat(np.array(owned, np.int64), sizes))
+    else:
+        begin = np.arange(len(points))
+    code, weight = code[begin], weight[begin]
+    order = np.argsort(code)
+    code = code[order]
+    begins = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+    sums = np.add.reduceat(weight[order], begins)
+    first = begin[order[begins]]
+    return [text[a:b] for a, b in zip(first.tolist(), (first + np.minimum(room[first], longest)).tolist())], sums
+
+
+def _windows(runs: DataFrame, longest: int) -> DataFrame:
+    """``gram, n`` — :func:`_window_counts` of every ``CHUNK`` characters of ``run, n`` rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[pa.RecordBatch]:
+            grams, sums = _window_counts(held, owned, np.array(weights, np.int64), longest)
+            for at in range(0, len(grams), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(grams[at : at + (1 << 16)], pa.string()), pa.array(sums[at : at + (1 << 16)])], names=["gram", "n"])
+
+        held, owned, weights, size = [], [], [], 0
+        for batch in batches:
+            for run, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                # A run beyond a chunk is cut into parts that begin with windows of their own and overlap by the rest of the last.
+                for at in range(0, len(run), CHUNK):
+                    part = run[at : at + CHUNK + longest - 1]
+                    held.append(part)
+                    owned.append(min(CHUNK, len(run) - at))
+                    weights.append(n)
+                    size += len(part)
+                    if size >= CHUNK:
+                        yield from found()
+                        held, owned, weights, size = [], [], [], 0
+        if size:
+            yield from found()
+
+    return runs.select("run", "n").mapInArrow(count, "gram string, n bigint")
+
+
 def ngram_counts(runs: DataFrame, longest: int) -> DataFrame:
-    """``gram, n`` — the n-grams of 1 to ``longest`` characters that occur at least twice in ``run, n`` rows."""
-    at = runs.select("run", "n", F.explode(F.sequence(F.lit(1), F.char_length("run"))).alias("at"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("run") - F.col("at") + 1))
-    grams = at.select("n", F.explode(F.transform(lengths, lambda k: F.substr(F.col("run"), F.col("at"), k))).alias("gram"))
-    return grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+    """``gram, n`` — the n-grams of 1 to ``longest`` characters that occur at least twice in ``run, n`` rows.
+
+    Every place of a run has one window of ``longest`` characters (fewer at its end). Windows are counted first,
+    by numpy within the tasks, then over all tasks; an n-gram occurs as often as the windows that begin with it.
+    """
+    places = _windows(runs.where((F.char_length("run") > 0) & F.col("n").isNotNull()), longest).groupBy("gram").agg(F.sum("n").alias("n"))
+    grams = places.select("n", F.explode(F.sequence(F.lit(1), F.char_length("gram"))).alias("size"), F.col("gram").alias("window"))
+    counted = grams.groupBy(F.substr("window", F.lit(1), F.col("size")).alias("gram")).agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") > 1)
 
 
 def characters(runs: DataFrame) -> DataFrame:

@@ -116,3 +116,17 @@ def test_word_count_job_cuts_han_runs(spark, tmp_path):
     (tmp_path / "own.dic").write_text("数据挖掘\n熟悉\n")
     jobs.word_count_job(spark, str(tmp_path / "in.txt"), str(tmp_path / "out"), segmented=True, dictionary_path=str(tmp_path / "own.dic"))
     assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()) == ["(java,2)", "(数据挖掘,2)", "(熟悉,2)"]
+
+
+def test_one_window_a_place_in_chunks_of_any_size(spark, monkeypatch):
+    runs = [*random_runs(random.Random(8), 60), "天地玄黄宇宙洪荒" * 9, "\U00020000天\U00020000天"]
+    df = runs_frame(spark, runs).coalesce(1)
+    want = Counter(run[at : at + k] for run in runs for k in range(1, 7) for at in range(len(run) - k + 1))
+    for chunk in (5, 64, 1 << 21):  # runs beyond a chunk are cut
+        monkeypatch.setattr(segment, "CHUNK", chunk)
+        assert segment._windows(df, 6).groupBy().sum("n").first()[0] == sum(map(len, runs))
+        got = {r["gram"]: r["n"] for r in segment.ngram_counts(df, 6).collect()}
+        assert got == {g: n for g, n in want.items() if n > 1}
+    many = ["".join(map(chr, range(0x4E00, 0x4E00 + 20000))) + "天地天地"] * 2  # too many characters for one code a window
+    got = {r["gram"]: r["n"] for r in segment.ngram_counts(runs_frame(spark, many), 6).collect()}
+    assert got == {g: n for g, n in Counter(run[at : at + k] for run in many for k in range(1, 7) for at in range(len(run) - k + 1)).items() if n > 1}
