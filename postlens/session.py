@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -79,3 +79,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         fs.mkdirs(target)  # only a folder that exists can be listed for removal
         fs.deleteOnExit(target)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

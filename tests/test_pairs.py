@@ -2,6 +2,7 @@
 
 import random
 
+from postlens.operators import pairs
 from postlens.operators.pairs import common_owner_rows, member_lists, pair_counts
 
 
@@ -90,3 +91,21 @@ def test_salted_lookup_equals_unsalted_with_a_hot_member(spark):
     plain = sorted(map(tuple, common_owner_rows(lists_df, pairs).collect()))
     salted = sorted(map(tuple, common_owner_rows(lists_df, pairs, salt=8).collect()))
     assert plain == salted and len({r[:2] for r in plain}) == 11
+
+
+def test_pairs_of_hot_members_make_no_more_candidates_than_short_lists_hold(spark, monkeypatch):
+    lists = [f"o{i:03d} A B" if i % 2 else f"o{i:03d} {'A' if i % 4 else 'B'} m{i % 7}" for i in range(400)]
+    lists += [f"long{i} " + " ".join(["A", *(f"x{k}" for k in range(6)), "B"][:: 1 if i % 2 else -1]) for i in range(9)]
+    df = member_lists(spark.createDataFrame([(x,) for x in lists], "value string"))
+    asked = spark.createDataFrame([("A", "B"), ("B", "x3"), ("m1", "A"), ("A", "A"), (None, "A")], "a string, b string")
+    index = pairs.membership(df)
+    seen, before = [], pairs._owners_of_long
+    monkeypatch.setattr(pairs, "_owners_of_long", lambda i, *rest: seen.append(i.select("owner").distinct().count()) or before(i, *rest))
+    for ordered in (True, False):
+        want = {}
+        for p in (("A", "B"), ("B", "x3"), ("m1", "A"), ("A", "A")):
+            holds = {o for o, *ms in map(str.split, lists) if set(p) <= set(ms) and (not ordered or ms.index(p[0]) < ms.index(p[1]))}
+            want |= {p: holds} if holds else {}
+        for block in (1, 4, 256):
+            assert answer(pairs.owners_for_pairs(index, asked, ordered, 2, block)) == want
+    assert seen == [409, 9, 409, 9]  # only lists beyond the block are asked for candidates
