@@ -12,7 +12,8 @@ three exact steps keep pairs that can't reach the support from being made, or ma
    of buckets that reach the need are counted themselves, and are the candidates if they reach it too.
 
 Both counts aggregate within the tasks before they shuffle: the first shuffles no more than ``buckets`` rows
-a task, the second distinct pairs of the kept buckets. A list beyond ``block`` members is cut into
+a task, the second, by numpy for a few million pairs at once, distinct pairs. The first is left out if there
+are so many pairs that the mean bucket reaches the need twice over. A list beyond ``block`` members is cut into
 blocks by member hash, and every two blocks meet in a row of their own, so the pairs of one list are spread
 over all tasks and none holds more than two blocks of it at once. Members are numbered first (the numbers
 written, so that a repeated task reads the same ones). The kept buckets are broadcast: at most ``buckets``
@@ -25,34 +26,39 @@ Results for odd input: NULL members or owners and repeated rows of the index are
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.session import scratch_path
+from postlens.session import written
+
+# Tasks get these functions with the job, so executors need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 256
 BUCKETS = 1 << 20
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Pairs that a task makes at once (some 150 MB).
+CHUNK = 1 << 22
 
 
 def _numbered(index: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
     """(``member, number`` of the members that are frequent, ``number, owner`` of their listings)."""
-    listed = _written(index.select("member", "owner").where("member IS NOT NULL AND owner IS NOT NULL").distinct(), "pair-index")
+    listed = written(index.select("member", "owner").where("member IS NOT NULL AND owner IS NOT NULL").distinct(), "pair-index")
     often = listed.groupBy("member").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
-    members = _written(often.select("member", F.monotonically_increasing_id().alias("number")), "pair-members")
-    return members, _written(listed.join(members, "member").select("number", "owner"), "pair-listings")
+    members = written(often.select("member", F.monotonically_increasing_id().alias("number")), "pair-members")
+    return members, written(listed.join(members, "member").select("number", "owner"), "pair-listings")
 
 
 def _met_blocks(listings: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """``left, right, same``: lists of members whose pairs are the pairs of the lists, each once."""
     pieces = F.ceil(F.col("size") / block).cast("int")
     dealt = listings.join(sizes.select("owner", pieces.alias("pieces")), "owner").withColumn("part", F.pmod(F.xxhash64("number"), F.col("pieces")).cast("int"))
-    blocks = _written(dealt.groupBy("owner", "pieces", "part").agg(F.collect_list("number").alias("members")), "pair-blocks")
+    blocks = written(dealt.groupBy("owner", "pieces", "part").agg(F.collect_list("number").alias("members")), "pair-blocks")
     within = blocks.select(F.col("members").alias("left"), F.col("members").alias("right"), F.lit(True).alias("same"))
     # Block i of a list goes to the cells (i, j) and (j, i) of the list's other blocks j: one row for each of two blocks.
     cut = blocks.where("pieces > 1")
@@ -67,6 +73,58 @@ def _pairs(met: DataFrame) -> DataFrame:
     return made.where("NOT same OR l < r").select(F.least("l", "r").alias("x"), F.greatest("l", "r").alias("y"))
 
 
+def _chunk_pairs(lefts: Sequence[np.ndarray], rights: Sequence[np.ndarray | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``x, y, n``: the distinct pairs ``x < y`` of the lists (``right`` None: within one) with their occurrences."""
+    names, dense = np.unique(np.concatenate([*lefts, *(r for r in rights if r is not None)]), return_inverse=True)
+    dense, width, at = dense.reshape(-1).astype(np.int64), len(names), 0
+    numbers = []
+    for held in (*lefts, *(r for r in rights if r is not None)):
+        numbers.append(dense[at : at + len(held)])
+        at += len(held)
+    others, codes = iter(numbers[len(lefts) :]), []
+    for mine, right in zip(numbers, rights):
+        if right is None:
+            mine = np.sort(mine)
+            low, high = np.triu_indices(len(mine), 1)
+            codes.append(mine[low] * width + mine[high])
+        else:
+            l, r = mine[:, None], next(others)[None, :]
+            codes.append((np.minimum(l, r) * width + np.maximum(l, r)).reshape(-1))
+    code = np.concatenate(codes)
+    if width * width <= max(1 << 16, 4 * len(code)):
+        times = np.bincount(code, minlength=1)
+        code = np.flatnonzero(times)
+        times = times[code]
+    else:
+        code, times = np.unique(code, return_counts=True)
+    return names[code // width], names[code % width], times
+
+
+def _pair_counts(met: DataFrame) -> DataFrame:
+    """``x, y, n`` with ``x < y``: the pairs of the lists, counted in the tasks for every ``CHUNK`` of them (no row
+    for each occurrence; a pair has a row for each chunk that it occurs in)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[pa.RecordBatch]:
+            columns = _chunk_pairs(lefts, rights)
+            for at in range(0, len(columns[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)], pa.int64()) for c in columns], names=["x", "y", "n"])
+
+        lefts, rights, size = [], [], 0
+        for batch in batches:
+            for left, right, same in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
+                lefts.append(left.values.to_numpy())
+                rights.append(None if same else right.values.to_numpy())
+                size += len(lefts[-1]) * (len(lefts[-1]) - 1) // 2 if same else len(lefts[-1]) * len(rights[-1])
+                if size >= CHUNK:
+                    yield from found()
+                    lefts, rights, size = [], [], 0
+        if size:
+            yield from found()
+
+    return met.select("left", "right", "same").mapInArrow(count, "x bigint, y bigint, n bigint")
+
+
 def frequent_pairs(index: DataFrame, support: int, block: int = BLOCK, buckets: int = BUCKETS) -> DataFrame:
     """``a, b, n``: the pairs ``a < b`` of members that ``n >= support`` owners list.
 
@@ -74,17 +132,20 @@ def frequent_pairs(index: DataFrame, support: int, block: int = BLOCK, buckets:
     """
     support = max(1, int(support))
     members, listings = _numbered(index, support)
-    sizes = _written(listings.groupBy("owner").agg(F.count(F.lit(1)).alias("size")), "pair-sizes")
+    sizes = written(listings.groupBy("owner").agg(F.count(F.lit(1)).alias("size")), "pair-sizes")
     aside = support // 2
-    hot = _written(sizes.where(F.col("size") > block).orderBy(F.desc("size"), "owner").limit(aside).select("owner"), "pair-hot")
+    hot = written(sizes.where(F.col("size") > block).orderBy(F.desc("size"), "owner").limit(aside).select("owner"), "pair-hot")
     need = support - hot.count()  # at most support // 2 rows were kept
     others = listings.join(hot, "owner", "left_anti")
-    met = _written(_met_blocks(others, sizes, block), "pair-met")
+    met = written(_met_blocks(others, sizes, block), "pair-met")
     bucket = F.pmod(F.xxhash64("x", "y"), F.lit(buckets)).alias("bucket")
-    full = _pairs(met).groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= need).select("bucket")
-    full = _written(full, "pair-buckets")
-    reach = _pairs(met).withColumn("bucket", bucket).join(F.broadcast(full), "bucket", "left_semi")
-    candidates = _written(reach.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= need), "pair-candidates")
+    reach = _pair_counts(met)
+    size = F.col("size").cast("double")
+    made = others.groupBy("owner").agg(F.count(F.lit(1)).alias("size")).agg(F.sum(size * (size - 1) / 2).alias("made")).first()["made"] or 0
+    if made < 2.0 * need * buckets:  # else the mean bucket reaches the need twice over, and hardly one would go
+        full = _pairs(met).groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= need).select("bucket")
+        reach = reach.withColumn("bucket", bucket).join(F.broadcast(written(full, "pair-buckets")), "bucket", "left_semi")
+    candidates = written(reach.groupBy("x", "y").agg(F.sum("n").alias("n")).where(F.col("n") >= need), "pair-candidates")
     # The lists set aside: each candidate's lists with x, of which those with y too stay.
     held = listings.join(hot, "owner", "left_semi")
     first = candidates.select("x", "y").join(held.select(F.col("number").alias("x"), "owner"), "x")

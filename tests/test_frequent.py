@@ -66,3 +66,10 @@ def test_pairs_of_hot_lists_are_never_made(spark, lists):
     ordinary = [(o, ms) for o, ms in lists if not o.startswith("hot")]
     often = {m for m, n in Counter(m for _, ms in lists for m in set(ms)).items() if n >= support}
     assert seen[0] == sum(len(list(combinations(set(ms) & often, 2))) for _, ms in ordinary)
+
+
+def test_pairs_are_counted_in_the_tasks(spark, lists, monkeypatch):
+    monkeypatch.setattr(frequent, "_pairs", lambda met: pytest.fail("a row for each pair was made"))
+    for block, chunk in ((7, 50), (256, 1 << 22)):
+        monkeypatch.setattr(frequent, "CHUNK", chunk)
+        assert answer(frequent.frequent_pairs(indexed(spark, lists), 3, block, buckets=64)) == brute_force(lists, 3)
