@@ -19,6 +19,7 @@ from postlens.functions.text import keyword_tokens
 from postlens.operators import store
 from postlens.operators.skills import Needs, broadcastable, dictionary_needs
 from postlens.plans.cells import explode_cells, keep_dictionary_counts, keep_dictionary_tokens, with_bucket_labels
+from postlens.session import written
 
 
 def skill_section(dictionary_name: str = schema.DEFAULT_DICTIONARY_NAME) -> str:
@@ -77,11 +78,12 @@ def json_cells(counted: DataFrame, row_key: str | Column, qualifier: str, key: s
     """Cells ``(row_key, 'info', qualifier, json, version)`` of ``qualifier, key, n`` counts.
 
     A qualifier with more keys than a document holds has further cells ``<qualifier>#1``, ...
-    (see :func:`chunked`), so a cell is bounded however many addresses or words there are.
+    (see :func:`chunked`), so a cell is bounded however many addresses or words there are. The counts are
+    written first: the chunks need them twice, and the postings behind them are to be read once.
     """
     rk = F.lit(row_key) if isinstance(row_key, str) else row_key
     groups = ["_rk", "_q"]
-    rows = counted.select(rk.alias("_rk"), F.col(qualifier).alias("_q"), F.col(key).alias("_k"), "n")
+    rows = written(counted.select(rk.alias("_rk"), F.col(qualifier).alias("_q"), F.col(key).alias("_k"), "n"), "report-counts")
     docs = chunked(rows, groups, "_k").groupBy(*groups, "chunk").agg(json_object("_k", "n").alias("value"))
     return store.as_cells(docs, "_rk", F.lit(schema.STORE_FAMILY), chunk_name(F.col("_q")), "value", F.lit(version))
 

@@ -100,3 +100,16 @@ def test_file_keys_are_decoded_and_apart(spark, tmp_path):
     assert got == {name}
     assert {r["source"] for r in read_lines(spark, f"{root}/*", source="file").collect()} == {f"one/{name}", f"two/{name}"}
     assert {r["source"] for r in read_lines(spark, f"{root}/one", source="path").collect()} == {"one"}
+
+
+def test_cells_read_the_postings_once(spark):
+    from pyspark.sql import functions as F
+
+    from postlens.plans import report
+
+    read = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: read.add(1) or x, "string").asNondeterministic()
+    counted = spark.range(0, 40, 1, 2).select(F.lit("s").alias("section"), seen((F.col("id") % 5).cast("string")).alias("key")).groupBy("section", "key").count().withColumnRenamed("count", "n")
+    cells = report.report_cells(counted, "row").collect()
+    assert [r["value"] for r in cells] == ['{"0":8,"1":8,"2":8,"3":8,"4":8}']
+    assert read.value == 40
