@@ -80,7 +80,7 @@ def _window_counts(runs: Sequence[str], owned: Sequence[int], weights: np.ndarra
     base = int(present.sum()) + 1
     room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))  # characters up to the run's end
     code, top = dense.copy(), base
-    for k in range(1, longest):
+    for k in range(1, min(longest, len(points))):
         if top * base >= 1 << 63:
             code = np.unique(code, return_inverse=True)[1].reshape(-1).astype(np.int64)
             top = int(code.max()) + 1
