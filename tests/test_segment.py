@@ -4,6 +4,8 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
+
 from postlens.operators import segment
 from postlens.plans import jobs
 from postlens.sources.text import keyword_dictionary
@@ -130,3 +132,34 @@ def test_one_window_a_place_in_chunks_of_any_size(spark, monkeypatch):
     many = ["".join(map(chr, range(0x4E00, 0x4E00 + 20000))) + "天地天地"] * 2  # too many characters for one code a window
     got = {r["gram"]: r["n"] for r in segment.ngram_counts(runs_frame(spark, many), 6).collect()}
     assert got == {g: n for g, n in Counter(run[at : at + k] for run in many for k in range(1, 7) for at in range(len(run) - k + 1)).items() if n > 1}
+
+
+def test_many_runs_are_cut_at_once_as_each_alone(spark, monkeypatch):
+    rng = random.Random(9)
+    letters = HAN[:5] + "\U00020000"
+    for longest in (1, 2, 4, 7):
+        costs = {"".join(rng.choice(letters) for _ in range(rng.randrange(1, longest + 2))): rng.randrange(0, 9) for _ in range(40)}
+        runs = ["".join(rng.choice(letters + "X") for _ in range(rng.choice([0, 1, 2, 9, 40, 300]))) for _ in range(200)]
+        want = [segment.best_words(run, costs, 6, longest) for run in runs]
+        for table, few, chunk in ((1 << 20, 16, 1 << 21), (0, 1, 50), (1 << 20, 1000, 400)):  # keys searched, pieces one by one, groups of rows
+            monkeypatch.setattr(segment.Lattice, "TABLE", table)
+            monkeypatch.setattr(segment.Lattice, "FEW", few)
+            monkeypatch.setattr(segment, "CHUNK", chunk)
+            lattice = segment.Lattice.of(vars(segment.Lattice(costs, 6, longest)))
+            column = pa.array(["前", *runs], pa.string())[1:]  # a column that begins within its buffers
+            assert [words for _, _, found in segment._cut(column, lattice) for words in found.to_pylist()] == want
+
+
+def test_counted_words_are_those_of_the_cut_runs(spark, monkeypatch):
+    runs = [*random_runs(random.Random(10), 300), "天地" * 500 + "丁", "丙"]
+    df = runs_frame(spark, runs)
+    lexicon = segment.learn(df, min_count=3)
+    want = Counter(w for _, n, words in segment.segmented(df, lexicon).collect() for w in words for _ in range(n))
+    for most in (segment.MAX_BYTES, 10):  # sent and joined
+        monkeypatch.setattr(segment, "MAX_BYTES", most)
+        got = Counter()
+        for r in segment.segmented(df, lexicon, counted=True).collect():
+            got[r["token"]] += r["n"]
+        assert got == want and {"丁", "丙"} <= set(got)
+    monkeypatch.undo()
+    assert "Generate" not in plan_text(segment.segmented(df, lexicon, counted=True))  # no row for each word of a run
