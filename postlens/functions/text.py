@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 LETTERS = r"[a-z]+"
 NUMBER = r"[0-9]+(?:[,.]+[0-9]+)*"
 MIXED = r"[a-z0-9]+(?:[#&+\-.@_]+[a-z0-9]+)*"
+#: What a text with numbers or mixed runs holds; other texts are searched for letter runs only.
+NOT_ONLY_LETTERS = r"[0-9]|[a-z][#&+\-.@_]+[a-z]"
 PLAIN_LETTERS = r"^[a-z]+\z"
 PLAIN_NUMBER = r"^[0-9]+(?:[.]+[0-9]+)*\z"
 HAN_RUN = r"\p{IsHan}+"
@@ -74,24 +76,14 @@ def ascii_tokens(text: Column | str) -> Column:
     """Letter runs, numbers and mixed runs of ``lower(text)`` (see the module note)."""
     t = F.lower(_col(text))
     mixed = F.filter(extract_all(t, MIXED), lambda w: ~w.rlike(PLAIN_LETTERS) & ~w.rlike(PLAIN_NUMBER))
-    return F.concat(extract_all(t, LETTERS), extract_all(t, NUMBER), mixed)
-
-
-def _grams_of_length(n: int):
-    """Lambda for ``transform``: the substrings of length ``n`` of one run (one argument only —
-    a two-argument Python lambda would be taken as the (element, index) form)."""
-
-    def grams(run: Column) -> Column:
-        subs = F.transform(F.sequence(F.lit(1), F.length(run)), lambda i: F.substr(run, i, F.lit(n)))
-        return F.filter(subs, lambda g: F.length(g) == n)
-
-    return grams
+    others = F.when(t.rlike(NOT_ONLY_LETTERS), F.concat(extract_all(t, NUMBER), mixed)).otherwise(F.array().cast("array<string>"))
+    return F.concat(extract_all(t, LETTERS), others)
 
 
 def han_grams(text: Column | str, lengths: Iterable[int]) -> Column:
     """All substrings of Han runs of ``text`` with one of the given lengths (overlapping)."""
-    runs = extract_all(_col(text), HAN_RUN)
-    out = [F.flatten(F.transform(runs, _grams_of_length(n))) for n in sorted({int(x) for x in lengths})]
+    # A look ahead takes no characters, so the next one is looked for from the next place.
+    out = [F.regexp_extract_all(_col(text), F.lit(rf"(?=(\p{{IsHan}}{{{n}}}))"), 1) for n in sorted({int(x) for x in lengths})]
     if not out:
         return F.array().cast("array<string>")
     return F.concat(*out) if len(out) > 1 else out[0]

@@ -1,12 +1,15 @@
 """Keyword tokens, dictionary semi-join, word counts and stop words."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from postlens import schema
-from postlens.functions.text import keyword_tokens, word_tokens
+from postlens.functions.text import han_grams, keyword_tokens, word_tokens
 from postlens.operators import skills
 from postlens.sources.text import dictionary_name, keyword_dictionary
-from tests.conftest import final_plan_text
+from tests.conftest import final_plan_text, plan_text
 
 
 def texts(spark, *rows):
@@ -128,3 +131,21 @@ def test_pluggable_pandas_tokenizer(spark):
     df = texts(spark, "Spark HIVE spark", "hive")
     got = counts(skills.keyword_counts(df, keyword_dictionary(spark), tokenizer=whitespace))
     assert got == {"spark": 2, "hive": 2}
+
+
+def test_tokens_of_texts_with_and_without_numbers_and_of_overlapping_han_runs(spark):
+    rng = random.Random(11)
+    parts = ["java", "Hive", "5", "7.1", "x2", "c-d", "e_f", "+", "-", ".", "@", "算法", "数据挖掘及", "\U00020000法\U00020001", " ", ",", "、", ""]
+    rows = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 9))) for _ in range(500)] + [None, "", "a.b", "a. b", "算"]
+
+    def brute(t):
+        low = t.lower()
+        mixed = [w for w in re.findall(r"[a-z0-9]+(?:[#&+\-.@_]+[a-z0-9]+)*", low) if not re.fullmatch(r"[a-z]+|[0-9]+(?:[.]+[0-9]+)*", w)]
+        runs = re.findall("[\u4e00-\u9fff\U00020000\U00020001]+", t)
+        grams = [run[at : at + n] for n in (1, 2, 4) for run in runs for at in range(len(run) - n + 1)]
+        return re.findall(r"[a-z]+", low) + re.findall(r"[0-9]+(?:[,.]+[0-9]+)*", low) + mixed + grams
+
+    df = spark.createDataFrame([(r,) for r in rows], "skills string").select("skills", keyword_tokens("skills", {"han": [4, 1, 2]}).alias("t"))
+    for r in df.collect():
+        assert r["t"] == (None if r["skills"] is None else brute(r["skills"]))
+    assert "lambdafunction" not in plan_text(spark.createDataFrame([("a",)], "t string").select(han_grams("t", [2, 4])))
